@@ -27,15 +27,31 @@ def round_order() -> list:
     ]
 
 
-def investor_order() -> list:
-    """Listing order of investors (O2): leads first (true, false, NULL), then
-    name with NULL last; amount and entry text only break ties."""
-    return [
-        F.col("is_lead").desc_nulls_last(),
-        F.col("investor_name").asc_nulls_last(),
-        F.col("amount_usd").asc_nulls_last(),
-        F.col("entry").asc(),
-    ]
+def listing_key() -> "F.Column":
+    """A struct whose ascending order is the listing order :func:`round_order`."""
+    epoch = F.lit("1970-01-01").cast("date")
+    return F.struct(
+        F.col("announced_on").isNull().alias("a_null"),
+        (-F.datediff("announced_on", epoch)).alias("a"),
+        F.col("closed_on").isNull().alias("c_null"),
+        (-F.datediff("closed_on", epoch)).alias("c"),
+        F.col("round_uuid").alias("u"),
+    )
+
+
+def investor_key() -> "F.Column":
+    """A struct whose ascending order is the investor listing order (O2):
+    leads first (true, false, NULL), then name with NULL last; amount and the
+    entry text only break ties."""
+    lead = F.when(F.col("is_lead"), 0).when(~F.col("is_lead"), 1).otherwise(2)
+    return F.struct(
+        lead.alias("lead"),
+        F.col("investor_name").isNull().alias("n_null"),
+        F.col("investor_name").alias("name"),
+        F.col("amount_usd").isNull().alias("a_null"),
+        F.col("amount_usd").alias("amount"),
+        F.col("entry").alias("entry"),
+    )
 
 
 def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFrame:
@@ -63,7 +79,7 @@ def investor_text(investments: DataFrame, num_partitions: int | None = None) ->
     inv = investments.select(
         "round_uuid", "is_lead", "investor_name", "amount_usd", TX.investor_entry().alias("entry")
     )
-    return ordered_concat(inv, ["round_uuid"], investor_order(), "entry", ", ", "investors", num_partitions)
+    return ordered_concat(inv, ["round_uuid"], investor_key(), "entry", ", ", "investors", num_partitions)
 
 
 def round_texts(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -77,7 +93,7 @@ def funding_text(rounds: DataFrame, investments: DataFrame, num_partitions: int
     rt = round_texts(rounds, investments, num_partitions).select(
         "org_uuid", "announced_on", "closed_on", "round_uuid", "round_text"
     )
-    return ordered_concat(rt, ["org_uuid"], round_order(), "round_text", " | ", "funding_info", num_partitions)
+    return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", num_partitions)
 
 
 def total_funding(rounds: DataFrame) -> DataFrame:
@@ -99,18 +115,6 @@ def funding_summary(rounds: DataFrame) -> DataFrame:
     )
 
 
-def listing_key() -> "F.Column":
-    """A struct whose ascending order is the listing order :func:`round_order`."""
-    epoch = F.lit("1970-01-01").cast("date")
-    return F.struct(
-        F.col("announced_on").isNull().alias("a_null"),
-        (-F.datediff("announced_on", epoch)).alias("a"),
-        F.col("closed_on").isNull().alias("c_null"),
-        (-F.datediff("closed_on", epoch)).alias("c"),
-        F.col("round_uuid").alias("u"),
-    )
-
-
 def rounds_by_type(rounds: DataFrame) -> DataFrame:
     """Per company and non-blank type: count and display rank.
 

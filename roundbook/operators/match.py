@@ -13,7 +13,8 @@ Plan, all equi-joins (no nested loop, no cross join):
    host is joined on its rarest gram only, then verified with ``contains``.
    Lossless: a URL containing the host contains each of its grams;
 3. *short tier* — hosts shorter than ``k``: org URLs are exploded into
-   substrings of exactly those lengths and equi-joined on the host itself.
+   substrings of exactly the lengths such hosts have (found by one small
+   job; skipped when there are none) and equi-joined on the host itself.
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
@@ -84,21 +85,22 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
         .select("host", "org_uuid", F.lit(1).alias("rank"))
     )
 
-    # 3. short tier
-    short_h = rest.where(F.length("host") < k)
-    subs = F.array_distinct(
-        F.flatten(F.transform(F.sequence(F.lit(1), F.lit(k - 1)), lambda m: _grams(F.col("text"), m)))
-    )
-    short = (
-        texts.select("org_uuid", F.explode(subs).alias("host"))
-        .join(short_h, "host")
-        .select("host", "org_uuid", F.lit(1).alias("rank"))
-    )
+    # 3. short tier: only the host lengths below k that occur (at most k-1
+    # values, read with one small job over the lookup hosts)
+    lengths = sorted(r[0] for r in h.where(F.length("host") < k).select(F.length("host")).distinct().collect())
+    candidates = exact.unionByName(contained)
+    if lengths:
+        short_h = rest.where(F.length("host") < k)
+        subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in lengths])))
+        short = (
+            texts.select("org_uuid", F.explode(subs).alias("host"))
+            .join(short_h, "host")
+            .select("host", "org_uuid", F.lit(1).alias("rank"))
+        )
+        candidates = candidates.unionByName(short)
 
     best = (
-        exact.unionByName(contained)
-        .unionByName(short)
-        .groupBy("host")
+        candidates.groupBy("host")
         .agg(F.min(F.struct("rank", "org_uuid")).alias("b"))
     )
     return best.select("host", F.col("b.org_uuid").alias("org_uuid"), (F.col("b.rank") == 0).alias("exact"))

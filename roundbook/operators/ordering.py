@@ -8,8 +8,8 @@ Work per task is bounded by the partition size, and the only cross-partition
 state is a handful of rows per partition boundary.
 
 * :func:`ordered_concat` — ``string_agg(text, sep ORDER BY …)`` per group.
-  Each task concatenates the runs of its sorted slice; a final aggregation
-  joins at most one partial per (group, partition) in partition order.
+  Each (group, partition) slice becomes one sorted partial string; a final
+  aggregation joins at most one partial per partition, in partition order.
 * :func:`group_positions` — ``row_number() OVER (PARTITION BY g ORDER BY …)``.
   Each task numbers rows within its slice; the numbered rows are
   checkpointed, and a group spanning several partitions gets an offset from
@@ -21,15 +21,21 @@ and partials are stable when a task is recomputed after an executor loss.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.config import ensure_checkpoint_dir
 
+# The per-partition functions below run in Python workers; ship them by value
+# so a worker needs pandas and pyarrow, not this package on its path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _n_partitions(df: DataFrame, n: int | None) -> int:
     if n:
@@ -54,63 +60,37 @@ def _run_starts(keys: pd.DataFrame) -> pd.Series:
 def ordered_concat(
     df: DataFrame,
     group_cols: Sequence[str],
-    order_cols: Sequence[Column],
+    key: Column,
     text_col: str,
     sep: str,
     out_col: str,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Per group, ``text_col`` values joined by ``sep`` in ``order_cols`` order.
+    """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
+
+    ``key`` is a struct whose ascending order is the wanted order (encode
+    descending / NULLS LAST fields inside it) and which is unique within a
+    group. Returns ``group_cols + [out_col]``; NULL groups or texts are
+    ignored.
 
-    Returns ``group_cols + [out_col]``; rows whose group key or text is NULL
-    are ignored. ``df`` should carry only the group, order and text columns.
+    Plan, JVM only: range-partition on ``(group, key)``; aggregate
+    ``(group, partition)`` — a slice bounded by the partition size — into a
+    sorted partial string (map-side partial aggregation); then join the at
+    most one-per-partition partials of each group in partition order.
     """
     group_cols = list(group_cols)
     clean = df.where(F.col(text_col).isNotNull())
     for g in group_cols:
         clean = clean.where(F.col(g).isNotNull())
-    ranged = _ranged(clean, group_cols, order_cols, num_partitions)
-
-    out_fields = [clean.schema[g] for g in group_cols] + [
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_part", T.StringType(), False),
-    ]
-
-    def partials(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pending_key = None
-        pending: list[str] = []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[group_cols]
-            run = _run_starts(keys).cumsum()
-            texts = pdf[text_col].astype(str)
-            joined = texts.groupby(run, sort=False).agg(sep.join)
-            firsts = keys.groupby(run, sort=False).head(1)
-            key_rows = list(firsts.itertuples(index=False, name=None))
-            parts = list(joined)
-            if pending_key is not None and key_rows[0] == pending_key:
-                parts[0] = sep.join(pending + [parts[0]])
-            elif pending_key is not None:
-                yield pd.DataFrame([list(pending_key) + [pid, sep.join(pending)]], columns=[*group_cols, "_pid", "_part"])
-            # the last run may continue in the next batch
-            pending_key, pending = key_rows[-1], [parts[-1]]
-            if len(key_rows) > 1:
-                body = pd.DataFrame(key_rows[:-1], columns=group_cols)
-                body["_pid"] = pid
-                body["_part"] = parts[:-1]
-                yield body
-        if pending_key is not None:
-            yield pd.DataFrame([list(pending_key) + [pid, sep.join(pending)]], columns=[*group_cols, "_pid", "_part"])
-
-    parts = ranged.select(*group_cols, text_col).mapInPandas(partials, T.StructType(out_fields))
+    keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
+    n = _n_partitions(df, num_partitions)
+    ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], F.col("_e"))
+    part = F.array_join(F.transform(F.array_sort(F.collect_list("_e")), lambda x: x["t"]), sep)
+    partials = ranged.groupBy(*group_cols, F.spark_partition_id().alias("_pid")).agg(part.alias("_part"))
     merged = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("_pid", "_part"))), lambda x: x["_part"]), sep
     )
-    return parts.groupBy(*group_cols).agg(merged.alias(out_col))
+    return partials.groupBy(*group_cols).agg(merged.alias(out_col))
 
 
 def group_positions(
