@@ -197,7 +197,11 @@ def axis_frame(orgs: DataFrame, as_of: dt.date, oldest_year: int | None = None)
         # The axis has at most 4 rows per year spanned, so a global window is
         # bounded. Keep everything when the filter would leave nothing.
         newest = F.max("year").over(Window.partitionBy())
-        out = out.where((newest < oldest_year) | (F.col("year") >= oldest_year))
+        out = (
+            out.withColumn("_newest", newest)
+            .where((F.col("_newest") < oldest_year) | (F.col("year") >= oldest_year))
+            .drop("_newest")
+        )
     return out
 
 
