@@ -55,7 +55,7 @@ def extracted_tables(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.size(parts) >= 3, F.to_date(parts[1])).alias("file_date"),
     )
     return keyed.groupBy("table").agg(
-        F.max_by("path", F.struct(F.coalesce("file_date", F.lit(dt.date(1, 1, 1))), "path")).alias("path"),
+        F.max_by("path", F.struct("file_date", "path")).alias("path"),  # NULL dates sort first
         F.max("file_date").alias("file_date"),
     )
 
@@ -131,7 +131,7 @@ MANIFEST_SCHEMA = "map<string, struct<file: string, last_modified: string, conte
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The download manifest as rows ``(collection, file, last_modified, content_length, downloaded_at)``."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     m = raw.select(F.explode(F.from_json("value", MANIFEST_SCHEMA)).alias("collection", "e"))
     return m.select("collection", "e.file", "e.last_modified", "e.content_length", "e.downloaded_at")
 
@@ -145,5 +145,5 @@ def snapshot_date_of(manifest: DataFrame, as_of: dt.date) -> DataFrame:
     """
     first = manifest.agg(F.min_by("last_modified", "collection").alias("lm"))
     lm = F.col("lm")
-    parsed = F.when(lm.isNotNull() & (F.lower(lm) != "unknown"), F.try_to_date(F.substring(lm, 1, 10), F.lit("yyyy-MM-dd")))
+    parsed = F.when(lm.isNotNull() & (F.lower(lm) != "unknown"), F.try_to_date(F.substring(lm, 1, 10), "yyyy-MM-dd"))
     return first.select(F.coalesce(parsed, F.lit(as_of)).alias("snapshot_date"))
