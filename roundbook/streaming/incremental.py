@@ -67,7 +67,8 @@ def enrich_stream(
         per_host = found.select("host", "org_uuid").join(per_org, "org_uuid")
         rows = keyed.join(per_host, keyed["_host"] == per_host["host"], "left").drop("host", "_host", "founded")
         rows = rows.withColumn("total_funding", F.col("total_funding").cast("double"))
-        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{out_path}/rows")
+        # one folder per batch, overwritten on retry: exactly-once output
+        rows.write.mode("overwrite").parquet(f"{out_path}/rows/batch_id={batch_id}")
         axis = FD.axis_frame(m_orgs, as_of).select("quarter")
         q = FD.quarterly_funding(m_rounds).join(axis, "quarter", "left_semi")
         quarters = (
@@ -76,7 +77,7 @@ def enrich_stream(
             .drop("_host")
             .withColumn("amount", F.col("amount").cast("double"))
         )
-        quarters.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{out_path}/quarters")
+        quarters.write.mode("overwrite").parquet(f"{out_path}/quarters/batch_id={batch_id}")
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
@@ -108,7 +109,14 @@ def snapshot_stream(
     out = schemas.to_domain(src, collection)  # extra columns (snapshot_date) pass through
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").partitionBy("snapshot_date").parquet(f"{warehouse}/{collection}")
+        # (snapshot_date, batch_id) partitions, dynamically overwritten: a
+        # retried batch replaces only its own files
+        (
+            batch.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("snapshot_date", "batch_id")
+            .parquet(f"{warehouse}/{collection}")
+        )
 
     w = out.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
