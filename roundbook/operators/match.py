@@ -7,12 +7,13 @@ matches, one whose URL normalises to exactly the host wins, then the lowest
 
 Plan, all equi-joins (no nested loop, no cross join):
 
-1. *exact tier* — join hosts with the normalised host of each org URL;
-2. *gram tier* — hosts of length >= ``k``: every org URL is exploded into
+1. *gram tier* — hosts of length >= ``k``: every org URL is exploded into
    its distinct ``k``-grams (kept only when some host has that gram); each
    host is joined on its rarest gram only, then verified with ``contains``.
-   Lossless: a URL containing the host contains each of its grams;
-3. *short tier* — hosts shorter than ``k``: org URLs are exploded into
+   Lossless: a URL containing the host contains each of its grams. An exact
+   match (URL normalises to the host) is one of these candidates too, so
+   the preference is just a rank computed while verifying;
+2. *short tier* — hosts shorter than ``k``: org URLs are exploded into
    substrings of exactly the lengths such hosts have (found by one small
    job; skipped when there are none) and equi-joined on the host itself.
 
@@ -58,17 +59,15 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     """
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull() & (F.col("host") != "")).distinct()
     texts = org_texts(orgs)
+    # 0 when the URL normalises to exactly the host (preferred), else 1
+    rank = F.when(F.col("text_host") == F.col("host"), 0).otherwise(1).alias("rank")
 
-    # 1. exact tier
-    exact = texts.join(h, "host").select("host", "org_uuid", F.lit(0).alias("rank"))
-
-    rest = h.join(exact.select("host"), "host", "left_anti")
-
-    # 2. gram tier
-    long_h = rest.where(F.length("host") >= k)
+    # 1. gram tier: hosts of length >= k, joined on their rarest gram
+    long_h = h.where(F.length("host") >= k)
     host_grams = long_h.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
     org_grams = (
-        texts.select("org_uuid", "text", F.explode(_grams(F.col("text"), k)).alias("gram"))
+        texts.select("org_uuid", "text", F.col("host").alias("text_host"),
+                     F.explode(_grams(F.col("text"), k)).alias("gram"))
         .join(host_grams.select("gram").distinct(), "gram", "left_semi")
     )
     df = org_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
@@ -79,23 +78,22 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
         .where(F.col("r.df") > 0)  # a gram no URL has: the host cannot match
         .select("host", F.col("r.gram").alias("gram"))
     )
-    contained = (
+    candidates = (
         rarest.join(org_grams, "gram")
         .where(F.contains(F.col("text"), F.col("host")))
-        .select("host", "org_uuid", F.lit(1).alias("rank"))
+        .select("host", "org_uuid", rank)
     )
 
-    # 3. short tier: only the host lengths below k that occur (at most k-1
+    # 2. short tier: only the host lengths below k that occur (at most k-1
     # values, read with one small job over the lookup hosts)
     lengths = sorted(r[0] for r in h.where(F.length("host") < k).select(F.length("host")).distinct().collect())
-    candidates = exact.unionByName(contained)
     if lengths:
-        short_h = rest.where(F.length("host") < k)
+        short_h = h.where(F.length("host") < k)
         subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in lengths])))
         short = (
-            texts.select("org_uuid", F.explode(subs).alias("host"))
+            texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
             .join(short_h, "host")
-            .select("host", "org_uuid", F.lit(1).alias("rank"))
+            .select("host", "org_uuid", rank)
         )
         candidates = candidates.unionByName(short)
 
