@@ -41,8 +41,8 @@ def listing_key() -> "F.Column":
 
 def investor_key() -> "F.Column":
     """A struct whose ascending order is the investor listing order (O2):
-    leads first (true, false, NULL), then name with NULL last; amount and the
-    entry text only break ties."""
+    leads first (true, false, NULL), then name with NULL last; amount breaks
+    ties. Rows with equal keys have equal entry text, so ties are harmless."""
     lead = F.when(F.col("is_lead"), 0).when(~F.col("is_lead"), 1).otherwise(2)
     return F.struct(
         lead.alias("lead"),
@@ -50,7 +50,6 @@ def investor_key() -> "F.Column":
         F.col("investor_name").alias("name"),
         F.col("amount_usd").isNull().alias("a_null"),
         F.col("amount_usd").alias("amount"),
-        F.col("entry").alias("entry"),
     )
 
 

@@ -69,9 +69,9 @@ def ordered_concat(
     """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
 
     ``key`` is a struct whose ascending order is the wanted order (encode
-    descending / NULLS LAST fields inside it) and which is unique within a
-    group. Returns ``group_cols + [out_col]``; NULL groups or texts are
-    ignored.
+    descending / NULLS LAST fields inside it); rows with equal keys must
+    carry equal texts. Returns ``group_cols + [out_col]``; NULL groups are
+    dropped, NULL texts skipped (all-NULL gives NULL).
 
     Plan, JVM only: range-partition on ``(group, key)``; aggregate
     ``(group, partition)`` — a slice bounded by the partition size — into a
@@ -79,18 +79,21 @@ def ordered_concat(
     most one-per-partition partials of each group in partition order.
     """
     group_cols = list(group_cols)
-    clean = df.where(F.col(text_col).isNotNull())
+    clean = df
     for g in group_cols:
         clean = clean.where(F.col(g).isNotNull())
     keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
     n = _n_partitions(df, num_partitions)
-    ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], F.col("_e"))
-    part = F.array_join(F.transform(F.array_sort(F.collect_list("_e")), lambda x: x["t"]), sep)
+    # the key is unique within a group, so the text never needs comparing
+    ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], F.col("_e.k"))
+    # sort_array uses the native struct ordering (no interpreted comparator);
+    # array_join skips NULL texts, and a slice with none yields NULL
+    texts = F.transform(F.sort_array(F.collect_list("_e")), lambda x: x["t"])
+    part = F.when(F.exists(texts, lambda x: x.isNotNull()), F.array_join(texts, sep))
     partials = ranged.groupBy(*group_cols, F.spark_partition_id().alias("_pid")).agg(part.alias("_part"))
-    merged = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("_pid", "_part"))), lambda x: x["_part"]), sep
-    )
-    return partials.groupBy(*group_cols).agg(merged.alias(out_col))
+    merged = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pid", "_part"))), lambda x: x["_part"]), sep)
+    any_text = F.max(F.col("_part").isNotNull())
+    return partials.groupBy(*group_cols).agg(F.when(any_text, merged).alias(out_col))
 
 
 def group_positions(
