@@ -119,8 +119,24 @@ def enrich_long(
     return rows.join(q, "org_uuid").select(id_col, "org_uuid", "quarter", F.col("amount").cast("double").alias("amount"))
 
 
-def run_summary(enriched_or_matched: DataFrame, org_col: str = "org_uuid") -> DataFrame:
-    """Rows processed and companies found."""
-    return enriched_or_matched.agg(
-        F.count(F.lit(1)).alias("rows_processed"), F.count(F.col(org_col)).alias("companies_found")
-    )
+def run_summary(matched_rows: DataFrame, orgs: DataFrame | None = None, as_of: dt.date | None = None,
+                org_col: str = "org_uuid") -> DataFrame:
+    """Rows processed and companies found (A13); with ``orgs`` and ``as_of``
+    also the earliest and latest quarter of the run's axis (A4).
+
+    One aggregation over the lookup rows (each matched row carries the two
+    ends of its company's quarter series), so no extra join of summaries.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows_processed"), F.count(F.col(org_col)).alias("companies_found")]
+    rows = matched_rows
+    if orgs is not None and as_of is not None:
+        ends = orgs.select(
+            F.col("org_uuid").alias(org_col),
+            *[c.alias(n) for c, n in zip(Q.series_span(Q.founded_or_default("founded_on"), F.lit(as_of)), ("_f", "_l"))],
+        )
+        rows = rows.join(ends, org_col, "left")
+        aggs += [
+            Q.label_of_index(F.min("_f")).alias("earliest_quarter"),
+            Q.label_of_index(F.max("_l")).alias("latest_quarter"),
+        ]
+    return rows.agg(*aggs)

@@ -528,15 +528,21 @@ def q_run_summary(spark, sf_dir):
     from .operators.enrich import run_summary
 
     t = _t(spark, sf_dir)
-    return run_summary(match_urls(t["lookup"], t["organizations"], url_col="website"))
+    m = match_urls(t["lookup"], t["organizations"], url_col="website")
+    return run_summary(m, t["organizations"], AS_OF)
 
 
 O_RUN_SUMMARY = (
     "WITH "
     + _match_cte("lookup", "website", "organizations")
-    + f"""
-SELECT count(*) AS rows_processed, count(b.org_uuid) AS companies_found
-FROM lookup l LEFT JOIN best b ON {_host('l.website')} = b.host"""
+    + f""",
+{_SERIES_CTE.replace("SELECT org_uuid, " + _qlabel('d') + " AS quarter", "SELECT org_uuid, d, " + _qlabel('d') + " AS quarter")},
+m AS (SELECT l.row_id, b.org_uuid FROM lookup l LEFT JOIN best b ON {_host('l.website')} = b.host),
+ends AS (SELECT arg_min(quarter, d) AS earliest_quarter, arg_max(quarter, d) AS latest_quarter
+         FROM series WHERE org_uuid IN (SELECT org_uuid FROM m WHERE org_uuid IS NOT NULL))
+SELECT count(*) AS rows_processed, count(m.org_uuid) AS companies_found,
+       (SELECT earliest_quarter FROM ends) AS earliest_quarter, (SELECT latest_quarter FROM ends) AS latest_quarter
+FROM m"""
 )
 
 
@@ -677,7 +683,7 @@ _VIEWS_FOR = {
     "quarterly_trend": ["funding_rounds"],
     "snapshot_counts": [],
     "table_counts": [],
-    "run_summary": ["lookup", "organizations"],
+    "run_summary": ["lookup", "organizations"],  # series CTE reads organizations
     "company_report_rounds": ["lookup", "organizations", "funding_rounds"],
     "enrich": ["lookup", "organizations", "funding_rounds", "investments"],
     "enrich_long": ["lookup", "organizations", "funding_rounds"],
