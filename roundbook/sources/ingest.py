@@ -106,12 +106,12 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
     """Rows of the newest snapshot only.
 
-    Expressed as a filter on the partition column against its maximum, so
-    Spark prunes the other partitions (dynamic partition pruning) instead of
-    scanning every snapshot.
+    A filter on the partition column against a scalar subquery of its
+    maximum: the subquery runs first, its value becomes a partition filter,
+    and only the newest snapshot's files are scanned.
     """
-    newest = df.agg(F.max(date_col).alias(date_col))
-    return df.join(newest, date_col, "left_semi")
+    newest = df.select(F.max(date_col)).scalar()
+    return df.where(F.col(date_col) == newest)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -46,7 +46,11 @@ def test_snapshots_write_ignore_overwrite_latest(spark, tmpdir_path):
     IN.write_snapshot(b, f"{wh}/t", dt.date(2024, 2, 1))  # a later snapshot is still written
     t = IN.read_table(spark, wh, "t")
     assert sorted(r["x"] for r in t.collect()) == [1, 2, 3]
-    assert [r["x"] for r in IN.latest_snapshot(t).collect()] == [3]
+    latest = IN.latest_snapshot(t)
+    assert [r["x"] for r in latest.collect()] == [3]
+    from roundbook.plans.checks import plan_text
+
+    assert any("PartitionFilters" in ln and "Subquery" in ln for ln in plan_text(latest).splitlines())
     IN.write_snapshot(b, f"{wh}/t", dt.date(2024, 1, 1), mode="overwrite")
     assert sorted(r["x"] for r in IN.read_table(spark, wh, "t").collect()) == [3, 3]
 
