@@ -31,11 +31,12 @@ EXPORT_CATEGORY = "MACHINERY"
 INVESTOR_TEXT = "#00000001"
 RECENT_SINCE = dt.date(2001, 1, 1)
 
-_cache: dict[tuple[int, str], dict[str, DataFrame]] = {}
+# keyed by the session object (not its id, which a later session could reuse)
+_cache: dict[tuple[SparkSession, str], dict[str, DataFrame]] = {}
 
 
 def _t(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    key = (id(spark), sf_dir)
+    key = (spark, sf_dir)
     if key not in _cache:
         _cache[key] = TV.load(spark, sf_dir)
     return _cache[key]
