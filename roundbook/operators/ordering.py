@@ -37,15 +37,16 @@ from ..plans.config import ensure_checkpoint_dir
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _n_partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return int(n)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range(df: DataFrame, keys: list, n: int | None) -> DataFrame:
+    """Range-partition on ``keys``. Without an explicit count AQE may merge
+    adjacent small ranges; merged partitions stay in key order, which is all
+    the operators below rely on."""
+    return df.repartitionByRange(int(n), *keys) if n else df.repartitionByRange(*keys)
 
 
 def _ranged(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], n: int | None) -> DataFrame:
     keys = [F.col(g).asc() for g in group_cols] + list(order_cols)
-    return df.repartitionByRange(_n_partitions(df, n), *keys).sortWithinPartitions(*keys)
+    return _range(df, keys, n).sortWithinPartitions(*keys)
 
 
 def _run_starts(keys: pd.DataFrame) -> pd.Series:
@@ -83,9 +84,8 @@ def ordered_concat(
     for g in group_cols:
         clean = clean.where(F.col(g).isNotNull())
     keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
-    n = _n_partitions(df, num_partitions)
     # the key is unique within a group, so the text never needs comparing
-    ranged = keyed.repartitionByRange(n, *[F.col(g) for g in group_cols], F.col("_e.k"))
+    ranged = _range(keyed, [F.col(g) for g in group_cols] + [F.col("_e.k")], num_partitions)
     # sort_array uses the native struct ordering (no interpreted comparator);
     # array_join skips NULL texts, and a slice with none yields NULL
     texts = F.transform(F.sort_array(F.collect_list("_e")), lambda x: x["t"])
@@ -110,8 +110,7 @@ def group_positions(
     numbered as their own group.
     """
     group_cols = list(group_cols)
-    n = _n_partitions(df, num_partitions)
-    ranged = _ranged(df, group_cols, order_cols, n)
+    ranged = _ranged(df, group_cols, order_cols, num_partitions)
     schema = T.StructType(
         list(df.schema.fields)
         + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_lpos", T.LongType(), False)]

@@ -41,3 +41,25 @@ def test_group_positions_hot_group(spark):
     bad = got.join(ref, ["g", "u"]).where("pos <> rn").count()
     assert bad == 0
     assert got.count() == len(rows)
+
+
+def test_ordered_ops_with_coalesced_ranges(spark):
+    """No explicit partition count: AQE may merge adjacent ranges; results must not change."""
+    rows = skewed_rows(3000, seed=5)
+    df = spark.createDataFrame(rows, "g string, a int, u int, t string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        key = F.struct((-F.col("a")).alias("na"), F.col("u").alias("u"))
+        got = {r["g"]: r["s"] for r in ordered_concat(df, ["g"], key, "t", ",", "s").collect()}
+        for g in {r[0] for r in rows}:
+            part = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
+            assert got[g] == ",".join(r[3] for r in part)
+        order = [F.col("a").desc(), F.col("u").asc()]
+        pos = group_positions(df, ["g"], order, "pos")
+        ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+        assert pos.join(ref, ["g", "u"]).where("pos <> rn").count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
