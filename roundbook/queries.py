@@ -623,6 +623,63 @@ WHERE q.quarter IN ({", ".join(f"'{x}'" for x in _axis_labels(1900, AS_OF))})"""
 )
 
 
+def q_human_size(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return t["documents"].select("doc_id", "n_chars", TX.human_size("n_chars").alias("size_text"))
+
+
+O_HUMAN_SIZE = """
+SELECT doc_id, n_chars,
+       CASE WHEN n_chars IS NULL THEN '?'
+            WHEN n_chars < 1024 THEN CAST(n_chars AS VARCHAR) || ' B'
+            WHEN n_chars < 1048576 THEN format('{:.2f}', n_chars / 1024.0) || ' KB'
+            WHEN n_chars < 1073741824 THEN format('{:.2f}', n_chars / 1048576.0) || ' MB'
+            WHEN n_chars < 1099511627776 THEN format('{:.2f}', n_chars / 1073741824.0) || ' GB'
+            ELSE format('{:.2f}', n_chars / 1099511627776.0) || ' TB' END AS size_text
+FROM documents"""
+
+
+def q_latest_snapshot(spark, sf_dir):
+    from .sources.ingest import latest_snapshot
+
+    t = _t(spark, sf_dir)
+    snap = t["orders"].withColumn("snapshot_date", F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)))
+    return latest_snapshot(snap).select("snapshot_date", "o_orderkey", "o_custkey")
+
+
+O_LATEST_SNAPSHOT = """
+WITH s AS (SELECT make_date(year(o_orderdate), 12, 31) AS snapshot_date, o_orderkey, o_custkey FROM orders)
+SELECT snapshot_date, o_orderkey, o_custkey FROM s WHERE snapshot_date = (SELECT max(snapshot_date) FROM s)"""
+
+AXIS_SINCE = 1999
+
+
+def q_quarter_axis_since(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return FD.axis_frame(t["organizations"], AS_OF, AXIS_SINCE)
+
+
+def q_company_report_summary(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    rep = company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website")
+    return rep["summary"]
+
+
+O_COMPANY_REPORT_SUMMARY = (
+    "WITH "
+    + _match_cte("lookup", "website", "organizations")
+    + f"""
+SELECT b.host, b.org_uuid, x.n_rounds, x.n_rounds_with_amount,
+       CAST(CASE WHEN x.s <> 0 THEN x.s END AS DOUBLE) AS total_funding,
+       CASE WHEN x.s <> 0 THEN {_currency('x.s')} END AS total_funding_text
+FROM best b JOIN (
+  SELECT org_uuid, count(*) AS n_rounds,
+         count(CASE WHEN {_nonzero('amount_usd')} THEN 1 END) AS n_rounds_with_amount,
+         sum(CASE WHEN {_nonzero('amount_usd')} THEN amount_usd END) AS s
+  FROM funding_rounds GROUP BY org_uuid) x ON b.org_uuid = x.org_uuid"""
+)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_url": q_normalize_url,
     "match_urls": q_match_urls,
@@ -654,6 +711,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_report_rounds": q_company_report_rounds,
     "enrich": q_enrich,
     "enrich_long": q_enrich_long,
+    "human_size": q_human_size,
+    "latest_snapshot": q_latest_snapshot,
+    "quarter_axis_since": q_quarter_axis_since,
+    "company_report_summary": q_company_report_summary,
 }
 
 # views each oracle needs, prepended as CTEs (the driver registers base tables only)
@@ -688,6 +749,10 @@ _VIEWS_FOR = {
     "company_report_rounds": ["lookup", "organizations", "funding_rounds"],
     "enrich": ["lookup", "organizations", "funding_rounds", "investments"],
     "enrich_long": ["lookup", "organizations", "funding_rounds"],
+    "human_size": [],
+    "latest_snapshot": [],
+    "quarter_axis_since": ["organizations"],
+    "company_report_summary": ["lookup", "organizations", "funding_rounds"],
 }
 
 _RAW_ORACLE = {
@@ -721,6 +786,10 @@ _RAW_ORACLE = {
     "company_report_rounds": O_COMPANY_REPORT_ROUNDS,
     "enrich": _o_enrich(),
     "enrich_long": O_ENRICH_LONG,
+    "human_size": O_HUMAN_SIZE,
+    "latest_snapshot": O_LATEST_SNAPSHOT,
+    "quarter_axis_since": O_QUARTER_AXIS + f"\nWHERE CAST(split_part(quarter, ' Q', 1) AS INTEGER) >= {AXIS_SINCE}",
+    "company_report_summary": O_COMPANY_REPORT_SUMMARY,
 }
 
 
