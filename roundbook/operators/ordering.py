@@ -1,19 +1,29 @@
 """Ordered per-group operators that stay safe when one group is huge.
 
 ``collect_list`` over a group, or a window partitioned by the group, puts the
-whole group into one task. Both operators here instead range-partition on
-``(group, order keys)``: every partition then holds a contiguous slice of the
-global order, so a group with a third of all rows is spread over many tasks.
-Work per task is bounded by the partition size, and the only cross-partition
-state is a handful of rows per partition boundary.
+whole group into one task. That is fine for ordinary groups and wrong for a
+group holding a third of all rows. Both operators here therefore split the
+groups by size first:
+
+* **hot groups** — more than ``hot_rows`` rows, at most the
+  ``MAX_HOT_GROUPS`` largest (a bounded top-k over per-group counts, which
+  are a partial aggregation). Any other group has at most
+  ``max(hot_rows, total / MAX_HOT_GROUPS)`` rows. Hot rows are range-partitioned on
+  ``(group, order keys)``: each partition holds a contiguous slice of the
+  global order, a hot group is spread over many tasks, and the only
+  cross-partition state is at most one row per partition boundary.
+* **other groups** — bounded as above, aggregated or windowed in one task
+  per group, the ordinary Spark way (one shuffle).
+
+When no group is hot (the usual case) the plan is just the ordinary path.
 
 * :func:`ordered_concat` — ``string_agg(text, sep ORDER BY …)`` per group.
-  Each (group, partition) slice becomes one sorted partial string; a final
-  aggregation joins at most one partial per partition, in partition order.
+  Hot path: each (group, partition) slice becomes one sorted partial string;
+  a final aggregation joins the partials in partition order.
 * :func:`group_positions` — ``row_number() OVER (PARTITION BY g ORDER BY …)``.
-  Each task numbers rows within its slice; the numbered rows are
-  checkpointed, and a group spanning several partitions gets an offset from
-  a table with at most one row per partition (proven bound, hence broadcast).
+  Hot path: each task numbers rows within its slice; the numbered rows are
+  checkpointed, and a group spanning several partitions gets an offset from a
+  table with at most one row per partition (proven bound, hence broadcast).
 
 Order keys must form a total order (append a unique key) so that positions
 and partials are stable when a task is recomputed after an executor loss.
@@ -36,11 +46,37 @@ from ..plans.config import ensure_checkpoint_dir
 # so a worker needs pandas and pyarrow, not this package on its path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# A group with more rows than this is split across tasks.
+HOT_ROWS = 200_000
+# Upper bound on the number of hot groups (the threshold grows with the data).
+MAX_HOT_GROUPS = 10_000
+
+
+def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+    """Keys of the groups to split: more than ``hot_rows`` rows, at most the
+    ``MAX_HOT_GROUPS`` largest.
+
+    Per-group counts are a partial aggregation and the selection a bounded
+    top-k, so the driver reads at most ``MAX_HOT_GROUPS`` keys. A group left
+    out has no more than ``max(hot_rows, total / MAX_HOT_GROUPS)`` rows: the
+    ``MAX_HOT_GROUPS + 1``-th largest group cannot exceed that share.
+    """
+    group_cols = list(group_cols)
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    top = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(MAX_HOT_GROUPS)
+    return [tuple(r) for r in top.select(*group_cols).collect()]
+
+
+def _split(df: DataFrame, group_cols: list[str], hot: list[tuple]) -> tuple[DataFrame, DataFrame]:
+    """``(rows of other groups, rows of hot groups)``; the key list is bounded."""
+    keys = df.sparkSession.createDataFrame(hot, T.StructType([df.schema[g] for g in group_cols]))
+    return df.join(F.broadcast(keys), group_cols, "left_anti"), df.join(F.broadcast(keys), group_cols, "left_semi")
+
 
 def _range(df: DataFrame, keys: list, n: int | None) -> DataFrame:
     """Range-partition on ``keys``. Without an explicit count AQE may merge
     adjacent small ranges; merged partitions stay in key order, which is all
-    the operators below rely on."""
+    the hot paths below rely on."""
     return df.repartitionByRange(int(n), *keys) if n else df.repartitionByRange(*keys)
 
 
@@ -58,6 +94,14 @@ def _run_starts(keys: pd.DataFrame) -> pd.Series:
     return change
 
 
+def _joined_texts(entries: Column, sep: str) -> Column:
+    """``collect_list`` of ``struct(k, t)`` → texts in key order joined by
+    ``sep``, NULL when the group has no text. Native expressions only: the
+    struct sort and the field extraction need no lambda."""
+    joined = F.array_join(F.sort_array(entries).getField("t"), sep)
+    return F.when(F.max(F.col("_e.t").isNotNull()), joined)
+
+
 def ordered_concat(
     df: DataFrame,
     group_cols: Sequence[str],
@@ -66,51 +110,43 @@ def ordered_concat(
     sep: str,
     out_col: str,
     num_partitions: int | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
 
     ``key`` is a struct whose ascending order is the wanted order (encode
     descending / NULLS LAST fields inside it); rows with equal keys must
     carry equal texts. Returns ``group_cols + [out_col]``; NULL groups are
-    dropped, NULL texts skipped (all-NULL gives NULL).
-
-    Plan, JVM only: range-partition on ``(group, key)``; aggregate
-    ``(group, partition)`` — a slice bounded by the partition size — into a
-    sorted partial string (map-side partial aggregation); then join the at
-    most one-per-partition partials of each group in partition order.
+    dropped, NULL texts skipped (all-NULL gives NULL). JVM only: the sort is
+    ``sort_array`` on the native struct ordering.
     """
     group_cols = list(group_cols)
     clean = df
     for g in group_cols:
         clean = clean.where(F.col(g).isNotNull())
     keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
-    # the key is unique within a group, so the text never needs comparing
-    ranged = _range(keyed, [F.col(g) for g in group_cols] + [F.col("_e.k")], num_partitions)
-    # sort_array uses the native struct ordering (no interpreted comparator);
-    # array_join skips NULL texts, and a slice with none yields NULL
-    texts = F.transform(F.sort_array(F.collect_list("_e")), lambda x: x["t"])
-    part = F.when(F.exists(texts, lambda x: x.isNotNull()), F.array_join(texts, sep))
-    partials = ranged.groupBy(*group_cols, F.spark_partition_id().alias("_pid")).agg(part.alias("_part"))
-    merged = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pid", "_part"))), lambda x: x["_part"]), sep)
+    hot = hot_groups(keyed, group_cols, hot_rows)
+    normal, heavy = _split(keyed, group_cols, hot) if hot else (keyed, None)
+
+    out = normal.groupBy(*group_cols).agg(_joined_texts(F.collect_list("_e"), sep).alias(out_col))
+    if heavy is None:
+        return out
+    # hot groups: one sorted partial per (group, range partition), then the
+    # partials in partition order (the key is unique, text is never compared)
+    ranged = _range(heavy, [F.col(g) for g in group_cols] + [F.col("_e.k")], num_partitions)
+    partials = ranged.groupBy(*group_cols, F.spark_partition_id().alias("_pid")).agg(
+        _joined_texts(F.collect_list("_e"), sep).alias("_part")
+    )
+    merged = F.array_join(F.sort_array(F.collect_list(F.struct("_pid", "_part"))).getField("_part"), sep)
     any_text = F.max(F.col("_part").isNotNull())
-    return partials.groupBy(*group_cols).agg(F.when(any_text, merged).alias(out_col))
+    return out.unionByName(partials.groupBy(*group_cols).agg(F.when(any_text, merged).alias(out_col)))
 
 
-def group_positions(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[Column],
-    out_col: str = "pos",
-    num_partitions: int | None = None,
+def _positions_split(
+    df: DataFrame, group_cols: list[str], order_cols: Sequence[Column], out_col: str, n: int | None
 ) -> DataFrame:
-    """``df`` plus ``out_col`` = 1-based position of each row within its group.
-
-    Equals ``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``
-    without ever holding a whole group in one task. NULL group keys are
-    numbered as their own group.
-    """
-    group_cols = list(group_cols)
-    ranged = _ranged(df, group_cols, order_cols, num_partitions)
+    """Range-split numbering for hot groups (see module docstring)."""
+    ranged = _ranged(df, group_cols, order_cols, n)
     schema = T.StructType(
         list(df.schema.fields)
         + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_lpos", T.LongType(), False)]
@@ -157,3 +193,27 @@ def group_positions(
     joined = local.join(F.broadcast(offsets), cond, "left")
     pos = (F.col("_lpos") + F.coalesce(F.col("_off"), F.lit(0))).alias(out_col)
     return joined.select(*df.columns, pos)
+
+
+def group_positions(
+    df: DataFrame,
+    group_cols: Sequence[str],
+    order_cols: Sequence[Column],
+    out_col: str = "pos",
+    num_partitions: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``df`` plus ``out_col`` = 1-based position of each row within its group.
+
+    Equals ``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``
+    without ever holding a hot group in one task. NULL group keys are
+    numbered as their own group.
+    """
+    group_cols = list(group_cols)
+    hot = hot_groups(df, group_cols, hot_rows)
+    normal, heavy = _split(df, group_cols, hot) if hot else (df, None)
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    out = normal.withColumn(out_col, F.row_number().over(w).cast("long"))
+    if heavy is None:
+        return out
+    return out.unionByName(_positions_split(heavy, group_cols, order_cols, out_col, num_partitions))

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from roundbook.operators.ordering import group_positions, ordered_concat
+from roundbook.operators.ordering import group_positions, hot_groups, ordered_concat
 
 
 def skewed_rows(n=6000, seed=3):
@@ -21,12 +21,14 @@ def test_ordered_concat_hot_group(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "g string, a int, u int, t string")
     key = F.struct((-F.col("a")).alias("na"), F.col("u").alias("u"))
-    got = {r["g"]: r["s"] for r in ordered_concat(df, ["g"], key, "t", ",", "s", num_partitions=8).collect()}
     want = {}
     for g in {r[0] for r in rows}:
         part = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
         want[g] = ",".join(r[3] for r in part)
-    assert got == want
+    assert hot_groups(df, ["g"], hot_rows=500) == [("hot",)]
+    for hot_rows in (500, 10**9):  # hot group range-split / everything on the plain path
+        got = {r["g"]: r["s"] for r in ordered_concat(df, ["g"], key, "t", ",", "s", 8, hot_rows=hot_rows).collect()}
+        assert got == want
     # the hot group really was split over several range partitions
     ranged = df.repartitionByRange(8, "g", key).where("g = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert ranged > 1
@@ -36,11 +38,11 @@ def test_group_positions_hot_group(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "g string, a int, u int, t string")
     order = [F.col("a").desc(), F.col("u").asc()]
-    got = group_positions(df, ["g"], order, "pos", num_partitions=8)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
-    bad = got.join(ref, ["g", "u"]).where("pos <> rn").count()
-    assert bad == 0
-    assert got.count() == len(rows)
+    for hot_rows in (500, 10**9):
+        got = group_positions(df, ["g"], order, "pos", num_partitions=8, hot_rows=hot_rows)
+        assert got.join(ref, ["g", "u"]).where("pos <> rn").count() == 0
+        assert got.count() == len(rows)
 
 
 def test_ordered_ops_with_coalesced_ranges(spark):
@@ -52,12 +54,12 @@ def test_ordered_ops_with_coalesced_ranges(spark):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
     try:
         key = F.struct((-F.col("a")).alias("na"), F.col("u").alias("u"))
-        got = {r["g"]: r["s"] for r in ordered_concat(df, ["g"], key, "t", ",", "s").collect()}
+        got = {r["g"]: r["s"] for r in ordered_concat(df, ["g"], key, "t", ",", "s", hot_rows=300).collect()}
         for g in {r[0] for r in rows}:
             part = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))
             assert got[g] == ",".join(r[3] for r in part)
         order = [F.col("a").desc(), F.col("u").asc()]
-        pos = group_positions(df, ["g"], order, "pos")
+        pos = group_positions(df, ["g"], order, "pos", hot_rows=300)
         ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
         assert pos.join(ref, ["g", "u"]).where("pos <> rn").count() == 0
     finally:
