@@ -68,9 +68,14 @@ def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFram
     raise ValueError(f"by must be 'uuid' or 'name', not {by!r}")
 
 
-def rounds_listing(rounds: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Rounds with ``pos``: 1-based place in the company's listing (O1)."""
-    return group_positions(rounds, ["org_uuid"], round_order(), "pos", num_partitions)
+def rounds_listing(rounds: DataFrame, num_partitions: int | None = None,
+                   sizes_from: DataFrame | None = None) -> DataFrame:
+    """Rounds with ``pos``: 1-based place in the company's listing (O1).
+
+    ``sizes_from``: a cheaper table with the same rounds per company (e.g.
+    all rounds, when ``rounds`` is a matched subset) to count hot companies on.
+    """
+    return group_positions(rounds, ["org_uuid"], round_order(), "pos", num_partitions, sizes_from=sizes_from)
 
 
 def investor_text(investments: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -92,7 +97,10 @@ def funding_text(rounds: DataFrame, investments: DataFrame, num_partitions: int
     rt = round_texts(rounds, investments, num_partitions).select(
         "org_uuid", "announced_on", "closed_on", "round_uuid", "round_text"
     )
-    return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", num_partitions)
+    # group sizes are rounds per company: count them on the rounds, not on
+    # the texts (which would recompute the investor roll-up)
+    return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", num_partitions,
+                          sizes_from=rounds.select("org_uuid").where(F.col("org_uuid").isNotNull()))
 
 
 def total_funding(rounds: DataFrame) -> DataFrame:

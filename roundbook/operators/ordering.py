@@ -111,6 +111,7 @@ def ordered_concat(
     out_col: str,
     num_partitions: int | None = None,
     hot_rows: int = HOT_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
 
@@ -119,13 +120,17 @@ def ordered_concat(
     carry equal texts. Returns ``group_cols + [out_col]``; NULL groups are
     dropped, NULL texts skipped (all-NULL gives NULL). JVM only: the sort is
     ``sort_array`` on the native struct ordering.
+
+    ``sizes_from`` (optional) has the group columns and one row per row of
+    ``df``; hot groups are counted there instead of on ``df`` — use it when
+    ``df`` is expensive to compute (e.g. texts built from other roll-ups).
     """
     group_cols = list(group_cols)
     clean = df
     for g in group_cols:
         clean = clean.where(F.col(g).isNotNull())
     keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
-    hot = hot_groups(keyed, group_cols, hot_rows)
+    hot = hot_groups(keyed if sizes_from is None else sizes_from, group_cols, hot_rows)
     normal, heavy = _split(keyed, group_cols, hot) if hot else (keyed, None)
 
     out = normal.groupBy(*group_cols).agg(_joined_texts(F.collect_list("_e"), sep).alias(out_col))
@@ -202,15 +207,17 @@ def group_positions(
     out_col: str = "pos",
     num_partitions: int | None = None,
     hot_rows: int = HOT_ROWS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus ``out_col`` = 1-based position of each row within its group.
 
     Equals ``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``
     without ever holding a hot group in one task. NULL group keys are
-    numbered as their own group.
+    numbered as their own group. ``sizes_from``: as in :func:`ordered_concat`
+    (any DataFrame whose per-group row counts bound those of ``df``).
     """
     group_cols = list(group_cols)
-    hot = hot_groups(df, group_cols, hot_rows)
+    hot = hot_groups(df if sizes_from is None else sizes_from, group_cols, hot_rows)
     normal, heavy = _split(df, group_cols, hot) if hot else (df, None)
     w = Window.partitionBy(*group_cols).orderBy(*order_cols)
     out = normal.withColumn(out_col, F.row_number().over(w).cast("long"))

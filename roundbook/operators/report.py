@@ -15,9 +15,13 @@ from . import funding as FD
 from .match import GRAM, match_hosts
 
 
+PARTS = ("companies", "rounds", "summary", "by_type")
+
+
 def company_report(lookup: DataFrame, orgs: DataFrame, rounds: DataFrame, url_col: str = "url",
-                   k: int = GRAM) -> dict[str, DataFrame]:
-    """``{"companies", "rounds", "summary", "by_type"}`` for every matched host.
+                   k: int = GRAM, parts: tuple[str, ...] = PARTS) -> dict[str, DataFrame]:
+    """``{"companies", "rounds", "summary", "by_type"}`` for every matched host
+    (only the requested ``parts`` are built).
 
     * companies — ``(host, org_uuid, name, website)``; website falls back to
       ``website_url`` when blank (P4);
@@ -27,27 +31,26 @@ def company_report(lookup: DataFrame, orgs: DataFrame, rounds: DataFrame, url_co
     """
     hosts = lookup.select(lookup_host(url_col).alias("host"))
     found = match_hosts(hosts, orgs, k=k).select("host", "org_uuid")
-    companies = found.join(
-        orgs.select(
-            "org_uuid", "name",
-            F.coalesce(F.when(TX.nonblank("website"), F.col("website")), F.col("website_url")).alias("website"),
-        ),
-        "org_uuid",
-    )
     ids = found.select("org_uuid").distinct()
     m_rounds = rounds.join(ids, "org_uuid", "left_semi")
-    listing = FD.rounds_listing(m_rounds).select(
-        "org_uuid", "pos", "round_uuid", "round_name", "announced_on", "closed_on",
-        TX.format_currency("amount_usd").alias("amount_text"),
-        "investment_type", "stage", "num_investors",
-        F.when(TX.nonzero("post_money_usd"), TX.format_currency("post_money_usd")).alias("post_money_text"),
-        F.when(TX.nonzero("pre_money_usd"), TX.format_currency("pre_money_usd")).alias("pre_money_text"),
-        "short_description",
-    )
-    per_host = found.select("host", "org_uuid")
-    return {
-        "companies": companies,
-        "rounds": per_host.join(listing, "org_uuid"),
-        "summary": per_host.join(FD.funding_summary(m_rounds), "org_uuid"),
-        "by_type": per_host.join(FD.rounds_by_type(m_rounds), "org_uuid"),
-    }
+    out: dict[str, DataFrame] = {}
+    if "companies" in parts:
+        site = F.coalesce(F.when(TX.nonblank("website"), F.col("website")), F.col("website_url"))
+        out["companies"] = found.join(orgs.select("org_uuid", "name", site.alias("website")), "org_uuid")
+    if "rounds" in parts:
+        # hot companies are counted on all rounds: same group sizes, and the
+        # URL match is not run eagerly just to size the groups
+        listing = FD.rounds_listing(m_rounds, sizes_from=rounds.select("org_uuid")).select(
+            "org_uuid", "pos", "round_uuid", "round_name", "announced_on", "closed_on",
+            TX.format_currency("amount_usd").alias("amount_text"),
+            "investment_type", "stage", "num_investors",
+            F.when(TX.nonzero("post_money_usd"), TX.format_currency("post_money_usd")).alias("post_money_text"),
+            F.when(TX.nonzero("pre_money_usd"), TX.format_currency("pre_money_usd")).alias("pre_money_text"),
+            "short_description",
+        )
+        out["rounds"] = found.join(listing, "org_uuid")
+    if "summary" in parts:
+        out["summary"] = found.join(FD.funding_summary(m_rounds), "org_uuid")
+    if "by_type" in parts:
+        out["by_type"] = found.join(FD.rounds_by_type(m_rounds), "org_uuid")
+    return out

@@ -549,7 +549,7 @@ FROM m"""
 
 def q_company_report_rounds(spark, sf_dir):
     t = _t(spark, sf_dir)
-    rep = company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website")
+    rep = company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website", parts=("rounds",))
     return rep["rounds"].select("host", "org_uuid", F.col("pos").cast("bigint").alias("pos"), "round_uuid",
                                 "amount_text", "post_money_text")
 
@@ -661,7 +661,7 @@ def q_quarter_axis_since(spark, sf_dir):
 
 def q_company_report_summary(spark, sf_dir):
     t = _t(spark, sf_dir)
-    rep = company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website")
+    rep = company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website", parts=("summary",))
     return rep["summary"]
 
 
