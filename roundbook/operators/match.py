@@ -14,8 +14,8 @@ Plan, all equi-joins (no nested loop, no cross join):
    match (URL normalises to the host) is one of these candidates too, so
    the preference is just a rank computed while verifying;
 2. *short tier* — hosts shorter than ``k``: org URLs are exploded into
-   substrings of exactly the lengths such hosts have (found by one small
-   job; skipped when there are none) and equi-joined on the host itself.
+   their substrings shorter than ``k`` and equi-joined on the host itself
+   (short hosts are a bounded set, broadcast; none → pruned at runtime).
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
@@ -84,18 +84,18 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
         .select("host", "org_uuid", rank)
     )
 
-    # 2. short tier: only the host lengths below k that occur (at most k-1
-    # values, read with one small job over the lookup hosts)
-    lengths = sorted(r[0] for r in h.where(F.length("host") < k).select(F.length("host")).distinct().collect())
-    if lengths:
-        short_h = h.where(F.length("host") < k)
-        subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in lengths])))
-        short = (
-            texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
-            .join(short_h, "host")
-            .select("host", "org_uuid", rank)
-        )
-        candidates = candidates.unionByName(short)
+    # 2. short tier: hosts shorter than k. Strings of length < k over the URL
+    # alphabet are a finite set (about 66k for k = 4), so broadcasting them is
+    # bounded; with none, AQE turns the join into an empty relation before
+    # the substring side runs.
+    short_h = h.where(F.length("host") < k)
+    subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in range(1, k)])))
+    short = (
+        texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
+        .join(F.broadcast(short_h), "host")
+        .select("host", "org_uuid", rank)
+    )
+    candidates = candidates.unionByName(short)
 
     best = (
         candidates.groupBy("host")
