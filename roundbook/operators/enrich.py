@@ -78,7 +78,8 @@ def enrich(
     axis = FD.quarter_axis(m_orgs, as_of, oldest_year)
     per_org = (
         company_rows(m_orgs)
-        .join(FD.funding_text(m_rounds, m_inv), "org_uuid", "left")
+        .join(FD.funding_text(m_rounds, m_inv, inv_sizes=investments.select("round_uuid"), round_sizes=rounds),
+              "org_uuid", "left")
         .join(FD.total_funding(m_rounds), "org_uuid", "left")
     )
     if axis:

@@ -78,29 +78,40 @@ def rounds_listing(rounds: DataFrame, num_partitions: int | None = None,
     return group_positions(rounds, ["org_uuid"], round_order(), "pos", num_partitions, sizes_from=sizes_from)
 
 
-def investor_text(investments: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``(round_uuid, investors)``: ``Name (Lead) ($n), …`` per round."""
+def investor_text(investments: DataFrame, num_partitions: int | None = None,
+                  sizes_from: DataFrame | None = None) -> DataFrame:
+    """``(round_uuid, investors)``: ``Name (Lead) ($n), …`` per round.
+
+    ``sizes_from``: a cheaper table whose investments per round bound these
+    (e.g. all investments when ``investments`` is a matched subset)."""
     inv = investments.select(
         "round_uuid", "is_lead", "investor_name", "amount_usd", TX.investor_entry().alias("entry")
     )
-    return ordered_concat(inv, ["round_uuid"], investor_key(), "entry", ", ", "investors", num_partitions)
+    return ordered_concat(inv, ["round_uuid"], investor_key(), "entry", ", ", "investors", num_partitions,
+                          sizes_from=sizes_from)
 
 
-def round_texts(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def round_texts(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None,
+                inv_sizes: DataFrame | None = None) -> DataFrame:
     """Rounds left-joined with their investor text, plus ``round_text``."""
-    inv = investor_text(investments, num_partitions)
+    inv = investor_text(investments, num_partitions, inv_sizes)
     return rounds.join(inv, "round_uuid", "left").withColumn("round_text", TX.round_entry())
 
 
-def funding_text(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10)."""
-    rt = round_texts(rounds, investments, num_partitions).select(
+def funding_text(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None,
+                 inv_sizes: DataFrame | None = None, round_sizes: DataFrame | None = None) -> DataFrame:
+    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10).
+
+    ``inv_sizes`` / ``round_sizes``: cheaper tables to count hot rounds /
+    companies on (defaults: ``investments`` / ``rounds``)."""
+    rt = round_texts(rounds, investments, num_partitions, inv_sizes).select(
         "org_uuid", "announced_on", "closed_on", "round_uuid", "round_text"
     )
     # group sizes are rounds per company: count them on the rounds, not on
     # the texts (which would recompute the investor roll-up)
     return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", num_partitions,
-                          sizes_from=rounds.select("org_uuid").where(F.col("org_uuid").isNotNull()))
+                          sizes_from=(round_sizes if round_sizes is not None else rounds).select("org_uuid")
+                          .where(F.col("org_uuid").isNotNull()))
 
 
 def total_funding(rounds: DataFrame) -> DataFrame:
