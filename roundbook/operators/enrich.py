@@ -87,16 +87,17 @@ def enrich(
     per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").drop("org_uuid")
 
     out = keyed.join(per_host, keyed["_host"] == per_host["host"], "left")
-    info = [
-        F.col("company_info").alias(INFO_COLS[0]),
-        F.col("funding_info").alias(INFO_COLS[1]),
-        F.col("total_funding").cast("double").alias(INFO_COLS[2]),
+    # one selectExpr call: wide outputs (hundreds of quarter columns) would
+    # otherwise cost several driver round-trips per column
+    exprs = [FD.quote(ROW_ID)] if ROW_ID in lookup.columns else []
+    exprs += [FD.quote(c) for c in in_cols]
+    exprs += [
+        f"company_info AS {FD.quote(INFO_COLS[0])}",
+        f"funding_info AS {FD.quote(INFO_COLS[1])}",
+        f"CAST(total_funding AS DOUBLE) AS {FD.quote(INFO_COLS[2])}",
     ]
-    quarters = [F.col(f"`{q}`").cast("double").alias(q) for q in axis]
-    cols = [F.col(f"`{c}`") for c in in_cols]
-    if ROW_ID in lookup.columns:
-        cols = [F.col(ROW_ID)] + cols
-    return out.select(*cols, *info, *quarters)
+    exprs += [FD.quote(q) for q in axis]
+    return out.selectExpr(*exprs)
 
 
 def enrich_long(

@@ -224,16 +224,17 @@ def axis_frame(orgs: DataFrame, as_of: dt.date, oldest_year: int | None = None)
 
 
 def quarterly_pivot(quarterly: DataFrame, axis: list[str]) -> DataFrame:
-    """Wide ``(org_uuid, <quarter>…)`` with one column per axis label (A3).
+    """Wide ``(org_uuid, <quarter>…)`` with one DOUBLE column per axis label (A3).
 
-    Amounts in quarters outside the axis are dropped from the pivot (they
-    stay in the total), as in the reference.
+    The explicit value list makes the pivot drop amounts in quarters outside
+    the axis (they stay in the total), as in the reference; the cast sits in
+    the pivot aggregate so no per-column projection is needed afterwards.
     """
     if not axis:
         return quarterly.select("org_uuid").distinct()
-    return (
-        quarterly.where(F.col("quarter").isin(axis))
-        .groupBy("org_uuid")
-        .pivot("quarter", axis)
-        .agg(F.sum("amount"))
-    )
+    return quarterly.groupBy("org_uuid").pivot("quarter", axis).agg(F.sum("amount").cast("double"))
+
+
+def quote(name: str) -> str:
+    """A column name as a SQL identifier (for one-call ``selectExpr`` projections)."""
+    return "`" + name.replace("`", "``") + "`"

@@ -292,7 +292,7 @@ def q_quarterly_pivot(spark, sf_dir):
     t = _t(spark, sf_dir)
     axis = FD.quarter_axis(t["organizations"], AS_OF)
     wide = FD.quarterly_pivot(FD.quarterly_funding(t["funding_rounds"]), axis)
-    return wide.select("org_uuid", *[F.col(f"`{q}`").cast("double").alias(q) for q in axis])
+    return wide.selectExpr("org_uuid", *[FD.quote(q) for q in axis])
 
 
 def _o_quarterly_pivot() -> str:
