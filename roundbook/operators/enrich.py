@@ -110,8 +110,9 @@ def enrich_long(
     k: int = GRAM,
 ) -> DataFrame:
     """Long form of the quarter block: ``(id, org_uuid, quarter, amount)`` for
-    each lookup row with a matched company and a funded quarter on the axis."""
-    keyed, found = matched(lookup, orgs, url_col, k, checkpoint=False)
+    each lookup row with a matched company and a funded quarter on the axis.
+    The matches feed two branches, so they are checkpointed like in enrich."""
+    keyed, found = matched(lookup, orgs, url_col, k, checkpoint=True)
     ids = found.select("org_uuid").distinct()
     m_orgs = orgs.join(ids, "org_uuid", "left_semi")
     m_rounds = rounds.join(ids, "org_uuid", "left_semi")
