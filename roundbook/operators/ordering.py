@@ -46,13 +46,21 @@ from ..plans.config import ensure_checkpoint_dir
 # so a worker needs pandas and pyarrow, not this package on its path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A group with more rows than this is split across tasks.
+# A group with more rows than this is split across tasks; a session can
+# override it with the setting below.
 HOT_ROWS = 200_000
+HOT_ROWS_CONF = "spark.roundbook.hotGroupRows"
 # Upper bound on the number of hot groups (the threshold grows with the data).
 MAX_HOT_GROUPS = 10_000
 
 
-def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
+def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
+    if hot_rows is not None:
+        return int(hot_rows)
+    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+
+
+def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int | None = None) -> list[tuple]:
     """Keys of the groups to split: more than ``hot_rows`` rows, at most the
     ``MAX_HOT_GROUPS`` largest.
 
@@ -62,6 +70,7 @@ def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int = HOT_ROW
     ``MAX_HOT_GROUPS + 1``-th largest group cannot exceed that share.
     """
     group_cols = list(group_cols)
+    hot_rows = _hot_rows(df, hot_rows)
     counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(MAX_HOT_GROUPS)
     return [tuple(r) for r in top.select(*group_cols).collect()]
@@ -110,7 +119,7 @@ def ordered_concat(
     sep: str,
     out_col: str,
     num_partitions: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
@@ -206,7 +215,7 @@ def group_positions(
     order_cols: Sequence[Column],
     out_col: str = "pos",
     num_partitions: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` plus ``out_col`` = 1-based position of each row within its group.
