@@ -155,3 +155,20 @@ def test_lookup_roundtrip(spark, tmpdir_path):
     text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
     assert text.splitlines()[0] == "Company,Column_2,Website"
     assert text.splitlines()[2] == "B,y,"
+
+
+def test_missing_collections(spark):
+    present = spark.createDataFrame([("organizations",), ("funding_rounds",), ("not_a_collection",)], "collection string")
+    missing = {r["collection"] for r in AR.missing_collections(spark, present).collect()}
+    assert len(missing) == len(COLLECTIONS) - 2
+    assert "organizations" not in missing and "investments" in missing
+
+
+def test_export_csv(spark, tmpdir_path):
+    from roundbook.sources.lookup import export_csv
+
+    df = spark.createDataFrame([("a", 1.5), ("b", None)], "name string, total double")
+    out = os.path.join(tmpdir_path, "exp")
+    export_csv(df, out)
+    back = spark.read.option("header", True).csv(out)
+    assert sorted((r["name"], r["total"]) for r in back.collect()) == [("a", "1.5"), ("b", None)]
