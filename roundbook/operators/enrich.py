@@ -27,7 +27,7 @@ from ..functions import text as TX
 from ..functions.urls import find_url_column, lookup_host
 from ..plans.config import ensure_checkpoint_dir
 from . import funding as FD
-from .match import GRAM, match_hosts
+from .match import GRAM, UrlIndex, match_hosts
 
 ROW_ID = "__row_id"
 INFO_COLS = ["Company Information", "Investment Rounds and Funding Information", "Total Funding to Date"]
@@ -39,10 +39,11 @@ def company_rows(orgs: DataFrame) -> DataFrame:
     return orgs.select("org_uuid", founded.alias("founded"), TX.company_info(founded=founded).alias("company_info"))
 
 
-def matched(lookup: DataFrame, orgs: DataFrame, url_col: str, k: int = GRAM, checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
+def matched(lookup: DataFrame, orgs: DataFrame, url_col: str, k: int = GRAM, checkpoint: bool = True,
+            index: UrlIndex | None = None) -> tuple[DataFrame, DataFrame]:
     """``(keyed lookup with _host, host→org matches)``; matches checkpointed."""
     keyed = lookup.withColumn("_host", lookup_host(url_col))
-    found = match_hosts(keyed.select(F.col("_host").alias("host")), orgs, k=k)
+    found = match_hosts(keyed.select(F.col("_host").alias("host")), orgs, k=k, index=index)
     if checkpoint:
         ensure_checkpoint_dir(lookup.sparkSession)
         found = found.checkpoint(eager=True)
@@ -59,16 +60,18 @@ def enrich(
     oldest_year: int | str | None = None,
     k: int = GRAM,
     checkpoint: bool = True,
+    index: UrlIndex | None = None,
 ) -> DataFrame:
     """The enriched table: input columns, three info columns, then one column
     per quarter, newest first (S12 layout). One output row per input row.
 
     ``url_col`` defaults to the header rule of :func:`find_url_column`.
     ``as_of`` ends every quarter series (the reference uses today's date).
+    ``index``: a URL index built from ``orgs`` (see ``build_url_index``).
     """
     in_cols = [c for c in lookup.columns if c != ROW_ID]
     url_col = url_col or in_cols[find_url_column(in_cols)]
-    keyed, found = matched(lookup, orgs, url_col, k, checkpoint)
+    keyed, found = matched(lookup, orgs, url_col, k, checkpoint, index)
 
     ids = found.select("org_uuid").distinct()
     m_orgs = orgs.join(ids, "org_uuid", "left_semi")

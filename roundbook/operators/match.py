@@ -25,7 +25,9 @@ AQE's skew-join split handles (enabled in :mod:`roundbook.plans.config`).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
@@ -51,12 +53,60 @@ def org_texts(orgs: DataFrame, uuid_col="org_uuid", url_cols=("website", "websit
     )
 
 
-def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str = "host") -> DataFrame:
+def _org_grams(texts: DataFrame, k: int) -> DataFrame:
+    return texts.select("org_uuid", "text", F.col("host").alias("text_host"),
+                        F.explode(_grams(F.col("text"), k)).alias("gram"))
+
+
+@dataclass(frozen=True)
+class UrlIndex:
+    """Org URL grams and gram frequencies, written once per org snapshot."""
+
+    grams_table: str
+    df_table: str
+    k: int
+
+    def grams(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.grams_table)
+
+    def df(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.df_table)
+
+
+def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64, k: int = GRAM) -> UrlIndex:
+    """Materialise ``(gram, org_uuid, text, text_host)`` and ``(gram, df)`` as
+    tables bucketed (and sorted) by gram at ``path``.
+
+    Matching many lookup lists against one org snapshot then reads the org
+    side already partitioned by gram: only the host side is shuffled, and
+    org URLs are not exploded again. Size the buckets like the shuffle
+    partitions the org grams would need (tens of MB to ~1 GB per bucket).
+    """
+    grams = _org_grams(org_texts(orgs), k)
+    (
+        grams.repartition(num_buckets, "gram").write.mode("overwrite").bucketBy(num_buckets, "gram")
+        .sortBy("gram").option("path", f"{path}/{name}_grams").saveAsTable(f"{name}_grams")
+    )
+    spark = orgs.sparkSession
+    df = spark.table(f"{name}_grams").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    (
+        df.write.mode("overwrite").bucketBy(num_buckets, "gram").sortBy("gram")
+        .option("path", f"{path}/{name}_df").saveAsTable(f"{name}_df")
+    )
+    return UrlIndex(f"{name}_grams", f"{name}_df", k)
+
+
+def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str = "host",
+                index: UrlIndex | None = None) -> DataFrame:
     """``(host, org_uuid, exact)`` — the chosen organization for each matched host.
 
     ``hosts`` holds normalised hosts (duplicates and NULL/empty allowed);
-    unmatched hosts are absent from the result.
+    unmatched hosts are absent from the result. With an ``index`` built from
+    the same ``orgs`` (see :func:`build_url_index`), the gram tier reads the
+    bucketed org grams and frequencies instead of recomputing them.
     """
+    if index is not None:
+        k = index.k
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull() & (F.col("host") != "")).distinct()
     texts = org_texts(orgs)
     # 0 when the URL normalises to exactly the host (preferred), else 1
@@ -65,12 +115,12 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     # 1. gram tier: hosts of length >= k, joined on their rarest gram
     long_h = h.where(F.length("host") >= k)
     host_grams = long_h.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
-    org_grams = (
-        texts.select("org_uuid", "text", F.col("host").alias("text_host"),
-                     F.explode(_grams(F.col("text"), k)).alias("gram"))
-        .join(host_grams.select("gram").distinct(), "gram", "left_semi")
-    )
-    df = org_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    if index is None:
+        org_grams = _org_grams(texts, k).join(host_grams.select("gram").distinct(), "gram", "left_semi")
+        df = org_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        spark = hosts.sparkSession
+        org_grams, df = index.grams(spark), index.df(spark)
     rarest = (
         host_grams.join(df, "gram", "left")
         .groupBy("host")

@@ -76,3 +76,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "o_orderdate" in pushed  # the date bound is pushed into the orders scan
     orders_schema = [s for s in read_schemas(df) if "o_orderkey" in s][0]
     assert "o_orderpriority" not in orders_schema  # unused columns are pruned
+
+
+def test_url_index_gives_same_matches_and_bucketed_scan(spark, tmpdir_path):
+    from roundbook.operators.match import build_url_index
+    from roundbook.plans.checks import plan_text
+
+    t = TV.load(spark, SF_SMALL)
+    hosts = t["page_lookup"].select(lookup_host("url").alias("host"))
+    idx = build_url_index(t["page_orgs"], "pages_test_idx", tmpdir_path, num_buckets=8)
+    plain = {(r["host"], r["org_uuid"], r["exact"]) for r in match_hosts(hosts, t["page_orgs"]).collect()}
+    indexed_df = match_hosts(hosts, t["page_orgs"], index=idx)
+    assert {(r["host"], r["org_uuid"], r["exact"]) for r in indexed_df.collect()} == plain
+    assert "Bucketed: true" in plan_text(indexed_df)
