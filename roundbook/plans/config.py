@@ -50,8 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder of the session.
 
     Uses the folder already set on the context, else ``spark.checkpoint.dir``
-    from the cluster configuration. Only when neither exists (local tests)
-    is a fresh temporary folder set.
+    from the cluster configuration. Only a ``local[...]`` session without
+    either (tests) gets a fresh temporary folder; on a cluster a missing
+    setting is an error, since a machine-local folder would not survive the
+    loss of that machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="roundbook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     return sc.getCheckpointDir()

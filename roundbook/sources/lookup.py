@@ -37,18 +37,16 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return body.toDF(*names, ROW_ID)
 
 
-def write_enriched(df: DataFrame, path: str, order_col: str = ROW_ID, single_file: bool = False) -> None:
+def write_enriched(df: DataFrame, path: str, order_col: str = ROW_ID) -> None:
     """Write the enriched table as CSV in input order; NULL is written as ``''``.
 
-    By default each range partition of the sort writes one ordered part
-    file (part names sort in row order). ``single_file`` funnels the rows
-    through one task into one file; use it only for small lists.
+    The global sort range-partitions the rows, and each partition writes one
+    ordered part file, so the part files read in name order give the input
+    order; no task ever holds the whole table.
     """
-    out = df.orderBy(order_col)
-    if single_file:
-        out = out.coalesce(1)
     (
-        out.drop(order_col)
+        df.orderBy(order_col)
+        .drop(order_col)
         .write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
