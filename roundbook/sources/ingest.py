@@ -147,3 +147,37 @@ def snapshot_date_of(manifest: DataFrame, as_of: dt.date) -> DataFrame:
     lm = F.col("lm")
     parsed = F.when(lm.isNotNull() & (F.lower(lm) != "unknown"), F.try_to_date(F.substring(lm, 1, 10), "yyyy-MM-dd"))
     return first.select(F.coalesce(parsed, F.lit(as_of)).alias("snapshot_date"))
+
+
+def import_export(
+    spark: SparkSession,
+    zip_folder: str,
+    csv_folder: str,
+    manifest_path: str | None,
+    warehouse: str,
+    as_of: dt.date,
+    mode: str = "ignore",
+) -> DataFrame:
+    """One import run: snapshot date, CSVs, tables (S2–S9, S14 composed).
+
+    The snapshot date comes from the manifest (``as_of`` when missing or
+    unusable). Extracted CSVs in ``csv_folder`` are used when present;
+    otherwise every archive is extracted there first. Each collection is then
+    written as that snapshot's partition. Returns ``(table, status, error,
+    rows, snapshot_date)``.
+    """
+    from .archives import extract_archives
+
+    if manifest_path:
+        date = snapshot_date_of(read_manifest(spark, manifest_path), as_of).first()["snapshot_date"]
+    else:
+        date = as_of
+    try:
+        found = {r["table"]: r["path"] for r in extracted_tables(spark, csv_folder).collect()}
+    except Exception:  # folder absent or empty
+        found = {}
+    if not found:
+        extract_archives(spark, zip_folder, csv_folder, date.isoformat()).collect()  # one row per archive
+        found = {r["table"]: r["path"] for r in extracted_tables(spark, csv_folder).collect()}
+    res = import_snapshot(spark, found, warehouse, date, mode)
+    return res.withColumn("snapshot_date", F.lit(date))

@@ -175,3 +175,14 @@ def test_export_csv(spark, tmpdir_path):
     export_csv(df, out)
     back = spark.read.option("header", True).csv(out)
     assert sorted((r["name"], r["total"]) for r in back.collect()) == [("a", "1.5"), ("b", None)]
+
+
+def test_import_export_end_to_end(spark, zips, tmpdir_path):
+    m = {"acquisitions": {"file": "a", "last_modified": "2024-06-30T08:00:00+00:00", "content_length": "", "downloaded_at": ""}}
+    man = _write(os.path.join(tmpdir_path, "manifest.json"), json.dumps(m))
+    wh = os.path.join(tmpdir_path, "wh")
+    res = IN.import_export(spark, zips, os.path.join(tmpdir_path, "csv"), man, wh, dt.date(2000, 1, 1))
+    got = {r["table"]: (r["status"], r["rows"], r["snapshot_date"]) for r in res.collect()}
+    assert got["organizations"] == ("ok", 2, dt.date(2024, 6, 30))
+    orgs = IN.latest_snapshot(IN.read_table(spark, wh, "organizations"))
+    assert sorted(r["org_uuid"] for r in orgs.collect()) == ["u1", "u2"]
