@@ -79,14 +79,16 @@ def enrich(
     m_inv = investments.join(m_rounds.select("round_uuid"), "round_uuid", "left_semi")
 
     axis = FD.quarter_axis(m_orgs, as_of, oldest_year)
+    # one aggregation of the matched rounds feeds both the total and the pivot
+    sums = FD.quarter_sums(m_rounds)
     per_org = (
         company_rows(m_orgs)
         .join(FD.funding_text(m_rounds, m_inv, inv_sizes=investments.select("round_uuid"), round_sizes=rounds),
               "org_uuid", "left")
-        .join(FD.total_funding(m_rounds), "org_uuid", "left")
+        .join(FD.totals_from_sums(sums), "org_uuid", "left")
     )
     if axis:
-        per_org = per_org.join(FD.quarterly_pivot(FD.quarterly_funding(m_rounds), axis), "org_uuid", "left")
+        per_org = per_org.join(FD.quarterly_pivot(sums.where(F.col("quarter").isNotNull()), axis), "org_uuid", "left")
     per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").drop("org_uuid")
 
     out = keyed.join(per_host, keyed["_host"] == per_host["host"], "left")

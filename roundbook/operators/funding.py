@@ -163,6 +163,24 @@ def quarterly_funding(rounds: DataFrame) -> DataFrame:
     )
 
 
+def quarter_sums(rounds: DataFrame) -> DataFrame:
+    """``(org_uuid, quarter, amount)`` over all non-zero amounts; rounds without
+    any date fall under a NULL quarter. One aggregation of the rounds from
+    which both the total (A1) and the quarterly sums (A2) follow."""
+    d = Q.effective_date("closed_on", "announced_on")
+    return (
+        rounds.where(TX.nonzero("amount_usd"))
+        .groupBy("org_uuid", Q.quarter_label(d).alias("quarter"))
+        .agg(F.sum("amount_usd").alias("amount"))
+    )
+
+
+def totals_from_sums(sums: DataFrame) -> DataFrame:
+    """``(org_uuid, total_funding)`` from :func:`quarter_sums` (NULL when 0)."""
+    s = F.sum("amount")
+    return sums.groupBy("org_uuid").agg(F.when(s != 0, s).alias("total_funding"))
+
+
 def quarter_series(orgs: DataFrame, as_of: dt.date) -> DataFrame:
     """``(org_uuid, quarter)``: each company's quarters from founding to ``as_of``."""
     start = Q.founded_or_default("founded_on")
