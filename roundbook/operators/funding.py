@@ -17,6 +17,7 @@ from ..functions import quarters as Q
 from ..functions import text as TX
 from .ordering import group_positions, ordered_concat
 
+
 def round_order() -> list:
     """Listing order of rounds (O1): newest announcement first, then newest
     close; ``round_uuid`` makes the order total."""
