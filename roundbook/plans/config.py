@@ -1,8 +1,9 @@
 """Session settings the operators are planned for.
 
 Only settings a user would set on any cluster: AQE (runtime coalescing,
-broadcast conversion from measured sizes, skew-join splitting), a UTC
-session clock, and a reliable checkpoint folder taken from the cluster.
+broadcast conversion from measured sizes, skew-join splitting) and a
+reliable checkpoint folder taken from the cluster. Results do not depend on
+the session time zone (dates come from time-zone-free timestamps).
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -40,6 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.session.timeZone", os.environ.get("ROUNDBOOK_TZ", "UTC"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
