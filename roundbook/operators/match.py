@@ -15,7 +15,8 @@ Plan, all equi-joins (no nested loop, no cross join):
    the preference is just a rank computed while verifying;
 2. *short tier* — hosts shorter than ``k``: org URLs are exploded into
    their substrings shorter than ``k`` and equi-joined on the host itself
-   (short hosts are a bounded set, broadcast; none → pruned at runtime).
+   (printable-ASCII short hosts are a bounded set, broadcast; none → pruned
+   at runtime; other short hosts join only non-ASCII substrings).
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
@@ -134,18 +135,29 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
         .select("host", "org_uuid", rank)
     )
 
-    # 2. short tier: hosts shorter than k. Strings of length < k over the URL
-    # alphabet are a finite set (about 66k for k = 4), so broadcasting them is
-    # bounded; with none, AQE turns the join into an empty relation before
-    # the substring side runs.
+    # 2. short tier: hosts shorter than k, joined on org substrings of the
+    # same lengths. Printable-ASCII short hosts number at most
+    # 94 + 94^2 + ... + 94^(k-1) (about 840k for k = 4): a proven bound, so
+    # they are broadcast, and with none AQE replaces the join by an empty
+    # relation before the substring side runs. Any other short host (raw
+    # Unicode) joins normally against non-ASCII substrings only.
+    printable = r"^[\x21-\x7e]+$"
     short_h = h.where(F.length("host") < k)
     subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in range(1, k)])))
+    org_subs = texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
     short = (
-        texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
-        .join(F.broadcast(short_h), "host")
+        org_subs.join(F.broadcast(short_h.where(F.col("host").rlike(printable))), "host")
         .select("host", "org_uuid", rank)
     )
-    candidates = candidates.unionByName(short)
+    # only URLs with a non-printable-ASCII character can hold such a substring
+    other = (
+        texts.where(~F.col("text").rlike(printable))
+        .select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
+        .where(~F.col("host").rlike(printable))
+        .join(short_h.where(~F.col("host").rlike(printable)), "host")
+        .select("host", "org_uuid", rank)
+    )
+    candidates = candidates.unionByName(short).unionByName(other)
 
     best = (
         candidates.groupBy("host")

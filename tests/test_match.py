@@ -89,3 +89,13 @@ def test_url_index_gives_same_matches_and_bucketed_scan(spark, tmpdir_path):
     indexed_df = match_hosts(hosts, t["page_orgs"], index=idx)
     assert {(r["host"], r["org_uuid"], r["exact"]) for r in indexed_df.collect()} == plain
     assert "Bucketed: true" in plan_text(indexed_df)
+
+
+def test_short_unicode_hosts(spark):
+    orgs = [("o1", "https://ü.de/", None), ("o2", "https://xü.de/a", None), ("o3", "https://ab.io", None)]
+    hosts = ["ü", "xü", "ab", "b.i", "ö"]
+    odf = spark.createDataFrame(orgs, "org_uuid string, website string, website_url string")
+    hdf = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {r["host"]: r["org_uuid"] for r in match_hosts(hdf, odf).collect()}
+    assert got == brute_force(hosts, orgs)
+    assert got["ü"] == "o1" and got["xü"] == "o2" and "ö" not in got
