@@ -41,3 +41,22 @@ def test_snapshot_stream(spark, tmpdir_path):
     assert t.count() == 2
     assert t.select(F.max("snapshot_date")).first()[0] == dt.date(2024, 5, 1)
     assert set(t.columns) >= {"round_uuid", "investor_name", "is_lead", "amount_usd", "snapshot_date"}
+
+
+def test_enrich_stream_restart_is_exactly_once(spark, golden, tmpdir_path):  # noqa: F811
+    orgs, rounds, inv, _ = golden
+    landing, out, ckpt = (os.path.join(tmpdir_path, d) for d in ("landing", "out", "ckpt"))
+    os.makedirs(landing)
+    schema = T.StructType([T.StructField("Name", T.StringType()), T.StructField("Website", T.StringType())])
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write("Name,Website\nA,alpha.com\n")
+
+    def run():
+        enrich_stream(spark, landing, schema, "Website", orgs, rounds, inv, AS_OF, out, ckpt).awaitTermination(300)
+        return sorted(r["Name"] for r in spark.read.parquet(f"{out}/rows").collect())
+
+    assert run() == ["A"]
+    assert run() == ["A"]  # restart: committed file not processed again
+    with open(os.path.join(landing, "b.csv"), "w") as f:
+        f.write("Name,Website\nB,gamma.dev\n")
+    assert run() == ["A", "B"]  # only the new file
