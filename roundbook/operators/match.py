@@ -8,7 +8,7 @@ matches, one whose URL normalises to exactly the host wins, then the lowest
 Plan, all equi-joins (no nested loop, no cross join):
 
 1. *gram tier* — hosts of length >= ``k``: every org URL is exploded into
-   its distinct ``k``-grams (kept only when some host has that gram); each
+   its ``k``-grams (kept only when some host has that gram); each
    host is joined on its rarest gram only, then verified with ``contains``.
    Lossless: a URL containing the host contains each of its grams. An exact
    match (URL normalises to the host) is one of these candidates too, so
@@ -55,8 +55,17 @@ def org_texts(orgs: DataFrame, uuid_col="org_uuid", url_cols=("website", "websit
 
 
 def _org_grams(texts: DataFrame, k: int) -> DataFrame:
-    return texts.select("org_uuid", "text", F.col("host").alias("text_host"),
-                        F.explode(_grams(F.col("text"), k)).alias("gram"))
+    """``(org_uuid, text, text_host, gram)`` for every ``k``-gram position of
+    every org URL. Positions are exploded and cut with ``substring`` in a
+    compiled projection (no per-element lambda); a gram repeated inside one
+    URL yields a repeated row, which only weighs its frequency and never
+    changes a match (the winner is a minimum)."""
+    pos = F.explode(F.sequence(F.lit(1), F.length("text") - k + 1)).alias("_p")
+    return (
+        texts.where(F.length("text") >= k)
+        .select("org_uuid", "text", F.col("host").alias("text_host"), pos)
+        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"))
+    )
 
 
 @dataclass(frozen=True)
