@@ -152,16 +152,24 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     # Unicode) joins normally against non-ASCII substrings only.
     printable = r"^[\x21-\x7e]+$"
     short_h = h.where(F.length("host") < k)
-    subs = F.array_distinct(F.flatten(F.array(*[_grams(F.col("text"), m) for m in range(1, k)])))
-    org_subs = texts.select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
+
+    def org_subs(t: DataFrame) -> DataFrame:
+        # every substring of length 1..k-1: from each position take lengths
+        # 1..k-1 (cut short at the end of the URL, still real substrings)
+        cuts = F.array(*[F.expr(f"substring(text, _p, {m})") for m in range(1, k)])
+        return (
+            t.select("org_uuid", "text", F.col("host").alias("text_host"),
+                     F.explode(F.sequence(F.lit(1), F.length("text"))).alias("_p"))
+            .select("org_uuid", "text_host", F.explode(cuts).alias("host"))
+        )
+
     short = (
-        org_subs.join(F.broadcast(short_h.where(F.col("host").rlike(printable))), "host")
+        org_subs(texts).join(F.broadcast(short_h.where(F.col("host").rlike(printable))), "host")
         .select("host", "org_uuid", rank)
     )
     # only URLs with a non-printable-ASCII character can hold such a substring
     other = (
-        texts.where(~F.col("text").rlike(printable))
-        .select("org_uuid", F.col("host").alias("text_host"), F.explode(subs).alias("host"))
+        org_subs(texts.where(~F.col("text").rlike(printable)))
         .where(~F.col("host").rlike(printable))
         .join(short_h.where(~F.col("host").rlike(printable)), "host")
         .select("host", "org_uuid", rank)
