@@ -20,8 +20,11 @@ Plan, all equi-joins (no nested loop, no cross join):
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
-window over one task. A very common rarest gram is a skewed join key, which
-AQE's skew-join split handles (enabled in :mod:`roundbook.plans.config`).
+window over one task. Known limit: a host whose every gram is common has a
+hot rarest gram, and its candidate rows meet in one join task. AQE's
+skew-join split does not apply here in a local probe, because the candidate
+join reuses the semi-join's partitioning. Explicit salting of hot grams is the
+planned fix.
 """
 
 from __future__ import annotations
