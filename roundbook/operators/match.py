@@ -20,11 +20,11 @@ Plan, all equi-joins (no nested loop, no cross join):
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
-window over one task. Known limit: a host whose every gram is common has a
-hot rarest gram, and its candidate rows meet in one join task. AQE's
-skew-join split does not apply here in a local probe, because the candidate
-join reuses the semi-join's partitioning. Explicit salting of hot grams is the
-planned fix.
+window over one task. A host whose every gram is common has a hot rarest
+gram: org gram rows carry ``salt = xxhash64(org_uuid) mod S`` and the host
+side is replicated S times (``spark.roundbook.gramSalts``, default 16), so
+the semi-join and the candidate join on ``(gram, salt)`` spread a hot gram
+over S tasks. The replicated side is the host side, which is the small one.
 """
 
 from __future__ import annotations
@@ -37,6 +37,19 @@ from pyspark.sql import functions as F
 from ..functions.urls import normalize_url
 
 GRAM = 4
+# Org gram rows are spread over this many salts so that a hot gram (one
+# shared by a large share of all URLs) is joined by many tasks.
+SALTS = 16
+SALTS_CONF = "spark.roundbook.gramSalts"
+
+
+def _salts(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get(SALTS_CONF, str(SALTS))))
+
+
+def _replicate(salts: int):
+    """Explode a row once per salt value ``0..salts-1``."""
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
 
 
 def _grams(text, k: int):
@@ -57,8 +70,8 @@ def org_texts(orgs: DataFrame, uuid_col="org_uuid", url_cols=("website", "websit
     )
 
 
-def _org_grams(texts: DataFrame, k: int) -> DataFrame:
-    """``(org_uuid, text, text_host, gram)`` for every ``k``-gram position of
+def _org_grams(texts: DataFrame, k: int, salts: int) -> DataFrame:
+    """``(org_uuid, text, text_host, gram, salt)`` for every ``k``-gram position of
     every org URL. Positions are exploded and cut with ``substring`` in a
     compiled projection (no per-element lambda); a gram repeated inside one
     URL yields a repeated row, which only weighs its frequency and never
@@ -67,7 +80,8 @@ def _org_grams(texts: DataFrame, k: int) -> DataFrame:
     return (
         texts.where(F.length("text") >= k)
         .select("org_uuid", "text", F.col("host").alias("text_host"), pos)
-        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"))
+        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"),
+                F.pmod(F.xxhash64("org_uuid"), F.lit(salts)).cast("int").alias("salt"))
     )
 
 
@@ -78,6 +92,7 @@ class UrlIndex:
     grams_table: str
     df_table: str
     k: int
+    salts: int
 
     def grams(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.grams_table)
@@ -86,27 +101,29 @@ class UrlIndex:
         return spark.table(self.df_table)
 
 
-def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64, k: int = GRAM) -> UrlIndex:
-    """Materialise ``(gram, org_uuid, text, text_host)`` and ``(gram, df)`` as
-    tables bucketed (and sorted) by gram at ``path``.
+def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64, k: int = GRAM,
+                    salts: int | None = None) -> UrlIndex:
+    """Materialise ``(gram, salt, org_uuid, text, text_host)`` bucketed by
+    ``(gram, salt)`` and ``(gram, df)`` bucketed by gram, at ``path``.
 
     Matching many lookup lists against one org snapshot then reads the org
     side already partitioned by gram: only the host side is shuffled, and
     org URLs are not exploded again. Size the buckets like the shuffle
     partitions the org grams would need (tens of MB to ~1 GB per bucket).
     """
-    grams = _org_grams(org_texts(orgs), k)
+    spark = orgs.sparkSession
+    salts = salts or _salts(spark)
+    grams = _org_grams(org_texts(orgs), k, salts)
     (
-        grams.repartition(num_buckets, "gram").write.mode("overwrite").bucketBy(num_buckets, "gram")
-        .sortBy("gram").option("path", f"{path}/{name}_grams").saveAsTable(f"{name}_grams")
+        grams.repartition(num_buckets, "gram", "salt").write.mode("overwrite").bucketBy(num_buckets, "gram", "salt")
+        .sortBy("gram", "salt").option("path", f"{path}/{name}_grams").saveAsTable(f"{name}_grams")
     )
-    spark = orgs.sparkSession
     df = spark.table(f"{name}_grams").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     (
         df.write.mode("overwrite").bucketBy(num_buckets, "gram").sortBy("gram")
         .option("path", f"{path}/{name}_df").saveAsTable(f"{name}_df")
     )
-    return UrlIndex(f"{name}_grams", f"{name}_df", k)
+    return UrlIndex(f"{name}_grams", f"{name}_df", k, salts)
 
 
 def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str = "host",
@@ -118,6 +135,8 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     the same ``orgs`` (see :func:`build_url_index`), the gram tier reads the
     bucketed org grams and frequencies instead of recomputing them.
     """
+    spark = hosts.sparkSession
+    salts = index.salts if index is not None else _salts(spark)
     if index is not None:
         k = index.k
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull() & (F.col("host") != "")).distinct()
@@ -125,14 +144,17 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     # 0 when the URL normalises to exactly the host (preferred), else 1
     rank = F.when(F.col("text_host") == F.col("host"), 0).otherwise(1).alias("rank")
 
-    # 1. gram tier: hosts of length >= k, joined on their rarest gram
+    # 1. gram tier: hosts of length >= k, joined on their rarest gram. Org
+    # gram rows carry a salt; the host side is replicated once per salt, so
+    # joins on (gram, salt) spread a hot gram over `salts` tasks while every
+    # (host, org) pair still meets exactly once.
     long_h = h.where(F.length("host") >= k)
     host_grams = long_h.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
     if index is None:
-        org_grams = _org_grams(texts, k).join(host_grams.select("gram").distinct(), "gram", "left_semi")
+        wanted = host_grams.select("gram").distinct().select("gram", _replicate(salts))
+        org_grams = _org_grams(texts, k, salts).join(wanted, ["gram", "salt"], "left_semi")
         df = org_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     else:
-        spark = hosts.sparkSession
         org_grams, df = index.grams(spark), index.df(spark)
     rarest = (
         host_grams.join(df, "gram", "left")
@@ -142,7 +164,8 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
         .select("host", F.col("r.gram").alias("gram"))
     )
     candidates = (
-        rarest.join(org_grams, "gram")
+        rarest.select("host", "gram", _replicate(salts))
+        .join(org_grams, ["gram", "salt"])
         .where(F.contains(F.col("text"), F.col("host")))
         .select("host", "org_uuid", rank)
     )

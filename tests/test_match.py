@@ -99,3 +99,32 @@ def test_short_unicode_hosts(spark):
     got = {r["host"]: r["org_uuid"] for r in match_hosts(hdf, odf).collect()}
     assert got == brute_force(hosts, orgs)
     assert got["ü"] == "o1" and got["xü"] == "o2" and "ö" not in got
+
+
+def test_hot_gram_is_salted(spark):
+    """A host whose every gram is common: its candidate join runs on (gram, salt)."""
+    from roundbook.operators.match import _org_grams, org_texts
+    from roundbook.plans.checks import plan_text
+
+    orgs = spark.range(3000).selectExpr(
+        "concat('o', id) org_uuid", "concat('https://shop', id % 50, '.hotbrand.com/p', id) website",
+        "cast(null as string) website_url")
+    hosts = spark.createDataFrame([("hotbrand.com",), ("shop7.hotbrand.com",)], "host string")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        df = match_hosts(hosts, orgs)
+        got = {r["host"]: r["org_uuid"] for r in df.collect()}
+        plan = plan_text(df)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    rows = [tuple(r) for r in orgs.collect()]
+    assert got == brute_force(["hotbrand.com", "shop7.hotbrand.com"], rows)
+    import re
+
+    assert re.search(r"hashpartitioning\(gram#\d+, salt#\d+", plan)  # joins keyed by (gram, salt)
+    salts = _org_grams(org_texts(orgs), 4, 16).where("gram = 'hotb'").select("salt").distinct().count()
+    assert salts > 8  # the hot gram's rows are spread over many salts
