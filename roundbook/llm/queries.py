@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, packing, tokens
+from . import encoding, packing, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.encode_pieces(table(spark, sf_dir, "documents"), encoding.default_tokenizer(), end_id=0)
     packed = packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicate components of all documents."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
