@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import encoding, packing, pii, simhash, tokens, toxicity
+from . import encoding, packing, pii, quality, simhash, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("_score").alias("score"), F.col("_toxic").alias("predicted"))
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("_score").alias("score"), F.col("_good").alias("predicted"))
