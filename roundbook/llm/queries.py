@@ -45,10 +45,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents: counts and digests of the spans."""
     found = pii.report(table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
     joined = lambda a: F.array_join(F.transform(a, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(of(*pii.BASE)), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
 @query
