@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,9 +109,9 @@ def model(counts: DataFrame) -> DataFrame:
     shared = counts.filter("kind = -1").groupBy(F.expr(f"substring(gram, 2, {SHARED})").alias("gram")).agg(F.count("*").alias("n"))
     context = F.substring("gram", 1, SHARED - 1)
     totals = shared.groupBy(context.alias("h")).agg(F.sum("n").alias("t"), F.count("*").alias("kinds"))
-    letters = shared.agg(F.countDistinct(F.substring("gram", SHARED, 1)).alias("letters"))
-    lower = shared.withColumn("h", context).join(totals, "h").join(F.broadcast(letters))
-    p = (F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") / F.col("letters")) / F.col("t")
+    letters = max(1, shared.agg(F.countDistinct(F.substring("gram", SHARED, 1))).first()[0])
+    lower = shared.withColumn("h", context).join(totals, "h")
+    p = (F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") / letters) / F.col("t")
     lower = lower.select("gram", p.alias("p1"), p.alias("p0"))
     grams = {TOP: counts.filter("kind >= 0").groupBy("gram").agg(*(F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (1, 0)))}
     for order in range(TOP - 1, SHARED, -1):
@@ -131,6 +132,21 @@ def model(counts: DataFrame) -> DataFrame:
     return found
 
 
+def keyed(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """A model as numbers alone: per order, keys of the grams and their ratios.
+    Its size is bounded by the sample of labelled rows."""
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for order, own in pdf.groupby("order"):
+                n = abs(order) - (order < 0)
+                keys = _keys(_codes("".join(own["gram"])), np.arange(1, len(own) + 1) * n - 1, n)
+                yield pd.DataFrame({"order": own["order"], "key": keys.view(np.int64), "ratio": own["ratio"].astype(np.float32)})
+
+    table = rows.mapInPandas(number, "order int, key long, ratio float").toPandas()
+    return {int(o): (g["key"].to_numpy().view(np.uint64), g["ratio"].to_numpy()) for o, g in table.groupby("order")}
+
+
 class Table:
     """Keys to values, by open addressing in numpy arrays."""
 
@@ -163,13 +179,9 @@ class Table:
 class Ratios(dict):
     """Word to its log-likelihood ratio; knows the words met so far."""
 
-    def __init__(self, rows: dict[int, tuple[list[str], np.ndarray]]):
+    def __init__(self, rows: dict[int, tuple[np.ndarray, np.ndarray]]):
         super().__init__()
-        self.tables = {}
-        for order, (grams, values) in rows.items():
-            n = abs(order) - (order < 0)
-            keys = _keys(_codes("".join(grams)), np.arange(1, len(grams) + 1) * n - 1, n) if grams else np.empty(0, np.uint64)
-            self.tables[order] = Table(keys, values)
+        self.tables = {order: Table(*own) for order, own in rows.items()}
 
     def learn(self, words: set[str]) -> None:
         if len(self) + len(words) > KEPT_WORDS:
@@ -236,8 +248,8 @@ def held_out(doc_id: Column, of: int, rest: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of == rest, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[dict, np.ndarray]:
-    """The models' ratios and the curve, from ``docs`` (doc_id, text) and
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[Broadcast, np.ndarray]:
+    """The models' ratios (broadcast) and the curve, from ``docs`` (doc_id, text) and
     ``labels`` (doc_id, toxic). Labels of held-out ids (remainder 2) are not
     read; ids with remainder 3 fit the curve, the others the class counts."""
     spark = docs.sparkSession
@@ -245,9 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[d
     known = written(_sample(labels.select("doc_id", "toxic").filter(fold != 2), "toxic", most), "labels")
     rows = docs.select("doc_id", "text")
     counted = rows.join(F.broadcast(known.filter(fold != 3)), "doc_id", "left").select("text", F.coalesce("cls", F.lit(-1)).alias("cls"))
-    table = model(written(gram_counts(counted), "grams")).toPandas()
-    ratios = {int(o): (g["gram"].tolist(), g["ratio"].to_numpy()) for o, g in table.groupby("order")}
-    sent = spark.sparkContext.broadcast(ratios)
+    sent = spark.sparkContext.broadcast(keyed(model(written(gram_counts(counted), "grams"))))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Ratios(sent.value)
@@ -257,8 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[d
     seen = rows.join(F.broadcast(known.filter(fold == 3)), "doc_id").select("text", "cls").mapInPandas(features, "x array<double>, cls int").toPandas()
     x, y = np.array(seen["x"].tolist(), float).reshape(-1, FEATURES), seen["cls"].to_numpy(float)
     if not 0 < y.sum() < len(y):  # nothing to tell the classes apart
-        return ratios, np.concatenate([np.zeros(FEATURES), np.ones(FEATURES), [-5.0, 5.0], np.zeros(FEATURES - 1)])
-    return ratios, _logistic(x, y)
+        return sent, np.concatenate([np.zeros(FEATURES), np.ones(FEATURES), [-5.0, 5.0], np.zeros(FEATURES - 1)])
+    return sent, _logistic(x, y)
 
 
 _loaded: dict[str, Ratios] = {}
@@ -273,14 +283,13 @@ def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     is none). Other columns pass through.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ratios, fitted = fit(rows, labels, most)
-    sent, name = docs.sparkSession.sparkContext.broadcast((ratios, fitted)), uuid.uuid4().hex
+    sent, fitted = fit(rows, labels, most)
+    name = uuid.uuid4().hex
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ratios, fitted = sent.value
         if name not in _loaded:
             _loaded.clear()
-            _loaded[name] = Ratios(ratios)
+            _loaded[name] = Ratios(sent.value)
         for texts in batches:
             yield pd.Series(probability(_loaded[name].features(texts.tolist()), fitted))
 
