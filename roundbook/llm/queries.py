@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, encoding, html_text, packing, pii, quality, simhash, tokens, toxicity
+from . import decontam, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", items, "contaminated")
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated 35-word windows from all documents."""
+    done = substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
