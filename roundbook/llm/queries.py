@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
+from . import ann, decontam, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of repeated 35-word windows from all documents."""
     done = substring.remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of all embeddings, for every id divisible by 100."""
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
