@@ -140,3 +140,12 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     out = both.select("f.doc_id", "f.copies", "f.n_words", "f.n_hit", F.coalesce("i.item_ids", F.expr("cast(array() as array<string>)")).alias("item_ids"), F.array_sort("f.spans").alias("spans"))
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids", (F.col("n_hit") > 0).alias("contaminated"), "spans")
+
+
+def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows that hold a window of an item; columns stay as
+    they are. Rows are told apart by id and text, so repeated rows share a fate."""
+    keyed = docs.withColumn("_text", F.xxhash64(F.col(text)))
+    found = contamination(keyed.select(F.struct(F.col(doc_id), F.col("_text")).alias("key"), F.col(text).alias("text")), items, doc_id="key")
+    hit = found.filter("contaminated").select(F.col(f"doc_id.{doc_id}").alias("_id"), F.col("doc_id._text").alias("_hash")).distinct()
+    return keyed.join(hit, keyed[doc_id].eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").select(*docs.columns)

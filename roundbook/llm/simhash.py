@@ -144,6 +144,16 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int | None = None, tile:
     return pairs.select("t", "t2", F.expr("c = c2 AND s = s2")).mapInPandas(compare, "u long, v long")
 
 
+def _component_ids(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of every distinct fingerprint in ``rows`` (doc_id, fp)."""
+    least = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(links(least.select("fp"), radius))
+    named = least.join(roots, F.col("fp") == F.col("u"), "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
+    named = written(named, "roots")
+    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return named.join(ids, "root").select("fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) for every row: the smallest doc_id reachable
     over links of at most ``radius`` differing bits, its own included.
@@ -155,9 +165,24 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     not read.
     """
     rows = written(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle), "fingerprints")
-    least = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(least.select("fp"), radius))
-    named = least.join(roots, F.col("fp") == F.col("u"), "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
-    named = written(named, "roots")
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(_component_ids(rows, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id's (a null
+    id only where the component has no other), and of rows that repeat the id
+    the one with the smallest text hash and place. Columns stay as they are."""
+
+    def make(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
+
+    # Written once, so that a row's number is the same wherever it is read.
+    rows = written(docs.select("*", F.pandas_udf(make, "long")(F.col(text)).alias("_fp"), F.monotonically_increasing_id().alias("_row")), "fingerprinted")
+    keys = rows.select(F.col("_fp").alias("fp"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col("_row").alias("row"))
+    named = keys.join(_component_ids(keys.select("doc_id", "fp"), radius), "fp")
+    # Components without any id are told apart by their fingerprints' smallest row.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")).alias("first")
+    with_id = named.filter("component_id IS NOT NULL").groupBy("component_id").agg(first)
+    without = named.filter("component_id IS NULL").groupBy("fp").agg(first)
+    kept = with_id.select("first.row").unionByName(without.select("first.row")).select(F.col("row").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
