@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 def _class_of(fp, parts: int):
     """The parts' population counts as the base-128 digits of a long."""
     bits = 64 // parts
-    digits = [F.bit_count(F.shiftrightunsigned(fp, bits * i).bitwiseAND(F.lit((1 << bits) - 1) if bits < 64 else F.lit(-1))) * F.lit(128**i) for i in range(parts)]
+    digits = [F.bit_count(F.shiftrightunsigned(fp, bits * i).bitwiseAND(F.lit((1 << bits) - 1) if bits < 64 else F.lit(-1))) * F.lit(128**i).cast("long") for i in range(parts)]
     return sum(digits[1:], digits[0]).cast("long")
 
 
