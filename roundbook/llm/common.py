@@ -5,6 +5,9 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 
 from roundbook.plans.config import ensure_checkpoint_dir
@@ -33,6 +36,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def uri(path: str) -> str:
+    """``file:/x`` as Hadoop writes it, as the ``file:///x`` that Arrow reads."""
+    return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a URI (or a plain local path), and the path in it."""
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def read_parquet(folder: str, columns: list[str]) -> pa.Table:
+    """The Parquet files of a folder, read by a task itself; none, no rows."""
+    fs, path = file_system(folder)
+    files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet"))
+    tables = [pq.ParquetFile(fs.open_input_file(f)).read(columns) for f in files]
+    return pa.concat_tables(tables) if tables else pa.table({c: [] for c in columns})
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

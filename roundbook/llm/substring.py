@@ -17,12 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, shared_path, written
-from .tokens import _fs, _uri
+from .common import mix64, read_parquet, shared_path, uri, written
 
 WINDOW = 35
 #: Bytes of text per bucket, and windows a task holds before it sends them.
@@ -160,7 +158,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     found = _sent(copy, buckets, window).groupBy("bucket").applyInPandas(_repeated, "part int, hashes binary")
     answers = shared_path(spark, "repeats")
     found.repartition("part").write.partitionBy("part").parquet(answers)
-    folder = _uri(answers)
+    folder = uri(answers)
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, known = None, np.empty(0, np.uint64)
@@ -185,13 +183,5 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
 def _answers(folder: str, part: int) -> np.ndarray:
     """Sorted repeated hashes of a part; none where no file was written for it."""
-    fs, path = _fs(f"{folder}/part={part}")
-    files = [f.path for f in fs.get_file_info(_selector(path)) if f.path.endswith(".parquet")]
-    parts = [np.frombuffer(h.as_py(), np.uint64) for f in files for h in pq.ParquetFile(fs.open_input_file(f)).read(["hashes"])["hashes"]]
+    parts = [np.frombuffer(h.as_py(), np.uint64) for h in read_parquet(f"{folder}/part={part}", ["hashes"])["hashes"]]
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
-
-
-def _selector(path: str):
-    from pyarrow.fs import FileSelector
-
-    return FileSelector(path, allow_not_found=True)

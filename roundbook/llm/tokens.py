@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_path
+from .common import file_system, shared_path, uri
 from .encoding import Encoder, id_type
 
 SEQUENCE_LENGTH = 2048
@@ -37,20 +37,11 @@ MANIFEST = "part int, tokens_uri string, docs_uri string, n_docs long, n_tokens
 DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pafs.LocalFileSystem(), uri)
-
-
-def _uri(path: str) -> str:
-    """``file:/x`` as Hadoop writes it, as the ``file:///x`` that Arrow reads."""
-    return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-
-
 class ShardWriter:
     """Writes one shard; holds at most one batch of sequences in memory."""
 
     def __init__(self, folder: str, length: int, dtype: np.dtype):
-        fs, path = _fs(folder)
+        fs, path = file_system(folder)
         fs.create_dir(path, recursive=True)
         name = uuid.uuid4().hex
         self.length, self.dtype = length, dtype
@@ -105,9 +96,9 @@ class ShardWriter:
             s.close()
 
 
-def open_file(uri: str) -> pa.ipc.RecordBatchFileReader:
+def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
     """The file for random access: a memory map where the path is local."""
-    fs, path = _fs(uri)
+    fs, path = file_system(path)
     return pa.ipc.open_file(pa.memory_map(path) if isinstance(fs, pafs.LocalFileSystem) else fs.open_input_file(path))
 
 
@@ -131,7 +122,7 @@ def write_tokens(
     input gives an empty manifest. Columns other than the two named are ignored.
     """
     spark = docs.sparkSession
-    out = _uri(folder or shared_path(spark, "tokens"))
+    out = uri(folder or shared_path(spark, "tokens"))
     dtype = id_type(tokenizer, end_id)
 
     def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,17 +20,15 @@ models. The shared counts cover every document, so they grow with the corpus.
 from __future__ import annotations
 
 import re
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, written
+from .common import mix64, read_parquet, shared_path, uri, written
 
 TOP, SHARED, DISCOUNT = 6, 3, 0.75
 MAX_LABELLED = 200_000
@@ -132,9 +130,10 @@ def model(counts: DataFrame) -> DataFrame:
     return found
 
 
-def keyed(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """A model as numbers alone: per order, keys of the grams and their ratios.
-    Its size is bounded by the sample of labelled rows."""
+def keyed(rows: DataFrame) -> str:
+    """A model as numbers alone (order, key of the gram, ratio), written in the
+    shared folder, where every Python worker reads it. Its size is bounded by
+    the sample of labelled rows."""
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -143,8 +142,9 @@ def keyed(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
                 keys = _keys(_codes("".join(own["gram"])), np.arange(1, len(own) + 1) * n - 1, n)
                 yield pd.DataFrame({"order": own["order"], "key": keys.view(np.int64), "ratio": own["ratio"].astype(np.float32)})
 
-    table = rows.mapInPandas(number, "order int, key long, ratio float").toPandas()
-    return {int(o): (g["key"].to_numpy().view(np.uint64), g["ratio"].to_numpy()) for o, g in table.groupby("order")}
+    path = shared_path(rows.sparkSession, "ratios")
+    rows.mapInPandas(number, "order int, key long, ratio float").write.parquet(path)
+    return uri(path)
 
 
 class Table:
@@ -179,9 +179,21 @@ class Table:
 class Ratios(dict):
     """Word to its log-likelihood ratio; knows the words met so far."""
 
-    def __init__(self, rows: dict[int, tuple[np.ndarray, np.ndarray]]):
+    _made: dict[str, Ratios] = {}
+
+    def __init__(self, folder: str):
         super().__init__()
-        self.tables = {order: Table(*own) for order, own in rows.items()}
+        rows = read_parquet(folder, ["order", "key", "ratio"])
+        order, keys, ratios = (rows[c].to_numpy() for c in ("order", "key", "ratio"))
+        self.tables = {int(o): Table(keys[order == o].view(np.uint64), ratios[order == o]) for o in np.unique(order)}
+
+    @classmethod
+    def shared(cls, folder: str) -> Ratios:
+        """The model of the folder, read once by each Python worker."""
+        if folder not in cls._made:
+            cls._made.clear()
+            cls._made[folder] = cls(folder)
+        return cls._made[folder]
 
     def learn(self, words: set[str]) -> None:
         if len(self) + len(words) > KEPT_WORDS:
@@ -248,30 +260,27 @@ def held_out(doc_id: Column, of: int, rest: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of == rest, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[Broadcast, np.ndarray]:
-    """The models' ratios (broadcast) and the curve, from ``docs`` (doc_id, text) and
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[str, np.ndarray]:
+    """The folder of the models' ratios and the curve, from ``docs`` (doc_id, text) and
     ``labels`` (doc_id, toxic). Labels of held-out ids (remainder 2) are not
     read; ids with remainder 3 fit the curve, the others the class counts."""
-    spark = docs.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
     known = written(_sample(labels.select("doc_id", "toxic").filter(fold != 2), "toxic", most), "labels")
     rows = docs.select("doc_id", "text")
     counted = rows.join(F.broadcast(known.filter(fold != 3)), "doc_id", "left").select("text", F.coalesce("cls", F.lit(-1)).alias("cls"))
-    sent = spark.sparkContext.broadcast(keyed(model(written(gram_counts(counted), "grams"))))
+    folder = keyed(model(written(gram_counts(counted), "grams")))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Ratios(sent.value)
         for pdf in batches:
-            yield pd.DataFrame({"x": list(own.features(pdf["text"].tolist())), "cls": pdf["cls"]})
+            x = Ratios.shared(folder).features(pdf["text"].tolist())
+            yield pd.DataFrame({f"x{i}": x[:, i] for i in range(FEATURES)} | {"y": pdf["cls"].astype(float)})
 
-    seen = rows.join(F.broadcast(known.filter(fold == 3)), "doc_id").select("text", "cls").mapInPandas(features, "x array<double>, cls int").toPandas()
-    x, y = np.array(seen["x"].tolist(), float).reshape(-1, FEATURES), seen["cls"].to_numpy(float)
+    schema = ", ".join([*(f"x{i} double" for i in range(FEATURES)), "y double"])
+    seen = rows.join(F.broadcast(known.filter(fold == 3)), "doc_id").select("text", "cls").mapInPandas(features, schema).toPandas().to_numpy()
+    x, y = seen[:, :FEATURES], seen[:, FEATURES]
     if not 0 < y.sum() < len(y):  # nothing to tell the classes apart
-        return sent, np.concatenate([np.zeros(FEATURES), np.ones(FEATURES), [-5.0, 5.0], np.zeros(FEATURES - 1)])
-    return sent, _logistic(x, y)
-
-
-_loaded: dict[str, Ratios] = {}
+        return folder, np.concatenate([np.zeros(FEATURES), np.ones(FEATURES), [-5.0, 5.0], np.zeros(FEATURES - 1)])
+    return folder, _logistic(x, y)
 
 
 def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3, most: int = MAX_LABELLED) -> DataFrame:
@@ -283,15 +292,11 @@ def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     is none). Other columns pass through.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sent, fitted = fit(rows, labels, most)
-    name = uuid.uuid4().hex
+    folder, fitted = fit(rows, labels, most)
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _loaded:
-            _loaded.clear()
-            _loaded[name] = Ratios(sent.value)
         for texts in batches:
-            yield pd.Series(probability(_loaded[name].features(texts.tolist()), fitted))
+            yield pd.Series(probability(Ratios.shared(folder).features(texts.tolist()), fitted))
 
     of.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     scored = docs.withColumn("_score", F.pandas_udf(of, "double")(F.col(text)))
