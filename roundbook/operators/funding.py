@@ -69,50 +69,41 @@ def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFram
     raise ValueError(f"by must be 'uuid' or 'name', not {by!r}")
 
 
-def rounds_listing(rounds: DataFrame, num_partitions: int | None = None,
-                   sizes_from: DataFrame | None = None) -> DataFrame:
-    """Rounds with ``pos``: 1-based place in the company's listing (O1).
+def listing_bucket() -> "F.Column":
+    """A coarse prefix of the listing order: the days, then the start of the id.
+    Splits a company's rounds, even those of a single day, over many tasks."""
+    key = listing_key()
+    return F.struct(*(key.getField(f).alias(f) for f in ("a_null", "a", "c_null", "c")), F.substring("round_uuid", 1, 2).alias("u"))
 
-    ``sizes_from``: a cheaper table with the same rounds per company (e.g.
-    all rounds, when ``rounds`` is a matched subset) to count hot companies on.
-    """
-    return group_positions(rounds, ["org_uuid"], round_order(), "pos", num_partitions, sizes_from=sizes_from)
 
+def rounds_listing(rounds: DataFrame) -> DataFrame:
+    """Rounds with ``pos``: 1-based place in the company's listing (O1)."""
+    return group_positions(rounds, ["org_uuid"], round_order(), listing_bucket(), "pos")
 
-def investor_text(investments: DataFrame, num_partitions: int | None = None,
-                  sizes_from: DataFrame | None = None) -> DataFrame:
-    """``(round_uuid, investors)``: ``Name (Lead) ($n), …`` per round.
 
-    ``sizes_from``: a cheaper table whose investments per round bound these
-    (e.g. all investments when ``investments`` is a matched subset)."""
+def investor_text(investments: DataFrame) -> DataFrame:
+    """``(round_uuid, investors)``: ``Name (Lead) ($n), …`` per round."""
     inv = investments.select(
         "round_uuid", "is_lead", "investor_name", "amount_usd", TX.investor_entry().alias("entry")
     )
-    return ordered_concat(inv, ["round_uuid"], investor_key(), "entry", ", ", "investors", num_partitions,
-                          sizes_from=sizes_from)
+    key = investor_key()
+    bucket = F.struct(key.getField("lead").alias("lead"), key.getField("n_null").alias("n_null"), F.substring("investor_name", 1, 1).alias("name"))
+    return ordered_concat(inv, ["round_uuid"], key, "entry", ", ", "investors", bucket)
 
 
-def round_texts(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None,
-                inv_sizes: DataFrame | None = None) -> DataFrame:
+def round_texts(rounds: DataFrame, investments: DataFrame) -> DataFrame:
     """Rounds left-joined with their investor text, plus ``round_text``."""
-    inv = investor_text(investments, num_partitions, inv_sizes)
-    return rounds.join(inv, "round_uuid", "left").withColumn("round_text", TX.round_entry())
-
+    return rounds.join(investor_text(investments), "round_uuid", "left").withColumn("round_text", TX.round_entry())
 
-def funding_text(rounds: DataFrame, investments: DataFrame, num_partitions: int | None = None,
-                 inv_sizes: DataFrame | None = None, round_sizes: DataFrame | None = None) -> DataFrame:
-    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10).
 
-    ``inv_sizes`` / ``round_sizes``: cheaper tables to count hot rounds /
-    companies on (defaults: ``investments`` / ``rounds``)."""
-    rt = round_texts(rounds, investments, num_partitions, inv_sizes).select(
+def funding_text(rounds: DataFrame, investments: DataFrame) -> DataFrame:
+    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10)."""
+    rt = round_texts(rounds, investments).select(
         "org_uuid", "announced_on", "closed_on", "round_uuid", "round_text"
     )
-    # group sizes are rounds per company: count them on the rounds, not on
-    # the texts (which would recompute the investor roll-up)
-    return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", num_partitions,
-                          sizes_from=(round_sizes if round_sizes is not None else rounds).select("org_uuid")
-                          .where(F.col("org_uuid").isNotNull()))
+    key = listing_key()
+    bucket = F.struct(key.getField("a_null").alias("a_null"), F.floor(key.getField("a") / 365).alias("a"))
+    return ordered_concat(rt, ["org_uuid"], key, "round_text", " | ", "funding_info", bucket)
 
 
 def total_funding(rounds: DataFrame) -> DataFrame:

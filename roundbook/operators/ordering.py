@@ -1,235 +1,72 @@
-"""Ordered per-group operators that stay safe when one group is huge.
+"""Ordered per-group operators with one plan for groups of every size.
 
-``collect_list`` over a group, or a window partitioned by the group, puts the
-whole group into one task. That is fine for ordinary groups and wrong for a
-group holding a third of all rows. Both operators here therefore split the
-groups by size first:
+A window partitioned by the group, or one ``collect_list`` over it, sorts the
+whole group in one task: fine for ordinary groups, wrong for a group that
+holds a third of all rows. Both operators here first deal the rows by (group,
+bucket), where the bucket is a coarse prefix of the sort key given by the
+caller. Order within buckets and the order of the buckets together are the
+wanted order, so:
 
-* **hot groups** — more than ``hot_rows`` rows, at most the
-  ``MAX_HOT_GROUPS`` largest (a bounded top-k over per-group counts, which
-  are a partial aggregation). Any other group has at most
-  ``max(hot_rows, total / MAX_HOT_GROUPS)`` rows. Hot rows are range-partitioned on
-  ``(group, order keys)``: each partition holds a contiguous slice of the
-  global order, a hot group is spread over many tasks, and the only
-  cross-partition state is at most one row per partition boundary.
-* **other groups** — bounded as above, aggregated or windowed in one task
-  per group, the ordinary Spark way (one shuffle).
+* :func:`ordered_concat` — ``string_agg(text, sep ORDER BY …)`` per group:
+  each (group, bucket) becomes one sorted partial string, the group's partials
+  are joined in bucket order. The result itself is one string per group.
+* :func:`group_positions` — ``row_number() OVER (PARTITION BY g ORDER BY …)``:
+  rows are numbered within (group, bucket); each bucket's offset is the sum of
+  the counts before it.
 
-When no group is hot (the usual case) the plan is just the ordinary path.
-
-* :func:`ordered_concat` — ``string_agg(text, sep ORDER BY …)`` per group.
-  Hot path: each (group, partition) slice becomes one sorted partial string;
-  a final aggregation joins the partials in partition order.
-* :func:`group_positions` — ``row_number() OVER (PARTITION BY g ORDER BY …)``.
-  Hot path: each task numbers rows within its slice; the numbered rows are
-  checkpointed, and a group spanning several partitions gets an offset from a
-  table with at most one row per partition (proven bound, hence broadcast).
+Everything is a built-in expression; there is no size threshold, no sampling
+and nothing passes through the driver.
 
 Order keys must form a total order (append a unique key) so that positions
-and partials are stable when a task is recomputed after an executor loss.
+are stable when a task is recomputed after an executor loss.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..plans.config import ensure_checkpoint_dir
-
-# The per-partition functions below run in Python workers; ship them by value
-# so a worker needs pandas and pyarrow, not this package on its path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# A group with more rows than this is split across tasks; a session can
-# override it with the setting below.
-HOT_ROWS = 200_000
-HOT_ROWS_CONF = "spark.roundbook.hotGroupRows"
-# Upper bound on the number of hot groups (the threshold grows with the data).
-MAX_HOT_GROUPS = 10_000
-
-
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
-    if hot_rows is not None:
-        return int(hot_rows)
-    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-
-
-def hot_groups(df: DataFrame, group_cols: Sequence[str], hot_rows: int | None = None) -> list[tuple]:
-    """Keys of the groups to split: more than ``hot_rows`` rows, at most the
-    ``MAX_HOT_GROUPS`` largest.
-
-    Per-group counts are a partial aggregation and the selection a bounded
-    top-k, so the driver reads at most ``MAX_HOT_GROUPS`` keys. A group left
-    out has no more than ``max(hot_rows, total / MAX_HOT_GROUPS)`` rows: the
-    ``MAX_HOT_GROUPS + 1``-th largest group cannot exceed that share.
-    """
-    group_cols = list(group_cols)
-    hot_rows = _hot_rows(df, hot_rows)
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.where(F.col("_n") > hot_rows).orderBy(F.col("_n").desc()).limit(MAX_HOT_GROUPS)
-    return [tuple(r) for r in top.select(*group_cols).collect()]
-
-
-def _split(df: DataFrame, group_cols: list[str], hot: list[tuple]) -> tuple[DataFrame, DataFrame]:
-    """``(rows of other groups, rows of hot groups)``; the key list is bounded."""
-    keys = df.sparkSession.createDataFrame(hot, T.StructType([df.schema[g] for g in group_cols]))
-    return df.join(F.broadcast(keys), group_cols, "left_anti"), df.join(F.broadcast(keys), group_cols, "left_semi")
-
-
-def _range(df: DataFrame, keys: list, n: int | None) -> DataFrame:
-    """Range-partition on ``keys``. Without an explicit count AQE may merge
-    adjacent small ranges; merged partitions stay in key order, which is all
-    the hot paths below rely on."""
-    return df.repartitionByRange(int(n), *keys) if n else df.repartitionByRange(*keys)
-
-
-def _ranged(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], n: int | None) -> DataFrame:
-    keys = [F.col(g).asc() for g in group_cols] + list(order_cols)
-    return _range(df, keys, n).sortWithinPartitions(*keys)
-
-
-def _run_starts(keys: pd.DataFrame) -> pd.Series:
-    """True where a row starts a new run of equal group keys."""
-    change = pd.Series(False, index=keys.index)
-    for c in keys.columns:
-        col = keys[c]
-        change |= col.ne(col.shift())
-    return change
 
 
 def _joined_texts(entries: Column, sep: str) -> Column:
     """``collect_list`` of ``struct(k, t)`` → texts in key order joined by
-    ``sep``, NULL when the group has no text. Native expressions only: the
-    struct sort and the field extraction need no lambda."""
-    joined = F.array_join(F.sort_array(entries).getField("t"), sep)
-    return F.when(F.max(F.col("_e.t").isNotNull()), joined)
+    ``sep``, NULL when there is no text. Native expressions only: the struct
+    sort and the field extraction need no lambda."""
+    return F.when(F.max(F.col("_e.t").isNotNull()), F.array_join(F.sort_array(entries).getField("t"), sep))
 
 
-def ordered_concat(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    key: Column,
-    text_col: str,
-    sep: str,
-    out_col: str,
-    num_partitions: int | None = None,
-    hot_rows: int | None = None,
-    sizes_from: DataFrame | None = None,
-) -> DataFrame:
+def ordered_concat(df: DataFrame, group_cols: Sequence[str], key: Column, text_col: str, sep: str, out_col: str, bucket: Column) -> DataFrame:
     """Per group, ``text_col`` values joined by ``sep`` in ascending ``key`` order.
 
     ``key`` is a struct whose ascending order is the wanted order (encode
     descending / NULLS LAST fields inside it); rows with equal keys must
-    carry equal texts. Returns ``group_cols + [out_col]``; NULL groups are
-    dropped, NULL texts skipped (all-NULL gives NULL). JVM only: the sort is
-    ``sort_array`` on the native struct ordering.
-
-    ``sizes_from`` (optional) has the group columns and one row per row of
-    ``df``; hot groups are counted there instead of on ``df`` — use it when
-    ``df`` is expensive to compute (e.g. texts built from other roll-ups).
+    carry equal texts. ``bucket`` must rise with ``key`` (equal or larger for
+    every larger key). Returns ``group_cols + [out_col]``; NULL groups are
+    dropped, NULL texts skipped (all-NULL gives NULL).
     """
     group_cols = list(group_cols)
-    clean = df
-    for g in group_cols:
-        clean = clean.where(F.col(g).isNotNull())
-    keyed = clean.select(*group_cols, F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
-    hot = hot_groups(keyed if sizes_from is None else sizes_from, group_cols, hot_rows)
-    normal, heavy = _split(keyed, group_cols, hot) if hot else (keyed, None)
-
-    out = normal.groupBy(*group_cols).agg(_joined_texts(F.collect_list("_e"), sep).alias(out_col))
-    if heavy is None:
-        return out
-    # hot groups: one sorted partial per (group, range partition), then the
-    # partials in partition order (the key is unique, text is never compared)
-    ranged = _range(heavy, [F.col(g) for g in group_cols] + [F.col("_e.k")], num_partitions)
-    partials = ranged.groupBy(*group_cols, F.spark_partition_id().alias("_pid")).agg(
-        _joined_texts(F.collect_list("_e"), sep).alias("_part")
-    )
-    merged = F.array_join(F.sort_array(F.collect_list(F.struct("_pid", "_part"))).getField("_part"), sep)
-    any_text = F.max(F.col("_part").isNotNull())
-    return out.unionByName(partials.groupBy(*group_cols).agg(F.when(any_text, merged).alias(out_col)))
+    clean = df.where(reduce(and_, (F.col(g).isNotNull() for g in group_cols)))
+    keyed = clean.select(*group_cols, bucket.alias("_b"), F.struct(key.alias("k"), F.col(text_col).alias("t")).alias("_e"))
+    parts = keyed.groupBy(*group_cols, "_b").agg(_joined_texts(F.collect_list("_e"), sep).alias("_part"))
+    merged = F.array_join(F.sort_array(F.collect_list(F.struct("_b", "_part"))).getField("_part"), sep)
+    return parts.groupBy(*group_cols).agg(F.when(F.max(F.col("_part").isNotNull()), merged).alias(out_col))
 
 
-def _positions_split(
-    df: DataFrame, group_cols: list[str], order_cols: Sequence[Column], out_col: str, n: int | None
-) -> DataFrame:
-    """Range-split numbering for hot groups (see module docstring)."""
-    ranged = _ranged(df, group_cols, order_cols, n)
-    schema = T.StructType(
-        list(df.schema.fields)
-        + [T.StructField("_pid", T.IntegerType(), False), T.StructField("_lpos", T.LongType(), False)]
-    )
-
-    def local_positions(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        last_key, last_count = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = pdf[group_cols].astype(object).where(pdf[group_cols].notna(), None)
-            run = _run_starts(keys.fillna("\x00null")).cumsum()
-            lpos = pdf.groupby(run, sort=False).cumcount() + 1
-            first_key = tuple(keys.iloc[0])
-            if last_key is not None and first_key == last_key:
-                lpos = lpos.where(run != run.iloc[0], lpos + last_count)
-            last_key = tuple(keys.iloc[-1])
-            last_count = int(lpos.iloc[-1])
-            pdf["_pid"] = pid
-            pdf["_lpos"] = lpos.astype("int64")
-            yield pdf
-
-    # Range bounds come from a sample seeded by the RDD id, so two separately
-    # planned exchanges may split differently. The numbered rows are therefore
-    # checkpointed once (reliable storage, lineage cut) and both the counts
-    # and the final join read that one materialisation.
-    ensure_checkpoint_dir(df.sparkSession)
-    local = ranged.mapInPandas(local_positions, schema).checkpoint(eager=True)
-
-    per_part = local.groupBy(*group_cols, "_pid").agg(F.max("_lpos").alias("_n"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    keys = [f"_k{i}" for i in range(len(group_cols))]
-    offsets = (
-        per_part.withColumn("_off", F.sum("_n").over(w))
-        .where(F.col("_off") > 0)
-        .select(*[F.col(g).alias(k) for g, k in zip(group_cols, keys)], F.col("_pid").alias("_opid"), "_off")
-    )
-    # Only the first group of a partition can continue an earlier partition:
-    # at most one offset row per partition, so broadcasting it is bounded.
-    cond = [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group_cols, keys)] + [F.col("_pid") == F.col("_opid")]
-    joined = local.join(F.broadcast(offsets), cond, "left")
-    pos = (F.col("_lpos") + F.coalesce(F.col("_off"), F.lit(0))).alias(out_col)
-    return joined.select(*df.columns, pos)
-
-
-def group_positions(
-    df: DataFrame,
-    group_cols: Sequence[str],
-    order_cols: Sequence[Column],
-    out_col: str = "pos",
-    num_partitions: int | None = None,
-    hot_rows: int | None = None,
-    sizes_from: DataFrame | None = None,
-) -> DataFrame:
+def group_positions(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column], bucket: Column, out_col: str = "pos") -> DataFrame:
     """``df`` plus ``out_col`` = 1-based position of each row within its group.
 
-    Equals ``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``
-    without ever holding a hot group in one task. NULL group keys are
-    numbered as their own group. ``sizes_from``: as in :func:`ordered_concat`
-    (any DataFrame whose per-group row counts bound those of ``df``).
+    Equals ``row_number() OVER (PARTITION BY group_cols ORDER BY order_cols)``;
+    NULL group keys are numbered as their own group. ``bucket`` must not be
+    NULL and must rise with the order. Only buckets' counts meet per group.
     """
-    group_cols = list(group_cols)
-    hot = hot_groups(df if sizes_from is None else sizes_from, group_cols, hot_rows)
-    normal, heavy = _split(df, group_cols, hot) if hot else (df, None)
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    out = normal.withColumn(out_col, F.row_number().over(w).cast("long"))
-    if heavy is None:
-        return out
-    return out.unionByName(_positions_split(heavy, group_cols, order_cols, out_col, num_partitions))
+    keys = [*group_cols, "_b"]
+    bucketed = df.withColumn("_b", bucket)
+    counts = bucketed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*group_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = bucketed.withColumn("_lpos", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long"))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_o{i}")) for i, k in enumerate(keys)))
+    return local.join(offsets, same).select(*df.columns, (F.col("_lpos") + F.col("_off")).alias(out_col))

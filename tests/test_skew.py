@@ -1,14 +1,14 @@
 """One company with a third of all rounds, one round with a third of all
-investments, one URL on a third of the lookup rows: the split (hot) paths
-must give exactly the plain-path results."""
+investments, one URL on a third of the lookup rows: the texts must
+equal those put together in plain Python."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from roundbook.operators.enrich import enrich
-from roundbook.operators.ordering import HOT_ROWS_CONF
 
 AS_OF = dt.date(2002, 1, 1)
 
@@ -49,17 +49,21 @@ def skewed(spark):
     return orgs, rounds, inv, lookup
 
 
-def test_hot_paths_equal_plain_paths(spark, skewed):
+def test_hot_groups_are_whole_and_ordered(spark, skewed):
     orgs, rounds, inv, lookup = skewed
-    plain = enrich(lookup, orgs, rounds, inv, AS_OF)
-    plain_rows = sorted(plain.collect())
-    spark.conf.set(HOT_ROWS_CONF, "100")  # o000 (300 rounds) and r0000 (900 investments) become hot
-    try:
-        split = enrich(lookup, orgs, rounds, inv, AS_OF)
-        assert split.columns == plain.columns
-        assert sorted(split.collect()) == plain_rows
-    finally:
-        spark.conf.unset(HOT_ROWS_CONF)
-    hot = [r for r in plain_rows if r["__row_id"] == 0][0]
-    assert hot["Investment Rounds and Funding Information"].count(" | ") == 299  # 300 rounds of o000
-    assert hot["Investment Rounds and Funding Information"].count("Inv ") == 900  # all of r0000
+    rows = sorted(enrich(lookup, orgs, rounds, inv, AS_OF).collect())
+    assert len(rows) == 600
+    hot = [r for r in rows if r["__row_id"] == 0][0]
+    text = hot["Investment Rounds and Funding Information"]
+    assert text.count(" | ") == 299  # 300 rounds of o000
+    assert text.count("Inv ") == 900  # all of r0000
+    mine = [r for r in rounds.collect() if r["org_uuid"] == "o000"]
+    mine.sort(key=lambda r: (-r["announced_on"].toordinal(), -(r["closed_on"] or dt.date.min).toordinal(), r["round_uuid"]))
+    assert [part.index(r["round_name"]) >= 0 for part, r in zip(text.split(" | "), mine)] == [True] * 300
+    own = [r for r in inv.collect() if r["round_uuid"] == "r0000"]
+    lead = {True: 0, False: 1, None: 2}
+    own.sort(key=lambda r: (lead[r["is_lead"]], r["investor_name"]))
+    names = re.findall(r"Inv \d+", text)
+    assert names == [r["investor_name"] for r in own]
+
+
