@@ -71,28 +71,22 @@ def clean_header(header: list[str | None]) -> list[str]:
     return out
 
 
+def _naming(header: list[str], keywords) -> set[int]:
+    """Positions of the headers that contain any of the keywords, in any case."""
+    return {i for i, name in enumerate(header) if any(k in (name or "").lower() for k in keywords)}
+
+
 def find_url_column(header: list[str]) -> int:
     """Index of the URL column in a (cleaned) header.
 
-    A header matches when it *contains* any keyword (case-insensitive). With
-    several matches, the single one containing ``url`` or ``website`` wins;
-    otherwise the choice is ambiguous. Raises NoUrlColumn / AmbiguousUrlColumn.
+    The candidates are the headers with any keyword; if that leaves a choice,
+    the candidates with a priority keyword (``url``, ``website``) decide it,
+    provided there is just one. Raises NoUrlColumn / AmbiguousUrlColumn.
     """
-    found = []
-    for idx, name in enumerate(header):
-        low = (name or "").lower().strip()
-        if not low:
-            continue
-        if any(k in low for k in URL_KEYWORDS) or any(k in low for k in SECONDARY_KEYWORDS):
-            found.append(idx)
-    if not found:
-        raise NoUrlColumn(
-            "No URL column found; name one column URL, Website, Domain, Website_URL, "
-            f"Site, Web or Company_URL. Headers: {header}"
-        )
-    if len(found) == 1:
-        return found[0]
-    preferred = [i for i in found if any(k in header[i].lower() for k in PRIORITY_KEYWORDS)]
-    if len(preferred) == 1:
-        return preferred[0]
-    raise AmbiguousUrlColumn(f"Multiple URL columns found; keep only one. Headers: {header}")
+    candidates = _naming(header, [*URL_KEYWORDS, *SECONDARY_KEYWORDS])
+    for choice in (candidates, candidates & _naming(header, PRIORITY_KEYWORDS)):
+        if len(choice) == 1:
+            return choice.pop()
+    if candidates:
+        raise AmbiguousUrlColumn(f"several columns may hold the URL: {sorted(header[i] for i in candidates)}")
+    raise NoUrlColumn(f"none of these columns is named like a URL column: {header}")

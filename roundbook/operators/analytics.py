@@ -31,7 +31,8 @@ def organizations_by_category(orgs: DataFrame, text: str, k: int = 50) -> DataFr
 
 def investor_portfolio(investments: DataFrame, rounds: DataFrame, orgs: DataFrame, text: str,
                        k: int | None = None) -> DataFrame:
-    """Every investment of investors whose name contains ``text``, with round and company."""
+    """Every investment of investors whose name contains ``text``, with round and
+    company (J5), newest first; the first ``k`` of them if given."""
     inv = investments.where(F.col("investor_name").contains(text)).select(
         "round_uuid", "investor_name", "is_lead", F.col("amount_usd").alias("invested_usd")
     )
@@ -43,9 +44,8 @@ def investor_portfolio(investments: DataFrame, rounds: DataFrame, orgs: DataFram
         F.col("round_amount").cast("double").alias("round_amount"), "investment_stage", "announced_on",
         "is_lead", "round_uuid", "org_uuid",
     )
-    if k is not None:
-        out = out.orderBy(F.col("announced_on").desc_nulls_last(), "round_uuid", "investor_name").limit(k)
-    return out
+    out = out.orderBy(F.col("announced_on").desc_nulls_last(), "round_uuid", "investor_name")
+    return out if k is None else out.limit(k)
 
 
 def top_investors(investments: DataFrame, k: int = 20) -> DataFrame:
@@ -115,8 +115,7 @@ def category_export(orgs: DataFrame, text: str) -> DataFrame:
 def snapshot_counts(table: DataFrame, n: int = 3, date_col: str = "snapshot_date") -> DataFrame:
     """Row count of each of the newest ``n`` snapshots of a partitioned table.
 
-    The newest dates come from a distinct over the partition column (bounded
-    by the number of snapshots), then the counts are one grouped pass.
+    One grouped pass that reads the date column alone; the counts of all
+    snapshots (one row each) are then cut to the newest.
     """
-    latest = table.select(date_col).distinct().orderBy(F.col(date_col).desc()).limit(n)
-    return table.join(latest, date_col, "left_semi").groupBy(date_col).agg(F.count(F.lit(1)).alias("n_rows"))
+    return table.groupBy(date_col).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.col(date_col).desc()).limit(n)

@@ -27,7 +27,7 @@ from ..functions import text as TX
 from ..functions.urls import find_url_column, lookup_host
 from ..plans.config import ensure_checkpoint_dir
 from . import funding as FD
-from .match import GRAM, UrlIndex, match_hosts
+from .match import GRAM, HOST_KEY, UrlIndex, match_hosts
 
 ROW_ID = "__row_id"
 INFO_COLS = ["Company Information", "Investment Rounds and Funding Information", "Total Funding to Date"]
@@ -41,9 +41,9 @@ def company_rows(orgs: DataFrame) -> DataFrame:
 
 def matched(lookup: DataFrame, orgs: DataFrame, url_col: str, k: int = GRAM, checkpoint: bool = True,
             index: UrlIndex | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(keyed lookup with _host, host→org matches)``; matches checkpointed."""
-    keyed = lookup.withColumn("_host", lookup_host(url_col))
-    found = match_hosts(keyed.select(F.col("_host").alias("host")), orgs, k=k, index=index)
+    """``(keyed lookup with HOST_KEY, host→org matches)``; matches checkpointed."""
+    keyed = lookup.withColumn(HOST_KEY, lookup_host(FD.quote(url_col)))
+    found = match_hosts(keyed.select(F.col(HOST_KEY).alias("host")), orgs, k=k, index=index)
     if checkpoint:
         ensure_checkpoint_dir(lookup.sparkSession)
         found = found.checkpoint(eager=True)
@@ -88,19 +88,23 @@ def enrich(
     )
     if axis:
         per_org = per_org.join(FD.quarterly_pivot(sums.where(F.col("quarter").isNotNull()), axis), "org_uuid", "left")
-    per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").drop("org_uuid")
-
-    out = keyed.join(per_host, keyed["_host"] == per_host["host"], "left")
+    # Working columns get reserved names: a lookup list may have columns of its
+    # own called host, founded or total_funding.
+    info = ["company_info", "funding_info", "total_funding"]
+    per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").selectExpr(
+        "host AS __rb_match", *[f"{c} AS __rb_{c}" for c in info], *[f"{FD.quote(q)} AS __rb_q{i}" for i, q in enumerate(axis)]
+    )
+    out = keyed.join(per_host, F.col(HOST_KEY) == F.col("__rb_match"), "left")
     # one selectExpr call: wide outputs (hundreds of quarter columns) would
     # otherwise cost several driver round-trips per column
     exprs = [FD.quote(ROW_ID)] if ROW_ID in lookup.columns else []
     exprs += [FD.quote(c) for c in in_cols]
     exprs += [
-        f"company_info AS {FD.quote(INFO_COLS[0])}",
-        f"funding_info AS {FD.quote(INFO_COLS[1])}",
-        f"CAST(total_funding AS DOUBLE) AS {FD.quote(INFO_COLS[2])}",
+        f"__rb_company_info AS {FD.quote(INFO_COLS[0])}",
+        f"__rb_funding_info AS {FD.quote(INFO_COLS[1])}",
+        f"CAST(__rb_total_funding AS DOUBLE) AS {FD.quote(INFO_COLS[2])}",
     ]
-    exprs += [FD.quote(q) for q in axis]
+    exprs += [f"__rb_q{i} AS {FD.quote(q)}" for i, q in enumerate(axis)]
     return out.selectExpr(*exprs)
 
 
@@ -122,7 +126,7 @@ def enrich_long(
     m_rounds = rounds.join(ids, "org_uuid", "left_semi")
     axis = FD.axis_frame(m_orgs, as_of).select("quarter")
     q = FD.quarterly_funding(m_rounds).join(axis, "quarter", "left_semi")
-    rows = keyed.select(id_col, F.col("_host").alias("host")).join(found.select("host", "org_uuid"), "host")
+    rows = keyed.select(id_col, F.col(HOST_KEY).alias("host")).join(found.select("host", "org_uuid"), "host")
     return rows.join(q, "org_uuid").select(id_col, "org_uuid", "quarter", F.col("amount").cast("double").alias("amount"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import quarters as Q
 from ..functions import text as TX
+from .match import quote  # noqa: F401  (column names as SQL identifiers)
 from .ordering import group_positions, ordered_concat
 
 
@@ -59,6 +60,8 @@ def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFram
 
     ``by="name"`` joins ``orgs.name`` to ``rounds.org_name``; same-named
     companies then share their rounds, as in the reference.
+    ``by="uuid_else_name"`` takes the rounds of each company's uuid, and of its
+    name where it has no uuid.
     """
     if by == "uuid":
         keys = orgs.select("org_uuid").distinct()
@@ -66,7 +69,14 @@ def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFram
     if by == "name":
         keys = orgs.select(F.col("org_uuid").alias("matched_uuid"), F.col("name").alias("org_name"))
         return rounds.join(keys, "org_name")
-    raise ValueError(f"by must be 'uuid' or 'name', not {by!r}")
+    if by == "uuid_else_name":
+        # a company without a uuid is looked up by its name; every company
+        # once, and rounds of a repeated name once
+        known = orgs.where(TX.nonblank("org_uuid")).select("org_uuid").distinct()
+        named = orgs.where(~F.coalesce(TX.nonblank("org_uuid"), F.lit(False))).select(F.col("name").alias("org_name")).distinct()
+        own = rounds.join(known.withColumn("__rb_u", F.lit(True)), "org_uuid", "left").join(named.withColumn("__rb_n", F.lit(True)), "org_name", "left")
+        return own.where("__rb_u OR __rb_n").select(*rounds.columns)
+    raise ValueError(f"by must be 'uuid', 'name' or 'uuid_else_name', not {by!r}")
 
 
 def listing_bucket() -> "F.Column":
@@ -243,8 +253,3 @@ def quarterly_pivot(quarterly: DataFrame, axis: list[str]) -> DataFrame:
     if not axis:
         return quarterly.select("org_uuid").distinct()
     return quarterly.groupBy("org_uuid").pivot("quarter", axis).agg(F.sum("amount").cast("double"))
-
-
-def quote(name: str) -> str:
-    """A column name as a SQL identifier (for one-call ``selectExpr`` projections)."""
-    return "`" + name.replace("`", "``") + "`"

@@ -7,9 +7,12 @@ matches, one whose URL normalises to exactly the host wins, then the lowest
 
 Plan, all equi-joins (no nested loop, no cross join):
 
-1. *gram tier* — hosts of length >= ``k``: every org URL is exploded into
-   its ``k``-grams (kept only when some host has that gram); each
-   host is joined on its rarest gram only, then verified with ``contains``.
+1. *gram tier* — hosts of length >= ``k``: the frequency of every ``k``-gram of
+   the org URLs is counted where the URLs are read (a partial aggregation, so
+   a gram that nearly all URLs have costs one row per task); each host keeps
+   only its rarest gram; the org grams then meet those chosen grams in one
+   join, and pairs are verified with ``contains``. Common grams such as
+   ``.com`` match nothing unless a host has nothing rarer.
    Lossless: a URL containing the host contains each of its grams. An exact
    match (URL normalises to the host) is one of these candidates too, so
    the preference is just a rank computed while verifying;
@@ -20,11 +23,11 @@ Plan, all equi-joins (no nested loop, no cross join):
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
-window over one task. A host whose every gram is common has a hot rarest
-gram: org gram rows carry ``salt = xxhash64(org_uuid) mod S`` and the host
-side is replicated S times (``spark.roundbook.gramSalts``, default 16), so
-the semi-join and the candidate join on ``(gram, salt)`` spread a hot gram
-over S tasks. The replicated side is the host side, which is the small one.
+window over one task. A host whose every gram is common has a hot rarest gram;
+both sides of the join are plain shuffles on the gram, so the session's
+skew-join setting splits it at run time. The stored index (bucketed, hence not
+split at run time) spreads each gram over a fixed number of salts instead
+(``spark.roundbook.gramSalts``).
 """
 
 from __future__ import annotations
@@ -36,13 +39,21 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
 
+# Reserved name of the match key on lookup rows.
+HOST_KEY = "__rb_host"
+
 GRAM = 4
-# Org gram rows are spread over this many salts so that a hot gram (one
-# shared by a large share of all URLs) is joined by many tasks.
+# Gram rows of a stored index are spread over this many salts so that a hot
+# gram (one shared by a large share of all URLs) is joined by many tasks.
 SALTS = 16
 SALTS_CONF = "spark.roundbook.gramSalts"
 
 
+def quote(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _salts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get(SALTS_CONF, str(SALTS))))
 
@@ -70,8 +81,8 @@ def org_texts(orgs: DataFrame, uuid_col="org_uuid", url_cols=("website", "websit
     )
 
 
-def _org_grams(texts: DataFrame, k: int, salts: int) -> DataFrame:
-    """``(org_uuid, text, text_host, gram, salt)`` for every ``k``-gram position of
+def _org_grams(texts: DataFrame, k: int) -> DataFrame:
+    """``(org_uuid, text, text_host, gram)`` for every ``k``-gram position of
     every org URL. Positions are exploded and cut with ``substring`` in a
     compiled projection (no per-element lambda); a gram repeated inside one
     URL yields a repeated row, which only weighs its frequency and never
@@ -80,11 +91,14 @@ def _org_grams(texts: DataFrame, k: int, salts: int) -> DataFrame:
     return (
         texts.where(F.length("text") >= k)
         .select("org_uuid", "text", F.col("host").alias("text_host"), pos)
-        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"),
-                F.pmod(F.xxhash64("org_uuid"), F.lit(salts)).cast("int").alias("salt"))
+        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"))
     )
 
 
+def _gram_counts(grams: DataFrame) -> DataFrame:
+    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+
+
 @dataclass(frozen=True)
 class UrlIndex:
     """Org URL grams and gram frequencies, written once per org snapshot."""
@@ -113,12 +127,13 @@ def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64
     """
     spark = orgs.sparkSession
     salts = salts or _salts(spark)
-    grams = _org_grams(org_texts(orgs), k, salts)
+    salt = F.pmod(F.xxhash64("org_uuid"), F.lit(salts)).cast("int").alias("salt")
+    grams = _org_grams(org_texts(orgs), k).select("*", salt)
     (
         grams.repartition(num_buckets, "gram", "salt").write.mode("overwrite").bucketBy(num_buckets, "gram", "salt")
         .sortBy("gram", "salt").option("path", f"{path}/{name}_grams").saveAsTable(f"{name}_grams")
     )
-    df = spark.table(f"{name}_grams").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    df = _gram_counts(spark.table(f"{name}_grams"))
     (
         df.write.mode("overwrite").bucketBy(num_buckets, "gram").sortBy("gram")
         .option("path", f"{path}/{name}_df").saveAsTable(f"{name}_df")
@@ -136,7 +151,6 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     bucketed org grams and frequencies instead of recomputing them.
     """
     spark = hosts.sparkSession
-    salts = index.salts if index is not None else _salts(spark)
     if index is not None:
         k = index.k
     h = hosts.select(F.col(host_col).alias("host")).where(F.col("host").isNotNull() & (F.col("host") != "")).distinct()
@@ -144,28 +158,23 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     # 0 when the URL normalises to exactly the host (preferred), else 1
     rank = F.when(F.col("text_host") == F.col("host"), 0).otherwise(1).alias("rank")
 
-    # 1. gram tier: hosts of length >= k, joined on their rarest gram. Org
-    # gram rows carry a salt; the host side is replicated once per salt, so
-    # joins on (gram, salt) spread a hot gram over `salts` tasks while every
-    # (host, org) pair still meets exactly once.
+    # 1. gram tier: hosts of length >= k, joined on their rarest gram.
     long_h = h.where(F.length("host") >= k)
     host_grams = long_h.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
-    if index is None:
-        wanted = host_grams.select("gram").distinct().select("gram", _replicate(salts))
-        org_grams = _org_grams(texts, k, salts).join(wanted, ["gram", "salt"], "left_semi")
-        df = org_grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    else:
-        org_grams, df = index.grams(spark), index.df(spark)
-    rarest = (
+    org_grams = _org_grams(texts, k) if index is None else index.grams(spark)
+    df = _gram_counts(org_grams) if index is None else index.df(spark)
+    chosen = (
         host_grams.join(df, "gram", "left")
         .groupBy("host")
         .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("r"))
         .where(F.col("r.df") > 0)  # a gram no URL has: the host cannot match
         .select("host", F.col("r.gram").alias("gram"))
     )
+    on = ["gram"]
+    if index is not None:  # each host once per salt of the bucketed grams
+        chosen, on = chosen.select("host", "gram", _replicate(index.salts)), ["gram", "salt"]
     candidates = (
-        rarest.select("host", "gram", _replicate(salts))
-        .join(org_grams, ["gram", "salt"])
+        chosen.join(org_grams, on)
         .where(F.contains(F.col("text"), F.col("host")))
         .select("host", "org_uuid", rank)
     )
@@ -214,9 +223,14 @@ def match_urls(lookup: DataFrame, orgs: DataFrame, url_col: str = "url", k: int
 
     Rows whose URL cell is blank are kept with NULL host (F8). Matching runs
     once per distinct host and is joined back, so repeated URLs cost nothing.
+    A lookup column of its own named ``host`` stays; the host is then called
+    ``matched_host``.
     """
     from ..functions.urls import lookup_host
 
-    keyed = lookup.withColumn("host", lookup_host(url_col))
-    found = match_hosts(keyed.select("host"), orgs, k=k)
-    return keyed.join(found.select("host", "org_uuid"), "host", "left")
+    out_host = "host" if "host" not in {c.lower() for c in lookup.columns} else "matched_host"
+    keyed = lookup.withColumn(HOST_KEY, lookup_host(url_col))
+    found = match_hosts(keyed.select(F.col(HOST_KEY).alias("host")), orgs, k=k)
+    found = found.select(F.col("host").alias(HOST_KEY), F.col("org_uuid").alias("__rb_org"))
+    own = [F.col(quote(c)) for c in lookup.columns]
+    return keyed.join(found, HOST_KEY, "left").select(*own, F.col(HOST_KEY).alias(out_host), F.col("__rb_org").alias("org_uuid"))

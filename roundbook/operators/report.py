@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..functions.urls import lookup_host
+from ..plans.config import ensure_checkpoint_dir
 from . import funding as FD
 from .match import GRAM, match_hosts
 
-
 PARTS = ("companies", "rounds", "summary", "by_type")
 
 
@@ -31,6 +31,9 @@ def company_report(lookup: DataFrame, orgs: DataFrame, rounds: DataFrame, url_co
     """
     hosts = lookup.select(lookup_host(url_col).alias("host"))
     found = match_hosts(hosts, orgs, k=k).select("host", "org_uuid")
+    if len(parts) > 1:  # all parts read one match
+        ensure_checkpoint_dir(lookup.sparkSession)
+        found = found.checkpoint(eager=True)
     ids = found.select("org_uuid").distinct()
     m_rounds = rounds.join(ids, "org_uuid", "left_semi")
     out: dict[str, DataFrame] = {}

@@ -14,6 +14,7 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,9 @@ def extract_archives(
         try:
             done = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(out_folder)
             done = done.select(F.split(F.element_at(F.split("path", "/"), -1), r"\.")[0].alias("collection"))
-        except Exception:  # folder absent or empty
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):  # only a missing folder means that nothing is there
+                raise
             done = spark.createDataFrame([], "collection string")
         skipped = listing.join(done, "collection", "left_semi").select(
             "collection", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("csv_path"),

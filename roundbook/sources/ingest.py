@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,20 @@ def extracted_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def malformed_values(spark: SparkSession, path: str, collection: str) -> int:
+    """How many values of a documented collection's file its declared types
+    turn into NULL: cells that hold text where the typed column holds nothing."""
+    if collection not in schemas.TYPES:
+        return 0
+    schema = schemas.source_schema(collection, _header(spark, path))
+    text = spark.read.options(**CSV_OPTIONS).schema(", ".join(f"`{f.name}` string" for f in schema.fields)).csv(path)
+    typed = [f for f in schema.fields if f.dataType.simpleString() != "string"]
+    if not typed:
+        return 0
+    lost = [F.sum((F.trim(F.col(f"`{f.name}`")) != "") .cast("int") * F.col(f"`{f.name}`").try_cast(f.dataType).isNull().cast("int")) for f in typed]
+    return sum(n or 0 for n in text.agg(*[c.alias(f"n{i}") for i, c in enumerate(lost)]).first())
+
+
 def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date, mode: str = "ignore") -> str:
     """Write ``df`` as the ``snapshot_date`` partition of the table at ``root``.
 
@@ -70,7 +85,9 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date, mode: str =
     if mode not in ("ignore", "overwrite", "error", "errorifexists"):
         raise ValueError(f"unsupported mode {mode!r}")
     path = f"{root.rstrip('/')}/snapshot_date={snapshot_date.isoformat()}"
-    df.write.mode(mode).parquet(path)
+    # A quoted CSV is parsed by one task; its rows are dealt out before they
+    # are written, so that later reads have as many files as the table needs.
+    df.repartition(F.expr("floor(rand(7) * 100000)")).write.mode(mode).parquet(path)
     return path
 
 
@@ -83,8 +100,9 @@ def import_snapshot(
 ) -> DataFrame:
     """Import collections; one failing collection does not stop the rest.
 
-    Returns one row per collection: ``(table, status, error, rows)``, with
-    ``rows`` counted from the written snapshot partition.
+    Returns one row per collection: ``(table, status, error, rows, malformed)``,
+    with ``rows`` counted from the written snapshot partition and
+    ``malformed`` the values that did not fit the declared type.
     """
     results = []
     for table in sorted(csv_paths):
@@ -92,10 +110,10 @@ def import_snapshot(
             df = read_collection(spark, csv_paths[table], table)
             path = write_snapshot(df, f"{warehouse}/{table}", snapshot_date, mode)
             n = spark.read.parquet(path).count()
-            results.append((table, "ok", None, n))
+            results.append((table, "ok", None, n, malformed_values(spark, csv_paths[table], table)))
         except Exception as e:  # keep going, report the failure
-            results.append((table, "failed", str(e).splitlines()[0][:500], None))
-    return spark.createDataFrame(results, "table string, status string, error string, rows long")
+            results.append((table, "failed", str(e), None, None))
+    return spark.createDataFrame(results, "table string, status string, error string, rows long, malformed long")
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -108,12 +126,52 @@ def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame
 
     A filter on the partition column against a scalar subquery of its
     maximum: the subquery runs first, its value becomes a partition filter,
-    and only the newest snapshot's files are scanned.
+    and only the newest snapshot's files are scanned. For a stored table,
+    :func:`read_latest` takes the date from the listing and scans nothing for it.
     """
     newest = df.select(F.max(date_col)).scalar()
     return df.where(F.col(date_col) == newest)
 
 
+def snapshot_dates(spark: SparkSession, warehouse: str, table: str) -> list[dt.date]:
+    """The table's snapshot dates, oldest first, from the names of its files'
+    folders (one per snapshot); no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{warehouse}/{table}")
+    date = F.to_date(F.regexp_extract("path", r"snapshot_date=(\d{4}-\d{2}-\d{2})", 1))
+    return [r["d"] for r in files.select(date.alias("d")).distinct().orderBy("d").collect()]
+
+
+def read_latest(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
+    """The newest snapshot of a stored table: a constant partition filter."""
+    return read_table(spark, warehouse, table).where(F.col("snapshot_date") == F.lit(snapshot_dates(spark, warehouse, table)[-1]))
+
+
+def collections_in(spark: SparkSession, warehouse: str) -> list[str]:
+    """The tables of a warehouse folder, sorted."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(warehouse)
+    name = F.regexp_extract("path", r"/([^/]+)/snapshot_date=[^/]+/[^/]+$", 1)
+    return [r["t"] for r in files.select(name.alias("t")).where("t <> ''").distinct().orderBy("t").collect()]
+
+
+def register_collections(spark: SparkSession, warehouse: str, snapshot: str | dt.date | None = "latest") -> dict[str, DataFrame]:
+    """Every collection of the warehouse as a temp view of its name, for ad-hoc
+    SQL: its newest snapshot, the one of a date, or (None) all of them."""
+    out = {}
+    for table in collections_in(spark, warehouse):
+        if snapshot == "latest":
+            out[table] = read_latest(spark, warehouse, table)
+        else:
+            all_rows = read_table(spark, warehouse, table)
+            out[table] = all_rows if snapshot is None else all_rows.where(F.col("snapshot_date") == F.to_date(F.lit(str(snapshot))))
+        out[table].createOrReplaceTempView(table)
+    return out
+
+
+def warehouse_counts(spark: SparkSession, warehouse: str) -> DataFrame:
+    """``(table_name, n_rows)`` of every collection's newest snapshot."""
+    return table_counts({t: read_latest(spark, warehouse, t) for t in collections_in(spark, warehouse)})
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(table_name, n_rows)`` for each table."""
     counts = [
@@ -164,7 +222,8 @@ def import_export(
     unusable). Extracted CSVs in ``csv_folder`` are used when present;
     otherwise every archive is extracted there first. Each collection is then
     written as that snapshot's partition. Returns ``(table, status, error,
-    rows, snapshot_date)``.
+    rows, malformed, snapshot_date)``; an archive that cannot be extracted is
+    a ``failed`` row of its own.
     """
     from .archives import extract_archives
 
@@ -174,10 +233,16 @@ def import_export(
         date = as_of
     try:
         found = {r["table"]: r["path"] for r in extracted_tables(spark, csv_folder).collect()}
-    except Exception:  # folder absent or empty
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):  # only a missing folder means that nothing was extracted
+            raise
         found = {}
+    broken: list[tuple] = []
     if not found:
-        extract_archives(spark, zip_folder, csv_folder, date.isoformat()).collect()  # one row per archive
+        done = extract_archives(spark, zip_folder, csv_folder, date.isoformat()).collect()  # one row per archive
+        broken = [(r["collection"], "failed", r["error"], None, None) for r in done if r["status"] == "failed"]
         found = {r["table"]: r["path"] for r in extracted_tables(spark, csv_folder).collect()}
     res = import_snapshot(spark, found, warehouse, date, mode)
+    if broken:
+        res = res.unionByName(spark.createDataFrame(broken, res.schema))
     return res.withColumn("snapshot_date", F.lit(date))

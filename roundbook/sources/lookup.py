@@ -2,60 +2,90 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.urls import clean_header
 
 ROW_ID = "__row_id"
+_CSV = dict(header=False, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
+
+
+def _cells(spark: SparkSession, path: str) -> tuple[DataFrame, list[str | None], int]:
+    """All rows as string columns ``c0…``, the first row, and how many columns hold a cell.
+
+    The CSV reader keeps as many cells as its schema names, so the schema is
+    widened until its whole second half is empty.
+    """
+    narrow = spark.read.options(**_CSV).csv(path)
+    if len(narrow.inputFiles()) > 1:
+        raise ValueError(f"a lookup list is one file: {path}")
+    first = narrow.limit(1).collect()
+    if not first:
+        raise ValueError(f"CSV file is empty: {path}")
+    width = 2 * len(narrow.columns) + 16
+    while True:
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+        raw = spark.read.options(**_CSV, maxColumns=max(20480, width + 1)).schema(schema).csv(path)
+        used = raw.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in raw.columns]).first()
+        last = max((i + 1 for i, u in enumerate(used) if u), default=0)
+        if last <= width // 2:
+            return raw, list(first[0]), max(last, len(first[0]))
+        width *= 2
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """One user CSV file with a header row, every column a string, plus ``__row_id``.
 
     The header row is taken from the file itself and cleaned (C3): blank
-    names become ``Column_{i+1}``. ``__row_id`` follows input order: it is
-    ``monotonically_increasing_id()`` directly on the scan, whose splits and
-    in-split order are fixed, so a recomputed task yields the same ids.
-    Rows shorter than the header are padded with NULL (written back as
-    ``''``); extra cells of longer rows are dropped.
+    names become ``Column_{i+1}``, and so do the columns of cells beyond the
+    header. Names that repeat, in any case, get ``_2``, ``_3``, …
+    ``__row_id`` follows input order: it is ``monotonically_increasing_id()``
+    directly on the scan, whose splits and in-split order are fixed, so a
+    recomputed task yields the same ids. Rows shorter than the header are
+    padded with NULL (written back as ``''``). A folder of several files is
+    an error.
     """
-    opts = dict(header=False, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
-    raw = spark.read.options(**opts).csv(path)
-    first = raw.limit(1).collect()  # one row: the header
-    if not first:
-        raise ValueError(f"CSV file is empty: {path}")
-    header = clean_header([first[0][i] for i in range(len(raw.columns))])
-    # duplicate names cannot be columns; suffix repeats
-    seen: dict[str, int] = {}
+    raw, first, width = _cells(spark, path)
+    taken: set[str] = set()
     names = []
-    for h in header:
-        seen[h] = seen.get(h, 0) + 1
-        names.append(h if seen[h] == 1 else f"{h}_{seen[h]}")
+    for h in clean_header(first + [None] * (width - len(first))):
+        name, k = h, 1
+        while name.lower() in taken:
+            k += 1
+            name = f"{h}_{k}"
+        taken.add(name.lower())
+        names.append(name)
     # one file read with multiLine is one split, so the header row has id 0
-    body = raw.withColumn(ROW_ID, F.monotonically_increasing_id()).where(F.col(ROW_ID) != 0)
+    body = raw.select(raw.columns[:width]).withColumn(ROW_ID, F.monotonically_increasing_id()).where(F.col(ROW_ID) != 0)
     return body.toDF(*names, ROW_ID)
 
 
+def plain_decimal(number: Column) -> Column:
+    """A DOUBLE as text without an exponent: ``12000000.0``, ``0.5``."""
+    text = number.try_cast("decimal(38,10)").cast("string")
+    return F.coalesce(F.regexp_replace(text, r"(\.\d+?)0+$", "$1"), number.cast("string"))
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    out = df.select(*[plain_decimal(q.cast("double")).alias(c) if c in floats else q for c, q in zip(df.columns, quoted)])
+    out.write.mode("overwrite").options(header=True, emptyValue="", nullValue="", quote='"', escape='"').csv(path)
+
+
 def write_enriched(df: DataFrame, path: str, order_col: str = ROW_ID) -> None:
     """Write the enriched table as CSV in input order; NULL is written as ``''``.
 
     The global sort range-partitions the rows, and each partition writes one
     ordered part file, so the part files read in name order give the input
-    order; no task ever holds the whole table.
+    order; no task ever holds the whole table. Amounts are plain decimals.
     """
-    (
-        df.orderBy(order_col)
-        .drop(order_col)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("escape", '"')
-        .csv(path)
-    )
+    _write_csv(df.orderBy(order_col).drop(order_col), path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Any query result to CSV with a header."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").csv(path)
+    """Any query result to CSV with a header (S13): quotes doubled, amounts as
+    plain decimals, NULL as ``''``."""
+    _write_csv(df, path)

@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..operators import funding as FD
 from ..operators.enrich import company_rows, matched
+from ..operators.match import HOST_KEY
 
 
 def enrich_stream(
@@ -45,7 +46,8 @@ def enrich_stream(
 
     ``out_path/rows``: input columns + ``org_uuid``, company info, funding
     info, total. ``out_path/quarters``: ``(input columns…, quarter, amount)``
-    for quarters on the batch's axis. Reference tables are static inputs.
+    for every quarter with funding; :func:`read_quarters` keeps those on the
+    axis of all rows so far. Reference tables are static inputs.
     """
     src = (
         spark.readStream.schema(lookup_schema)
@@ -54,7 +56,9 @@ def enrich_stream(
     )
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        keyed, found = matched(batch, orgs, url_col, checkpoint=True)
+        batch = batch.persist()
+        keyed, found = matched(batch, orgs, url_col, checkpoint=False)
+        found = found.persist()  # read by both outputs; recomputed where an executor is lost
         ids = found.select("org_uuid").distinct()
         m_orgs = orgs.join(ids, "org_uuid", "left_semi")
         m_rounds = rounds.join(ids, "org_uuid", "left_semi")
@@ -64,26 +68,37 @@ def enrich_stream(
             .join(FD.funding_text(m_rounds, m_inv), "org_uuid", "left")
             .join(FD.total_funding(m_rounds), "org_uuid", "left")
         )
-        per_host = found.select("host", "org_uuid").join(per_org, "org_uuid")
-        rows = keyed.join(per_host, keyed["_host"] == per_host["host"], "left").drop("host", "_host", "founded")
-        rows = rows.withColumn("total_funding", F.col("total_funding").cast("double"))
+        info = ["org_uuid", "company_info", "funding_info", "total_funding"]
+        per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").selectExpr("host AS __rb_match", *[f"{c} AS __rb_{c}" for c in info])
+        own = [F.col(FD.quote(c)) for c in batch.columns]
+        rows = keyed.join(per_host, F.col(HOST_KEY) == F.col("__rb_match"), "left")
+        rows = rows.select(*own, *[F.col(f"__rb_{c}").alias(c) for c in info[:-1]], F.col("__rb_total_funding").cast("double").alias("total_funding"))
         # one folder per batch, overwritten on retry: exactly-once output
         rows.write.mode("overwrite").parquet(f"{out_path}/rows/batch_id={batch_id}")
-        axis = FD.axis_frame(m_orgs, as_of).select("quarter")
-        q = FD.quarterly_funding(m_rounds).join(axis, "quarter", "left_semi")
-        quarters = (
-            keyed.join(found.select(F.col("host").alias("_host"), "org_uuid"), "_host")
-            .join(q, "org_uuid")
-            .drop("_host")
-            .withColumn("amount", F.col("amount").cast("double"))
+        # every quarter is stored: which of them are on the axis depends on all
+        # batches' companies and is settled when the table is read
+        q = FD.quarterly_funding(m_rounds).select(F.col("org_uuid").alias("__rb_org"), F.col("quarter").alias("__rb_quarter"), F.col("amount").alias("__rb_amount"))
+        hosts = found.select(F.col("host").alias(HOST_KEY), F.col("org_uuid").alias("__rb_org"))
+        quarters = keyed.join(hosts, HOST_KEY).join(q, "__rb_org").select(
+            *own, F.col("__rb_org").alias("org_uuid"), F.col("__rb_quarter").alias("quarter"), F.col("__rb_amount").cast("double").alias("amount")
         )
         quarters.write.mode("overwrite").parquet(f"{out_path}/quarters/batch_id={batch_id}")
+        found.unpersist()
+        batch.unpersist()
 
     w = src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint_location)
     w = w.trigger(**trigger) if trigger else w.trigger(availableNow=True)
     return w.start()
 
 
+def read_quarters(spark: SparkSession, out_path: str, orgs: DataFrame, as_of: dt.date) -> DataFrame:
+    """The stored quarters on the axis of all companies matched so far: the same
+    rows however the input was cut into batches."""
+    ids = spark.read.parquet(f"{out_path}/rows").select("org_uuid").distinct()
+    axis = FD.axis_frame(orgs.join(ids, "org_uuid", "left_semi"), as_of).select("quarter")
+    return spark.read.parquet(f"{out_path}/quarters").join(axis, "quarter", "left_semi").drop("batch_id")
+
+
 def snapshot_stream(
     spark: SparkSession,
     landing: str,

@@ -101,15 +101,15 @@ def test_short_unicode_hosts(spark):
     assert got["ü"] == "o1" and got["xü"] == "o2" and "ö" not in got
 
 
-def test_hot_gram_is_salted(spark):
-    """A host whose every gram is common: its candidate join runs on (gram, salt)."""
-    from roundbook.operators.match import _org_grams, org_texts
+def test_hot_gram_moves_once(spark):
+    """A host whose every gram is common, and hosts that all end alike: the org
+    grams meet the chosen grams in one join, without a semi-join before it."""
     from roundbook.plans.checks import plan_text
 
     orgs = spark.range(3000).selectExpr(
         "concat('o', id) org_uuid", "concat('https://shop', id % 50, '.hotbrand.com/p', id) website",
         "cast(null as string) website_url")
-    hosts = spark.createDataFrame([("hotbrand.com",), ("shop7.hotbrand.com",)], "host string")
+    hosts = spark.createDataFrame([("hotbrand.com",), ("shop7.hotbrand.com",), ("nosuch.com",)], "host string")
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     for k in keys:
@@ -122,9 +122,22 @@ def test_hot_gram_is_salted(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     rows = [tuple(r) for r in orgs.collect()]
-    assert got == brute_force(["hotbrand.com", "shop7.hotbrand.com"], rows)
-    import re
+    assert got == brute_force(["hotbrand.com", "shop7.hotbrand.com", "nosuch.com"], rows)
+    assert "LeftSemi" not in plan and "salt" not in plan
 
-    assert re.search(r"hashpartitioning\(gram#\d+, salt#\d+", plan)  # joins keyed by (gram, salt)
-    salts = _org_grams(org_texts(orgs), 4, 16).where("gram = 'hotb'").select("salt").distinct().count()
-    assert salts > 8  # the hot gram's rows are spread over many salts
+
+def test_index_spreads_a_hot_gram(spark, tmpdir_path):
+    from roundbook.operators.match import build_url_index
+
+    orgs = spark.range(600).selectExpr("concat('o', id) org_uuid", "concat('https://s', id, '.hotbrand.com/') website", "cast(null as string) website_url")
+    index = build_url_index(orgs, "hot_index", tmpdir_path, num_buckets=4, salts=16)
+    assert index.grams(spark).where("gram = 'hotb'").select("salt").distinct().count() > 8
+    got = {r["host"]: r["org_uuid"] for r in match_hosts(spark.createDataFrame([("hotbrand.com",)], "host string"), orgs, index=index).collect()}
+    assert got == {"hotbrand.com": "o0"}
+
+
+def test_a_lookup_column_named_host_stays(spark):
+    lookup = spark.createDataFrame([(1, "mine", "https://a.io/x"), (2, "own", None)], "row_id int, Host string, url string")
+    orgs = spark.createDataFrame([("o1", "http://a.io", None)], "org_uuid string, website string, website_url string")
+    got = [tuple(r) for r in match_urls(lookup, orgs).orderBy("row_id").collect()]
+    assert got == [(1, "mine", "https://a.io/x", "a.io", "o1"), (2, "own", None, None, None)]

@@ -186,3 +186,60 @@ def test_import_export_end_to_end(spark, zips, tmpdir_path):
     assert got["organizations"] == ("ok", 2, dt.date(2024, 6, 30))
     orgs = IN.latest_snapshot(IN.read_table(spark, wh, "organizations"))
     assert sorted(r["org_uuid"] for r in orgs.collect()) == ["u1", "u2"]
+
+
+def test_lookup_keeps_every_cell_and_name(spark, tmpdir_path):
+    from roundbook.operators.enrich import enrich
+
+    long_row = ",".join(f"x{i}" for i in range(120))
+    p = _write(os.path.join(tmpdir_path, "wide.csv"), f'Name,URL,url\nA,a.com,b,extra1,"ex ""2"""\nB,b.com\n{long_row}\n')
+    lk = read_lookup(spark, p)
+    assert lk.columns[:5] == ["Name", "URL", "url_2", "Column_4", "Column_5"] and len(lk.columns) == 121
+    rows = [tuple(r) for r in lk.orderBy("__row_id").collect()]
+    assert rows[0][:6] == ("A", "a.com", "b", "extra1", 'ex "2"', None) and rows[2][:120] == tuple(f"x{i}" for i in range(120))
+    folder = os.path.join(tmpdir_path, "two")
+    os.makedirs(folder)
+    for n in "ab":
+        _write(os.path.join(folder, f"{n}.csv"), "Name,URL\nA,a.com\n")
+    with pytest.raises(ValueError):
+        read_lookup(spark, folder)
+
+
+def test_money_and_quotes_survive_the_sinks(spark, tmpdir_path):
+    import csv
+
+    from roundbook.sources.lookup import export_csv
+
+    df = spark.createDataFrame([(0, 'say "hi", ok', 12000000.0), (1, None, 0.5), (2, "x", None), (3, "y", 1234567890123.25)], "__row_id long, t string, total double")
+    for write, name in ((write_enriched, "w"), (export_csv, "e")):
+        out = os.path.join(tmpdir_path, name)
+        write(df, out)
+        got = []
+        for f in sorted(x for x in os.listdir(out) if x.endswith(".csv")):
+            with open(os.path.join(out, f), newline="") as fh:
+                got += [r[-2:] for r in csv.reader(fh)][1:]
+        assert sorted(got) == sorted([['say "hi", ok', "12000000.0"], ["", "0.5"], ["x", ""], ["y", "1234567890123.25"]])
+
+
+def test_broken_archive_and_bad_values_are_reported(spark, zips, tmpdir_path):
+    res = IN.import_export(spark, zips, os.path.join(tmpdir_path, "csv"), None, os.path.join(tmpdir_path, "wh"), dt.date(2024, 1, 2))
+    failed = {r["table"]: r["error"] for r in res.collect() if r["status"] == "failed"}
+    assert failed and all(failed.values())
+    p = _write(os.path.join(tmpdir_path, "investments.csv"), "funding_round_identifier.uuid,investor_identifier.value,is_lead_investor,money_invested.value_usd\nr1,Zed,true,abc\nr2,Abe,perhaps,5\nr3,Bo,,\n")
+    row = IN.import_snapshot(spark, {"investments": p}, os.path.join(tmpdir_path, "wh2"), dt.date(2024, 1, 2)).first()
+    assert (row["status"], row["rows"], row["malformed"]) == ("ok", 3, 2)
+
+
+def test_registered_collections(spark, tmpdir_path):
+    wh = os.path.join(tmpdir_path, "wh")
+    for day, n in ((1, 3), (2, 5)):
+        for name in ("organizations", "people"):
+            IN.write_snapshot(spark.range(n).withColumnRenamed("id", "n"), f"{wh}/{name}", dt.date(2024, 1, day))
+    assert IN.snapshot_dates(spark, wh, "people") == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert sorted(IN.register_collections(spark, wh)) == ["organizations", "people"]
+    assert spark.sql("SELECT count(*) FROM organizations").first()[0] == 5
+    IN.register_collections(spark, wh, "2024-01-01")
+    assert spark.sql("SELECT count(*) FROM people").first()[0] == 3
+    IN.register_collections(spark, wh, None)
+    assert spark.sql("SELECT count(*) FROM people").first()[0] == 8
+    assert {r["table_name"]: r["n_rows"] for r in IN.warehouse_counts(spark, wh).collect()} == {"organizations": 5, "people": 5}

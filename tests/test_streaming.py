@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roundbook.streaming.incremental import enrich_stream, snapshot_stream
+from roundbook.streaming.incremental import enrich_stream, read_quarters, snapshot_stream
 from test_enrich_golden import AS_OF, golden  # noqa: F401  (fixture)
 
 
@@ -60,3 +60,19 @@ def test_enrich_stream_restart_is_exactly_once(spark, golden, tmpdir_path):  # n
     with open(os.path.join(landing, "b.csv"), "w") as f:
         f.write("Name,Website\nB,gamma.dev\n")
     assert run() == ["A", "B"]  # only the new file
+
+
+def test_quarters_do_not_depend_on_the_batches(spark, golden, tmpdir_path):  # noqa: F811
+    orgs, rounds, inv, _ = golden
+    schema = T.StructType([T.StructField("Name", T.StringType()), T.StructField("Website", T.StringType())])
+    lines = ["A,alpha.com", "B,https://www.beta.io/", "G,gamma.dev"]
+    seen = []
+    for run, files in (("one", [lines]), ("each", [[x] for x in lines])):
+        landing, out, ckpt = (os.path.join(tmpdir_path, run, d) for d in ("landing", "out", "ckpt"))
+        os.makedirs(landing)
+        for i, own in enumerate(files):
+            with open(os.path.join(landing, f"{i}.csv"), "w") as f:
+                f.write("Name,Website\n" + "\n".join(own) + "\n")
+            enrich_stream(spark, landing, schema, "Website", orgs, rounds, inv, AS_OF, out, ckpt).awaitTermination(300)
+        seen.append(sorted(tuple(r) for r in read_quarters(spark, out, orgs, AS_OF).select("Name", "quarter", "amount").collect()))
+    assert seen[0] == seen[1] and seen[0]
