@@ -137,7 +137,9 @@ def audit_archives(
 
     Columns: ``collection, display_name, path, size, size_text, expected_size,
     status, issue``. ``status`` is ``valid``, ``corrupted`` or
-    ``missing_or_empty``. The quick check opens the archive and requires at
+    ``missing_or_empty``; ``issue`` a code (``missing``, ``bad_format``,
+    ``no_entries``, ``unreadable``, ``crc``, ``size``) with its detail behind a
+    colon. The quick check opens the archive and requires at
     least one entry; ``full=True`` also verifies every member's CRC (a
     damaged member is reported, not ignored). The size is compared with the
     manifest's ``content_length`` when that is known (blank = not checked).
@@ -147,25 +149,22 @@ def audit_archives(
     listing = list_archives(spark, zip_folder).join(expected.select("collection"), "collection", "left_semi")
     n = num_tasks or max(1, spark.sparkContext.defaultParallelism)
 
-    def check(batches):
+    def problem(path: str) -> str | None:
+        """The issue code of one archive, with its detail; None for a sound one."""
         import zipfile
 
+        if not zipfile.is_zipfile(path):
+            return "bad_format"
+        try:
+            with zipfile.ZipFile(path) as archive:
+                damaged = archive.testzip() if full else None
+                return "no_entries" if not archive.infolist() else damaged and f"crc:{damaged}"
+        except (zipfile.BadZipFile, OSError, RuntimeError, NotImplementedError) as e:
+            return f"unreadable:{e}"
+
+    def check(batches):
         for pdf in batches:
-            issues = []
-            for path in pdf["path"]:
-                try:
-                    with zipfile.ZipFile(_local(path)) as zf:
-                        if not zf.namelist():
-                            issues.append("ZIP file has no entries")
-                        elif full:
-                            bad = zf.testzip()
-                            issues.append(None if bad is None else f"CRC check failed for member {bad}")
-                        else:
-                            issues.append(None)
-                except zipfile.BadZipFile:
-                    issues.append("Invalid ZIP file format")
-                except Exception as e:
-                    issues.append(f"Error reading ZIP: {e}")
+            issues = [problem(_local(path)) for path in pdf["path"]]
             yield pd.DataFrame({"collection": pdf["collection"], "zip_issue": issues})
 
     checked = listing.select("collection", "path").repartition(n, "collection").mapInPandas(
@@ -182,10 +181,9 @@ def audit_archives(
     rows = expected.join(files, "collection", "left").join(m, "collection", "left")
     size_issue = F.when(
         F.col("expected_size").isNotNull() & (F.col("size") != F.col("expected_size")),
-        F.concat(F.lit("Size mismatch: expected "), F.col("expected_size").cast("string"),
-                 F.lit(" bytes, got "), F.col("size").cast("string"), F.lit(" bytes")),
+        F.concat_ws(":", F.lit("size"), "expected_size", "size"),
     )
-    issue = F.when(F.col("path").isNull(), F.lit("File missing or empty")).otherwise(F.coalesce("zip_issue", size_issue))
+    issue = F.when(F.col("path").isNull(), F.lit("missing")).otherwise(F.coalesce("zip_issue", size_issue))
     status = (
         F.when(F.col("path").isNull(), F.lit("missing_or_empty"))
         .when(issue.isNull(), F.lit("valid"))

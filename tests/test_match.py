@@ -1,5 +1,7 @@
 """URL matching (J1) against a brute-force nested loop, plus plan checks."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -7,7 +9,6 @@ from roundbook.functions.urls import lookup_host
 from roundbook.operators.match import match_hosts, match_urls
 from roundbook.plans.checks import assert_no_nested_loop, assert_no_python_udf
 from roundbook.sources import testviews as TV
-from test_functions import py_normalize
 
 
 def brute_force(hosts, orgs):
@@ -20,7 +21,7 @@ def brute_force(hosts, orgs):
         for uuid, w, wu in orgs:
             texts = [t.lower() for t in (w, wu) if t is not None]
             if any(h in t for t in texts):
-                rank = 0 if any(py_normalize(t) == h for t in texts) else 1
+                rank = 0 if any(re.fullmatch(r"(https?://)?(www\.)?" + re.escape(h) + "(/.*)?", t, re.DOTALL) for t in texts) else 1
                 cand = (rank, uuid)
                 best = cand if best is None or cand < best else best
         if best:

@@ -115,15 +115,15 @@ def test_audit_archives(spark, zips, tmpdir_path):
     p = _write(os.path.join(tmpdir_path, "manifest.json"), json.dumps(m))
     quick = {r["collection"]: r for r in AR.audit_archives(spark, zips, IN.read_manifest(spark, p)).collect()}
     assert len(quick) == len(COLLECTIONS)
-    assert quick["organizations"]["status"] == "corrupted" and "Size mismatch" in quick["organizations"]["issue"]
+    assert quick["organizations"]["status"] == "corrupted" and quick["organizations"]["issue"].startswith("size:1:")
     assert quick["investments"]["status"] == "valid"  # blank manifest size is not checked
     assert quick["funding_rounds"]["status"] == "valid"  # quick mode skips CRC
-    assert quick["jobs"]["issue"] == "Invalid ZIP file format"
-    assert quick["people"]["issue"] == "ZIP file has no entries"
+    assert quick["jobs"]["issue"] == "bad_format"
+    assert quick["people"]["issue"] == "no_entries"
     assert quick["layoffs"]["status"] == "missing_or_empty"
     assert quick["acquisitions"]["status"] == "missing_or_empty"
     full = {r["collection"]: r for r in AR.audit_archives(spark, zips, full=True).collect()}
-    assert full["funding_rounds"]["status"] == "corrupted" and "CRC" in full["funding_rounds"]["issue"]
+    assert full["funding_rounds"]["status"] == "corrupted" and full["funding_rounds"]["issue"] == "crc:funding_rounds.csv"
     assert full["organizations"]["status"] == "valid"
 
 
