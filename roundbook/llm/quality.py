@@ -111,19 +111,22 @@ def _bin(score: np.ndarray) -> np.ndarray:
     return np.clip((score - LOW) / (HIGH - LOW) * BINS, 0, BINS - 1).astype(int)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, ...]:
-    """Means, deviations, ridge weights and calibrated bins from ``docs``
-    (doc_id, text) and ``labels``. Labels of ids whose crc32 as text leaves 0
+def described(docs: DataFrame) -> DataFrame:
+    """(doc_id, x): the statistics of every row's whole text, worked out once."""
+
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([statistics(t) for t in texts])
+
+    return written(docs.select("doc_id", F.pandas_udf(of, "array<double>")("text").alias("x")), "statistics")
+
+
+def fit(rows: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[np.ndarray, ...]:
+    """Means, deviations, ridge weights and calibrated bins from ``rows``
+    (doc_id, x) and ``labels``. Labels of ids whose crc32 as text leaves 0
     modulo 5 are not read; remainder 1 calibrates, the others fit the weights."""
     fold = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5).cast("int")
     known = labels.filter(F.col(label).isin(0, 1) & (fold != 0)).groupBy("doc_id").agg(F.max(label).alias("y"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").select("text", F.col("y").cast("double").alias("y"), fold.alias("fold"))
-
-    def shaped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({"x": [statistics(t) for t in pdf["text"].tolist()], "y": pdf["y"], "fold": pdf["fold"]})
-
-    seen = written(rows.mapInPandas(shaped, "x array<double>, y double, fold int"), "statistics")
+    seen = written(rows.join(known, "doc_id").select("x", F.col("y").cast("double").alias("y"), fold.alias("fold")), "training")
     k, m = N_STATISTICS, COMPONENTS + 1
 
     def moments(pdf: pd.DataFrame) -> np.ndarray:
@@ -160,19 +163,18 @@ def mapped(x: np.ndarray, mean: np.ndarray, dev: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = 0.3) -> DataFrame:
-    """``docs`` with ``_score`` (probability of label 1) and ``_good`` (0/1).
+    """Per row of ``docs``: doc_id, _score (probability of label 1), _good (0/1).
 
     Null, empty and blank texts have the statistics 0 and a score like any
     other; repeated rows score alike; labels that are null or not 0/1 are
-    ignored, and without any label all scores are 0.5. Other columns pass
-    through.
+    ignored, and without any label all scores are 0.5. Other columns are not
+    read.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = described(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
     mean, dev, weights, calibrated = fit(rows, labels, label)
 
-    def of(texts: pd.Series) -> pd.Series:
-        x = np.array([statistics(t) for t in texts], float).reshape(-1, N_STATISTICS)
-        return pd.Series(calibrated[_bin(mapped(x, mean, dev) @ weights)])
+    def of(x: pd.Series) -> pd.Series:
+        return pd.Series(calibrated[_bin(mapped(np.array(x.tolist(), float).reshape(-1, N_STATISTICS), mean, dev) @ weights)])
 
-    scored = docs.withColumn("_score", F.pandas_udf(of, "double")(F.col(text)))
+    scored = rows.select("doc_id", F.pandas_udf(of, "double")("x").alias("_score"))
     return scored.withColumn("_good", (F.col("_score") >= threshold).cast("int"))
