@@ -94,3 +94,34 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest of all embeddings, for every id divisible by 100."""
     rows = table(spark, sf_dir, "embeddings")
     return ann.search(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
+# Words of op5 and op6, and their windows, as DuckDB lists.
+ORACLE["op5_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+       FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized) x),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM sized) l WHERE len(w) >= n) x),
+m AS (SELECT doc_id, n, i, item_id FROM dw JOIN bw USING (n, s)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM m) x GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM m) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits ON d.doc_id = hits.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
+ORACLE["op6_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d) x),
+rep AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 35)) AS p FROM win WHERE s IN (SELECT s FROM rep)) x),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT words.doc_id, count(hit.p) AS n_removed, string_agg(x, ' ' ORDER BY words.p) FILTER (WHERE hit.p IS NULL) AS t
+         FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id AND words.p = hit.p GROUP BY words.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
