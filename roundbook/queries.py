@@ -19,7 +19,7 @@ from .functions import text as TX
 from .functions.urls import lookup_host, normalize_url
 from .operators import analytics as AN
 from .operators import funding as FD
-from .operators.enrich import company_rows, enrich, enrich_long, matched
+from .operators.enrich import company_rows, enrich, enrich_long
 from .operators.match import match_hosts, match_urls
 from .operators.report import company_report
 from .sources import testviews as TV
@@ -575,8 +575,8 @@ def q_enrich(spark, sf_dir):
     return out.withColumnRenamed("__row_id", "row_id")
 
 
-def _o_enrich() -> str:
-    axis = _axis_labels(1900, AS_OF)
+def _o_enrich(since: int = 1900, own: str = "l.company, l.website") -> str:
+    axis = _axis_labels(since, AS_OF)
     qcols = ", ".join(f"CAST(p.\"{q}\" AS DOUBLE) AS \"{q}\"" for q in axis)
     pcols = ", ".join(f"sum(amount) FILTER (WHERE quarter = '{q}') AS \"{q}\"" for q in axis)
     return (
@@ -591,7 +591,7 @@ qpivot AS (SELECT org_uuid, {pcols} FROM quarterly GROUP BY org_uuid),
 info AS (SELECT org_uuid, {_COMPANY_INFO} AS company_info FROM organizations),
 total AS (SELECT org_uuid, sum(CASE WHEN {_nonzero('amount_usd')} THEN amount_usd END) AS s
           FROM funding_rounds GROUP BY org_uuid)
-SELECT l.row_id, l.company, l.website,
+SELECT l.row_id, {own},
        i.company_info AS "Company Information",
        ft.funding_info AS "Investment Rounds and Funding Information",
        CAST(CASE WHEN tt.s <> 0 THEN tt.s END AS DOUBLE) AS "Total Funding to Date",
@@ -680,7 +680,93 @@ FROM best b JOIN (
 )
 
 
+def _report(spark, sf_dir, part: str) -> DataFrame:
+    t = _t(spark, sf_dir)
+    return company_report(t["lookup"], t["organizations"], t["funding_rounds"], url_col="website", parts=(part,))[part]
+
+
+def q_company_report_companies(spark, sf_dir):
+    return _report(spark, sf_dir, "companies")
+
+
+O_COMPANY_REPORT_COMPANIES = (
+    "WITH "
+    + _match_cte("lookup", "website", "organizations")
+    + f"""
+SELECT b.host, b.org_uuid, o.name, coalesce(CASE WHEN {_nonblank('o.website')} THEN o.website END, o.website_url) AS website
+FROM best b JOIN organizations o ON b.org_uuid = o.org_uuid"""
+)
+
+
+def q_company_report_by_type(spark, sf_dir):
+    out = _report(spark, sf_dir, "by_type")
+    return out.select("host", "org_uuid", "investment_type", F.col("n_rounds").cast("bigint").alias("n_rounds"),
+                      F.col("type_rank").cast("bigint").alias("type_rank"))
+
+
+O_COMPANY_REPORT_BY_TYPE = (
+    "WITH "
+    + _match_cte("lookup", "website", "organizations")
+    + f""",
+t AS ({O_ROUNDS_BY_TYPE})
+SELECT b.host, t.org_uuid, t.investment_type, t.n_rounds, t.type_rank FROM best b JOIN t ON b.org_uuid = t.org_uuid"""
+)
+
+
+def q_enrich_since(spark, sf_dir):
+    """Enrichment from a given year on, of a list with columns named like working ones."""
+    t = _t(spark, sf_dir)
+    lk = t["lookup"].selectExpr("row_id AS __row_id", "website AS Website", "company AS Founded", "row_id AS Host", "upper(company) AS Total_Funding")
+    out = enrich(lk, t["organizations"], t["funding_rounds"], t["investments"], AS_OF, oldest_year=AXIS_SINCE)
+    return out.withColumnRenamed("__row_id", "row_id")
+
+
+def q_investor_portfolio_newest(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    return AN.investor_portfolio(t["investments"], t["funding_rounds"], t["organizations"], INVESTOR_TEXT, k=10)
+
+
+O_INVESTOR_PORTFOLIO_NEWEST = O_INVESTOR_PORTFOLIO + "\nORDER BY announced_on DESC NULLS LAST, r.round_uuid, i.investor_name LIMIT 10"
+
+
+def q_rounds_by_uuid_else_name(spark, sf_dir):
+    t = _t(spark, sf_dir)
+    orgs = t["organizations"].withColumn("org_uuid", F.when(F.col("num_funding_rounds") % 2 == 0, F.col("org_uuid")))
+    orgs = orgs.where(F.col("categories") == CATEGORY)
+    return FD.rounds_for(orgs, t["funding_rounds"], by="uuid_else_name").select("round_uuid", "org_uuid", "org_name")
+
+
+O_ROUNDS_BY_UUID_ELSE_NAME = f"""
+WITH o AS (SELECT CASE WHEN num_funding_rounds % 2 = 0 THEN org_uuid END AS org_uuid, name
+           FROM organizations WHERE categories = '{CATEGORY}')
+SELECT round_uuid, org_uuid, org_name FROM funding_rounds
+WHERE org_uuid IN (SELECT org_uuid FROM o WHERE org_uuid IS NOT NULL)
+   OR org_name IN (SELECT name FROM o WHERE org_uuid IS NULL)"""
+
+
+def q_match_short_urls(spark, sf_dir):
+    """Hosts of one to three characters, ASCII and not, against URLs with letters of four languages."""
+    start = F.regexp_replace(F.substring("text", 1, 12), r"[^\p{L}]", "")
+    docs = _t(spark, sf_dir)["documents"].select(F.col("doc_id").cast("string").alias("org_uuid"), start.alias("s"), "doc_id")
+    orgs = docs.select("org_uuid", F.concat(F.lit("https://"), "s", F.lit(".io/")).alias("website"), F.lit(None).cast("string").alias("website_url"))
+    hosts = docs.select(lookup_host(F.expr("substring(s, 1, int(1 + doc_id % 3))")).alias("host"))
+    return match_hosts(hosts, orgs).select("host", "org_uuid")
+
+
+O_MATCH_SHORT_URLS = """WITH docs AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS org_uuid, regexp_replace(substring(text, 1, 12), '[^\\p{L}]', '', 'g') AS s FROM documents),
+short_orgs AS (SELECT org_uuid, 'https://' || s || '.io/' AS website, CAST(NULL AS VARCHAR) AS website_url FROM docs),
+short_lookup AS (SELECT substring(s, 1, CAST(1 + doc_id % 3 AS INTEGER)) AS url FROM docs),
+""" + _match_cte("short_lookup", "url", "short_orgs") + "\nSELECT host, org_uuid FROM best"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "company_report_companies": q_company_report_companies,
+    "company_report_by_type": q_company_report_by_type,
+    "enrich_since": q_enrich_since,
+    "investor_portfolio_newest": q_investor_portfolio_newest,
+    "rounds_by_uuid_else_name": q_rounds_by_uuid_else_name,
+    "match_short_urls": q_match_short_urls,
     "normalize_url": q_normalize_url,
     "match_urls": q_match_urls,
     "match_urls_outer": q_match_urls_outer,
@@ -753,9 +839,21 @@ _VIEWS_FOR = {
     "latest_snapshot": [],
     "quarter_axis_since": ["organizations"],
     "company_report_summary": ["lookup", "organizations", "funding_rounds"],
+    "company_report_companies": ["lookup", "organizations"],
+    "company_report_by_type": ["lookup", "organizations", "funding_rounds"],
+    "enrich_since": ["lookup", "organizations", "funding_rounds", "investments"],
+    "investor_portfolio_newest": ["organizations", "funding_rounds", "investments"],
+    "rounds_by_uuid_else_name": ["organizations", "funding_rounds"],
+    "match_short_urls": [],
 }
 
 _RAW_ORACLE = {
+    "company_report_companies": O_COMPANY_REPORT_COMPANIES,
+    "company_report_by_type": O_COMPANY_REPORT_BY_TYPE,
+    "enrich_since": _o_enrich(AXIS_SINCE, 'l.website AS "Website", l.company AS "Founded", l.row_id AS "Host", upper(l.company) AS "Total_Funding"'),
+    "investor_portfolio_newest": O_INVESTOR_PORTFOLIO_NEWEST,
+    "rounds_by_uuid_else_name": O_ROUNDS_BY_UUID_ELSE_NAME,
+    "match_short_urls": O_MATCH_SHORT_URLS,
     "normalize_url": O_NORMALIZE_URL,
     "match_urls": O_MATCH_URLS,
     "match_urls_outer": O_MATCH_URLS_OUTER,

@@ -82,11 +82,6 @@ TYPES: dict[str, dict[str, T.DataType]] = {
 }
 
 
-def domain_schema(collection: str) -> T.StructType:
-    """Schema of a documented collection in build (snake_case) names."""
-    return T.StructType([T.StructField(n, t, True) for n, t in TYPES[collection].items()])
-
-
 def source_schema(collection: str, header: list[str]) -> T.StructType:
     """Read schema for a CSV whose header is ``header`` (source names).
 

@@ -23,7 +23,7 @@ SELECT CAST(c.c_custkey AS STRING) AS org_uuid,
             ELSE concat('https://www.cust', CAST(c.c_custkey AS STRING), '.example.com/') END AS website,
        CASE WHEN c.c_custkey % 3 = 0
             THEN concat('http://cust', CAST(c.c_custkey AS STRING), '.example.com/home') END AS website_url,
-       CAST(NULL AS STRING) AS description,
+       CASE WHEN c.c_custkey % 6 = 1 THEN concat('About ', c.c_name) END AS description,
        concat(c.c_mktsegment, ' company in ', n.n_name) AS short_description,
        CASE WHEN c.c_custkey % 11 = 0 THEN NULL
             ELSE DATE '1995-01-01' + CAST(c.c_custkey % 700 AS INTEGER) END AS founded_on,
@@ -31,10 +31,10 @@ SELECT CAST(c.c_custkey AS STRING) AS org_uuid,
        r.r_name AS category_groups,
        n.n_name AS location,
        CASE WHEN c.c_acctbal > 5000 THEN 'late_stage' WHEN c.c_acctbal > 0 THEN 'early_stage' END AS funding_stage,
-       CAST(NULL AS STRING) AS investor_stage,
+       CASE WHEN c.c_custkey % 9 = 2 THEN 'Seed' END AS investor_stage,
        CAST(nullif(round(c.c_acctbal), 0) AS DECIMAL(20,2)) AS funding_total_usd,
        CAST(c.c_nationkey AS BIGINT) AS num_funding_rounds,
-       CAST(NULL AS BIGINT) AS num_investors
+       CAST(c.c_custkey % 4 AS BIGINT) AS num_investors
 FROM customer c
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -113,9 +113,3 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         df.createOrReplaceTempView(name)
         out[name] = df
     return out
-
-
-def with_views(sql: str, views: list[str]) -> str:
-    """Prefix ``sql`` with the given view definitions as CTEs (for the oracle)."""
-    ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v]})" for v in views)
-    return f"WITH {ctes}\n{sql}"
