@@ -7,10 +7,11 @@ from continuation counts over all documents, and is what a rare expression
 falls back to. A word starts from its own beginning, so an expression is judged
 wherever it stands.
 
-A text is judged by length-normalised log-likelihood ratios (toxic over
-ordinary, per character): of the whole text and of its strongest words. A
-logistic curve, fitted on training rows that gave no counts, turns them into a
-probability.
+A text is judged by its words' log-likelihood ratios (toxic over ordinary):
+their mean over the text, which is the ratio normalised by length, the
+strongest, and the numbers of strong ones in proportion to the text's length.
+A logistic curve, fitted on training rows that gave no counts, turns them into
+a probability.
 
 Labels come from a bounded sample of the labelled rows (``MAX_LABELLED``, all
 of them up to that number), which bounds the class counts and the broadcast
@@ -34,7 +35,10 @@ TOP, SHARED, DISCOUNT = 6, 3, 0.75
 MAX_LABELLED = 200_000
 #: Words whose ratio a Python worker keeps; at that number the table starts anew.
 KEPT_WORDS = 500_000
-FEATURES = 5
+#: Word ratios that the strong words of a text are counted above, and the
+#: number of words below which a text counts as that long.
+ABOVE, FEWEST = (2.0, 3.0, 4.0, 6.0), 30
+FEATURES = 5 + len(ABOVE)
 _WORDS = re.compile(r"[^\W\d_]+")
 _PAD = " " * (TOP - 1)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -213,18 +217,20 @@ class Ratios(dict):
         self.update(zip(new, np.bincount(which, weights=ratio, minlength=len(new)).tolist()))
 
     def features(self, texts: list) -> np.ndarray:
-        """Per text: mean ratio per character, mean ratios per character of the
-        strongest word and of the second (0 where missing), the part of the
-        characters in words above even odds, and their mean surplus."""
-        lists = [words_of(t) for t in texts]
-        self.learn(set().union(*lists) if lists else set())
+        """Per text, over its different words (so that a repeated word counts
+        once): mean ratio per word, the three highest, how many exceed each of
+        ``ABOVE`` (logarithms), and the logarithm of the number of words, by
+        which the curve puts those counts in proportion."""
+        lists = [sorted(set(words_of(t))) for t in texts]
+        self.learn(set().union(*lists))
         out = np.zeros((len(texts), FEATURES))
+        out[:, -1] = np.log(FEWEST)
         for row, words in zip(out, lists):
             if words:
-                r = np.fromiter(map(self.__getitem__, words), float, len(words))
-                n = np.fromiter(map(len, words), float, len(words)) + 1
-                strong = np.sort(r)[::-1]
-                row[:] = r.sum() / n.sum(), strong[0], strong[1] if len(r) > 1 else 0.0, n[r > 4].sum() / n.sum(), r[r > 4].sum() / n.sum()
+                r = np.sort(np.fromiter(map(self.__getitem__, words), float, len(words)))[::-1]
+                top = np.zeros(3)
+                top[: len(r)] = r[:3]
+                row[:] = r.mean(), *top, *(np.log1p((r > t).sum()) for t in ABOVE), np.log(max(FEWEST, len(r)))
         return out
 
 
