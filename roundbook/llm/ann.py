@@ -26,6 +26,8 @@ from .common import written
 
 SAMPLE, BRANCHES, LEAF_ROWS = 20_000, 8, 512
 CALIBRATION, RECALL = 200, 0.97
+#: Leaves of a query that are searched before the others, for a bound.
+FIRST_VISITS = 8
 #: Rows and queries that meet in one task at most, on average.
 TILE_ROWS, TILE_QUERIES = 2048, 512
 FOUND = "query_id long, vec_id long, score double"
@@ -120,9 +122,11 @@ def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """Rows (vec_id, v) whose vector is neither null nor zero and has only finite components."""
+    """Rows (vec_id, v) whose vector is neither null nor zero and has only finite
+    components; rows that repeat an id are one, with the smallest vector."""
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
-    return rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda c: c != 0))
+    good = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda c: c != 0))
+    return good.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -163,7 +167,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
 
     Null, zero and non-finite vectors take no part on either side, nor do
     vectors of another length than the smallest id's. Fewer rows than ``k`` are
-    all returned; ties go to the smaller id; equal vectors share a leaf. No
+    all returned; rows that repeat an id count once; ties go to the smaller id; equal vectors share a leaf. No
     rows or no queries give no rows; other columns are not read.
     """
     spark = vectors.sparkSession
@@ -190,25 +194,36 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
             for one, v in zip(pdf["query_id"].tolist(), pdf["q"]):
                 seen = had = 0
                 for leaf in sent.value.best_bins(np.asarray(v, np.float64)):
-                    out.append((one, v, leaf))
+                    out.append((one, v, leaf, seen))
                     seen, had = seen + 1, had + sizes.get(leaf, 0)
                     if seen >= visits and had > k:
                         break
-            yield pd.DataFrame(out, columns=["query_id", "q", "leaf"])
-
-    own = usable(queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")))
-    own = own.filter(F.size("v") == first).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    asked = written(own.mapInPandas(visit, "query_id long, q array<double>, leaf long"), "visits")
-    blocks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("qb"))
-    shape = spark.createDataFrame([(leaf, -(-c // TILE_ROWS)) for leaf, c in sizes.items()], "leaf long, rb int").join(blocks, "leaf")
-    deal = lambda df, key, by, over: df.join(shape, "leaf").withColumn("i", F.expr(f"int(pmod(xxhash64({key}), {by}))")).withColumn("j", F.explode(F.expr(f"sequence(0, {over} - 1)")))
-    tiles = deal(indexed, "vec_id", "rb", "qb").select("leaf", F.col("i").alias("r"), F.col("j").alias("b"), "vec_id", "v")
-    wanted = deal(asked, "query_id", "qb", "rb").select("leaf", F.col("j").alias("r"), F.col("i").alias("b"), "query_id", "q")
+            yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "visit"])
 
     def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return nearest(q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k)
+        got = nearest(q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k)
+        return got[got["score"].to_numpy() <= got["query_id"].map(dict(zip(q["query_id"], q["bound"]))).to_numpy()]
+
+    def met(asked: DataFrame, bounds: DataFrame | None) -> DataFrame:
+        """Each query's nearest rows in each tile of the leaves it visits, as far as its bound."""
+        blocks = asked.groupBy("leaf").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("qb"))
+        shape = spark.createDataFrame([(leaf, -(-c // TILE_ROWS)) for leaf, c in sizes.items()], "leaf long, rb int").join(blocks, "leaf")
+        deal = lambda df, key, by, over: df.join(shape, "leaf").withColumn("i", F.expr(f"int(pmod(xxhash64({key}), {by}))")).withColumn("j", F.explode(F.expr(f"sequence(0, {over} - 1)")))
+        tiles = deal(indexed, "vec_id", "rb", "qb").select("leaf", F.col("i").alias("r"), F.col("j").alias("b"), "vec_id", "v")
+        if bounds is not None:
+            asked = asked.join(bounds, "query_id", "left")
+        bound = F.lit(float("inf")) if bounds is None else F.coalesce("bound", F.lit(float("inf")))
+        wanted = deal(asked, "query_id", "qb", "rb").select("leaf", F.col("j").alias("r"), F.col("i").alias("b"), "query_id", "q", bound.alias("bound"))
+        return tiles.groupBy("leaf", "r", "b").cogroup(wanted.groupBy("leaf", "r", "b")).applyInPandas(meet, FOUND)
 
-    found = tiles.groupBy("leaf", "r", "b").cogroup(wanted.groupBy("leaf", "r", "b")).applyInPandas(meet, FOUND)
-    return _top(found, k).select("query_id", "rank", "vec_id", "score")
+    own = usable(queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")))
+    own = own.filter(F.size("v") == first).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    asked = written(own.mapInPandas(visit, "query_id long, q array<double>, leaf long, visit int"), "visits")
+    # The first leaves bound each query's k-th distance; the others then give
+    # back only rows within it.
+    near = written(met(asked.filter(F.col("visit") < FIRST_VISITS), None), "near")
+    bounds = _top(near, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+    far = met(asked.filter(F.col("visit") >= FIRST_VISITS), bounds)
+    return _top(near.unionByName(far), k).select("query_id", "rank", "vec_id", "score")

@@ -50,7 +50,7 @@ def test_search(spark, vectors, monkeypatch):
 
 
 def test_search_of_few_and_none(spark):
-    df = spark.createDataFrame([(0, [1.0, 2.0]), (100, [1.0, 2.0]), (7, [4.0, 6.0])], "vec_id long, embedding array<double>")
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (100, [1.0, 2.0]), (7, [4.0, 6.0]), (100, [1.0, 2.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in ann.search(df, df.filter("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 100, 0.0), (0, 2, 7, 5.0), (100, 1, 0, 0.0), (100, 2, 7, 5.0)]
     assert ann.search(df.limit(0), df).count() == 0
