@@ -34,7 +34,9 @@ from .common import mix64, read_parquet, shared_path, uri, written
 TOP, SHARED, DISCOUNT = 6, 3, 0.75
 MAX_LABELLED = 200_000
 #: Words whose ratio a Python worker keeps; at that number the table starts anew.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
+#: Texts whose words are held at a time.
+CHUNK = 200
 #: Word ratios that the strong words of a text are counted above, and the
 #: number of words below which a text counts as that long.
 ABOVE, FEWEST = (2.0, 3.0, 4.0, 6.0), 30
@@ -221,16 +223,17 @@ class Ratios(dict):
         once): mean ratio per word, the three highest, how many exceed each of
         ``ABOVE`` (logarithms), and the logarithm of the number of words, by
         which the curve puts those counts in proportion."""
-        lists = [sorted(set(words_of(t))) for t in texts]
-        self.learn(set().union(*lists))
         out = np.zeros((len(texts), FEATURES))
         out[:, -1] = np.log(FEWEST)
-        for row, words in zip(out, lists):
-            if words:
-                r = np.sort(np.fromiter(map(self.__getitem__, words), float, len(words)))[::-1]
-                top = np.zeros(3)
-                top[: len(r)] = r[:3]
-                row[:] = r.mean(), *top, *(np.log1p((r > t).sum()) for t in ABOVE), np.log(max(FEWEST, len(r)))
+        for at in range(0, len(texts), CHUNK):
+            lists = [set(words_of(t)) for t in texts[at : at + CHUNK]]
+            self.learn(set().union(*lists))
+            for row, words in zip(out[at:], lists):
+                if words:
+                    r = np.sort(np.fromiter(map(self.__getitem__, words), float, len(words)))[::-1]
+                    top = np.zeros(3)
+                    top[: len(r)] = r[:3]
+                    row[:] = r.mean(), *top, *(np.log1p((r > t).sum()) for t in ABOVE), np.log(max(FEWEST, len(r)))
         return out
 
 
