@@ -1,11 +1,14 @@
 """Nearest neighbours against brute force; the pipeline's stages against their rules."""
 
+import re
+
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from conftest import SF_SMALL
-from roundbook.llm import ann, pii
+from roundbook.llm import ann, pii, simhash
+from test_duplicates import lower, slow_components
 
 
 def slow(ids, x, queries, k):
@@ -72,6 +75,18 @@ def test_pipeline_stages(spark, tmpdir_path):
             assert out.count() == len(kept) and kept <= set(before)
         if name in ("pii", "best-fit packing"):
             assert kept == {r["doc_id"] for r in now.select("doc_id").collect()}  # these drop nothing
+        rows = now.select("doc_id", "text").collect() if name in ("simhash near-dedup", "benchmark decontamination") else []
+        if name == "simhash near-dedup":
+            ids = [r["doc_id"] for r in rows]
+            groups = slow_components([simhash.fingerprint(r["text"]) for r in rows], 4)
+            assert kept == {min(ids[j] for j in group) for group in groups.values()}
+        if name == "benchmark decontamination":
+            words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+            items = [words(r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+            windows = {tuple(w[i : i + 10]) for w in items for i in range(len(w) - 9)}
+            texts = {r["doc_id"]: words(r["text"]) for r in rows}
+            assert min(map(len, items)) >= 10
+            assert kept == {i for i, w in texts.items() if not any(tuple(w[k : k + 10]) in windows for k in range(len(w) - 9))}
         if name == "pii":
             assert all(r["text"] == pii.redacted(before[r["doc_id"]]["text"]) and r["n_chars"] == len(r["text"]) for r in out.collect())
         now = out
