@@ -66,14 +66,17 @@ class ShardWriter:
             self._flush_docs()
 
     def _flush(self, last: bool) -> None:
+        """Writes whole batches alone, so that sequence ``i`` lies in batch
+        ``i // BATCH_SEQUENCES``; only the last flush writes a shorter one."""
         ids = np.concatenate(self._held) if self._held else np.empty(0, self.dtype)
-        full = len(ids) // self.length * self.length
-        rest = ids[full:]
-        for at in range(0, full, self.length * BATCH_SEQUENCES):
-            self._write(ids[at : min(full, at + self.length * BATCH_SEQUENCES)], self.length)
-        if last and len(rest):
-            self._write(np.concatenate([rest, np.zeros(self.length - len(rest), self.dtype)]), len(rest))
-            rest = rest[:0]
+        batch, padding = self.length * BATCH_SEQUENCES, -len(ids) % self.length if last else 0
+        if padding:
+            ids = np.concatenate([ids, np.zeros(padding, self.dtype)])
+        full = len(ids) if last else len(ids) // batch * batch
+        for at in range(0, full, batch):
+            end = min(full, at + batch)
+            self._write(ids[at:end], self.length - padding if end == len(ids) else self.length)
+        rest = ids[full:].copy()
         self._held, self._n_held = [rest], len(rest)
 
     def _write(self, ids: np.ndarray, valid_in_last: int) -> None:

@@ -57,6 +57,28 @@ def test_token_files_round_trip(spark, library):
     assert os.path.exists(shard["docs_uri"].replace("file://", ""))
 
 
+def test_every_sequence_of_a_shard_is_found_by_its_number(tmpdir_path):
+    rng = np.random.default_rng(4)
+    length = 16
+    batch = length * tokens.BATCH_SEQUENCES
+    for tail in (0, 5, length):
+        sizes = [batch - 10, 3 * length, 1, 5 * batch + 7, *rng.integers(1, 4 * length, 300).tolist(), 2 * batch, 90]
+        sizes.append(-sum(sizes) % length + length + tail)
+        writer, parts = tokens.ShardWriter(tmpdir_path, length, np.dtype(np.uint16)), []
+        for i, n in enumerate(sizes):
+            parts.append(rng.integers(1, 60_000, n).astype(np.uint16))
+            writer.add(i, parts[-1])
+        writer.close()
+        want = np.concatenate(parts)
+        reader = tokens.open_file(writer.uris[0])
+        rows = [reader.get_batch(k).num_rows for k in range(reader.num_record_batches)]
+        assert len(rows) > 8 and set(rows[:-1]) == {tokens.BATCH_SEQUENCES} and sum(rows) == -(-len(want) // length)
+        for i in range(sum(rows)):
+            ids, mask = tokens.sequence(reader, i)
+            own = want[i * length : (i + 1) * length]
+            assert len(ids) == length and ids[: len(own)].tolist() == own.tolist() and mask.tolist() == [k < len(own) for k in range(length)]
+
+
 def test_token_files_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert tokens.read_tokens(tokens.write_tokens(docs, encoding.default_tokenizer())).count() == 0
