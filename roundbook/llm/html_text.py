@@ -4,10 +4,16 @@ Markup is stripped to lines: one line per block (a paragraph, heading, list
 item, table row, or run of text between line breaks), with character references
 decoded and white space collapsed. Parts that are never main text (scripts,
 forms, menus, headers and footers of the page, sidebars, notices, adverts,
-comments of readers) become empty lines. Text lengths are summed over a sliding
-window of lines; where the sum rises from low to high a block of text surges,
-where it falls back to zero it dives, and the lines between are kept. Where the
-page marks its article, lines outside it count as empty.
+comments of readers) become empty lines, as does the border of a marked article.
+
+Text lengths are summed over a sliding window of lines. A block is a run of
+lines between two dives (windows without text); it surges if a window sum
+reaches the threshold, on marked and unmarked pages alike. A marked article is
+a weight: its lines count ``MARKED`` times, and where its surging blocks weigh
+as much as the others', the others are left out. An article that is only a
+teaser weighs less; the page is then judged as one without marks.
+
+All blocks of an article that is kept are kept.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -23,6 +30,8 @@ from pyspark.sql import functions as F
 
 #: Lines in a window, and the window sum (code points) at which text surges.
 WINDOW, SURGE = 3, 86
+#: How often a code point within a marked article counts.
+MARKED = 2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.DOTALL)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
@@ -31,123 +40,198 @@ _RAW = frozenset("script style textarea title noscript template iframe xmp noemb
 _DROPPED = frozenset("nav footer aside form head menu dialog button select option label fieldset input figcaption audio video".split()) | _RAW
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
-    "address article blockquote body br caption center dd details div dl dt fieldset figure h1 h2 h3 h4 h5 h6 header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
+    "address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 ) | (_DROPPED - frozenset("label button input select option".split()))
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
+_CONTAINER = frozenset("article blockquote body center div fieldset figure form html main section td".split())
 _NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)s?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav(?:igation|bar)?|menus?|breadcrumbs?|side-?bar|cookies?|consent|notices?|alert|popup|modal|newsletter|subscri(?:be|ption)|comments?|comment-?list|disqus|respond|replies|related|recommend(?:ed|ations)?|share|sharing|social|footer|masthead|page-?header|site-?header|top-?bar|pagination|pager|skip-?link|widget|login|signup|search(?:-?form|-?box)?|copyright|toolbar|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+_READERS = re.compile(r"comments?|disqus|respond|replies", re.IGNORECASE)
+
+
+class Line(NamedTuple):
+    text: str
+    article: int  # number of the outermost marked article, 0 outside
+    container: int
 
 
-def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
+class _Part:
+    """A part that may be dropped: the part around it, and whether the amount
+    of its text may keep it (menus, footers and readers' comments may be long)."""
+
+    def __init__(self, around: int, layout: bool):
+        self.around, self.layout, self.chars, self.kept = around, layout, 0, False
+
+
+def _noise(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
+    """Whether an element is never main text, and whether only by its layout
+    (so that it may turn out to be a wrapper of the main text)."""
     if name in _DROPPED or (name == "header" and not in_main):
-        return True
+        return True, name in ("form", "fieldset")
+    if name in ("body", "html", *_MAIN):
+        return False, False
     for m in _NAMES.finditer(attributes):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if (key == "hidden" and value.lower() != "false") or (key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE)):
-            return True
+            return True, False
         if key == "role" and value.lower() in _ROLES:
-            return name not in ("body", "html", *_MAIN)
-        if key in ("class", "id") and (_NOISE.search(value) or (not in_main and value.lower() == "header")) and name not in ("body", "html", *_MAIN):
-            return True
-    return False
-
-
-def lines_of(html: str) -> list[tuple[str, bool]]:
-    """(text, whether inside the marked article) of every line; dropped parts
-    leave empty lines."""
-    out: list[tuple[str, bool]] = []
+            return True, value.lower() == "form"
+        if key in ("class", "id"):
+            listed = [value] if _NOISE.search(value) else []
+            if listed or (not in_main and value.lower() == "header"):
+                return True, not any(_READERS.match(v) for v in listed)
+    return False, False
+
+
+def lines_of(html: str) -> list[Line]:
+    """The lines of a page; dropped parts and borders of articles leave empty lines."""
+    gap = ("", 0, 0, 0)
+    out: list[tuple] = []  # text, article, container, innermost part that may be dropped
     parts: list[str] = []
-    open_tags: list[tuple[str, bool]] = []  # name and whether it began a dropped part
-    dropped = main = 0
+    open_tags: list[tuple] = []  # name, what was around, lines before
+    noises = [_Part(0, False)]
+    around = article, container, noise = 0, 0, 0
+    marked = 0  # open articles
+    longest, longest_in, chars = 0, 0, [0]  # of articles: text, part; characters so far
+    numbers = lines = 0
 
     def end_line() -> None:
+        nonlocal lines
         if parts:
             text = _SPACE.sub(" ", unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                out.append((text, main > 0))
+                out.append((text, article, container, noise))
+                chars[0] += len(text)
+                lines += 1
+
+    def close() -> str:
+        nonlocal article, container, noise, around, longest, longest_in, marked
+        name, before, lines_before, chars_before = open_tags.pop()
+        if before[2] != noise or name in _MAIN:
+            end_line()
+            out.append(gap[:3] + (noise,))
+        if before[2] != noise:
+            noises[noise].chars = chars[0] - chars_before
+        if name in _MAIN:
+            marked -= 1
+            if chars[0] - chars_before > longest:
+                longest, longest_in = chars[0] - chars_before, noise
+        if name in _CONTAINER and lines - lines_before == 1:  # a paragraph in all but name
+            at = len(out) - 1
+            while not out[at][0]:
+                at -= 1
+            if out[at][2] == container:
+                out[at] = (out[at][0], out[at][1], before[1], out[at][3])
+        article, container, noise = around = before
+        return name
 
     at, size = 0, len(html)
     while at < size:
         m = _TOKEN.search(html, at)
         if not m:
-            if not dropped:
-                parts.append(html[at:])
+            parts.append(html[at:])
             break
-        if m.start() > at and not dropped:
+        if m.start() > at:
             parts.append(html[at : m.start()])
         at = m.end()
         if not m[2]:
-            if m[0].startswith("<![CDATA[") and not dropped:
+            if m[0].startswith("<![CDATA["):
                 parts.append(m[0][9:].removesuffix("]]>"))
             continue
         name = m[2].lower()
-        if name in _BLOCK and not dropped:
+        if name in _BLOCK:
             end_line()
         if m[1]:  # an end tag closes up to its start tag, if there is one
-            if any(n == name for n, _ in open_tags):
-                while open_tags:
-                    n, began = open_tags.pop()
-                    dropped -= began
-                    main -= n in _MAIN
-                    if began and not dropped:
-                        out.extend([("", False)] * WINDOW)
-                    if n == name:
-                        break
+            if any(t[0] == name for t in open_tags):
+                while close() != name:
+                    pass
             continue
         if name in _VOID or m[3].endswith("/") and name in ("svg", "math"):
             continue
         if name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and open_tags and open_tags[-1][0] == name:
-            dropped -= open_tags.pop()[1]
-        noise = not dropped and _is_noise(name, m[3], main > 0)
+            close()
         if name in _RAW:  # holds no markup: on to its end tag
             end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
             at = end.end() if end else size
-            if not dropped:
-                end_line()
-                out.extend([("", False)] * WINDOW)
+            end_line()
+            out.append(gap)
             continue
-        if noise:
+        dropped, layout = _noise(name, m[3], marked > 0)
+        if dropped or name in _MAIN:
             end_line()
-            out.extend([("", False)] * WINDOW)
-        open_tags.append((name, noise))
-        dropped += noise
-        main += name in _MAIN
+            out.append(gap[:3] + (noise,))
+        open_tags.append((name, around, lines, chars[0]))
+        if dropped:
+            noises.append(_Part(noise, layout))
+            noise = len(noises) - 1
+        if name in _CONTAINER:
+            numbers += 1
+            container = numbers
+        if name in _MAIN:
+            marked += 1
+            article = article or numbers
+        around = article, container, noise
     end_line()
-    return out
+    while open_tags:
+        close()
+    gone = _gone(noises)
+    found: list[Line] = []
+    for text, own, inside, k in out:
+        found.extend([Line("", 0, 0)] * WINDOW if gone[k] or not text else [Line(text, own, inside)])
+    return found
+
+
+def _gone(noises: list[_Part]) -> list[bool]:
+    """Whether each part, or one around it, is dropped."""
+    gone = [False]
+    for part in noises[1:]:
+        gone.append(gone[part.around] or not part.kept)
+    return gone
+
+
+def _blocks(size: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of lines between dives (whole windows without text)."""
+    full = np.flatnonzero(size)
+    cuts = np.flatnonzero(np.diff(full) > WINDOW)
+    return [(int(a[0]), int(a[-1]) + 1) for a in np.split(full, cuts + 1)] if len(full) else []
 
 
-def main_lines(lines: list[tuple[str, bool]]) -> list[str]:
-    """The lines between surge and dive points, in page order.
+def main_lines(lines: list[Line]) -> list[str]:
+    """The lines of blocks that surge, in page order.
 
-    Within a marked article every block that surges, and every line between the
-    first surge and the last dive, is kept; without one, a block is kept if its
-    window sums reach the surge threshold (or, on pages of little text, the
-    largest sum there is).
+    The threshold is ``SURGE``, or the largest window sum of a page of little
+    text. Lines of marked articles count ``MARKED`` times unless the other
+    surging blocks outweigh them.
     """
-    marked = any(text and inside for text, inside in lines)
-    size = np.array([len(text) if inside or not marked else 0 for text, inside in lines], np.int64)
-    if not size.any():
+    plain = np.array([len(x.text) for x in lines], np.int64)
+    article = np.array([x.article for x in lines], np.int64)
+    if not plain.any():
         return []
-    sums = np.convolve(size, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of each line and the next ones
-    surge = 1 if marked else min(SURGE, int(sums.max()))
-    kept, at, n = np.zeros(len(size), bool), 0, len(size)
-    while at < n:
-        if sums[at] >= surge and size[at]:
-            end = at
-            while end < n and sums[end]:  # dives where a whole window is empty
-                end += 1
-            begin = at
-            while begin and size[begin - 1]:
-                begin -= 1
-            kept[begin:end] = True
-            at = end
-        else:
-            at += 1
-    return [text for (text, _), k, s in zip(lines, kept, size) if k and s]
+    blocks = _blocks(plain)
+
+    def surging(size: np.ndarray) -> list[tuple[int, int]]:
+        sums = np.convolve(size, np.ones(WINDOW, np.int64))  # of each line and the ones before
+        surge = min(SURGE, int(sums.max()))
+        return [(a, b) for a, b in blocks if sums[a : b + WINDOW - 1].max() >= surge]
+
+    size = np.where(article > 0, MARKED * plain, plain)
+    main = surging(size)
+    weight = [sum(int(size[a:b].sum()) for a, b in main if (article[a] > 0) == own) for own in (True, False)]
+    by_article = weight[0] > 0 and weight[0] >= weight[1]
+    main = [(a, b) for a, b in main if article[a] > 0] if by_article else surging(plain)
+    kept = np.zeros(len(lines), bool)
+    for a, b in main:
+        kept[a:b] = True
+    # Short blocks of an article that is kept.
+    articles = set(article[kept].tolist()) - {0} if by_article else set()
+    for a, b in blocks:
+        for i in range(a, b):
+            kept[i] |= article[i] in articles
+    return [x.text for x, k in zip(lines, kept) if k and x.text]
 
 
 def extract(html: str | None) -> str:

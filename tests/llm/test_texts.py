@@ -77,6 +77,23 @@ def test_main_text_of_pages():
     assert html_text.extract(plain) == "\n\n".join([long.strip(), "Short.", long.strip()])
 
 
+LONG = ("Many words stand in this paragraph. " * 6).strip()
+
+
+def test_an_article_that_is_only_a_teaser_does_not_limit_the_page():
+    body = f"<div id='story'><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>"
+    for teaser in ("<article><h3>Other story</h3><p>Ten more.</p></article>", "<article><p>Other story</p></article>" * 3):
+        for page in (body + teaser, teaser + body):
+            assert html_text.extract(f"<html><body>{page}</body></html>") == "\n\n".join([LONG, "Short.", LONG])
+
+
+def test_thresholds_decide_on_marked_pages():
+    article = f"<article><h1>Head</h1><p>{LONG}</p></article>"
+    card = "<article><p>Other story</p></article>"
+    assert html_text.extract(f"<body>{card}{article}{card}<div><p>By the way</p></div></body>") == f"Head\n\n{LONG}"
+    assert html_text.extract("<body><article><p>Tiny.</p></article><footer>All rights are reserved by us</footer></body>") == "Tiny."
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<script>x", "<nav>a</nav>", "<!-- x", "<article></article>"])
 def test_pages_without_text(page):
     assert html_text.extract(page) == ""
