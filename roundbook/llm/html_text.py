@@ -13,7 +13,9 @@ a weight: its lines count ``MARKED`` times, and where its surging blocks weigh
 as much as the others', the others are left out. An article that is only a
 teaser weighs less; the page is then judged as one without marks.
 
-All blocks of an article that is kept are kept.
+No part is dropped that holds the page's longest article, or, on pages without
+an article elsewhere, most of the text. Short blocks between kept blocks of the
+same container are kept, and all blocks of an article that is.
 """
 
 from __future__ import annotations
@@ -37,18 +39,17 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object".split())
-_DROPPED = frozenset("nav footer aside form head menu dialog button select option label fieldset input figcaption audio video".split()) | _RAW
+_DROPPED = frozenset("nav footer aside form head menu dialog button select option fieldset input audio video".split()) | _RAW
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 header hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
-) | (_DROPPED - frozenset("label button input select option".split()))
+) | (_DROPPED - frozenset("button input select option".split()))
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
 _CONTAINER = frozenset("article blockquote body center div fieldset figure form html main section td".split())
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)s?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav(?:igation|bar)?|menus?|breadcrumbs?|side-?bar|cookies?|consent|notices?|alert|popup|modal|newsletter|subscri(?:be|ption)|comments?|comment-?list|disqus|respond|replies|related|recommend(?:ed|ations)?|share|sharing|social|footer|masthead|page-?header|site-?header|top-?bar|pagination|pager|skip-?link|widget|login|signup|search(?:-?form|-?box)?|copyright|toolbar|hidden)(?:$|[\s_-])",
-    re.IGNORECASE,
-)
+_WORD = r"ads?|adverts?|advert(?:isement|ising)s?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav(?:igation|bar)?|menus?|breadcrumbs?|side-?bar|cookies?|consent|notices?|alert|popup|modal|newsletter|subscri(?:be|ption)|comments?|disqus|respond|replies|related|recommend(?:ed|ations)?|share|sharing|social|footer|masthead|page-?header|site-?header|top-?bar|pagination|pager|skip-?link|widget|login|signup|search|copyright|toolbar|hidden"
+#: Names dropped as a whole: listed words alone, or beside words that say only where or in what form.
+_NOISE = re.compile(rf"(?:(?:site|page|main|top|bottom)[_-]?)?(?:{_WORD})(?:[_-]?(?:{_WORD}|list|form|box|bar|links|area|section|[0-9]+))*", re.IGNORECASE)
 _READERS = re.compile(r"comments?|disqus|respond|replies", re.IGNORECASE)
 
 
@@ -80,7 +81,7 @@ def _noise(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
         if key == "role" and value.lower() in _ROLES:
             return True, value.lower() == "form"
         if key in ("class", "id"):
-            listed = [value] if _NOISE.search(value) else []
+            listed = [v for v in value.split() if _NOISE.fullmatch(v)]
             if listed or (not in_main and value.lower() == "header"):
                 return True, not any(_READERS.match(v) for v in listed)
     return False, False
@@ -178,7 +179,16 @@ def lines_of(html: str) -> list[Line]:
     end_line()
     while open_tags:
         close()
+    # Parts around the longest article stay, with what is around them.
+    k = longest_in if longest else 0
+    while k:
+        noises[k].kept = True
+        k = noises[k].around
     gone = _gone(noises)
+    if not any(text and own and not gone[k] for text, own, _, k in out):
+        for part in noises[1:]:
+            part.kept |= part.layout and part.chars >= SURGE and 2 * part.chars > chars[0]
+        gone = _gone(noises)
     found: list[Line] = []
     for text, own, inside, k in out:
         found.extend([Line("", 0, 0)] * WINDOW if gone[k] or not text else [Line(text, own, inside)])
@@ -226,11 +236,15 @@ def main_lines(lines: list[Line]) -> list[str]:
     kept = np.zeros(len(lines), bool)
     for a, b in main:
         kept[a:b] = True
-    # Short blocks of an article that is kept.
+    # Short blocks: of an article that is kept, or between kept lines of their container.
     articles = set(article[kept].tolist()) - {0} if by_article else set()
+    ends: dict[int, list[int]] = {}
+    for i in np.flatnonzero(kept & (plain > 0)).tolist():
+        ends.setdefault(lines[i].container, [i, i])[1] = i
     for a, b in blocks:
         for i in range(a, b):
-            kept[i] |= article[i] in articles
+            first, last = ends.get(lines[i].container, (i, i))
+            kept[i] |= article[i] in articles or (first < i < last and not (by_article and not article[i]))
     return [x.text for x, k in zip(lines, kept) if k and x.text]
 
 

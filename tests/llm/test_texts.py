@@ -94,6 +94,31 @@ def test_thresholds_decide_on_marked_pages():
     assert html_text.extract("<body><article><p>Tiny.</p></article><footer>All rights are reserved by us</footer></body>") == "Tiny."
 
 
+@pytest.mark.parametrize("names", ["content has-sidebar", "page-with-menu", "no-sidebar", "menu", "sidebar widget"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_wrappers_of_the_main_text_are_kept(names, tag):
+    page = f"<body><div class='menu'>Home</div><div class='{names}'><{tag}><p>{LONG}</p><p>{LONG}</p></{tag}></div><div class='ad'>Buy now</div></body>"
+    assert html_text.extract(page) == f"{LONG}\n\n{LONG}"
+
+
+def test_whole_names_are_dropped():
+    for names in ("ad", "ad-banner", "cookie-notice", "site-header", "comment-list", "nav_menu x", "x main-menu", "search-form"):
+        assert html_text.extract(f"<body><div class='{names}'>{LONG}</div><div><p>{LONG} {LONG} End.</p></div></body>") == f"{LONG} {LONG} End.", names
+    comments = f"<div class='comments'><article>{LONG}</article><article>{LONG}</article></div>"
+    assert html_text.extract(f"<body><main><p>{LONG}</p>{comments}</main></body>") == LONG
+
+
+def test_captions_are_kept():
+    page = f"<article><p>{LONG}</p><figure><img src='a'><figcaption>A bridge.</figcaption></figure><p><label>Note</label> well.</p></article>"
+    assert html_text.extract(page) == f"{LONG}\n\nA bridge.\n\nNote well."
+
+
+def test_short_blocks_between_kept_blocks_are_kept():
+    for short in ("<p>Short.</p>", "<div>Short.</div>"):
+        page = f"<body><div><p>{LONG}</p><div class='ad'>Buy</div>{short}<aside>More</aside><p>{LONG}</p></div><aside>x</aside><p>Imprint</p></body>"
+        assert html_text.extract(page) == f"{LONG}\n\nShort.\n\n{LONG}"
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<script>x", "<nav>a</nav>", "<!-- x", "<article></article>"])
 def test_pages_without_text(page):
     assert html_text.extract(page) == ""
