@@ -2,9 +2,9 @@
 
 Two character models of words, one per class, give log-likelihoods. Orders
 ``TOP`` to ``SHARED + 1`` hold the class's own (continuation) counts from the
-labelled training rows; order ``SHARED`` is one distribution for both classes,
-from continuation counts over all documents, and is what a rare expression
-falls back to. A word starts from its own beginning, so an expression is judged
+labelled training rows; order ``SHARED`` is one distribution for both classes
+and is what a rare expression falls back to. It counts the different grams of
+order ``TOP`` over all documents, so it goes on learning with the corpus. A word starts from its own beginning, so an expression is judged
 wherever it stands.
 
 A text is judged by its words' log-likelihood ratios (toxic over ordinary):
@@ -13,26 +13,33 @@ strongest, and the numbers of strong ones in proportion to the text's length.
 A logistic curve, fitted on training rows that gave no counts, turns them into
 a probability.
 
-Labels come from a bounded sample of the labelled rows (``MAX_LABELLED``, all
-of them up to that number), which bounds the class counts and the broadcast
-models. The shared counts cover every document, so they grow with the corpus.
+All labelled training rows give counts; only the rows that fit the curve are
+bounded (``MAX_CURVE``). The models grow with the corpus, so no worker holds
+them: each executor has them as sorted files that its workers map.
 """
 
 from __future__ import annotations
 
+import fcntl
+import os
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, read_parquet, shared_path, uri, written
+from .common import file_system, mix64, shared_path, uri, written
 
 TOP, SHARED, DISCOUNT = 6, 3, 0.75
-MAX_LABELLED = 200_000
+#: Rows that fit the curve at most, about.
+MAX_CURVE = 200_000
 #: Words whose ratio a Python worker keeps; at that number the table starts anew.
 KEPT_WORDS = 300_000
 #: Texts whose words are held at a time.
@@ -41,6 +48,7 @@ CHUNK = 200
 #: number of words below which a text counts as that long.
 ABOVE, FEWEST = (2.0, 3.0, 4.0, 6.0), 30
 FEATURES = 5 + len(ABOVE)
+_ORDERS = [sign * order for order in range(SHARED + 1, TOP + 1) for sign in (1, -1)]
 _WORDS = re.compile(r"[^\W\d_]+")
 _PAD = " " * (TOP - 1)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -85,7 +93,7 @@ def _grams(counts: dict[str, int], order: int) -> pd.DataFrame:
 
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(kind, gram, n) from ``docs`` (text, cls): grams of order ``TOP`` of
-    class 1 and 0 rows, and of order ``SHARED + 1`` of every row (kind -1)."""
+    class 1 and 0 rows, and of every row (kind -1)."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -95,9 +103,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 every.update(words)
                 if cls in by_class:
                     by_class[cls].update(words)
-            for kind, counts, order in ((0, by_class[0], TOP), (1, by_class[1], TOP), (-1, every, SHARED + 1)):
+            for kind, counts in ((0, by_class[0]), (1, by_class[1]), (-1, every)):
                 if counts:
-                    yield _grams(counts, order).assign(kind=kind)[["kind", "gram", "n"]]
+                    yield _grams(counts, TOP).assign(kind=kind)[["kind", "gram", "n"]]
 
     return docs.mapInPandas(count, "kind int, gram string, n long").groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
@@ -110,7 +118,7 @@ def _next(grams: DataFrame, order: int) -> DataFrame:
 def model(counts: DataFrame) -> DataFrame:
     """(order, gram, ratio): log P(toxic) - log P(ordinary) of every gram a
     class has, and (minus its order) the same of every context's back-off weight."""
-    shared = counts.filter("kind = -1").groupBy(F.expr(f"substring(gram, 2, {SHARED})").alias("gram")).agg(F.count("*").alias("n"))
+    shared = counts.filter("kind = -1").groupBy(F.expr(f"substring(gram, {TOP - SHARED + 1}, {SHARED})").alias("gram")).agg(F.count("*").alias("n"))
     context = F.substring("gram", 1, SHARED - 1)
     totals = shared.groupBy(context.alias("h")).agg(F.sum("n").alias("t"), F.count("*").alias("kinds"))
     letters = max(1, shared.agg(F.countDistinct(F.substring("gram", SHARED, 1))).first()[0])
@@ -138,8 +146,7 @@ def model(counts: DataFrame) -> DataFrame:
 
 def keyed(rows: DataFrame) -> str:
     """A model as numbers alone (order, key of the gram, ratio), written in the
-    shared folder, where every Python worker reads it. Its size is bounded by
-    the sample of labelled rows."""
+    shared folder in ascending order, from where every executor takes it."""
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -149,36 +156,54 @@ def keyed(rows: DataFrame) -> str:
                 yield pd.DataFrame({"order": own["order"], "key": keys.view(np.int64), "ratio": own["ratio"].astype(np.float32)})
 
     path = shared_path(rows.sparkSession, "ratios")
-    rows.mapInPandas(number, "order int, key long, ratio float").write.parquet(path)
+    numbers = rows.mapInPandas(number, "order int, key long, ratio float")
+    numbers.repartitionByRange("order", "key").sortWithinPartitions("order", "key").write.parquet(path)
     return uri(path)
 
 
+def _local(folder: str, root: str) -> str:
+    """The model's keys and ratios of each order as plain files in a folder of
+    this executor; made by the first of its workers, a row group at a time."""
+    own = os.path.join(root, f"ratios-{zlib.crc32(folder.encode())}-{os.path.basename(folder)}")
+    os.makedirs(own, exist_ok=True)
+    with open(os.path.join(own, "lock"), "w") as lock:
+        fcntl.flock(lock, fcntl.LOCK_EX)
+        if not os.path.exists(os.path.join(own, "done")):
+            for order in _ORDERS:
+                for kind in ("keys", "values"):
+                    open(os.path.join(own, f"{order}.{kind}"), "wb").close()
+            fs, path = file_system(folder)
+            files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet"))
+            for name in files:  # in the order of their ranges
+                for batch in pq.ParquetFile(fs.open_input_file(name)).iter_batches(columns=["order", "key", "ratio"]):
+                    orders, keys, ratios = (batch.column(k).to_numpy() for k in range(3))
+                    for order in np.unique(orders).tolist():
+                        for kind, x in (("keys", keys), ("values", ratios)):
+                            with open(os.path.join(own, f"{order}.{kind}"), "ab") as out:
+                                out.write(x[orders == order].tobytes())
+            open(os.path.join(own, "done"), "w").close()
+    return own
+
+
 class Table:
-    """Keys to values, by open addressing in numpy arrays."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        size = 1 << max(4, int(len(keys) * 2).bit_length())
-        self.mask = np.uint64(size - 1)
-        self.keys, self.values, self.used = np.zeros(size, np.uint64), np.zeros(size, np.float32), np.zeros(size, bool)
-        left, at = np.arange(len(keys)), keys & self.mask
-        while len(left):
-            free = ~self.used[at]
-            slots, first = np.unique(at[free], return_index=True)
-            put = left[free][first]
-            self.keys[slots], self.values[slots], self.used[slots] = keys[put], values[put], True
-            rest = np.ones(len(left), bool)
-            rest[np.flatnonzero(free)[first]] = False
-            left, at = left[rest], (at[rest] + np.uint64(1)) & self.mask
+    """Ascending keys and their values, mapped from files: pages in use are
+    shared by the workers of a machine and count for none of them."""
+
+    def __init__(self, folder: str, order: int):
+        self.keys, self.values = (self._mapped(os.path.join(folder, f"{order}.{kind}"), t) for kind, t in (("keys", np.int64), ("values", np.float32)))
+
+    @staticmethod
+    def _mapped(path: str, dtype: type) -> np.ndarray:
+        return np.memmap(path, dtype, "r").view(np.ndarray) if os.path.getsize(path) else np.empty(0, dtype)
 
     def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values (0 where there is none) and whether there is one."""
         out, found = np.zeros(len(keys), np.float32), np.zeros(len(keys), bool)
-        left, at = np.arange(len(keys)), keys & self.mask
-        while len(left):
-            hit = self.used[at] & (self.keys[at] == keys[left])
-            out[left[hit]], found[left[hit]] = self.values[at[hit]], True
-            more = self.used[at] & ~hit
-            left, at = left[more], (at[more] + np.uint64(1)) & self.mask
+        if len(self.keys) and len(keys):
+            wanted, back = np.unique(keys.view(np.int64), return_inverse=True)
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            hit = self.keys[at] == wanted
+            out, found = np.where(hit, self.values[at], np.float32(0))[back], hit[back]
         return out, found
 
 
@@ -189,13 +214,12 @@ class Ratios(dict):
 
     def __init__(self, folder: str):
         super().__init__()
-        rows = read_parquet(folder, ["order", "key", "ratio"])
-        order, keys, ratios = (rows[c].to_numpy() for c in ("order", "key", "ratio"))
-        self.tables = {int(o): Table(keys[order == o].view(np.uint64), ratios[order == o]) for o in np.unique(order)}
+        local = _local(folder, SparkFiles.getRootDirectory())
+        self.tables = {order: Table(local, order) for order in _ORDERS}
 
     @classmethod
     def shared(cls, folder: str) -> Ratios:
-        """The model of the folder, read once by each Python worker."""
+        """The model of the folder, mapped once by each Python worker."""
         if folder not in cls._made:
             cls._made.clear()
             cls._made[folder] = cls(folder)
@@ -210,8 +234,8 @@ class Ratios(dict):
         text, last, which = _windows(new)
         codes, ratio, left = _codes(text), np.zeros(len(last)), np.arange(len(last))
         for order in range(TOP, SHARED, -1):
-            if order not in self.tables or not len(left):
-                continue
+            if not len(left):
+                break
             got, found = self.tables[order].get(_keys(codes, last[left], order))
             ratio[left[found]] += got[found]
             left = left[~found]
@@ -257,9 +281,13 @@ def probability(x: np.ndarray, fitted: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _sample(labels: DataFrame, label: str, most: int) -> DataFrame:
-    """One row per doc_id (label 1 if any says so), at most about ``most`` of them, by hash."""
-    rows = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("cls"))
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    """One row per doc_id (label 1 if any says so)."""
+    return labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).alias("cls"))
+
+
+def _sample(rows: DataFrame, most: int) -> DataFrame:
+    """At most about ``most`` of the rows, by hash of the id."""
     n = rows.count()
     return rows if n <= most else rows.filter(F.expr(f"pmod(xxhash64(doc_id), {n}) < {most}"))
 
@@ -269,14 +297,15 @@ def held_out(doc_id: Column, of: int, rest: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % of == rest, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[str, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_CURVE) -> tuple[str, np.ndarray]:
     """The folder of the models' ratios and the curve, from ``docs`` (doc_id, text) and
     ``labels`` (doc_id, toxic). Labels of held-out ids (remainder 2) are not
-    read; ids with remainder 3 fit the curve, the others the class counts."""
+    read; ids with remainder 3 fit the curve (about ``most`` of them), all others
+    give class counts."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
-    known = written(_sample(labels.select("doc_id", "toxic").filter(fold != 2), "toxic", most), "labels")
+    known = written(_known(labels.select("doc_id", "toxic").filter(fold != 2), "toxic"), "labels")
     rows = docs.select("doc_id", "text")
-    counted = rows.join(F.broadcast(known.filter(fold != 3)), "doc_id", "left").select("text", F.coalesce("cls", F.lit(-1)).alias("cls"))
+    counted = rows.join(known.filter(fold != 3), "doc_id", "left").select("text", F.coalesce("cls", F.lit(-1)).alias("cls"))
     folder = keyed(model(written(gram_counts(counted), "grams")))
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -285,14 +314,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> tuple[s
             yield pd.DataFrame({f"x{i}": x[:, i] for i in range(FEATURES)} | {"y": pdf["cls"].astype(float)})
 
     schema = ", ".join([*(f"x{i} double" for i in range(FEATURES)), "y double"])
-    seen = rows.join(F.broadcast(known.filter(fold == 3)), "doc_id").select("text", "cls").mapInPandas(features, schema).toPandas().to_numpy()
+    seen = rows.join(F.broadcast(_sample(known.filter(fold == 3), most)), "doc_id").select("text", "cls").mapInPandas(features, schema).toPandas().to_numpy()
     x, y = seen[:, :FEATURES], seen[:, FEATURES]
     if not 0 < y.sum() < len(y):  # nothing to tell the classes apart
         return folder, np.concatenate([np.zeros(FEATURES), np.ones(FEATURES), [-5.0, 5.0], np.zeros(FEATURES - 1)])
     return folder, _logistic(x, y)
 
 
-def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3, most: int = MAX_LABELLED) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3, most: int = MAX_CURVE) -> DataFrame:
     """``docs`` with ``_score`` (0 to 1) and ``_toxic`` (0/1).
 
     Null, empty and wordless texts score what no evidence scores; repeated rows

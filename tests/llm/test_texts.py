@@ -166,6 +166,22 @@ def test_toxicity(spark):
     assert len(empty) == 1
 
 
+def test_toxicity_counts_all_labelled_rows(spark):
+    docs, labels = corpus(spark, 400)
+    learned = []
+    for most in (40, 1_000_000):
+        folder, _ = toxicity.fit(docs.select("doc_id", "text"), labels, most)
+        learned.append({tuple(r) for r in spark.read.parquet(folder).select("order", "key").collect()})
+    assert learned[0] == learned[1] and len(learned[0]) > 500
+
+
+def test_shared_counts_grow_past_the_alphabet(spark):
+    letters = "abcdefgh"
+    texts = [(x + y + "zukve", -1) for x in letters for y in letters]
+    counts = toxicity.gram_counts(spark.createDataFrame(texts, "text string, cls int"))
+    assert counts.filter("kind = -1 and gram like '%zuk'").count() == 64
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = corpus(spark, 30)
     assert toxicity.score(docs, labels.limit(0)).filter("_score is null").count() == 0
