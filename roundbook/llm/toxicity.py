@@ -8,8 +8,9 @@ order ``TOP`` over all documents, so it goes on learning with the corpus. A word
 wherever it stands.
 
 A text is judged by its words' log-likelihood ratios (toxic over ordinary):
-their mean over the text, which is the ratio normalised by length, the
-strongest, and the numbers of strong ones in proportion to the text's length.
+their mean over all occurrences, which is the ratio normalised by length; and,
+over its different words, their mean, the strongest, and the numbers of strong
+ones in proportion to the text's length.
 A logistic curve, fitted on training rows that gave no counts, turns them into
 a probability.
 
@@ -47,7 +48,7 @@ CHUNK = 200
 #: Word ratios that the strong words of a text are counted above, and the
 #: number of words below which a text counts as that long.
 ABOVE, FEWEST = (2.0, 3.0, 4.0, 6.0), 30
-FEATURES = 5 + len(ABOVE)
+FEATURES = 6 + len(ABOVE)
 _ORDERS = [sign * order for order in range(SHARED + 1, TOP + 1) for sign in (1, -1)]
 _WORDS = re.compile(r"[^\W\d_]+")
 _PAD = " " * (TOP - 1)
@@ -243,21 +244,23 @@ class Ratios(dict):
         self.update(zip(new, np.bincount(which, weights=ratio, minlength=len(new)).tolist()))
 
     def features(self, texts: list) -> np.ndarray:
-        """Per text, over its different words (so that a repeated word counts
-        once): mean ratio per word, the three highest, how many exceed each of
+        """Per text: mean ratio over all occurrences of words; and over its
+        different words the mean, the three highest, how many exceed each of
         ``ABOVE`` (logarithms), and the logarithm of the number of words, by
         which the curve puts those counts in proportion."""
         out = np.zeros((len(texts), FEATURES))
         out[:, -1] = np.log(FEWEST)
         for at in range(0, len(texts), CHUNK):
-            lists = [set(words_of(t)) for t in texts[at : at + CHUNK]]
+            lists = [Counter(words_of(t)) for t in texts[at : at + CHUNK]]
             self.learn(set().union(*lists))
             for row, words in zip(out[at:], lists):
                 if words:
-                    r = np.sort(np.fromiter(map(self.__getitem__, words), float, len(words)))[::-1]
+                    r = np.fromiter(map(self.__getitem__, words), float, len(words))
+                    n = np.fromiter(words.values(), float, len(words))
+                    whole, r = r @ n / n.sum(), np.sort(r)[::-1]
                     top = np.zeros(3)
                     top[: len(r)] = r[:3]
-                    row[:] = r.mean(), *top, *(np.log1p((r > t).sum()) for t in ABOVE), np.log(max(FEWEST, len(r)))
+                    row[:] = whole, r.mean(), *top, *(np.log1p((r > t).sum()) for t in ABOVE), np.log(max(FEWEST, len(r)))
         return out
 
 

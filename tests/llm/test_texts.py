@@ -182,6 +182,15 @@ def test_shared_counts_grow_past_the_alphabet(spark):
     assert counts.filter("kind = -1 and gram like '%zuk'").count() == 64
 
 
+def test_a_repeated_word_counts_as_often_as_it_stands():
+    ratios = toxicity.Ratios.__new__(toxicity.Ratios)
+    plain = [a + b + c for a in "bcdfg" for b in "aeiou" for c in "klmnp"] * 8
+    ratios.update({"zukvex": 8.0} | dict.fromkeys(plain, -0.5))
+    once, often = ratios.features([" ".join([*plain, *["zukvex"] * n]) for n in (1, 300)])
+    assert once[0] == pytest.approx((8 - 0.5 * 1000) / 1001) and often[0] == pytest.approx((300 * 8 - 0.5 * 1000) / 1300)
+    assert once[1:].tolist() == often[1:].tolist()
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels = corpus(spark, 30)
     assert toxicity.score(docs, labels.limit(0)).filter("_score is null").count() == 0
