@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
+from . import ann, decontam, divergence, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.filter(F.col("vec_id") % 100 == 0), k=10)
 
 
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language, for all documents."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
 # Words of op5 and op6, and their windows, as DuckDB lists.
 ORACLE["op5_decontamination"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -125,3 +131,29 @@ kept AS (SELECT words.doc_id, count(hit.p) AS n_removed, string_agg(x, ' ' ORDER
          FROM words LEFT JOIN hit ON words.doc_id = hit.doc_id AND words.p = hit.p GROUP BY words.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+ORACLE["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+grp AS (SELECT DISTINCT lang, source FROM d),
+lang_sums AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cells AS (SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(c.n, 0) AS n
+          FROM grp g JOIN kept k ON g.lang = k.lang LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT lang, source, sum(n) AS total FROM cells GROUP BY lang, source),
+p AS (SELECT c.lang, c.source, c.term, c.n,
+             1 + CAST(1000000000 AS HUGEINT) * (c.n + 2) // (s.total + 2 * l.v) AS p,
+             1 + CAST(1000000000 AS HUGEINT) * (c.lang_n + 2) // (l.total + 2 * l.v) AS q
+      FROM cells c JOIN sums s ON c.lang = s.lang AND c.source = s.source JOIN lang_sums l ON c.lang = l.lang),
+pair_sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+         FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+         UNION ALL
+         SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
