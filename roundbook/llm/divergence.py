@@ -15,22 +15,18 @@ per ordered pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .packed import blocks, buckets, radix_order, run_starts, words_in
+from .counting import Counter
+from .packed import words_in
 
 SCALE, SMOOTH, MIN_DOCS, TOP = 1_000_000_000, 2, 10, 10
-#: Counted terms that a task holds before it merges them, and sends them on.
-HELD = 1_000_000
 #: Rows, and compared shares, that a block of terms has at most, about.
-BLOCK_ROWS, BLOCK_PAIRS = 500_000, 20_000_000_000
+BLOCK_ROWS, BLOCK_PAIRS = 50_000, 2_000_000_000
 #: Cells of the table of shares that a block works on at a time.
 CELLS = 1_000_000
 
@@ -41,102 +37,21 @@ LOWER[0x61:0x7B] = np.arange(0x61, 0x7B)
 LOWER[0x80:] = np.arange(0x80, 0x100)
 
 _KEY = ["w0", "w1", "rest"]
-_COUNTS = "lang string, source string, w0 long, w1 long, rest string, n long, docs long"
-
-
-class _Counter:
-    """Counts of packed terms by group, merged from time to time."""
-
-    def __init__(self):
-        self.groups: dict[tuple[str, str], int] = {}
-        self.packed: list[tuple[np.ndarray, ...]] = []
-        self.long: dict[tuple[int, bytes], list[int]] = {}
-        self.size = 0
-
-    def add(self, langs: list[str], sources: list[str], texts: pa.Array) -> None:
-        """Count the terms of some rows."""
-        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in zip(langs, sources)], np.int64)
-        for at, to, data, offsets in blocks(texts):
-            low = LOWER[data]
-            starts, ends, doc = words_in(low, offsets, low > 0)
-            here, local = np.unique(group[at:to], return_inverse=True)
-            for bucket in buckets(low, starts, ends - starts):
-                docs = doc[bucket.at]
-                group_of = local[docs].astype(np.uint32)
-                order = bucket.order(group_of >> np.uint32(16), group_of & np.uint32(0xFFFF))
-                self._runs(bucket, order, here[group_of[order]], docs[order])
-
-    def _runs(self, bucket, order: np.ndarray, group: np.ndarray, docs: np.ndarray) -> None:
-        """Counts of one sorted bucket: occurrences, and documents, which stand
-        in their order within each run since the sort is stable."""
-        keys = bucket.keys(order)
-        at = run_starts(group, *keys)
-        new_doc = np.ones(len(docs), np.int64)
-        new_doc[1:] = docs[1:] != docs[:-1]
-        new_doc[at] = 1
-        n, n_docs = np.diff(np.append(at, len(docs))), np.add.reduceat(new_doc, at)
-        if bucket.long is None:
-            self.packed.append((group[at], keys[0][at], keys[1][at], n, n_docs))
-            self.size += len(at)
-        else:
-            for g, term, a, b in zip(group[at].tolist(), keys[0][at].tolist(), n.tolist(), n_docs.tolist()):
-                have = self.long.setdefault((g, term), [0, 0])
-                have[0] += a
-                have[1] += b
-
-    def merge(self) -> None:
-        """Equal terms of what is held become one row each."""
-        if not self.packed:
-            return
-        group, first, second, n, docs = (np.concatenate(c) for c in zip(*self.packed))
-        order = radix_order([group.astype(np.uint32), first, second], [32, 64, 64])
-        group, first, second, n, docs = (c[order] for c in (group, first, second, n, docs))
-        at = run_starts(group, first, second)
-        self.packed = [(group[at], first[at], second[at], np.add.reduceat(n, at), np.add.reduceat(docs, at))]
-        self.size = len(at)
-
-    def take(self) -> Iterator[pa.RecordBatch]:
-        """All that is held, as rows, and a row without a term for each group."""
-        self.merge()
-        names = list(self.groups)
-        n = len(names)
-        yield _rows(names, np.arange(n), [None] * n, [None] * n, [None] * n, np.zeros(n, np.int64), np.zeros(n, np.int64))
-        for group, first, second, count, docs in self.packed:
-            for k in range(0, len(group), 200_000):
-                s = slice(k, k + 200_000)
-                yield _rows(names, group[s], first[s].view(np.int64), second[s].view(np.int64), [None] * len(group[s]), count[s], docs[s])
-        if self.long:
-            terms = sorted(self.long)
-            group, rest = np.array([g for g, _ in terms]), [t.decode("utf-8", "replace") for _, t in terms]
-            counts = np.array([self.long[t] for t in terms], np.int64)
-            none = [None] * len(terms)
-            yield _rows(names, group, none, none, rest, counts[:, 0], counts[:, 1])
-        self.__init__()
-
-
-def _rows(names, group, w0, w1, rest, n, docs) -> pa.RecordBatch:
-    at = pa.array(group, pa.int64())
-    columns = [pa.array([name[k] for name in names], pa.string()).take(at) for k in (0, 1)]
-    columns += [pa.array(w0, pa.int64()), pa.array(w1, pa.int64()), pa.array(rest, pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "source", *_KEY, "n", "docs"])
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = _Counter()
-    for batch in batches:
-        held.add(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
-        if held.size + len(held.long) >= HELD:
-            held.merge()
-            if held.size + len(held.long) >= HELD // 2:
-                yield from held.take()
-    yield from held.take()
+_COUNTS = "lang string, source string, w0 long, w1 long, rest binary, n long, docs long"
+
+
+def split_terms(data: np.ndarray, offsets: np.ndarray):
+    """Lower-cased bytes, and start, end and text number of every term."""
+    low = LOWER[data]
+    return low, *words_in(low, offsets, low > 0)
 
 
 def term_counts(docs: DataFrame, *, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """``(lang, source, w0, w1, rest, n, docs)``: how often each group of each task holds
     each term, and in how many rows. Each group also has a row without a term."""
     named = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
-    return named.mapInArrow(_count, _COUNTS)
+    counted = named.mapInArrow(lambda batches: Counter(split_terms, keys=2).run(batches), _COUNTS)
+    return counted.withColumn("rest", F.col("rest").cast("string"))
 
 
 def _term() -> Column:

@@ -97,8 +97,7 @@ def pack(low: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.n
 
 def unpack(first: np.ndarray, second: np.ndarray) -> list[bytes]:
     """The words that :func:`pack` packed."""
-    both = np.stack([first.astype(">u8"), second.astype(">u8")], axis=1).reshape(-1)
-    return np.frombuffer(both.tobytes(), "S16").tolist()
+    return np.frombuffer(np.stack([first, second], axis=1).astype(">u8").tobytes(), "S16").tolist()
 
 
 @dataclass

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, divergence, encoding, html_text, packing, pii, quality, simhash, substring, tokens, toxicity
+from . import ann, collocation, decontam, divergence, encoding, html_text, langid, packing, pii, quality, simhash, substring, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,18 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=10, top=10)
 
 
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return langid.language(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 closest phrases of each language, from all documents."""
+    return collocation.collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+
+
 # Words of op5 and op6, and their windows, as DuckDB lists.
 ORACLE["op5_decontamination"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -157,3 +169,30 @@ rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesc
          SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
 SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+ORACLE["op13_collocations"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f1 AS (SELECT lang, w1, count(*) AS f FROM (SELECT lang, unnest(w) AS w1 FROM w) x GROUP BY lang, w1),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM (SELECT lang, w[i] AS w1, w[i + 1] AS w2 FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w) y) x
+       GROUP BY lang, w1, w2 HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f
+       FROM (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w) y) x
+       GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+longer AS (SELECT lang, w1, w2, max(f) AS f FROM (SELECT lang, w1, w2, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) x GROUP BY lang, w1, w2),
+cuts AS (SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, 1 AS k, p.f AS a, a.f AS l, b.f AS r
+         FROM f2 p JOIN f1 a ON a.lang = p.lang AND a.w1 = p.w1 JOIN f1 b ON b.lang = p.lang AND b.w1 = p.w2
+         LEFT JOIN longer x ON x.lang = p.lang AND x.w1 = p.w1 AND x.w2 = p.w2 WHERE x.f IS NULL OR 100 * x.f < 50 * p.f
+         UNION ALL
+         SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, 1, p.f, a.f, b.f
+         FROM f3 p JOIN f1 a ON a.lang = p.lang AND a.w1 = p.w1 JOIN f2 b ON b.lang = p.lang AND b.w1 = p.w2 AND b.w2 = p.w3
+         UNION ALL
+         SELECT p.lang, p.w1 || ' ' || p.w2 || ' ' || p.w3, 2, p.f, a.f, b.f
+         FROM f3 p JOIN f2 a ON a.lang = p.lang AND a.w1 = p.w1 AND a.w2 = p.w2 JOIN f1 b ON b.lang = p.lang AND b.w1 = p.w3),
+scored AS (SELECT *, CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best),
+totals AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
