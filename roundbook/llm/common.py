@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roundbook.plans.config import ensure_checkpoint_dir
 
@@ -36,6 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def uri(path: str) -> str:
     """``file:/x`` as Hadoop writes it, as the ``file:///x`` that Arrow reads."""
     return "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path

@@ -6,21 +6,26 @@ decoded and white space collapsed. Parts that are never main text (scripts,
 forms, menus, headers and footers of the page, sidebars, notices, adverts,
 comments of readers) become empty lines, as does the border of a marked article.
 
-Text lengths are summed over a sliding window of lines. A block is a run of
-lines between two dives (windows without text); it surges if a window sum
-reaches the threshold, on marked and unmarked pages alike. A marked article is
-a weight: its lines count ``MARKED`` times, and where its surging blocks weigh
-as much as the others', the others are left out. An article that is only a
-teaser weighs less; the page is then judged as one without marks.
-
-No part is dropped that holds the page's longest article, or, on pages without
-an article elsewhere, most of the text. Short blocks between kept blocks of the
-same container are kept, and all blocks of an article that is.
+A line's length is that of its text outside links. Lengths are summed over every
+window of lines between two empty ones. Text surges at the first window that
+reaches the threshold and dives at the first that doesn't: a line stays if all
+windows that hold it reach it, on marked and unmarked pages alike, so runs of short
+lines fall out whatever their names; lines that are links alone go from both ends
+of what stays. A marked article is a weight: its lines count ``MARKED`` times, and
+where its surging lines weigh as much as the others', the others are left out. An
+article that is only a teaser weighs less; the page is then judged as one
+without marks.
+
+No part is dropped that holds the page's longest article if no other part has one
+as long as a surge, or, on pages without an article elsewhere, most of the text.
+Short lines between kept lines of the same container are kept, as are a heading
+right before them and all lines of an article that is.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -30,12 +35,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines in a window, and the window sum (code points) at which text surges.
+from .common import unused
+
+#: Lines in a window, and the window sum (code points) at which text surges: the
+#: defaults published with the line-block method.
 WINDOW, SURGE = 3, 86
 #: How often a code point within a marked article counts.
 MARKED = 2
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.DOTALL)
+# A quote opens a value only after an equals sign; anywhere else in a tag it is an ordinary character.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][\w:-]*)((?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+)*+)(?:>|$)", re.DOTALL)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math canvas object".split())
@@ -46,6 +55,7 @@ _BLOCK = frozenset(
 ) | (_DROPPED - frozenset("button input select option".split()))
 _MAIN = frozenset(("article", "main"))
 _ROLES = frozenset("navigation banner contentinfo complementary search alert dialog form menu menubar".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CONTAINER = frozenset("article blockquote body center div fieldset figure form html main section td".split())
 _WORD = r"ads?|adverts?|advert(?:isement|ising)s?|adsense|banner|sponsor(?:ed)?|promo(?:tion)?s?|nav(?:igation|bar)?|menus?|breadcrumbs?|side-?bar|cookies?|consent|notices?|alert|popup|modal|newsletter|subscri(?:be|ption)|comments?|disqus|respond|replies|related|recommend(?:ed|ations)?|share|sharing|social|footer|masthead|page-?header|site-?header|top-?bar|pagination|pager|skip-?link|widget|login|signup|search|copyright|toolbar|hidden"
 #: Names dropped as a whole: listed words alone, or beside words that say only where or in what form.
@@ -57,6 +67,8 @@ class Line(NamedTuple):
     text: str
     article: int  # number of the outermost marked article, 0 outside
     container: int
+    own: int  # code points outside links
+    heading: bool
 
 
 class _Part:
@@ -89,44 +101,52 @@ def _noise(name: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
 
 def lines_of(html: str) -> list[Line]:
     """The lines of a page; dropped parts and borders of articles leave empty lines."""
-    gap = ("", 0, 0, 0)
-    out: list[tuple] = []  # text, article, container, innermost part that may be dropped
+    gap = ("", 0, 0, 0, 0, False)
+    out: list[tuple] = []  # text, article, container, innermost part that may be dropped, code points outside links, heading
     parts: list[str] = []
+    linked: list[bool] = []  # of each of these
     open_tags: list[tuple] = []  # name, what was around, lines before
+    opened: Counter[str] = Counter()  # their names
+    last_text = -1  # place of the last line with text
     noises = [_Part(0, False)]
     around = article, container, noise = 0, 0, 0
     marked = 0  # open articles
-    longest, longest_in, chars = 0, 0, [0]  # of articles: text, part; characters so far
+    longest, longest_in, free, chars = 0, 0, 0, [0]  # of articles: text, part, text of those in no part; characters so far
     numbers = lines = 0
 
     def end_line() -> None:
-        nonlocal lines
+        nonlocal lines, last_text
         if parts:
             text = _SPACE.sub(" ", unescape("".join(parts))).strip()
+            own = len(_SPACE.sub(" ", unescape("".join(p for p, k in zip(parts, linked) if not k))).strip()) if any(linked) else len(text)
             parts.clear()
+            linked.clear()
             if text:
-                out.append((text, article, container, noise))
+                last_text = len(out)
+                out.append((text, article, container, noise, own, any(opened[h] for h in _HEADINGS)))
                 chars[0] += len(text)
                 lines += 1
 
     def close() -> str:
-        nonlocal article, container, noise, around, longest, longest_in, marked
+        nonlocal article, container, noise, around, longest, longest_in, free, marked
+        if open_tags[-1][0] in _HEADINGS or open_tags[-1][1][2] != noise or open_tags[-1][0] in _MAIN:
+            end_line()
         name, before, lines_before, chars_before = open_tags.pop()
+        opened[name] -= 1
         if before[2] != noise or name in _MAIN:
-            end_line()
-            out.append(gap[:3] + (noise,))
+            out.append(gap[:3] + (noise, 0, False))
         if before[2] != noise:
             noises[noise].chars = chars[0] - chars_before
         if name in _MAIN:
             marked -= 1
             if chars[0] - chars_before > longest:
                 longest, longest_in = chars[0] - chars_before, noise
+            if not noise:
+                free = max(free, chars[0] - chars_before)
         if name in _CONTAINER and lines - lines_before == 1:  # a paragraph in all but name
-            at = len(out) - 1
-            while not out[at][0]:
-                at -= 1
-            if out[at][2] == container:
-                out[at] = (out[at][0], out[at][1], before[1], out[at][3])
+            line = out[last_text]
+            if line[2] == container:
+                out[last_text] = (*line[:2], before[1], *line[3:])
         article, container, noise = around = before
         return name
 
@@ -135,19 +155,22 @@ def lines_of(html: str) -> list[Line]:
         m = _TOKEN.search(html, at)
         if not m:
             parts.append(html[at:])
+            linked.append(opened["a"] > 0)
             break
         if m.start() > at:
             parts.append(html[at : m.start()])
+            linked.append(opened["a"] > 0)
         at = m.end()
         if not m[2]:
             if m[0].startswith("<![CDATA["):
                 parts.append(m[0][9:].removesuffix("]]>"))
+                linked.append(opened["a"] > 0)
             continue
         name = m[2].lower()
         if name in _BLOCK:
             end_line()
         if m[1]:  # an end tag closes up to its start tag, if there is one
-            if any(t[0] == name for t in open_tags):
+            if opened[name]:
                 while close() != name:
                     pass
             continue
@@ -161,11 +184,15 @@ def lines_of(html: str) -> list[Line]:
             end_line()
             out.append(gap)
             continue
+        if name == "a" and opened["a"]:  # links don't nest: an open one ends, unless parts opened in it
+            if open_tags[-1][0] == "a":
+                close()
         dropped, layout = _noise(name, m[3], marked > 0)
         if dropped or name in _MAIN:
             end_line()
-            out.append(gap[:3] + (noise,))
+            out.append(gap[:3] + (noise, 0, False))
         open_tags.append((name, around, lines, chars[0]))
+        opened[name] += 1
         if dropped:
             noises.append(_Part(noise, layout))
             noise = len(noises) - 1
@@ -179,19 +206,19 @@ def lines_of(html: str) -> list[Line]:
     end_line()
     while open_tags:
         close()
-    # Parts around the longest article stay, with what is around them.
-    k = longest_in if longest else 0
+    # Parts around the longest article stay, with what is around them, unless another stands free.
+    k = longest_in if longest and free < SURGE else 0
     while k:
         noises[k].kept = True
         k = noises[k].around
     gone = _gone(noises)
-    if not any(text and own and not gone[k] for text, own, _, k in out):
+    if not any(line[0] and line[1] and not gone[line[3]] for line in out):
         for part in noises[1:]:
             part.kept |= part.layout and part.chars >= SURGE and 2 * part.chars > chars[0]
         gone = _gone(noises)
     found: list[Line] = []
-    for text, own, inside, k in out:
-        found.extend([Line("", 0, 0)] * WINDOW if gone[k] or not text else [Line(text, own, inside)])
+    for text, own, inside, k, length, heading in out:
+        found.append(Line("", 0, 0, 0, False) if gone[k] or not text else Line(text, own, inside, length, heading))
     return found
 
 
@@ -203,48 +230,67 @@ def _gone(noises: list[_Part]) -> list[bool]:
     return gone
 
 
-def _blocks(size: np.ndarray) -> list[tuple[int, int]]:
-    """Runs of lines between dives (whole windows without text)."""
-    full = np.flatnonzero(size)
-    cuts = np.flatnonzero(np.diff(full) > WINDOW)
+def _stretches(lines: list[Line]) -> list[tuple[int, int]]:
+    """Runs of lines between empty ones."""
+    full = np.flatnonzero([bool(x.text) for x in lines])
+    cuts = np.flatnonzero(np.diff(full) > 1)
     return [(int(a[0]), int(a[-1]) + 1) for a in np.split(full, cuts + 1)] if len(full) else []
 
 
+def _sums(size: np.ndarray, stretches: list[tuple[int, int]]) -> list[np.ndarray]:
+    """The sums of all windows of each stretch; a shorter one is a window of its own."""
+    return [np.convolve(size[a:b], np.ones(min(WINDOW, b - a), np.int64), "valid") for a, b in stretches]
+
+
+def surging(size: np.ndarray, stretches: list[tuple[int, int]]) -> np.ndarray:
+    """Which lines all windows that hold them reach the threshold: from the line where
+    text surges to the one where it dives. Where every line of a page has a window that
+    doesn't, one that does is enough. The threshold is ``SURGE``, or the largest
+    window sum of a page of little text."""
+    sums = _sums(size, stretches)
+    surge = max(1, min(SURGE, max((int(s.max()) for s in sums), default=0)))
+    dives, surges = np.zeros((2, len(size)), np.int64)
+    for (a, b), s in zip(stretches, sums):
+        for k in range(min(WINDOW, b - a)):
+            dives[a + k : a + k + len(s)] += s < surge
+            surges[a + k : a + k + len(s)] += s >= surge
+    kept = (surges > 0) & (dives == 0)
+    return kept if kept.any() else surges > 0
+
+
 def main_lines(lines: list[Line]) -> list[str]:
-    """The lines of blocks that surge, in page order.
+    """The lines of the main text, in page order.
 
-    The threshold is ``SURGE``, or the largest window sum of a page of little
-    text. Lines of marked articles count ``MARKED`` times unless the other
-    surging blocks outweigh them.
+    Lines of marked articles count ``MARKED`` times unless the other surging
+    lines outweigh them.
     """
-    plain = np.array([len(x.text) for x in lines], np.int64)
+    plain = np.array([x.own for x in lines], np.int64)
     article = np.array([x.article for x in lines], np.int64)
-    if not plain.any():
+    text = np.array([bool(x.text) for x in lines], bool)
+    if not text.any():
         return []
-    blocks = _blocks(plain)
-
-    def surging(size: np.ndarray) -> list[tuple[int, int]]:
-        sums = np.convolve(size, np.ones(WINDOW, np.int64))  # of each line and the ones before
-        surge = min(SURGE, int(sums.max()))
-        return [(a, b) for a, b in blocks if sums[a : b + WINDOW - 1].max() >= surge]
-
+    stretches = _stretches(lines)
     size = np.where(article > 0, MARKED * plain, plain)
-    main = surging(size)
-    weight = [sum(int(size[a:b].sum()) for a, b in main if (article[a] > 0) == own) for own in (True, False)]
+    main = surging(size, stretches)
+    weight = [int(size[main & ((article > 0) == own)].sum()) for own in (True, False)]
     by_article = weight[0] > 0 and weight[0] >= weight[1]
-    main = [(a, b) for a, b in main if article[a] > 0] if by_article else surging(plain)
-    kept = np.zeros(len(lines), bool)
-    for a, b in main:
-        kept[a:b] = True
-    # Short blocks: of an article that is kept, or between kept lines of their container.
+    kept = main & (article > 0) if by_article else surging(plain, stretches)
     articles = set(article[kept].tolist()) - {0} if by_article else set()
+    if not by_article:
+        for a, b in stretches:  # links alone, at the ends of what stays
+            at = np.flatnonzero(kept[a:b]) + a
+            for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
+                solid = run[plain[run] > 0]
+                kept[run] = (run >= solid[0]) & (run <= solid[-1]) if len(solid) else False
+    # Short lines: of an article that is kept, between kept lines of their container, or heading them.
     ends: dict[int, list[int]] = {}
-    for i in np.flatnonzero(kept & (plain > 0)).tolist():
+    for i in np.flatnonzero(kept).tolist():
         ends.setdefault(lines[i].container, [i, i])[1] = i
-    for a, b in blocks:
-        for i in range(a, b):
-            first, last = ends.get(lines[i].container, (i, i))
-            kept[i] |= article[i] in articles or (first < i < last and not (by_article and not article[i]))
+    for i in np.flatnonzero(text & ~kept).tolist():
+        first, last = ends.get(lines[i].container, (i, i))
+        kept[i] = article[i] in articles or (first < i < last and not (by_article and not article[i]))
+    for i in range(len(lines) - 2, -1, -1):
+        kept[i] |= lines[i].heading and text[i] and kept[i + 1] and not (by_article and not article[i])
     return [x.text for x, k in zip(lines, kept) if k and x.text]
 
 
@@ -254,7 +300,8 @@ def extract(html: str | None) -> str:
 
 
 def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` with ``_text``. Null, empty and textless pages give an empty
+    """``pages`` with one more column at the end, ``_text`` (or with further underscores,
+    if there is a column of that name). Null, empty and textless pages give an empty
     text; repeated rows and other columns stay as they are."""
 
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -262,4 +309,4 @@ def main_text(pages: DataFrame, html: str = "html") -> DataFrame:
             yield pd.Series([extract(h) for h in htmls], dtype=object)
 
     of.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return pages.withColumn("_text", F.pandas_udf(of, "string")(F.col(html)))
+    return pages.select("*", F.pandas_udf(of, "string")(F.col(html)).alias(unused(pages, "_text")))
