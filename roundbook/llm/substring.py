@@ -6,9 +6,13 @@ places are counted; each part of the corpus gets back the repeated hashes of
 its own windows and removes every word such a window covers (repeated windows
 that touch or overlap merge into maximal intervals).
 
-Hashes travel as sorted arrays, one per part and bucket, about 8 bytes a
-window. A hash that repeats within a part is sent once, so a passage that a
-third of the corpus shares costs each bucket one entry per part.
+A window is known by two independent numbers, 63 bits by which it is dealt and
+sorted and 32 more that are compared too: about n^2 / 2^96 unlucky pairs among n
+windows, none at any size to be met. They travel as sorted arrays cut into byte
+planes, one per part and bucket: the upper bytes of sorted numbers hardly change,
+so the shuffle's compression takes them away again. A window that repeats within
+a part is sent once, so a passage that a third of the corpus shares costs each
+bucket one entry per part.
 """
 
 from __future__ import annotations
@@ -17,10 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import mix64, read_parquet, shared_path, uri, written
+from .packed import pack
 
 WINDOW = 35
 #: Bytes of text per bucket, and windows a task holds before it sends them.
@@ -30,7 +36,9 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 class _Rolling:
-    """Polynomial hashes of ranges, modulo 2^64: powers of an odd base and of its inverse."""
+    """Polynomial hashes of ranges of words, modulo 2^64: powers of an odd base and of
+    its inverse. (The words' own hashes are no polynomials: two texts of 1,024
+    characters of two kinds would suffice to make those collide, for any base.)"""
 
     def __init__(self, base: int):
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
@@ -48,7 +56,8 @@ class _Rolling:
         return mix64((sums[ends] - sums[starts]) * self.down[starts])
 
 
-_BYTES, _WORDS = _Rolling(0x9E3779B97F4A7C15), _Rolling(0xC2B2AE3D27D4EB4F)
+#: Two seeds of word hashes and two bases: the hash that windows are dealt by, and the check.
+_SEEDS, _ROLLS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (_Rolling(0xC2B2AE3D27D4EB4F), _Rolling(0xA0761D6478BD642F))
 _BLOCK = 1 << 20
 
 
@@ -58,23 +67,84 @@ def words_at(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
 
 
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
+    """For each seed, 64-bit hashes of the words: up to 16 bytes, of their packing and
+    length; longer ones, XXH64."""
+    lengths = ends - starts
+    short, long = np.flatnonzero(lengths <= 16), np.flatnonzero(lengths > 16).tolist()
+    first, second = pack(text, starts[short], lengths[short])
+    for seed in _SEEDS:
+        out = np.empty(len(starts), np.uint64)
+        out[short] = mix64(mix64(mix64(first ^ np.uint64(seed)) + second) ^ lengths[short].astype(np.uint64))
+        for k in long:
+            out[k] = xxhash.xxh64_intdigest(text[starts[k] : ends[k]], seed)
+        yield out
+
+
 def window_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """63-bit hashes of all windows of ``window`` words; block by block, so the
-    tables of powers stay small on very long texts."""
-    if len(starts) < window:
-        return np.empty(0, np.uint64)
-    words = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(starts, starts[at] + _BLOCK)))
-        low = starts[at]
-        words[at:to] = _BYTES.ranges(text[low : ends[to - 1]].astype(np.uint64) + np.uint64(1), starts[at:to] - low, ends[at:to] - low)
-        at = to
-    n, out = len(words) - window + 1, []
+    """Hashes of all windows of ``window`` words, as records of 63 bits (``h``) and 32
+    independent ones (``c``); block by block, so the tables of powers stay small."""
+    n = max(0, len(starts) - window + 1)
+    out = np.empty(n, WINDOW_HASH)
     for at in range(0, n, _BLOCK):
         first = np.arange(min(_BLOCK, n - at))
-        out.append(_WORDS.ranges(words[at : at + len(first) + window - 1], first, first + window))
-    return np.concatenate(out) >> np.uint64(1)
+        s, e = (x[at : at + len(first) + window - 1] for x in (starts, ends))
+        text_of, low = text[s[0] : e[-1]], s[0]
+        for name, words, roll, shift in zip(("h", "c"), word_hashes(text_of, s - low, e - low), _ROLLS, (1, 32)):
+            out[name][at : at + len(first)] = roll.ranges(words, first, first + window) >> np.uint64(shift)
+    return out
+
+
+WINDOW_HASH = np.dtype([("h", np.uint64), ("c", np.uint32)])
+
+
+def _order(h: np.ndarray) -> np.ndarray:
+    """An order that sorts 63-bit numbers: the upper bits are sorted together with the
+    place, which is faster than an index sort and nearly always enough."""
+    low = np.uint64(max(1, len(h).bit_length()))
+    packed = np.sort((h << np.uint64(1) >> low << low) | np.arange(len(h), dtype=np.uint64))
+    order = (packed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    return order if (h[order][1:] >= h[order][:-1]).all() else np.argsort(h)
+
+
+def different(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different windows, sorted by ``h`` then ``c``, and how often each occurs."""
+    windows = windows[_order(windows["h"])]
+    same_h = np.flatnonzero(windows["h"][1:] == windows["h"][:-1])
+    if (windows["c"][same_h + 1] < windows["c"][same_h]).any():
+        windows = windows[np.lexsort((windows["c"], windows["h"]))]
+    new = np.ones(len(windows), bool)
+    new[1:] = (windows["h"][1:] != windows["h"][:-1]) | (windows["c"][1:] != windows["c"][:-1])
+    at = np.flatnonzero(new)
+    return windows[at], np.diff(np.append(at, len(windows)))
+
+
+def planes(windows: np.ndarray) -> bytes:
+    """Sorted windows byte by byte, the highest byte of all first: what compresses well stands together."""
+    return b"".join(np.ascontiguousarray(windows[name].astype(kind).view(np.uint8).reshape(len(windows), -1).T).tobytes() for name, kind in (("h", ">u8"), ("c", ">u4")))
+
+
+def from_planes(blob: bytes) -> np.ndarray:
+    n = len(blob) // 12
+    out = np.empty(n, WINDOW_HASH)
+    for name, kind, at, width in (("h", ">u8", 0, 8), ("c", ">u4", 8 * n, 4)):
+        out[name] = np.ascontiguousarray(np.frombuffer(blob, np.uint8, width * n, at).reshape(width, n).T).view(kind).reshape(n)
+    return out
+
+
+def among(windows: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which windows a sorted array of different ones holds."""
+    out = np.zeros(len(windows), bool)
+    at, left = np.searchsorted(known["h"], windows["h"]), np.arange(len(windows))
+    while len(left):  # one turn, unless known windows share their first number
+        inside = at[left] < len(known)
+        left = left[inside]
+        left = left[known["h"][at[left]] == windows["h"][left]]
+        hit = known["c"][at[left]] == windows["c"][left]
+        out[left[hit]] = True
+        left = left[~hit]
+        at[left] += 1
+    return out
 
 
 def covered(repeated: np.ndarray, n_words: int, window: int = WINDOW) -> np.ndarray:
@@ -105,13 +175,14 @@ def _sent(copy: DataFrame, buckets: int, window: int) -> DataFrame:
     (shifted up) says whether it occurred more than once among those sent together."""
 
     def flush(part: int, held: list[np.ndarray]) -> pd.DataFrame:
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
-        marked = (values << np.uint64(1)) | (counts > 1).astype(np.uint64)
+        windows, counts = different(np.concatenate(held))
+        marked = windows.copy()
+        marked["h"] = (windows["h"] << np.uint64(1)) | (counts > 1).astype(np.uint64)
         # Buckets are ranges of the hash, so the sorted array is cut, not sorted again.
-        cuts = np.searchsorted(values, np.array([(k << 63) // buckets for k in range(buckets + 1)], np.uint64))
-        cuts[-1] = len(values)
+        cuts = np.searchsorted(windows["h"], np.array([(k << 63) // buckets for k in range(buckets + 1)], np.uint64))
+        cuts[-1] = len(windows)
         full = np.flatnonzero(np.diff(cuts))
-        return pd.DataFrame({"bucket": full, "part": part, "hashes": [marked[cuts[k] : cuts[k + 1]].tobytes() for k in full]})
+        return pd.DataFrame({"bucket": full, "part": part, "hashes": [planes(marked[cuts[k] : cuts[k + 1]]) for k in full]})
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -133,13 +204,17 @@ def _sent(copy: DataFrame, buckets: int, window: int) -> DataFrame:
 
 
 def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the hashes of each part that start at two places or more."""
-    own = [np.frombuffer(h, np.uint64) for h in pdf["hashes"]]
-    values = np.sort(np.concatenate([h >> np.uint64(1) for h in own]))
-    twice = values[1:][values[1:] == values[:-1]]
-    twice = np.unique(np.concatenate([twice, *(h[(h & np.uint64(1)) == 1] >> np.uint64(1) for h in own)]))
-    found = [np.intersect1d(h >> np.uint64(1), twice, assume_unique=True) for h in own]
-    return pd.DataFrame([(p, f.tobytes()) for p, f in zip(pdf["part"], found) if len(f)], columns=["part", "hashes"])
+    """Of one bucket: the windows of each part that start at two places or more."""
+    own, twice_here = [], []
+    for blob in pdf["hashes"]:
+        windows = from_planes(blob)
+        twice_here.append((windows["h"] & np.uint64(1)) == 1)
+        windows["h"] >>= np.uint64(1)
+        own.append(windows)
+    all_, counts = different(np.concatenate(own))
+    twice, _ = different(np.concatenate([all_[counts > 1], *(w[t] for w, t in zip(own, twice_here))]))
+    found = [w[among(w, twice)] for w in own]
+    return pd.DataFrame([(p, planes(f)) for p, f in zip(pdf["part"], found) if len(f)], columns=["part", "hashes"])
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -155,13 +230,14 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     copy = written(rows.withColumn("part", F.spark_partition_id()), "texts")
     total = copy.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    found = _sent(copy, buckets, window).groupBy("bucket").applyInPandas(_repeated, "part int, hashes binary")
+    # A task per bucket: the buckets follow the input, whatever the session's shuffle partitions.
+    found = _sent(copy, buckets, window).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_repeated, "part int, hashes binary")
     answers = shared_path(spark, "repeats")
     found.repartition("part").write.partitionBy("part").parquet(answers)
     folder = uri(answers)
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, known = None, np.empty(0, np.uint64)
+        now, known = None, np.empty(0, WINDOW_HASH)
         for pdf in batches:
             out = []
             for part, t in zip(pdf["part"].tolist(), pdf["text"].tolist()):
@@ -170,8 +246,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 bytes_ = _bytes(t)
                 starts, ends = words_at(bytes_)
                 hashes = window_hashes(bytes_, starts, ends, window)
-                at = np.searchsorted(known, hashes)
-                hit = covered(known[np.minimum(at, len(known) - 1)] == hashes if len(known) else np.zeros(len(hashes), bool), len(starts), window)
+                hit = covered(among(hashes, known), len(starts), window)
                 out.append((len(starts), int(hit.sum()), kept_text(bytes_, starts, ends, ~hit)))
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
 
@@ -182,6 +257,6 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
 
 def _answers(folder: str, part: int) -> np.ndarray:
-    """Sorted repeated hashes of a part; none where no file was written for it."""
-    parts = [np.frombuffer(h.as_py(), np.uint64) for h in read_parquet(f"{folder}/part={part}", ["hashes"])["hashes"]]
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+    """The repeated windows of a part, sorted; none where no file was written for it."""
+    parts = [from_planes(h.as_py()) for h in read_parquet(f"{folder}/part={part}", ["hashes"])["hashes"]]
+    return different(np.concatenate(parts))[0] if parts else np.empty(0, WINDOW_HASH)

@@ -156,3 +156,25 @@ def test_contamination_runs_without_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
     monkey = decontam.contamination(d, b).select(F.sha2(F.array_join("item_ids", ","), 256).alias("s")).first()["s"]
     assert monkey == hashlib.sha256(b"1").hexdigest()
+
+
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    """Two documents whose first words are a 1,024-character Thue-Morse string and its
+    complement share no window of 35 words."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    tail = " ".join(f"w{i}" for i in range(34))
+    docs = spark.createDataFrame([(1, f"{one} {tail}"), (2, f"{other} {tail}")], "doc_id long, text string")
+    assert [r["n_removed"] for r in substring.remove_repeats(docs, window=35).collect()] == [0, 0]
+
+
+def test_windows_that_share_the_first_hash():
+    """With every first hash alike the second one decides alone."""
+    w = substring.window_hashes(np.frombuffer(b"a b c d a b", np.uint8), *substring.words_at(np.frombuffer(b"a b c d a b", np.uint8)), 2)
+    known, counts = substring.different(w)
+    assert sorted(counts) == [1, 1, 1, 2] and substring.among(w, known[counts > 1]).tolist() == [True, False, False, False, True]
+    w["h"] = 5
+    known, counts = substring.different(w)
+    assert sorted(counts) == [1, 1, 1, 2] and substring.among(w, known[counts > 1]).tolist() == [True, False, False, False, True]
+    assert (substring.from_planes(substring.planes(known)) == known).all() and len(substring.from_planes(b"")) == 0
+    assert not substring.among(w, known[:0]).any()
