@@ -30,7 +30,7 @@ CALIBRATION, RECALL = 200, 0.97
 FIRST_VISITS = 8
 #: Rows and queries that meet in one task at most, on average.
 TILE_ROWS, TILE_QUERIES = 2048, 512
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "key long, vec_id long, score double"
 
 
 class Tree:
@@ -39,7 +39,7 @@ class Tree:
     def __init__(self, x: np.ndarray, rows: int, seed: int = 11):
         """``x``: sampled vectors; ``rows``: how many rows the whole table has."""
         rng, x = np.random.default_rng(seed), np.unique(x, axis=0)
-        self.centres: list[np.ndarray] = [x.mean(axis=0)]
+        self.centres: list[np.ndarray] = [x.mean(axis=0) if len(x) else np.zeros(x.shape[1])]
         self.children: list[list[int]] = [[]]
         scale, todo = rows / max(1, len(x)), [(0, x)]
         while todo:
@@ -95,42 +95,78 @@ class Tree:
                     heapq.heappush(queue, (d, k))
 
 
+class Forest:
+    """A tree for each length of vectors; leaves are numbered through."""
+
+    def __init__(self, sample: list[np.ndarray], rows: dict[int, int]):
+        """``sample``: vectors; ``rows``: how many rows the table has of each length."""
+        own: dict[int, list[np.ndarray]] = {n: [] for n in rows}
+        for v in sample:
+            own[len(v)].append(v)
+        self.trees, self.first, at = {}, {}, 0
+        for n in sorted(rows):
+            self.trees[n] = Tree(np.array(own[n]).reshape(-1, n), rows[n])
+            self.first[n] = at
+            at += len(self.trees[n].centres)
+
+    def descend(self, vectors: list[np.ndarray]) -> np.ndarray:
+        """The leaf of each vector."""
+        out = np.empty(len(vectors), np.int64)
+        lengths = np.array([len(v) for v in vectors])
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            out[at] = self.first[n] + self.trees[n].descend(np.array([vectors[k] for k in at], np.float64))
+        return out
+
+    def best_bins(self, q: np.ndarray) -> Iterator[int]:
+        """Leaves of the query's length in the order it visits them; none where no row has it."""
+        if len(q) in self.trees:
+            for node in self.trees[len(q)].best_bins(q):
+                yield self.first[len(q)] + node
+
+
 def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x**2).sum(axis=1)[:, None] - 2 * x @ y.T + (y**2).sum(axis=1), 0)
 
 
+def _vectors(column: pd.Series) -> list[np.ndarray]:
+    return [np.asarray(v, np.float64) for v in column]
+
+
 def _matrix(vectors: pd.Series) -> np.ndarray:
+    """Vectors of one length."""
     return np.array(vectors.tolist(), np.float64)
 
 
-def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's ``k`` nearest rows but its own, by exact distance, then id."""
+def nearest(keys: np.ndarray, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's ``k`` nearest rows but its own (its id and its vector), by exact
+    distance, then id; ``keys`` tell queries apart."""
     out = []
     step = max(1, 4_000_000 // max(1, x.size))
     for at in range(0, len(q), step):
         d = np.sqrt(((q[at : at + step, None] - x[None]) ** 2).sum(axis=2))
-        d[q_ids[at : at + step, None] == ids[None]] = np.inf
-        for one, row in zip(q_ids[at : at + step], d):
+        d[(q_ids[at : at + step, None] == ids[None]) & (d == 0)] = np.inf
+        for one, row in zip(keys[at : at + step], d):
             if len(row) > k:  # all rows as near as the k-th, so that ties are settled by id
                 near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
             else:
                 near = np.arange(len(row))
             near = near[np.lexsort((ids[near], row[near]))][:k]
             near = near[np.isfinite(row[near])]
-            out.append(pd.DataFrame({"query_id": one, "vec_id": ids[near], "score": row[near]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            out.append(pd.DataFrame({"key": one, "vec_id": ids[near], "score": row[near], "at": near}))
+    return pd.concat(out) if out else pd.DataFrame({"key": [], "vec_id": [], "score": [], "at": []})
 
 
 def usable(rows: DataFrame) -> DataFrame:
     """Rows (vec_id, v) whose vector is neither null nor zero and has only finite
-    components; rows that repeat an id are one, with the smallest vector."""
+    components; rows that repeat both id and vector are one."""
     finite = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     good = rows.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda c: c != 0))
-    return good.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return good.dropDuplicates(["vec_id", "v"])
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy("score", "vec_id")
+    order = W.partitionBy("key").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
@@ -140,22 +176,26 @@ def _sampled(rows: DataFrame, n: int, most: int, salt: int) -> pd.DataFrame:
     return part.orderBy("vec_id").limit(2 * most).toPandas()
 
 
-def _visits(indexed: DataFrame, tree: Tree, picked: pd.DataFrame, k: int) -> int:
+def _visits(indexed: DataFrame, forest: Forest, picked: pd.DataFrame, k: int) -> int:
     """Leaves to visit so that the wanted share of true neighbours is found."""
-    ids, q = picked["vec_id"].to_numpy(np.int64), _matrix(picked["v"])
+    ids, vectors = picked["vec_id"].to_numpy(np.int64), _vectors(picked["v"])
+    lengths = np.array([len(v) for v in vectors])
 
     def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = nearest(ids, q, pdf["vec_id"].to_numpy(np.int64), _matrix(pdf["v"]), k)
-            leaf = pd.Series(pdf["leaf"].to_numpy(), index=pdf["vec_id"].to_numpy())
-            leaf = leaf[~leaf.index.duplicated()]
-            yield got.assign(leaf=leaf.loc[got["vec_id"].to_numpy()].to_numpy())
-
-    true = _top(indexed.mapInPandas(brute, FOUND + ", leaf long"), k).select("query_id", "leaf").toPandas()
-    wanted = dict(tuple(true.groupby("query_id")["leaf"]))
+            rows = _vectors(pdf["v"])
+            own = np.array([len(v) for v in rows])
+            for n in np.intersect1d(own, lengths).tolist():
+                at, keys = np.flatnonzero(own == n), np.flatnonzero(lengths == n)
+                part = pdf.iloc[at]
+                got = nearest(keys, ids[keys], np.array([vectors[i] for i in keys]), part["vec_id"].to_numpy(np.int64), np.array([rows[i] for i in at]), k)
+                yield got.assign(leaf=part["leaf"].to_numpy()[got["at"].to_numpy(np.int64)]).drop(columns="at")
+
+    true = _top(indexed.mapInPandas(brute, FOUND + ", leaf long"), k).select("key", "leaf").toPandas()
+    wanted = dict(tuple(true.groupby("key")["leaf"]))
     ranks = []
-    for one, vector in zip(ids.tolist(), q):
-        order = {leaf: i for i, leaf in enumerate(tree.best_bins(vector))}
+    for one, vector in enumerate(vectors):
+        order = {leaf: i for i, leaf in enumerate(forest.best_bins(vector))}
         ranks += [order[leaf] + 1 for leaf in wanted.get(one, [])]
     ranks.sort()
     return ranks[min(len(ranks) - 1, int(np.ceil(RECALL * len(ranks))))] if ranks else 1
@@ -165,46 +205,49 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each
     row of ``queries`` (same columns), its own id left out.
 
-    Null, zero and non-finite vectors take no part on either side, nor do
-    vectors of another length than the smallest id's. Fewer rows than ``k`` are
-    all returned; rows that repeat an id count once; ties go to the smaller id; equal vectors share a leaf. No
+    Null, zero and non-finite vectors take no part on either side. Every row is a
+    candidate: vectors of another length than the query's have no distance from
+    it, so each length is searched by itself; rows that share an id but not the
+    vector count each, as candidates and as queries (two such queries both have
+    ranks from 1); rows that repeat both count once. Fewer candidates than ``k``
+    are all returned; ties go to the smaller id; equal vectors share a leaf. No
     rows or no queries give no rows; other columns are not read.
     """
     spark = vectors.sparkSession
-    all_rows = usable(vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")))
-    rows = written(all_rows, "vectors")
-    n, first = rows.agg(F.count("*"), F.min_by(F.size("v"), "vec_id")).first()
+    named = lambda df: usable(df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")))
+    rows = written(named(vectors), "vectors")
+    lengths = {r["n"]: r["count"] for r in rows.groupBy(F.size("v").alias("n")).count().collect()}
+    n = sum(lengths.values())
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("v") == first)
-    tree = Tree(_matrix(_sampled(rows, n, SAMPLE, 1)["v"]), n)
-    sent = spark.sparkContext.broadcast(tree)
+    forest = Forest(_vectors(_sampled(rows, n, SAMPLE, 1)["v"]), lengths)
+    sent = spark.sparkContext.broadcast(forest)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(leaf=sent.value.descend(_matrix(pdf["v"])))
+            yield pdf.assign(leaf=sent.value.descend(_vectors(pdf["v"])))
 
     indexed = written(rows.mapInPandas(index, "vec_id long, v array<double>, leaf long"), "leaves")
     sizes = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # one per leaf: bounded by the sample
-    visits = _visits(indexed, tree, _sampled(rows, n, CALIBRATION, 2), k)
+    visits = _visits(indexed, forest, _sampled(rows, n, CALIBRATION, 2), k)
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for one, v in zip(pdf["query_id"].tolist(), pdf["q"]):
+            for key, one, v in zip(pdf["key"].tolist(), pdf["query_id"].tolist(), pdf["q"]):
                 seen = had = 0
                 for leaf in sent.value.best_bins(np.asarray(v, np.float64)):
-                    out.append((one, v, leaf, seen))
+                    out.append((key, one, v, leaf, seen))
                     seen, had = seen + 1, had + sizes.get(leaf, 0)
                     if seen >= visits and had > k:
                         break
-            yield pd.DataFrame(out, columns=["query_id", "q", "leaf", "visit"])
+            yield pd.DataFrame(out, columns=["key", "query_id", "q", "leaf", "visit"])
 
     def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        got = nearest(q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k)
-        return got[got["score"].to_numpy() <= got["query_id"].map(dict(zip(q["query_id"], q["bound"]))).to_numpy()]
+            return pd.DataFrame({"key": [], "vec_id": [], "score": []})
+        got = nearest(q["key"].to_numpy(), q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k)
+        return got[got["score"].to_numpy() <= got["key"].map(dict(zip(q["key"], q["bound"]))).to_numpy()].drop(columns="at")
 
     def met(asked: DataFrame, bounds: DataFrame | None) -> DataFrame:
         """Each query's nearest rows in each tile of the leaves it visits, as far as its bound."""
@@ -213,17 +256,18 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
         deal = lambda df, key, by, over: df.join(shape, "leaf").withColumn("i", F.expr(f"int(pmod(xxhash64({key}), {by}))")).withColumn("j", F.explode(F.expr(f"sequence(0, {over} - 1)")))
         tiles = deal(indexed, "vec_id", "rb", "qb").select("leaf", F.col("i").alias("r"), F.col("j").alias("b"), "vec_id", "v")
         if bounds is not None:
-            asked = asked.join(bounds, "query_id", "left")
+            asked = asked.join(bounds, "key", "left")
         bound = F.lit(float("inf")) if bounds is None else F.coalesce("bound", F.lit(float("inf")))
-        wanted = deal(asked, "query_id", "qb", "rb").select("leaf", F.col("j").alias("r"), F.col("i").alias("b"), "query_id", "q", bound.alias("bound"))
+        wanted = deal(asked, "key", "qb", "rb").select("leaf", F.col("j").alias("r"), F.col("i").alias("b"), "key", "query_id", "q", bound.alias("bound"))
         return tiles.groupBy("leaf", "r", "b").cogroup(wanted.groupBy("leaf", "r", "b")).applyInPandas(meet, FOUND)
 
-    own = usable(queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")))
-    own = own.filter(F.size("v") == first).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    asked = written(own.mapInPandas(visit, "query_id long, q array<double>, leaf long, visit int"), "visits")
+    own = named(queries).filter(F.size("v").isin(list(lengths))).select(F.monotonically_increasing_id().alias("key"), F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    # Written once, so that a query's key is the same wherever it is read again.
+    asked = written(own.mapInPandas(visit, "key long, query_id long, q array<double>, leaf long, visit int"), "visits")
     # The first leaves bound each query's k-th distance; the others then give
     # back only rows within it.
     near = written(met(asked.filter(F.col("visit") < FIRST_VISITS), None), "near")
-    bounds = _top(near, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+    bounds = _top(near, k).filter(F.col("rank") == k).select("key", F.col("score").alias("bound"))
     far = met(asked.filter(F.col("visit") >= FIRST_VISITS), bounds)
-    return _top(near.unionByName(far), k).select("query_id", "rank", "vec_id", "score")
+    ids = asked.filter("visit = 0").select("key", "query_id")
+    return _top(near.unionByName(far), k).join(ids, "key").select("query_id", "rank", "vec_id", "score")

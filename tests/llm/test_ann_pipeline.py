@@ -52,6 +52,26 @@ def test_search(spark, vectors, monkeypatch):
     assert [i for _, i in want[300]] == [i for *_, i in sorted(got[300])]
 
 
+def test_lengths_are_searched_each_by_itself_and_repeated_ids_stay(spark):
+    """A short vector at the smallest id takes nothing from the others; rows that
+    share an id are rows."""
+    rng = np.random.default_rng(7)
+    two = [(i, rng.normal(size=2).tolist()) for i in range(1, 301)]
+    rows = [(0, [1.0]), *two, (400, [2.5]), (900, [1.0, 2.0, 3.0]), (7, [9.0, 9.0]), (7, [9.0, 9.0]), (500, [9.0, 9.0]), (500, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in ann.search(df, df.filter("vec_id % 100 = 0")).collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert got[0] == [(1.5, 400)] and got[400] == [(1.5, 0)] and 900 not in got
+    kept = sorted({(i, tuple(v)) for i, v in rows if len(v) == 2})
+    for q in (100, 200, 300, 500):
+        want = []
+        for own in [v for i, v in kept if i == q]:
+            want += sorted((float(np.sqrt(((np.array(own) - np.array(v)) ** 2).sum())), i) for i, v in kept if (i, v) != (q, own))[:10]
+        assert sorted(got[q]) == sorted(want)
+    assert (0.0, 7) in got[500]
+
+
 def test_search_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (100, [1.0, 2.0]), (7, [4.0, 6.0]), (100, [1.0, 2.0])], "vec_id long, embedding array<double>")
     got = [tuple(r) for r in ann.search(df, df.filter("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
