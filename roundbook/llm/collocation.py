@@ -31,9 +31,10 @@ from .packed import blocks, buckets, run_starts, unpack, words_in
 
 MIN_COUNT, TOP = 10, 2000
 #: Suffixes of one group of prefixes: what a task holds at a time, about 100 bytes each.
-BUDGET = 2_000_000
-#: Suffixes that a task holds before it deals them to groups.
-HELD = 4_000_000
+BUDGET = 1_000_000
+#: Suffixes that a task holds before it deals them to groups, and bytes of text it
+#: takes them from at a time.
+HELD, BLOCK = 1_000_000, 3_000_000
 #: Prefixes that one task lays into groups, about.
 LAID = 250_000
 #: Bits of the filter of frequent words: 16 a word, and at most 16 MB. A false
@@ -152,12 +153,12 @@ def suffixes(langs: list[str], texts: pa.Array, plan: Plan) -> Iterator[tuple[li
     A suffix starts at a pair of frequent words; a rare word ends it, since no
     phrase that holds it is frequent.
     """
-    for at, to, data, offsets in blocks(texts):
+    for at, to, data, offsets in blocks(texts, BLOCK):
         low, starts, ends, doc = split_words(data, offsets)
         if not len(starts):
             continue
-        breaks = np.cumsum(_BREAK[low], dtype=np.int64)
-        joined = (breaks[starts[1:]] == breaks[starts[:-1]]) & (doc[1:] == doc[:-1])
+        broken = np.logical_or.reduceat(_BREAK[low], starts)[:-1]
+        joined = ~broken & (doc[1:] == doc[:-1])
         ids, hashes = np.zeros(len(starts), np.int64), [np.zeros(1, np.uint64)]
         known = 1
         for bucket in buckets(low, starts, ends - starts, zero_bytes=True):
