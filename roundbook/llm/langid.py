@@ -33,7 +33,7 @@ SAMPLE, CALIBRATION = 20_000, 5_000
 #: Rate, its offset, lasso and ridge of the training; texts are scaled by ``SCALE``.
 ALPHA, BETA, LASSO, RIDGE, SCALE = 0.5, 0.1, 0.05, 0.01, 20.0
 #: Code points that a task takes grams from at a time, and characters of a block of texts.
-STEP, BLOCK = 500_000, 2_000_000
+STEP, BLOCK = 500_000, 1_000_000
 UNKNOWN = "und"
 _SPACE = 32
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -227,10 +227,11 @@ def fit(docs: DataFrame) -> tuple[str, list[str], int]:
         return here, [], 0
     known.select("text").mapInPandas(_document_frequencies, "gram long, rows long").groupBy("gram").agg(F.sum("rows").alias("rows")).write.parquet(f"{here}/rows")
     quota = [max(1, most // len(langs)) for most in (SAMPLE, CALIBRATION)]
-    # A hash keeps a little more than the quota where the table is read; the window makes it exact.
-    chance = spark.createDataFrame([(x, min(1.0, 1.2 * sum(quota) / counts[x] + 100 / counts[x])) for x in langs], "lang string, chance double")
-    draw = F.xxhash64("doc_id", F.lit(12))
-    drawn = known.select("doc_id", "lang", "text", draw.alias("draw")).join(chance, "lang").filter((F.col("draw") / F.lit(2.0**64) + 0.5) < F.col("chance"))
+    # A hash keeps a little more than the quota where the table is read, without a
+    # shuffle of texts; the window then makes it exact.
+    share = {x: min(1.0, 1.2 * sum(quota) / counts[x] + 100 / counts[x]) for x in langs}
+    chance = F.element_at(F.create_map(*[F.lit(v) for pair in share.items() for v in pair]), F.col("lang"))
+    drawn = known.select("doc_id", "lang", "text", F.xxhash64("doc_id", F.lit(12)).alias("draw")).filter((F.col("draw") / F.lit(2.0**64) + 0.5) < chance)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
     sample = drawn.withColumn("nth", nth).filter(F.col("nth") <= sum(quota))
     # Every row of a language at the same pace: the fifth part of each goes to the temperature.
