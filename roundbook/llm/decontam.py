@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import columns, unused, written
 
 WINDOW, GRAM, CHUNK = 10, 5, 1024
 #: Benchmark fingerprints (about 200 bytes each) that may be broadcast; beyond, the join shuffles.
@@ -145,7 +145,10 @@ def contamination(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
 def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a window of an item; columns stay as
     they are. Rows are told apart by id and text, so repeated rows share a fate."""
-    keyed = docs.withColumn("_text", F.xxhash64(F.col(text)))
-    found = contamination(keyed.select(F.struct(F.col(doc_id), F.col("_text")).alias("key"), F.col(text).alias("text")), items, doc_id="key")
-    hit = found.filter("contaminated").select(F.col(f"doc_id.{doc_id}").alias("_id"), F.col("doc_id._text").alias("_hash")).distinct()
-    return keyed.join(hit, keyed[doc_id].eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").select(*docs.columns)
+    mark = unused(docs, "_text")
+    keyed = docs.select("*", F.xxhash64(F.col(text)).alias(mark))
+    key = F.struct(F.col(doc_id).alias("id"), F.col(mark).alias("hash")).alias("key")
+    found = contamination(keyed.select(key, F.col(text).alias("text")), items, doc_id="key").filter("contaminated")
+    hit_id, hit_mark = unused(keyed, "_id"), unused(keyed, "_hash")
+    hit = found.select(F.col("doc_id.id").alias(hit_id), F.col("doc_id.hash").alias(hit_mark)).distinct()
+    return keyed.join(hit, F.col(doc_id).eqNullSafe(F.col(hit_id)) & (F.col(mark) == F.col(hit_mark)), "left_anti").select(*columns(docs))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import read_parquet, shared_path, unused, uri, written
 from .encoding import Encoder
 
 CAPACITY = 2048
@@ -172,10 +172,11 @@ def _slots(plan: list[tuple[int, tuple[int, ...]]]) -> dict[int, tuple[np.ndarra
 
 def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (of :func:`encode_pieces`, further columns kept) with
-    sequence_id and offset.
+    sequence_id and offset (columns of these names are replaced).
 
-    Equal numbers of pieces of a length in each partition are counted and
-    added up over partitions; the driver gets at most ``capacity`` totals.
+    Equal numbers of pieces of a length in each part are counted and added up
+    over parts; the driver gets at most ``capacity`` totals. A task reads the
+    counts before its own part from the shared folder, so no piece is shuffled.
     """
     spark = pieces.sparkSession
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -184,23 +185,41 @@ def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     slots = spark.sparkContext.broadcast(_slots(plan_bins(histogram, capacity)))
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     firsts = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
-        n, r = length.to_numpy(), rank.to_numpy()
-        sequence, offset = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
-        for one in np.unique(n):
-            at = np.flatnonzero(n == one)
-            first, seq, m, off = slots.value[int(one)]
-            run = np.searchsorted(first, r[at], "right") - 1
-            own = r[at] - first[run]
-            sequence[at] = seq[run] + own // m[run]
-            offset[at] = off[run] + own % m[run] * one
-        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
-
-    placed = F.pandas_udf(place, "sequence_id long, offset long")
-    ranked = pieces.join(firsts, ["length", "part"]).withColumn("_place", placed("length", F.col("first") + F.col("nth")))
-    keep = [c for c in pieces.columns if c not in ("part", "nth")]
-    return ranked.select(*keep, "_place.sequence_id", "_place.offset")
+    here = shared_path(spark, "piece-ranks")
+    firsts.repartition("part").write.partitionBy("part").parquet(here)
+    folder = uri(here)
+
+    def place(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        now, ranks = None, np.zeros(0, np.int64)
+        for lengths, parts, nths in batches:
+            n, part, r = lengths.to_numpy(), parts.to_numpy(), nths.to_numpy().copy()
+            for one in np.unique(part).tolist():
+                if one != now:
+                    now, ranks = one, _ranks(f"{folder}/part={one}", capacity)
+                r[part == one] += ranks[n[part == one]]
+            sequence, offset = np.empty(len(n), np.int64), np.empty(len(n), np.int64)
+            for one in np.unique(n):
+                at = np.flatnonzero(n == one)
+                first, seq, m, off = slots.value[int(one)]
+                run = np.searchsorted(first, r[at], "right") - 1
+                own = r[at] - first[run]
+                sequence[at] = seq[run] + own // m[run]
+                offset[at] = off[run] + own % m[run] * one
+            yield pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    place.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.DataFrame]}
+    placed, name = F.pandas_udf(place, "sequence_id long, offset long"), unused(pieces, "_place")
+    ranked = pieces.select("*", placed("length", "part", "nth").alias(name))
+    keep = [c for c in ranked.columns if c.lower() not in ("part", "nth", "sequence_id", "offset", name)]
+    return ranked.select(*[F.col("`" + c.replace("`", "``") + "`") for c in keep], f"{name}.sequence_id", f"{name}.offset")
+
+
+def _ranks(folder: str, capacity: int) -> np.ndarray:
+    """For each length, how many pieces of it the parts before this one have."""
+    rows = read_parquet(folder, ["length", "first"])
+    out = np.zeros(capacity + 1, np.int64)
+    out[rows["length"].to_numpy()] = rows["first"].to_numpy()
+    return out
 
 
 def packed_sequences(packed: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import columns, unused, written
 from .components import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -177,12 +177,13 @@ def representatives(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         return pd.Series(np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
 
     # Written once, so that a row's number is the same wherever it is read.
-    rows = written(docs.select("*", F.pandas_udf(make, "long")(F.col(text)).alias("_fp"), F.monotonically_increasing_id().alias("_row")), "fingerprinted")
-    keys = rows.select(F.col("_fp").alias("fp"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col("_row").alias("row"))
+    fp, row = unused(docs, "_fp"), unused(docs, "_row")
+    rows = written(docs.select("*", F.pandas_udf(make, "long")(F.col(text)).alias(fp), F.monotonically_increasing_id().alias(row)), "fingerprinted")
+    keys = rows.select(F.col(fp).alias("fp"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(row).alias("row"))
     named = keys.join(_component_ids(keys.select("doc_id", "fp"), radius), "fp")
     # Components without any id are told apart by their fingerprints' smallest row.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")).alias("first")
     with_id = named.filter("component_id IS NOT NULL").groupBy("component_id").agg(first)
     without = named.filter("component_id IS NULL").groupBy("fp").agg(first)
-    kept = with_id.select("first.row").unionByName(without.select("first.row")).select(F.col("row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = with_id.select("first.row").unionByName(without.select("first.row")).select(F.col("row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*columns(docs))

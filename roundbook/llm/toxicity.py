@@ -36,7 +36,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import file_system, mix64, shared_path, uri, written
+from .common import file_system, mix64, shared_path, unused, uri, written
 
 TOP, SHARED, DISCOUNT = 6, 3, 0.75
 #: Rows that fit the curve at most, about.
@@ -325,7 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MAX_CURVE) -> tuple[str,
 
 
 def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.3, most: int = MAX_CURVE) -> DataFrame:
-    """``docs`` with ``_score`` (0 to 1) and ``_toxic`` (0/1).
+    """``docs`` with two more columns at the end, ``_score`` (0 to 1) and ``_toxic`` (0/1),
+    or with further underscores if there are columns of these names.
 
     Null, empty and wordless texts score what no evidence scores; repeated rows
     score alike; labels that are null or not 0/1 and null ids are ignored; with
@@ -340,5 +341,6 @@ def score(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
             yield pd.Series(probability(Ratios.shared(folder).features(texts.tolist()), fitted))
 
     of.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    scored = docs.withColumn("_score", F.pandas_udf(of, "double")(F.col(text)))
-    return scored.withColumn("_toxic", (F.col("_score") >= threshold).cast("int"))
+    name = unused(docs, "_score")
+    scored = docs.select("*", F.pandas_udf(of, "double")(F.col(text)).alias(name))
+    return scored.select("*", (F.col(name) >= threshold).cast("int").alias(unused(scored, "_toxic")))

@@ -148,7 +148,7 @@ def corpus(spark, n=1500):
         labels.append((i, int(good), int(toxic)))
     rows += [(None, None, "s"), (n, "", "s"), (n + 1, " 12 ... ", "s"), (0, rows[0][1], "s"), (n + 2, "ba " * 30_000, "s")]
     labels += [(None, 1, 1), (3, None, None), (n, 7, 9)]
-    return spark.createDataFrame(rows, "doc_id long, text string, _score string").drop("_score").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return spark.createDataFrame(rows, "doc_id long, text string, clash string").repartition(3), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
 def accuracy(spark, scored, labels, label, of, rest, column):
