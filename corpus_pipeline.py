@@ -11,34 +11,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roundbook.llm import decontam, encoding, packing, pii, simhash, toxicity
-from roundbook.llm.common import table, written
+from roundbook.llm.common import columns, table, written
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity models reject (score 0.3 or more) go."""
+    """Documents that the toxicity models reject (score 0.3 or more) go.
+
+    Null, empty and wordless texts have no evidence against them and stay; repeated
+    rows share a fate; no documents give none.
+    """
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"), threshold=0.3)
-    return scored.filter("_toxic = 0").select(*docs.columns)
+    return scored.filter(F.col(scored.columns[-1]) == 0).select(*columns(docs))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each SimHash component (4-word shingles, 4 bits) the document with the
-    smallest id stays; of rows that repeat that id, one."""
+    smallest id stays; of rows that repeat that id, one.
+
+    Null and empty texts have fingerprint 0 and are a component like any other, so one
+    of them stays; a null id stays only where its component has no other. No
+    documents give none.
+    """
     return simhash.representatives(docs, shingle=4, radius=4)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Null, empty and wordless texts hold none and stay, as all do without items;
+    repeated rows share a fate; no documents give none.
+    """
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind in brackets; n_chars follows."""
+    """Personal data is replaced by its kind in brackets; n_chars follows, where there
+    is such a column.
+
+    Every row stays. Null and empty texts stay as they are (a null text's n_chars is
+    null); no documents give none.
+    """
     done = pii.redact(docs)
     return done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else done
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents' pieces with their ids and places in sequences of 2048 tokens."""
+    """All documents' pieces with their ids and places in sequences of 2048 tokens.
+
+    Null and empty texts are a piece of the end id alone; repeated rows are documents
+    of their own; other columns of the documents are not kept; no documents
+    give no pieces.
+    """
     return packing.pack(packing.encode_pieces(docs, encoding.default_tokenizer(), end_id=0, capacity=2048), capacity=2048)
 
 
