@@ -9,34 +9,60 @@ file-name sort.
 from __future__ import annotations
 
 import datetime as dt
+import re
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-
-CSV_OPTIONS = dict(header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
-
-
-def _header(spark: SparkSession, path: str) -> list[str]:
-    row = spark.read.options(header=False, multiLine=True, quote='"', escape='"').csv(path).limit(1).collect()
-    return [c or "" for c in row[0]] if row else []
+from ..operators.match import quote
+from .csv_records import csv_records, first_record, parsed, text_schema
+
+#: Types that an undocumented column is given, narrowest first, if all its cells read as one.
+INFERRED = ["int", "bigint", "double", "date", "timestamp", "boolean"]
+
+
+def _inferred(records: DataFrame, header: list[str]) -> T.StructType:
+    """The narrowest type that holds every cell of a column, in one pass over the file."""
+    text = records.filter("row > 0").select(parsed(F.col("record"), text_schema(len(header))).alias("c"))
+    fits = [F.bool_and(F.col(f"c.c{i}").isNull() | F.col(f"c.c{i}").try_cast(t).isNotNull()).alias(f"c{i}_{t}") for i in range(len(header)) for t in INFERRED]
+    some = [F.max(F.col(f"c.c{i}").isNotNull()).alias(f"c{i}") for i in range(len(header))]
+    found = text.agg(*fits, *some).first()
+    types = [next((t for t in INFERRED if found[f"c{i}_{t}"]), "string") if found[f"c{i}"] else "string" for i in range(len(header))]
+    return T.StructType([T.StructField(h, T._parse_datatype_string(t)) for h, t in zip(header, types)])
+
+
+def _read(spark: SparkSession, path: str, collection: str, bad: str | None = None) -> DataFrame:
+    """One exported CSV in build names; ``bad`` names a column with the number of
+    each row's cells that hold text where the typed column holds nothing."""
+    records = csv_records(spark, path)
+    header = [c or f"_c{i}" for i, c in enumerate(first_record(records) or [])]
+    if not header:
+        raise ValueError(f"CSV file is empty: {path}")
+    known = collection in schemas.TYPES
+    schema = schemas.source_schema(collection, header) if known else _inferred(records, header)
+    rows = records.filter("row > 0").select(parsed(F.col("record"), schema).alias("c"), parsed(F.col("record"), text_schema(len(header))).alias("t"))
+    out = [F.col(f"c.{quote(f.name)}").alias(f.name) for f in schema.fields]
+    if bad:
+        lost = [(F.coalesce(F.trim(f"t.c{i}") != "", F.lit(False)) & F.col(f"c.{quote(f.name)}").isNull()).cast("int") for i, f in enumerate(schema.fields) if f.dataType != T.StringType()]
+        out.append(sum(lost, F.lit(0)).alias(bad))
+    raw = rows.select(*out)
+    return schemas.to_domain(raw, collection) if known else raw.toDF(*[c.replace(".", "_") for c in raw.columns])
 
 
 def read_collection(spark: SparkSession, path: str, collection: str) -> DataFrame:
-    """One exported CSV as a DataFrame in build names.
+    """One exported CSV as a DataFrame in build names (S1), read by many tasks.
 
-    Documented collections are read with their declared types (dotted
-    source names kept in the read schema, renamed once after the scan);
-    other collections use schema inference.
+    Documented collections are read with their declared types (dotted source
+    names kept in the read schema, renamed once after the scan); the columns of
+    other collections get the narrowest type that holds all their cells. Quoted
+    cells may hold line breaks (:mod:`.csv_records`).
     """
-    if collection in schemas.TYPES:
-        schema = schemas.source_schema(collection, _header(spark, path))
-        raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
-        return schemas.to_domain(raw, collection)
-    raw = spark.read.options(**CSV_OPTIONS, inferSchema=True).csv(path)
-    return raw.toDF(*[c.replace(".", "_") for c in raw.columns])
+    return _read(spark, path, collection)
 
 
 def extracted_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,33 +87,58 @@ def extracted_tables(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def malformed_values(spark: SparkSession, path: str, collection: str) -> int:
-    """How many values of a documented collection's file its declared types
-    turn into NULL: cells that hold text where the typed column holds nothing."""
-    if collection not in schemas.TYPES:
-        return 0
-    schema = schemas.source_schema(collection, _header(spark, path))
-    text = spark.read.options(**CSV_OPTIONS).schema(", ".join(f"`{f.name}` string" for f in schema.fields)).csv(path)
-    typed = [f for f in schema.fields if f.dataType.simpleString() != "string"]
-    if not typed:
-        return 0
-    lost = [F.sum((F.trim(F.col(f"`{f.name}`")) != "") .cast("int") * F.col(f"`{f.name}`").try_cast(f.dataType).isNull().cast("int")) for f in typed]
-    return sum(n or 0 for n in text.agg(*[c.alias(f"n{i}") for i, c in enumerate(lost)]).first())
+_VERSION = re.compile(r"/snapshot_date=(\d{4}-\d{2}-\d{2})/(v-[^/]+)$")
+
+
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a glob, on whatever file system holds them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def published(spark: SparkSession, root: str) -> dict[dt.date, str]:
+    """The folder to read for each published snapshot of the table at ``root``.
+
+    A snapshot is written as a version folder of its own; the marker file that
+    Spark's committer creates last, when all files are in place, publishes it. The
+    newest published version of a date counts. A snapshot folder without version
+    folders (of another writer) is read as it is.
+    """
+    root = root.rstrip("/")
+    dates = {p.rsplit("=", 1)[1]: p for p in _listed(spark, f"{root}/snapshot_date=*")}
+    versions = [_VERSION.search(p) for p in _listed(spark, f"{root}/snapshot_date=*/v-*")]
+    done = {p.rsplit("/", 1)[0] for p in _listed(spark, f"{root}/snapshot_date=*/v-*/_SUCCESS")}
+    versioned = {m.group(1) for m in versions if m}
+    plain = {d for d in dates if d not in versioned or _listed(spark, f"{dates[d]}/*.parquet")}
+    out = {d: dates[d] for d in dates if d in plain and d not in versioned}
+    for m in versions:  # in order of their names, which begin with the time
+        if m and m.string in done:
+            out[m.group(1)] = m.string
+    for d in plain & versioned:
+        out.setdefault(d, f"{dates[d]}/*.parquet")
+    return {dt.date.fromisoformat(d): out[d] for d in sorted(out)}
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot_date: dt.date, mode: str = "ignore") -> str:
-    """Write ``df`` as the ``snapshot_date`` partition of the table at ``root``.
+    """Write ``df`` as the snapshot ``snapshot_date`` of the table at ``root``.
 
-    The write targets the partition folder itself: ``ignore`` keeps an
-    existing snapshot (create-if-absent), ``overwrite`` replaces only that
-    snapshot. (``ignore`` on the table root would skip every later snapshot.)
+    ``ignore`` keeps a published snapshot (create-if-absent), ``overwrite`` replaces
+    only that snapshot, ``error`` raises if there is one. The rows are written
+    aside and appear at once, when Spark's committer marks the new version: readers
+    go on with the version before until then, and a write that dies leaves nothing
+    that is read or taken as present. Returns the folder to read.
     """
     if mode not in ("ignore", "overwrite", "error", "errorifexists"):
         raise ValueError(f"unsupported mode {mode!r}")
-    path = f"{root.rstrip('/')}/snapshot_date={snapshot_date.isoformat()}"
-    # A quoted CSV is parsed by one task; its rows are dealt out before they
-    # are written, so that later reads have as many files as the table needs.
-    df.repartition(F.expr("floor(rand(7) * 100000)")).write.mode(mode).parquet(path)
+    root = root.rstrip("/")
+    have = published(df.sparkSession, root).get(snapshot_date)
+    if have and mode == "ignore":
+        return have
+    if have and mode != "overwrite":
+        raise ValueError(f"snapshot {snapshot_date} of {root} exists")
+    path = f"{root}/snapshot_date={snapshot_date.isoformat()}/v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(path)
     return path
 
 
@@ -101,24 +152,35 @@ def import_snapshot(
     """Import collections; one failing collection does not stop the rest.
 
     Returns one row per collection: ``(table, status, error, rows, malformed)``,
-    with ``rows`` counted from the written snapshot partition and
-    ``malformed`` the values that did not fit the declared type.
+    with the ``rows`` of the snapshot and the ``malformed`` values that did not
+    fit the declared type. Both are observed while the rows are written; where a
+    published snapshot is kept, nothing is parsed and ``malformed`` is NULL.
     """
     results = []
     for table in sorted(csv_paths):
         try:
-            df = read_collection(spark, csv_paths[table], table)
-            path = write_snapshot(df, f"{warehouse}/{table}", snapshot_date, mode)
-            n = spark.read.parquet(path).count()
-            results.append((table, "ok", None, n, malformed_values(spark, csv_paths[table], table)))
+            root = f"{warehouse}/{table}"
+            have = published(spark, root).get(snapshot_date)
+            if have and mode == "ignore":
+                results.append((table, "ok", None, spark.read.parquet(have).count(), None))
+                continue
+            seen = Observation()
+            rows = _read(spark, csv_paths[table], table, bad="__rb_bad")
+            counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("__rb_bad"), F.lit(0)).alias("bad"))
+            write_snapshot(counted.drop("__rb_bad"), root, snapshot_date, mode)
+            results.append((table, "ok", None, seen.get["n"], seen.get["bad"]))
         except Exception as e:  # keep going, report the failure
             results.append((table, "failed", str(e), None, None))
     return spark.createDataFrame(results, "table string, status string, error string, rows long, malformed long")
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    """All snapshots of a table; ``snapshot_date`` is the partition column."""
-    return spark.read.option("basePath", f"{warehouse}/{table}").parquet(f"{warehouse}/{table}")
+    """All published snapshots of a table; ``snapshot_date`` is the partition column."""
+    root = f"{warehouse.rstrip('/')}/{table}"
+    folders = published(spark, root)
+    if not folders:
+        raise ValueError(f"no published snapshot of {root}")
+    return spark.read.option("basePath", root).parquet(*folders.values())
 
 
 def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
@@ -134,11 +196,8 @@ def latest_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame
 
 
 def snapshot_dates(spark: SparkSession, warehouse: str, table: str) -> list[dt.date]:
-    """The table's snapshot dates, oldest first, from the names of its files'
-    folders (one per snapshot); no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(f"{warehouse}/{table}")
-    date = F.to_date(F.regexp_extract("path", r"snapshot_date=(\d{4}-\d{2}-\d{2})", 1))
-    return [r["d"] for r in files.select(date.alias("d")).distinct().orderBy("d").collect()]
+    """The table's published snapshot dates, oldest first, from its folders' names."""
+    return list(published(spark, f"{warehouse}/{table}"))
 
 
 def read_latest(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -147,10 +206,9 @@ def read_latest(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 
 
 def collections_in(spark: SparkSession, warehouse: str) -> list[str]:
-    """The tables of a warehouse folder, sorted."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(warehouse)
-    name = F.regexp_extract("path", r"/([^/]+)/snapshot_date=[^/]+/[^/]+$", 1)
-    return [r["t"] for r in files.select(name.alias("t")).where("t <> ''").distinct().orderBy("t").collect()]
+    """The tables of a warehouse folder that have a published snapshot, sorted."""
+    tables = sorted({p.rsplit("/", 2)[1] for p in _listed(spark, f"{warehouse.rstrip('/')}/*/snapshot_date=*")})
+    return [t for t in tables if published(spark, f"{warehouse}/{t}")]
 
 
 def register_collections(spark: SparkSession, warehouse: str, snapshot: str | dt.date | None = "latest") -> dict[str, DataFrame]:

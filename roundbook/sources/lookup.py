@@ -7,32 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import clean_header
+from .csv_records import csv_records, first_record, parsed, text_schema, used_cells
 
 ROW_ID = "__row_id"
-_CSV = dict(header=False, multiLine=True, escape='"', quote='"', mode="PERMISSIVE")
-
-
-def _cells(spark: SparkSession, path: str) -> tuple[DataFrame, list[str | None], int]:
-    """All rows as string columns ``c0…``, the first row, and how many columns hold a cell.
-
-    The CSV reader keeps as many cells as its schema names, so the schema is
-    widened until its whole second half is empty.
-    """
-    narrow = spark.read.options(**_CSV).csv(path)
-    if len(narrow.inputFiles()) > 1:
-        raise ValueError(f"a lookup list is one file: {path}")
-    first = narrow.limit(1).collect()
-    if not first:
-        raise ValueError(f"CSV file is empty: {path}")
-    width = 2 * len(narrow.columns) + 16
-    while True:
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-        raw = spark.read.options(**_CSV, maxColumns=max(20480, width + 1)).schema(schema).csv(path)
-        used = raw.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in raw.columns]).first()
-        last = max((i + 1 for i, u in enumerate(used) if u), default=0)
-        if last <= width // 2:
-            return raw, list(first[0]), max(last, len(first[0]))
-        width *= 2
 
 
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -41,13 +18,18 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     The header row is taken from the file itself and cleaned (C3): blank
     names become ``Column_{i+1}``, and so do the columns of cells beyond the
     header. Names that repeat, in any case, get ``_2``, ``_3``, …
-    ``__row_id`` follows input order: it is ``monotonically_increasing_id()``
-    directly on the scan, whose splits and in-split order are fixed, so a
-    recomputed task yields the same ids. Rows shorter than the header are
-    padded with NULL (written back as ``''``). A folder of several files is
-    an error.
+    The file is read by many tasks; ``__row_id`` is the record's number in it, from
+    1 and without gaps, since each split starts with the number of records
+    before it. Rows shorter than the header are padded with NULL (written back as
+    ``''``). A folder of several files is an error.
     """
-    raw, first, width = _cells(spark, path)
+    if len(spark.read.text(path).inputFiles()) > 1:
+        raise ValueError(f"a lookup list is one file: {path}")
+    records = csv_records(spark, path)
+    first = first_record(records)
+    if first is None:
+        raise ValueError(f"CSV file is empty: {path}")
+    width = max(len(first), records.agg(F.max(used_cells(F.col("record")))).first()[0])
     taken: set[str] = set()
     names = []
     for h in clean_header(first + [None] * (width - len(first))):
@@ -57,9 +39,8 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
             name = f"{h}_{k}"
         taken.add(name.lower())
         names.append(name)
-    # one file read with multiLine is one split, so the header row has id 0
-    body = raw.select(raw.columns[:width]).withColumn(ROW_ID, F.monotonically_increasing_id()).where(F.col(ROW_ID) != 0)
-    return body.toDF(*names, ROW_ID)
+    body = records.filter("row > 0").select(parsed(F.col("record"), text_schema(width)).alias("c"), F.col("row").alias(ROW_ID))
+    return body.select("c.*", ROW_ID).toDF(*names, ROW_ID)
 
 
 def plain_decimal(number: Column) -> Column:
