@@ -83,7 +83,7 @@ def enrich(
     sums = FD.quarter_sums(m_rounds)
     per_org = (
         company_rows(m_orgs)
-        .join(FD.funding_text(m_rounds, m_inv), "org_uuid", "left")
+        .join(FD.funding_text(m_rounds, m_inv, rounds, investments), "org_uuid", "left")
         .join(FD.totals_from_sums(sums), "org_uuid", "left")
     )
     if axis:

@@ -79,41 +79,34 @@ def rounds_for(orgs: DataFrame, rounds: DataFrame, by: str = "uuid") -> DataFram
     raise ValueError(f"by must be 'uuid', 'name' or 'uuid_else_name', not {by!r}")
 
 
-def listing_bucket() -> "F.Column":
-    """A coarse prefix of the listing order: the days, then the start of the id.
-    Splits a company's rounds, even those of a single day, over many tasks."""
-    key = listing_key()
-    return F.struct(*(key.getField(f).alias(f) for f in ("a_null", "a", "c_null", "c")), F.substring("round_uuid", 1, 2).alias("u"))
-
-
-def rounds_listing(rounds: DataFrame) -> DataFrame:
+def rounds_listing(rounds: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Rounds with ``pos``: 1-based place in the company's listing (O1)."""
-    return group_positions(rounds, ["org_uuid"], round_order(), listing_bucket(), "pos")
+    return group_positions(rounds, ["org_uuid"], round_order(), listing_key(), "pos", sizes=sizes)
 
 
-def investor_text(investments: DataFrame) -> DataFrame:
+def investor_text(investments: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """``(round_uuid, investors)``: ``Name (Lead) ($n), …`` per round."""
     inv = investments.select(
         "round_uuid", "is_lead", "investor_name", "amount_usd", TX.investor_entry().alias("entry")
     )
-    key = investor_key()
-    bucket = F.struct(key.getField("lead").alias("lead"), key.getField("n_null").alias("n_null"), F.substring("investor_name", 1, 1).alias("name"))
-    return ordered_concat(inv, ["round_uuid"], key, "entry", ", ", "investors", bucket)
+    return ordered_concat(inv, ["round_uuid"], investor_key(), "entry", ", ", "investors", sizes=sizes)
 
 
-def round_texts(rounds: DataFrame, investments: DataFrame) -> DataFrame:
+def round_texts(rounds: DataFrame, investments: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Rounds left-joined with their investor text, plus ``round_text``."""
-    return rounds.join(investor_text(investments), "round_uuid", "left").withColumn("round_text", TX.round_entry())
+    return rounds.join(investor_text(investments, sizes), "round_uuid", "left").withColumn("round_text", TX.round_entry())
 
 
-def funding_text(rounds: DataFrame, investments: DataFrame) -> DataFrame:
-    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10)."""
-    rt = round_texts(rounds, investments).select(
+def funding_text(rounds: DataFrame, investments: DataFrame, round_sizes: DataFrame | None = None, investment_sizes: DataFrame | None = None) -> DataFrame:
+    """``(org_uuid, funding_info)``: round texts in listing order joined by `` | `` (A10).
+
+    ``round_sizes``, ``investment_sizes``: frames with at least as many rows of each
+    company and round, if these are cheaper to count.
+    """
+    rt = round_texts(rounds, investments, investment_sizes).select(
         "org_uuid", "announced_on", "closed_on", "round_uuid", "round_text"
     )
-    key = listing_key()
-    bucket = F.struct(key.getField("a_null").alias("a_null"), F.floor(key.getField("a") / 365).alias("a"))
-    return ordered_concat(rt, ["org_uuid"], key, "round_text", " | ", "funding_info", bucket)
+    return ordered_concat(rt, ["org_uuid"], listing_key(), "round_text", " | ", "funding_info", sizes=rounds if round_sizes is None else round_sizes)
 
 
 def total_funding(rounds: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def company_report(lookup: DataFrame, orgs: DataFrame, rounds: DataFrame, url_co
         site = F.coalesce(F.when(TX.nonblank("website"), F.col("website")), F.col("website_url"))
         out["companies"] = found.join(orgs.select("org_uuid", "name", site.alias("website")), "org_uuid")
     if "rounds" in parts:
-        listing = FD.rounds_listing(m_rounds).select(
+        listing = FD.rounds_listing(m_rounds, sizes=rounds).select(
             "org_uuid", "pos", "round_uuid", "round_name", "announced_on", "closed_on",
             TX.format_currency("amount_usd").alias("amount_text"),
             "investment_type", "stage", "num_investors",
