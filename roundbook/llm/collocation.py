@@ -34,7 +34,7 @@ MIN_COUNT, TOP = 10, 2000
 BUDGET = 1_000_000
 #: Suffixes that a task holds before it deals them to groups, and bytes of text it
 #: takes them from at a time.
-HELD, BLOCK = 1_000_000, 3_000_000
+HELD, BLOCK = 600_000, 2_000_000
 #: Prefixes that one task lays into groups, about.
 LAID = 250_000
 #: Bits of the filter of frequent words: 16 a word, and at most 16 MB. A false

@@ -10,9 +10,9 @@ import pyarrow as pa
 from .packed import blocks, buckets, radix_order, run_starts
 
 #: Counted words that a task holds before it merges them, and sends them on.
-HELD = 1_000_000
+HELD = 600_000
 #: Rows of a record batch.
-ROWS = 200_000
+ROWS = 100_000
 
 
 class Counter:
@@ -66,7 +66,7 @@ class Counter:
         new_row[at] = 1
         n, rows = np.diff(np.append(at, len(docs))), np.add.reduceat(new_row, at)
         if bucket.long is None:
-            self.packed.append((group[at], keys[0][at], keys[1][at], n, rows))
+            self.packed.append((group[at].astype(np.uint32), keys[0][at], keys[1][at], n.astype(np.uint32), rows.astype(np.uint32)))
             self.size += len(at)
         else:
             for g, word, a, b in zip(group[at].tolist(), keys[0][at].tolist(), n.tolist(), rows.tolist()):
@@ -78,11 +78,12 @@ class Counter:
         """Equal words of what is held become one row each."""
         if not self.packed:
             return
-        group, first, second, n, rows = (np.concatenate(c) for c in zip(*self.packed))
-        order = radix_order([group.astype(np.uint32), first, second], [32, 64, 64])
-        group, first, second, n, rows = (c[order] for c in (group, first, second, n, rows))
-        at = run_starts(group, first, second)
-        self.packed = [(group[at], first[at], second[at], np.add.reduceat(n, at), np.add.reduceat(rows, at))]
+        columns = [np.concatenate(c) for c in zip(*self.packed)]
+        self.packed = []
+        order = radix_order(columns[:3], [32, 64, 64])
+        columns = [c[order] for c in columns]
+        at = run_starts(*columns[:3])
+        self.packed = [(*(c[at] for c in columns[:3]), *(np.add.reduceat(c, at, dtype=np.int64) for c in columns[3:]))]
         self.size = len(at)
 
     def take(self) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a task works on at a time; a longer text is a block of its own.
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 3_000_000
 #: Lengths in bytes up to which words share a bucket of 64-bit numbers.
 PACKED = (2, 4, 8, 16)
 
