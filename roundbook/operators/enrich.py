@@ -5,14 +5,14 @@ One DAG instead of the reference's per-row query loop:
     lookup → host (C1) → distinct hosts → match (J1) ─┐ checkpoint
     orgs ⋉ matched ids → company text (C11)          │
     rounds ⋉ matched ids → funding text (A9, A10)    ├→ per-org row → per-host
-                        → total (A1), quarters (A2)  │   → lookup ⟕ on host (J4)
-    axis (A14, F9) → pivot (A3)                      ┘
+                        → total (A1), quarters (A2)  ┘   → lookup ⟕ on host (J4)
+    axis (A14, F9) ──────────────────────────────────────→ wide quarters (A3)
 
 Matching is computed once per distinct host and checkpointed (the axis job
 and the output job both read it). Every join is on a key; the big inputs
 (rounds, investments) are only semi-joined against the matched key set,
-which AQE broadcasts when its measured size allows and sort-merges
-otherwise.
+which AQE broadcasts when its measured size allows; a larger set is applied as
+a Bloom filter at their scans before the sort-merge join.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ from ..functions.urls import find_url_column, lookup_host
 from ..plans.config import ensure_checkpoint_dir
 from . import funding as FD
 from .match import GRAM, HOST_KEY, UrlIndex, match_hosts
+from .prefilter import semi_join
 
 ROW_ID = "__row_id"
+# Rounds of a matched company, about: sizes the filter of their ids.
+ROUNDS_PER_COMPANY = 8
 INFO_COLS = ["Company Information", "Investment Rounds and Funding Information", "Total Funding to Date"]
 
 
@@ -61,6 +64,7 @@ def enrich(
     k: int = GRAM,
     checkpoint: bool = True,
     index: UrlIndex | None = None,
+    broadcast_keys: int | None = None,
 ) -> DataFrame:
     """The enriched table: input columns, three info columns, then one column
     per quarter, newest first (S12 layout). One output row per input row.
@@ -68,33 +72,34 @@ def enrich(
     ``url_col`` defaults to the header rule of :func:`find_url_column`.
     ``as_of`` ends every quarter series (the reference uses today's date).
     ``index``: a URL index built from ``orgs`` (see ``build_url_index``).
+    ``broadcast_keys``: see :func:`~roundbook.operators.prefilter.semi_join`.
     """
     in_cols = [c for c in lookup.columns if c != ROW_ID]
     url_col = url_col or in_cols[find_url_column(in_cols)]
     keyed, found = matched(lookup, orgs, url_col, k, checkpoint, index)
 
-    ids = found.select("org_uuid").distinct()
-    m_orgs = orgs.join(ids, "org_uuid", "left_semi")
-    m_rounds = rounds.join(ids, "org_uuid", "left_semi")
-    m_inv = investments.join(m_rounds.select("round_uuid"), "round_uuid", "left_semi")
+    n_ids = found.count() if checkpoint else None
+    m_orgs = semi_join(orgs, found, "org_uuid", n_ids, broadcast_keys)
+    m_rounds = semi_join(rounds, found, "org_uuid", n_ids, broadcast_keys)
+    # at least as many rounds as companies are matched: their ids are filtered alike
+    m_inv = semi_join(investments, m_rounds, "round_uuid", n_ids and ROUNDS_PER_COMPANY * n_ids, broadcast_keys)
 
     axis = FD.quarter_axis(m_orgs, as_of, oldest_year)
-    # one aggregation of the matched rounds feeds both the total and the pivot
-    sums = FD.quarter_sums(m_rounds)
+    # one aggregation of the matched rounds feeds both the total and the quarters
     per_org = (
         company_rows(m_orgs)
         .join(FD.funding_text(m_rounds, m_inv, rounds, investments), "org_uuid", "left")
-        .join(FD.totals_from_sums(sums), "org_uuid", "left")
+        .join(FD.funding_by_quarter(m_rounds), "org_uuid", "left")
     )
-    if axis:
-        per_org = per_org.join(FD.quarterly_pivot(sums.where(F.col("quarter").isNotNull()), axis), "org_uuid", "left")
     # Working columns get reserved names: a lookup list may have columns of its
     # own called host, founded or total_funding.
-    info = ["company_info", "funding_info", "total_funding"]
-    per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").selectExpr(
-        "host AS __rb_match", *[f"{c} AS __rb_{c}" for c in info], *[f"{FD.quote(q)} AS __rb_q{i}" for i, q in enumerate(axis)]
-    )
+    info = ["company_info", "funding_info", "total_funding", "amounts"]
+    per_host = found.select("host", "org_uuid").join(per_org, "org_uuid").selectExpr("host AS __rb_match", *[f"{c} AS __rb_{c}" for c in info])
     out = keyed.join(per_host, F.col(HOST_KEY) == F.col("__rb_match"), "left")
+    # the few quarters with funding become the wide row only here, past all joins
+    if axis:
+        newest, oldest = (int(q[:4]) * 4 + int(q[-1]) - 1 for q in (axis[0], axis[-1]))
+        out = out.withColumn("__rb_axis", FD.on_axis(F.col("__rb_amounts"), newest, oldest))
     # one selectExpr call: wide outputs (hundreds of quarter columns) would
     # otherwise cost several driver round-trips per column
     exprs = [FD.quote(ROW_ID)] if ROW_ID in lookup.columns else []
@@ -104,7 +109,7 @@ def enrich(
         f"__rb_funding_info AS {FD.quote(INFO_COLS[1])}",
         f"CAST(__rb_total_funding AS DOUBLE) AS {FD.quote(INFO_COLS[2])}",
     ]
-    exprs += [f"__rb_q{i} AS {FD.quote(q)}" for i, q in enumerate(axis)]
+    exprs += [f"__rb_axis[{i}] AS {FD.quote(q)}" for i, q in enumerate(axis)]
     return out.selectExpr(*exprs)
 
 

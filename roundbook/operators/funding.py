@@ -170,10 +170,24 @@ def quarter_sums(rounds: DataFrame) -> DataFrame:
     )
 
 
-def totals_from_sums(sums: DataFrame) -> DataFrame:
-    """``(org_uuid, total_funding)`` from :func:`quarter_sums` (NULL when 0)."""
+def funding_by_quarter(rounds: DataFrame) -> DataFrame:
+    """``(org_uuid, total_funding, amounts)``: the total (A1; NULL when 0) and a map from
+    the index of each quarter with funding to its sum (A2).
+
+    One aggregation by (company, quarter), then one by company: what travels from
+    there on is an entry for each quarter that has funding, however long the axis.
+    """
+    d = Q.effective_date("closed_on", "announced_on")
+    sums = rounds.where(TX.nonzero("amount_usd")).groupBy("org_uuid", Q.quarter_index(d).alias("i")).agg(F.sum("amount_usd").alias("amount"))
     s = F.sum("amount")
-    return sums.groupBy("org_uuid").agg(F.when(s != 0, s).alias("total_funding"))
+    entries = F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", F.col("amount").cast("double"))))
+    return sums.groupBy("org_uuid").agg(F.when(s != 0, s).alias("total_funding"), F.map_from_entries(entries).alias("amounts"))
+
+
+def on_axis(amounts: "F.Column", newest: int, oldest: int) -> "F.Column":
+    """The amounts of all quarters from index ``newest`` down to ``oldest``, as a dense
+    array; quarters off the axis are left out (A3)."""
+    return F.transform(F.sequence(F.lit(newest), F.lit(oldest), F.lit(-1)), lambda i: F.element_at(amounts, i))
 
 
 def quarter_series(orgs: DataFrame, as_of: dt.date) -> DataFrame:

@@ -10,9 +10,12 @@ Plan, all equi-joins (no nested loop, no cross join):
 1. *gram tier* — hosts of length >= ``k``: the frequency of every ``k``-gram of
    the org URLs is counted where the URLs are read (a partial aggregation, so
    a gram that nearly all URLs have costs one row per task); each host keeps
-   only its rarest gram; the org grams then meet those chosen grams in one
-   join, and pairs are verified with ``contains``. Common grams such as
-   ``.com`` match nothing unless a host has nothing rarer.
+   only its rarest gram. A gram that more than ``MAX_URLS`` URLs have is grown: the
+   places where it stands are the next level of a prefix tree, whose grams are
+   a character longer, and each host left takes its rarest of those, until that
+   is rare or is the host itself. So a host meets at most ``MAX_URLS`` URLs, or the
+   ones that do contain it. The org grams then meet the chosen ones in one
+   join per length, and pairs are verified with ``contains``.
    Lossless: a URL containing the host contains each of its grams. An exact
    match (URL normalises to the host) is one of these candidates too, so
    the preference is just a rank computed while verifying;
@@ -23,11 +26,10 @@ Plan, all equi-joins (no nested loop, no cross join):
 
 The winner per host is ``min(struct(rank, org_uuid))``, a partial
 aggregation, so a host with millions of candidate companies never needs a
-window over one task. A host whose every gram is common has a hot rarest gram;
-both sides of the join are plain shuffles on the gram, so the session's
-skew-join setting splits it at run time. The stored index (bucketed, hence not
-split at run time) spreads each gram over a fixed number of salts instead
-(``spark.roundbook.gramSalts``).
+window over one task. Many hosts may still share one gram; both sides of the
+join are plain shuffles on the gram, so the session's skew-join setting splits it
+at run time. The stored index (bucketed, hence not split at run time) spreads
+each gram over a fixed number of salts instead (``spark.roundbook.gramSalts``).
 """
 
 from __future__ import annotations
@@ -38,11 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.urls import normalize_url
+from ..plans.config import ensure_checkpoint_dir
 
 # Reserved name of the match key on lookup rows.
 HOST_KEY = "__rb_host"
 
 GRAM = 4
+# A gram that more URLs have than this is grown by a character.
+MAX_URLS = 10_000
 # Gram rows of a stored index are spread over this many salts so that a hot
 # gram (one shared by a large share of all URLs) is joined by many tasks.
 SALTS = 16
@@ -82,7 +87,7 @@ def org_texts(orgs: DataFrame, uuid_col="org_uuid", url_cols=("website", "websit
 
 
 def _org_grams(texts: DataFrame, k: int) -> DataFrame:
-    """``(org_uuid, text, text_host, gram)`` for every ``k``-gram position of
+    """``(org_uuid, text, text_host, _p, gram)`` for every ``k``-gram position of
     every org URL. Positions are exploded and cut with ``substring`` in a
     compiled projection (no per-element lambda); a gram repeated inside one
     URL yields a repeated row, which only weighs its frequency and never
@@ -91,7 +96,7 @@ def _org_grams(texts: DataFrame, k: int) -> DataFrame:
     return (
         texts.where(F.length("text") >= k)
         .select("org_uuid", "text", F.col("host").alias("text_host"), pos)
-        .select("org_uuid", "text", "text_host", F.expr(f"substring(text, _p, {int(k)})").alias("gram"))
+        .select("org_uuid", "text", "text_host", "_p", F.expr(f"substring(text, _p, {int(k)})").alias("gram"))
     )
 
 
@@ -141,14 +146,58 @@ def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64
     return UrlIndex(f"{name}_grams", f"{name}_df", k, salts)
 
 
+def _rarest(hosts: DataFrame, df: DataFrame, k: int) -> DataFrame:
+    """``(host, gram, df)``: each host's rarest ``k``-gram; none for a host with a gram
+    that no URL has, since it can't match."""
+    grams = hosts.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
+    rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("r")
+    return grams.join(df, "gram", "left").groupBy("host").agg(rarest).where(F.col("r.df") > 0).select("host", "r.gram", "r.df")
+
+
+def gram_candidates(hosts: DataFrame, org_grams: DataFrame, df: DataFrame, k: int, max_urls: int | None = None, index: UrlIndex | None = None) -> DataFrame:
+    """``(host, org_uuid, text, text_host)``: the URLs each host is compared with.
+
+    ``hosts`` are of length ``k`` or more; ``org_grams`` and ``df`` their counterpart's
+    grams and frequencies. The chosen grams are written once (at most one row per
+    host): whether any must grow is known only from them.
+    """
+    max_urls = max_urls or MAX_URLS
+    ensure_checkpoint_dir(hosts.sparkSession)
+    chosen = _rarest(hosts, df, k).checkpoint(eager=True)
+    too_common = (F.col("df") > max_urls) & (F.length("host") > F.length("gram"))
+    rows = ["org_uuid", "text", "text_host"]
+    grown, level, length = [], None, k
+    growing = chosen.where(too_common)
+    while not growing.isEmpty():
+        # The next level: a character more wherever a gram of a host left stands.
+        left = growing.select("host")
+        parents = left.select(F.explode(_grams(F.col("host"), length)).alias("gram")).distinct()
+        places = org_grams.select(*rows, "_p", "gram") if level is None else level
+        length += 1
+        longer = F.expr(f"substring(text, _p, {length})")
+        level = places.join(parents, "gram", "left_semi").where(F.length("text") >= F.col("_p") + (length - 1)).withColumn("gram", longer)
+        picked = _rarest(left, _gram_counts(level), length).checkpoint(eager=True)
+        done = ~((F.col("df") > max_urls) & (F.length("host") > length))
+        grown.append(picked.where(done).select("host", "gram").join(level, "gram").select("host", *rows))
+        growing = picked.where(~done)
+    on, few = ["gram"], chosen.where(~too_common).select("host", "gram")
+    if index is not None:  # each host once per salt of the bucketed grams
+        few, on = few.select("host", "gram", _replicate(index.salts)), ["gram", "salt"]
+    out = few.join(org_grams, on).select("host", *rows)
+    for more in grown:
+        out = out.unionByName(more)
+    return out
+
+
 def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str = "host",
-                index: UrlIndex | None = None) -> DataFrame:
+                index: UrlIndex | None = None, max_urls: int | None = None) -> DataFrame:
     """``(host, org_uuid, exact)`` — the chosen organization for each matched host.
 
     ``hosts`` holds normalised hosts (duplicates and NULL/empty allowed);
     unmatched hosts are absent from the result. With an ``index`` built from
     the same ``orgs`` (see :func:`build_url_index`), the gram tier reads the
-    bucketed org grams and frequencies instead of recomputing them.
+    bucketed org grams and frequencies instead of recomputing them. ``max_urls``
+    steers the work, never the result.
     """
     spark = hosts.sparkSession
     if index is not None:
@@ -159,25 +208,10 @@ def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str
     rank = F.when(F.col("text_host") == F.col("host"), 0).otherwise(1).alias("rank")
 
     # 1. gram tier: hosts of length >= k, joined on their rarest gram.
-    long_h = h.where(F.length("host") >= k)
-    host_grams = long_h.select("host", F.explode(_grams(F.col("host"), k)).alias("gram"))
     org_grams = _org_grams(texts, k) if index is None else index.grams(spark)
     df = _gram_counts(org_grams) if index is None else index.df(spark)
-    chosen = (
-        host_grams.join(df, "gram", "left")
-        .groupBy("host")
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("r"))
-        .where(F.col("r.df") > 0)  # a gram no URL has: the host cannot match
-        .select("host", F.col("r.gram").alias("gram"))
-    )
-    on = ["gram"]
-    if index is not None:  # each host once per salt of the bucketed grams
-        chosen, on = chosen.select("host", "gram", _replicate(index.salts)), ["gram", "salt"]
-    candidates = (
-        chosen.join(org_grams, on)
-        .where(F.contains(F.col("text"), F.col("host")))
-        .select("host", "org_uuid", rank)
-    )
+    candidates = gram_candidates(h.where(F.length("host") >= k), org_grams, df, k, max_urls, index)
+    candidates = candidates.where(F.contains(F.col("text"), F.col("host"))).select("host", "org_uuid", rank)
 
     # 2. short tier: hosts shorter than k, joined on org substrings of the
     # same lengths. Printable-ASCII short hosts number at most

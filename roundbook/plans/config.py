@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     return sc.getCheckpointDir()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new, unused folder beside the session's checkpoints, on storage all machines share."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -23,6 +23,7 @@ from .operators.enrich import company_rows, enrich, enrich_long
 from .operators.match import match_hosts, match_urls
 from .operators.report import company_report
 from .sources import testviews as TV
+from .sources.collections import COLLECTIONS
 
 # Fixed parameters of the registered queries.
 AS_OF = dt.date(2002, 1, 1)
@@ -760,7 +761,105 @@ short_lookup AS (SELECT substring(s, 1, CAST(1 + doc_id % 3 AS INTEGER)) AS url
 """ + _match_cte("short_lookup", "url", "short_orgs") + "\nSELECT host, org_uuid FROM best"
 
 
+SNAPSHOT = dt.date(2024, 6, 30)
+
+
+def _exported(spark, sf_dir: str, names: list[str]) -> tuple[str, dict[str, str]]:
+    """CSV exports of domain views under their source names, in the shared folder:
+    texts with commas, doubled quotes and line breaks, dates that are no dates."""
+    from . import schemas
+    from .plans.config import shared_folder
+
+    t, folder, paths = _t(spark, sf_dir), shared_folder(spark, "export"), {}
+    for name in names:
+        df = t[name]
+        if name == "organizations":
+            df = df.withColumn("description", F.concat("description", F.lit(',\nthe "first"\n"one"'))).withColumn("founded_on", F.coalesce(F.col("founded_on").cast("string"), F.lit("unknown")))
+        source = {dst: src for src, dst in schemas.RENAMES[name].items()}
+        paths[name] = f"{folder}/{name}.csv"
+        df.select(*[F.col(c).alias(source[c]) for c in df.columns]).write.options(header=True, quote='"', escape='"').csv(paths[name])
+    return f"{folder}/warehouse", paths
+
+
+def _imported(spark, sf_dir: str, names: list[str]) -> str:
+    """The warehouse after an import of the exports."""
+    from .sources.ingest import import_snapshot
+
+    warehouse, paths = _exported(spark, sf_dir, names)
+    failed = import_snapshot(spark, paths, warehouse, SNAPSHOT).where("status <> 'ok'").collect()
+    if failed:
+        raise RuntimeError(f"import failed: {failed}")
+    return warehouse
+
+
+def _import_query(name: str):
+    def q(spark, sf_dir):
+        from .sources.ingest import read_latest
+
+        rows = read_latest(spark, _imported(spark, sf_dir, [name]), name)
+        return rows.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else f.name for f in rows.schema.fields])
+
+    q.__doc__ = f"{name} exported as CSV with dotted names, imported by many tasks, read as its newest snapshot."
+    return q
+
+
+def _o_import(name: str) -> str:
+    described = "description || ',' || chr(10) || 'the \"first\"' || chr(10) || '\"one\"'"  # NULL stays NULL
+    from . import schemas
+
+    money = [f"CAST({c} AS DOUBLE) AS {c}" for c, t in schemas.TYPES[name].items() if t == schemas.MONEY]
+    columns = f"* REPLACE ({', '.join(money + [f'{described} AS description'] * (name == 'organizations'))})"
+    return f"SELECT {columns}, DATE '{SNAPSHOT}' AS snapshot_date FROM {name}"
+
+
+def q_import_report(spark, sf_dir):
+    """What an import says of each collection: rows, and values that don't fit their type."""
+    from .sources.ingest import import_snapshot
+
+    warehouse, paths = _exported(spark, sf_dir, ["organizations", "investments"])
+    return import_snapshot(spark, paths, warehouse, SNAPSHOT).select("table", "status", "rows", "malformed")
+
+
+O_IMPORT_REPORT = """
+SELECT 'organizations' AS "table", 'ok' AS status, count(*) AS "rows", count(*) FILTER (WHERE founded_on IS NULL) AS malformed FROM organizations
+UNION ALL SELECT 'investments', 'ok', count(*), 0 FROM investments"""
+
+
+def q_missing_collections(spark, sf_dir):
+    """The known collections that an import of two exports leaves missing."""
+    from .sources.archives import missing_collections
+    from .sources.ingest import collections_in
+
+    warehouse = _imported(spark, sf_dir, ["organizations", "funding_rounds"])
+    present = spark.createDataFrame([(c,) for c in collections_in(spark, warehouse)], "collection string")
+    return missing_collections(spark, present).select("collection")
+
+
+def q_adhoc_sql(spark, sf_dir):
+    """Plain SQL over the imported collections by name."""
+    from .sources.ingest import register_collections
+
+    register_collections(spark, _imported(spark, sf_dir, ["organizations", "funding_rounds"]))
+    return spark.sql("""
+        SELECT o.category_groups, r.investment_type, count(*) AS n_rounds, count(DISTINCT o.org_uuid) AS n_companies,
+               CAST(sum(r.amount_usd) AS DOUBLE) AS total
+        FROM organizations o JOIN funding_rounds r ON o.org_uuid = r.org_uuid
+        GROUP BY o.category_groups, r.investment_type""")
+
+
+O_ADHOC_SQL = """
+SELECT o.category_groups, r.investment_type, count(*) AS n_rounds, count(DISTINCT o.org_uuid) AS n_companies, CAST(sum(r.amount_usd) AS DOUBLE) AS total
+FROM organizations o JOIN funding_rounds r ON o.org_uuid = r.org_uuid
+GROUP BY o.category_groups, r.investment_type"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "import_organizations": _import_query("organizations"),
+    "import_funding_rounds": _import_query("funding_rounds"),
+    "import_investments": _import_query("investments"),
+    "import_report": q_import_report,
+    "missing_collections": q_missing_collections,
+    "adhoc_sql": q_adhoc_sql,
     "company_report_companies": q_company_report_companies,
     "company_report_by_type": q_company_report_by_type,
     "enrich_since": q_enrich_since,
@@ -845,9 +944,21 @@ _VIEWS_FOR = {
     "investor_portfolio_newest": ["organizations", "funding_rounds", "investments"],
     "rounds_by_uuid_else_name": ["organizations", "funding_rounds"],
     "match_short_urls": [],
+    "import_organizations": ["organizations"],
+    "import_funding_rounds": ["funding_rounds"],
+    "import_investments": ["investments"],
+    "import_report": ["organizations", "investments"],
+    "missing_collections": [],
+    "adhoc_sql": ["organizations", "funding_rounds"],
 }
 
 _RAW_ORACLE = {
+    "import_organizations": _o_import("organizations"),
+    "import_funding_rounds": _o_import("funding_rounds"),
+    "import_investments": _o_import("investments"),
+    "import_report": O_IMPORT_REPORT,
+    "missing_collections": "SELECT unnest([" + ", ".join(f"'{c}'" for c in COLLECTIONS if c not in ("organizations", "funding_rounds")) + "]) AS collection",
+    "adhoc_sql": O_ADHOC_SQL,
     "company_report_companies": O_COMPANY_REPORT_COMPANIES,
     "company_report_by_type": O_COMPANY_REPORT_BY_TYPE,
     "enrich_since": _o_enrich(AXIS_SINCE, 'l.website AS "Website", l.company AS "Founded", l.row_id AS "Host", upper(l.company) AS "Total_Funding"'),

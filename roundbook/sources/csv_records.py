@@ -243,10 +243,7 @@ def parsed(record: Column, schema: T.StructType) -> Column:
     return F.from_csv(record, ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields), {**PARSER, "maxColumns": str(max(20480, len(schema.fields) + 1))})
 
 
-def first_record(records: DataFrame) -> list[str | None] | None:
-    """The cells of a file's first record; None where there is no record."""
-    row = records.filter("row = 0").select("record", cells(F.col("record")).alias("n")).first()
-    if row is None:
-        return None
-    one = records.sparkSession.createDataFrame([(row["record"],)], "record string")
-    return list(one.select(parsed(F.col("record"), text_schema(row["n"])).alias("c")).first()["c"])
+def first_record(spark: SparkSession, path: str) -> list[str | None] | None:
+    """The cells of the first record; None where there is none. Spark's own reader stops after it."""
+    rows = spark.read.options(**PARSER, header=False, multiLine=True).csv(path).limit(1).collect()
+    return list(rows[0]) if rows else None

@@ -12,6 +12,7 @@ import datetime as dt
 import re
 import time
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,10 +40,10 @@ def _inferred(records: DataFrame, header: list[str]) -> T.StructType:
 def _read(spark: SparkSession, path: str, collection: str, bad: str | None = None) -> DataFrame:
     """One exported CSV in build names; ``bad`` names a column with the number of
     each row's cells that hold text where the typed column holds nothing."""
-    records = csv_records(spark, path)
-    header = [c or f"_c{i}" for i, c in enumerate(first_record(records) or [])]
+    header = [c or f"_c{i}" for i, c in enumerate(first_record(spark, path) or [])]
     if not header:
         raise ValueError(f"CSV file is empty: {path}")
+    records = csv_records(spark, path)
     known = collection in schemas.TYPES
     schema = schemas.source_schema(collection, header) if known else _inferred(records, header)
     rows = records.filter("row > 0").select(parsed(F.col("record"), schema).alias("c"), parsed(F.col("record"), text_schema(len(header))).alias("t"))
@@ -231,15 +232,16 @@ def warehouse_counts(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """``(table_name, n_rows)`` for each table."""
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        for name, df in tables.items()
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    """``(table_name, n_rows)`` for each table (S14, A7), empty ones included.
+
+    One aggregation over all tables; the scans read no column, so the rows are
+    counted from the files' footers.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    rows = reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
+    counts = rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([(n,) for n in tables], "table_name string")
+    return names.join(counts, "table_name", "left").select("table_name", F.coalesce("n", F.lit(0)).alias("n_rows"))
 
 
 MANIFEST_SCHEMA = "map<string, struct<file: string, last_modified: string, content_length: string, downloaded_at: string>>"

@@ -25,10 +25,10 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """
     if len(spark.read.text(path).inputFiles()) > 1:
         raise ValueError(f"a lookup list is one file: {path}")
-    records = csv_records(spark, path)
-    first = first_record(records)
+    first = first_record(spark, path)
     if first is None:
         raise ValueError(f"CSV file is empty: {path}")
+    records = csv_records(spark, path)
     width = max(len(first), records.agg(F.max(used_cells(F.col("record")))).first()[0])
     taken: set[str] = set()
     names = []

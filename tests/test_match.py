@@ -142,3 +142,25 @@ def test_a_lookup_column_named_host_stays(spark):
     orgs = spark.createDataFrame([("o1", "http://a.io", None)], "org_uuid string, website string, website_url string")
     got = [tuple(r) for r in match_urls(lookup, orgs).orderBy("row_id").collect()]
     assert got == [(1, "mine", "https://a.io/x", "a.io", "o1"), (2, "own", None, None, None)]
+
+
+def test_common_grams_grow_until_they_are_rare(spark):
+    """URLs and hosts over two letters: every 4-gram is common to nearly all URLs."""
+    import random
+
+    from roundbook.operators.match import _gram_counts, _org_grams, build_url_index, gram_candidates, org_texts
+
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    orgs = [(f"o{i:04d}", f"http://{word(24)}/", None) for i in range(300)]
+    hosts = sorted({word(rng.randint(4, 12)) for _ in range(400)} | {o[1][7:20] for o in orgs[:100]} | {"a" * 30, "http", "abab"})
+    odf = spark.createDataFrame(orgs, "org_uuid string, website string, website_url string")
+    hdf = spark.createDataFrame([(h,) for h in hosts], "host string")
+    want = brute_force(hosts, orgs)
+    for most in (5, 40, None):
+        assert {r["host"]: r["org_uuid"] for r in match_hosts(hdf, odf, max_urls=most).collect()} == want
+    grams = _org_grams(org_texts(odf), 4)
+    pairs = {most: gram_candidates(hdf, grams, _gram_counts(grams), 4, max_urls=most).groupBy("host").count().collect() for most in (5, 10**9)}
+    places = {h: sum(o[1].startswith(h, i) for o in orgs for i in range(len(o[1]))) for h in hosts}
+    assert all(r["count"] <= max(5, places[r["host"]]) for r in pairs[5])
+    assert sum(r["count"] for r in pairs[5]) * 5 < sum(r["count"] for r in pairs[10**9])

@@ -1,0 +1,59 @@
+"""Bloom filters at the scans: no row lost, most others gone before the shuffle."""
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from roundbook.operators.enrich import enrich
+from roundbook.operators.prefilter import bits_for, bloom, may_be_in, semi_join
+from roundbook.plans.checks import assert_no_nested_loop, plan_text
+from roundbook.sources import testviews as TV
+
+
+def test_no_key_is_lost_and_few_others_pass(spark):
+    keys = spark.range(0, 30_000, 3).selectExpr("cast(id as string) k").union(spark.createDataFrame([(None,)], "k string"))
+    rows = spark.range(60_000).selectExpr("cast(id as string) k", "id").union(spark.createDataFrame([(None, -1)], "k string, id long"))
+    bits = bits_for(10_000)
+    passed = rows.where(may_be_in("k", bloom(keys, "k", bits), bits)).select("id").collect()
+    ids = {r["id"] for r in passed}
+    assert ids >= set(range(0, 30_000, 3)) and -1 not in ids
+    assert len(ids) < 10_000 + 0.06 * 50_000
+    for few in (0, None):
+        got = {r["id"] for r in semi_join(rows, keys, "k", 10_000, broadcast_keys=few).collect()}
+        assert got == set(range(0, 30_000, 3))
+
+
+def test_sizes():
+    assert bits_for(0) == bits_for(1) == 1 << 10 and bits_for(10**12) == 1 << 26
+    assert 12 * 5000 <= bits_for(5000) < 24 * 5000
+
+
+@pytest.mark.parametrize("n", [0, 1])
+def test_no_keys_and_one(spark, n):
+    rows, keys = spark.range(10).selectExpr("cast(id as string) k"), spark.range(n).selectExpr("cast(id as string) k")
+    assert semi_join(rows, keys, "k", 100, broadcast_keys=0).count() == n
+
+
+def test_enrich_filters_both_scans(spark):
+    t = TV.load(spark, SF_SMALL)
+    lookup = t["lookup"].where("row_id % 3 = 0").selectExpr("row_id", "website AS Website")
+    args = (lookup, t["organizations"], t["funding_rounds"], t["investments"], dt.date(2002, 1, 1))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        filtered = enrich(*args, broadcast_keys=0)
+        text = plan_text(filtered, "formatted")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert_no_nested_loop(filtered)
+    # the conditions stand in filters right above the scans of orders and lineitem
+    conditions = [x for x in text.split("\n\n") if re.search(r"^\(\d+\) Filter", x) and "element_at(Subquery" in x]
+    assert any("o_custkey" in x for x in conditions) and any("l_orderkey" in x for x in conditions)
+    plain = sorted(map(tuple, enrich(*args).collect()), key=str)
+    assert sorted(map(tuple, filtered.collect()), key=str) == plain and len(plain) > 10
