@@ -34,7 +34,8 @@ each gram over a fixed number of salts instead (``spark.roundbook.gramSalts``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,20 +105,74 @@ def _gram_counts(grams: DataFrame) -> DataFrame:
     return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
 
 
+def _union(parts: list[DataFrame], *by: str) -> DataFrame:
+    """All versions' rows; dealt anew where there are several, since what a union of
+    bucketed scans says of its partitioning can't be relied on."""
+    return parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).repartition(*by)
+
+
 @dataclass(frozen=True)
 class UrlIndex:
-    """Org URL grams and gram frequencies, written once per org snapshot."""
+    """Org URLs, their grams and the grams' frequencies, as tables.
 
-    grams_table: str
-    df_table: str
+    Version 0 is a whole org snapshot. Each later version holds what changed: the
+    postings of new URLs, tombstones of those that are gone, and the differences of
+    the frequencies. A posting is dead once a later version has its tombstone.
+    """
+
+    name: str
+    path: str
+    buckets: int
     k: int
     salts: int
+    versions: int = 1
+
+    def _parts(self, spark: SparkSession, kind: str) -> list[DataFrame]:
+        """The rows of each version that no later one has a tombstone for."""
+        out = []
+        for v in range(self.versions):
+            rows = spark.table(f"{self.name}_{kind}_v{v}")
+            for later in range(v + 1, self.versions):
+                rows = rows.join(spark.table(f"{self.name}_gone_v{later}"), ["org_uuid", "text"], "left_anti")
+            out.append(rows)
+        return out
+
+    def postings(self, spark: SparkSession) -> list[DataFrame]:
+        """``(org_uuid, text, text_host, _p, gram, salt)`` of the URLs there are now, by
+        version: each part is read as it is bucketed and joined by itself."""
+        return self._parts(spark, "grams")
+
+    def texts(self, spark: SparkSession) -> DataFrame:
+        """``(org_uuid, text, host)``: the URLs there are now."""
+        return _union(self._parts(spark, "texts"), "org_uuid")
 
     def grams(self, spark: SparkSession) -> DataFrame:
-        return spark.table(self.grams_table)
+        """All postings."""
+        return _union(self.postings(spark), "gram", "salt")
 
     def df(self, spark: SparkSession) -> DataFrame:
-        return spark.table(self.df_table)
+        """``(gram, df)`` of the grams there are now."""
+        parts = [spark.table(f"{self.name}_df_v{v}") for v in range(self.versions)]
+        return parts[0] if len(parts) == 1 else _union(parts, "gram").groupBy("gram").agg(F.sum("df").alias("df")).where("df > 0")
+
+    def _write(self, version: int, added: DataFrame, gone: DataFrame | None) -> "UrlIndex":
+        """Write one version: the URLs added and those gone since the one before."""
+        spark = added.sparkSession
+
+        def save(df: DataFrame, kind: str, *by: str) -> None:
+            out = df.repartition(self.buckets, *by).write.mode("overwrite").bucketBy(self.buckets, *by).sortBy(*by)
+            out.option("path", f"{self.path}/{self.name}_{kind}_v{version}").saveAsTable(f"{self.name}_{kind}_v{version}")
+
+        save(added, "texts", "org_uuid")
+        salt = F.pmod(F.xxhash64("org_uuid"), F.lit(self.salts)).cast("int").alias("salt")
+        save(_org_grams(spark.table(f"{self.name}_texts_v{version}"), self.k).select("*", salt), "grams", "gram", "salt")
+        df = _gram_counts(spark.table(f"{self.name}_grams_v{version}"))
+        save(added.sparkSession.createDataFrame([], "org_uuid string, text string") if gone is None else gone, "gone", "org_uuid")
+        if gone is not None:
+            minus = _gram_counts(_org_grams(spark.table(f"{self.name}_gone_v{version}").withColumn("host", F.lit(None).cast("string")), self.k))
+            df = df.unionByName(minus.select("gram", (-F.col("df")).alias("df"))).groupBy("gram").agg(F.sum("df").alias("df")).where("df <> 0")
+        save(df, "df", "gram")
+        return replace(self, versions=version + 1)
 
 
 def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64, k: int = GRAM,
@@ -130,20 +185,20 @@ def build_url_index(orgs: DataFrame, name: str, path: str, num_buckets: int = 64
     org URLs are not exploded again. Size the buckets like the shuffle
     partitions the org grams would need (tens of MB to ~1 GB per bucket).
     """
-    spark = orgs.sparkSession
-    salts = salts or _salts(spark)
-    salt = F.pmod(F.xxhash64("org_uuid"), F.lit(salts)).cast("int").alias("salt")
-    grams = _org_grams(org_texts(orgs), k).select("*", salt)
-    (
-        grams.repartition(num_buckets, "gram", "salt").write.mode("overwrite").bucketBy(num_buckets, "gram", "salt")
-        .sortBy("gram", "salt").option("path", f"{path}/{name}_grams").saveAsTable(f"{name}_grams")
-    )
-    df = _gram_counts(spark.table(f"{name}_grams"))
-    (
-        df.write.mode("overwrite").bucketBy(num_buckets, "gram").sortBy("gram")
-        .option("path", f"{path}/{name}_df").saveAsTable(f"{name}_df")
-    )
-    return UrlIndex(f"{name}_grams", f"{name}_df", k, salts)
+    index = UrlIndex(name, path.rstrip("/"), num_buckets, k, salts or _salts(orgs.sparkSession), versions=0)
+    return index._write(0, org_texts(orgs).distinct(), None)
+
+
+def update_url_index(index: UrlIndex, orgs: DataFrame) -> UrlIndex:
+    """The index of a newer org snapshot: only URLs that came or went are written.
+
+    The result matches like an index built anew from ``orgs``; the one given
+    still reads as it was.
+    """
+    new, now = org_texts(orgs).distinct(), index.texts(orgs.sparkSession)
+    added = new.join(now.select("org_uuid", "text"), ["org_uuid", "text"], "left_anti").select("org_uuid", "text", "host")
+    gone = now.join(new.select("org_uuid", "text"), ["org_uuid", "text"], "left_anti").select("org_uuid", "text")
+    return index._write(index.versions, added, gone)
 
 
 def _rarest(hosts: DataFrame, df: DataFrame, k: int) -> DataFrame:
@@ -180,13 +235,13 @@ def gram_candidates(hosts: DataFrame, org_grams: DataFrame, df: DataFrame, k: in
         done = ~((F.col("df") > max_urls) & (F.length("host") > length))
         grown.append(picked.where(done).select("host", "gram").join(level, "gram").select("host", *rows))
         growing = picked.where(~done)
-    on, few = ["gram"], chosen.where(~too_common).select("host", "gram")
-    if index is not None:  # each host once per salt of the bucketed grams
-        few, on = few.select("host", "gram", _replicate(index.salts)), ["gram", "salt"]
-    out = few.join(org_grams, on).select("host", *rows)
-    for more in grown:
-        out = out.unionByName(more)
-    return out
+    few = chosen.where(~too_common).select("host", "gram")
+    if index is None:
+        found = [few.join(org_grams, "gram")]
+    else:  # each host once per salt of the bucketed grams
+        salted = few.select("host", "gram", _replicate(index.salts))
+        found = [salted.join(part, ["gram", "salt"]) for part in index.postings(hosts.sparkSession)]
+    return reduce(DataFrame.unionByName, [f.select("host", *rows) for f in found] + grown)
 
 
 def match_hosts(hosts: DataFrame, orgs: DataFrame, k: int = GRAM, host_col: str = "host",
