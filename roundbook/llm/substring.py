@@ -7,8 +7,8 @@ its own windows and removes every word such a window covers (repeated windows
 that touch or overlap merge into maximal intervals).
 
 A window is known by two independent numbers, 63 bits by which it is dealt and
-sorted and 32 more that are compared too: about n^2 / 2^96 unlucky pairs among n
-windows, none at any size to be met. They travel as sorted arrays cut into byte
+sorted and 24 more that are compared too: about n^2 / 2^88 unlucky pairs among n
+windows, less than one in 100 TB. They travel as sorted arrays cut into byte
 planes, one per part and bucket: the upper bytes of sorted numbers hardly change,
 so the shuffle's compression takes them away again. A window that repeats within
 a part is sent once, so a passage that a third of the corpus shares costs each
@@ -82,7 +82,7 @@ def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Itera
 
 
 def window_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = WINDOW) -> np.ndarray:
-    """Hashes of all windows of ``window`` words, as records of 63 bits (``h``) and 32
+    """Hashes of all windows of ``window`` words, as records of 63 bits (``h``) and 24
     independent ones (``c``); block by block, so the tables of powers stay small."""
     n = max(0, len(starts) - window + 1)
     out = np.empty(n, WINDOW_HASH)
@@ -90,7 +90,7 @@ def window_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, window
         first = np.arange(min(_BLOCK, n - at))
         s, e = (x[at : at + len(first) + window - 1] for x in (starts, ends))
         text_of, low = text[s[0] : e[-1]], s[0]
-        for name, words, roll, shift in zip(("h", "c"), word_hashes(text_of, s - low, e - low), _ROLLS, (1, 32)):
+        for name, words, roll, shift in zip(("h", "c"), word_hashes(text_of, s - low, e - low), _ROLLS, (1, 40)):
             out[name][at : at + len(first)] = roll.ranges(words, first, first + window) >> np.uint64(shift)
     return out
 
@@ -120,31 +120,39 @@ def different(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def planes(windows: np.ndarray) -> bytes:
-    """Sorted windows byte by byte, the highest byte of all first: what compresses well stands together."""
-    return b"".join(np.ascontiguousarray(windows[name].astype(kind).view(np.uint8).reshape(len(windows), -1).T).tobytes() for name, kind in (("h", ">u8"), ("c", ">u4")))
+    """Sorted windows byte by byte, the highest byte of all first: what compresses well
+    stands together. Eleven bytes a window: the upper byte of ``c`` is empty."""
+    h, c = (windows[name].astype(kind).view(np.uint8).reshape(len(windows), -1).T for name, kind in (("h", ">u8"), ("c", ">u4")))
+    return np.ascontiguousarray(np.concatenate([h, c[1:]])).tobytes()
 
 
 def from_planes(blob: bytes) -> np.ndarray:
-    n = len(blob) // 12
+    n = len(blob) // 11
+    all_ = np.frombuffer(blob, np.uint8).reshape(11, n)
     out = np.empty(n, WINDOW_HASH)
-    for name, kind, at, width in (("h", ">u8", 0, 8), ("c", ">u4", 8 * n, 4)):
-        out[name] = np.ascontiguousarray(np.frombuffer(blob, np.uint8, width * n, at).reshape(width, n).T).view(kind).reshape(n)
+    out["h"] = np.ascontiguousarray(all_[:8].T).view(">u8").reshape(n)
+    out["c"] = np.ascontiguousarray(np.concatenate([np.zeros((1, n), np.uint8), all_[8:]]).T).view(">u4").reshape(n)
     return out
 
 
-def among(windows: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """Which windows a sorted array of different ones holds."""
-    out = np.zeros(len(windows), bool)
-    at, left = np.searchsorted(known["h"], windows["h"]), np.arange(len(windows))
-    while len(left):  # one turn, unless known windows share their first number
-        inside = at[left] < len(known)
-        left = left[inside]
-        left = left[known["h"][at[left]] == windows["h"][left]]
-        hit = known["c"][at[left]] == windows["c"][left]
-        out[left[hit]] = True
-        left = left[~hit]
-        at[left] += 1
-    return out
+class Known:
+    """Different windows, sorted, as two plain arrays to search in."""
+
+    def __init__(self, windows: np.ndarray):
+        self.h, self.c = np.ascontiguousarray(windows["h"]), np.ascontiguousarray(windows["c"])
+
+    def holds(self, windows: np.ndarray) -> np.ndarray:
+        """Which windows are among them."""
+        out, h, c = np.zeros(len(windows), bool), np.ascontiguousarray(windows["h"]), windows["c"]
+        at, left = np.searchsorted(self.h, h), np.arange(len(windows))
+        while len(left):  # one turn, unless known windows share their first number
+            left = left[at[left] < len(self.h)]
+            left = left[self.h[at[left]] == h[left]]
+            hit = self.c[at[left]] == c[left]
+            out[left[hit]] = True
+            left = left[~hit]
+            at[left] += 1
+        return out
 
 
 def covered(repeated: np.ndarray, n_words: int, window: int = WINDOW) -> np.ndarray:
@@ -213,7 +221,8 @@ def _repeated(pdf: pd.DataFrame) -> pd.DataFrame:
         own.append(windows)
     all_, counts = different(np.concatenate(own))
     twice, _ = different(np.concatenate([all_[counts > 1], *(w[t] for w, t in zip(own, twice_here))]))
-    found = [w[among(w, twice)] for w in own]
+    twice = Known(twice)
+    found = [w[twice.holds(w)] for w in own]
     return pd.DataFrame([(p, planes(f)) for p, f in zip(pdf["part"], found) if len(f)], columns=["part", "hashes"])
 
 
@@ -237,16 +246,16 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     folder = uri(answers)
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, known = None, np.empty(0, WINDOW_HASH)
+        now, known = None, Known(np.empty(0, WINDOW_HASH))
         for pdf in batches:
             out = []
             for part, t in zip(pdf["part"].tolist(), pdf["text"].tolist()):
                 if part != now:
-                    now, known = part, _answers(folder, part)
+                    now, known = part, Known(_answers(folder, part))
                 bytes_ = _bytes(t)
                 starts, ends = words_at(bytes_)
                 hashes = window_hashes(bytes_, starts, ends, window)
-                hit = covered(among(hashes, known), len(starts), window)
+                hit = covered(known.holds(hashes), len(starts), window)
                 out.append((len(starts), int(hit.sum()), kept_text(bytes_, starts, ends, ~hit)))
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_words", "n_removed", "kept"])], axis=1)
 

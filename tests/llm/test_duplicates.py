@@ -172,9 +172,9 @@ def test_windows_that_share_the_first_hash():
     """With every first hash alike the second one decides alone."""
     w = substring.window_hashes(np.frombuffer(b"a b c d a b", np.uint8), *substring.words_at(np.frombuffer(b"a b c d a b", np.uint8)), 2)
     known, counts = substring.different(w)
-    assert sorted(counts) == [1, 1, 1, 2] and substring.among(w, known[counts > 1]).tolist() == [True, False, False, False, True]
+    assert sorted(counts) == [1, 1, 1, 2] and substring.Known(known[counts > 1]).holds(w).tolist() == [True, False, False, False, True]
     w["h"] = 5
     known, counts = substring.different(w)
-    assert sorted(counts) == [1, 1, 1, 2] and substring.among(w, known[counts > 1]).tolist() == [True, False, False, False, True]
+    assert sorted(counts) == [1, 1, 1, 2] and substring.Known(known[counts > 1]).holds(w).tolist() == [True, False, False, False, True]
     assert (substring.from_planes(substring.planes(known)) == known).all() and len(substring.from_planes(b"")) == 0
-    assert not substring.among(w, known[:0]).any()
+    assert not substring.Known(known[:0]).holds(w).any()
