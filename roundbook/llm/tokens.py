@@ -5,8 +5,10 @@ the ids run on from document to document, cut into sequences of equal length.
 A shard (one range of documents) is a pair of Arrow IPC files:
 
 * ``tokens-*.arrow``: ``input_ids`` FixedSizeList<uint16|uint32>[L] and
-  ``mask`` FixedSizeList<bool>[L] (false on the padding after the shard's last
-  id). Uncompressed, so a memory map gives sequence ``i`` without a copy.
+  ``mask`` FixedSizeList<uint8>[L / 8, rounded up]: a bit per id, lowest first, 0 on
+  the padding after the shard's last id. Each sequence's bits begin at a byte of
+  their own and nothing is compressed, so a memory map gives ids and mask of
+  sequence ``i`` as views, without a copy.
 * ``docs-*.arrow``: ``doc_id``, ``start`` (in the shard) and ``n_tokens``.
 
 The manifest (Parquet, written by Spark's committer) names the files of the
@@ -45,7 +47,7 @@ class ShardWriter:
         fs.create_dir(path, recursive=True)
         name = uuid.uuid4().hex
         self.length, self.dtype = length, dtype
-        self.schema = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))])
+        self.schema = pa.schema([("input_ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.uint8(), -(-length // 8)))])
         self.uris = f"{folder}/tokens-{name}.arrow", f"{folder}/docs-{name}.arrow"
         self._sinks = [fs.open_output_stream(f"{path}/{kind}-{name}.arrow") for kind in ("tokens", "docs")]
         self._tokens = pa.ipc.new_file(self._sinks[0], self.schema)
@@ -82,7 +84,8 @@ class ShardWriter:
     def _write(self, ids: np.ndarray, valid_in_last: int) -> None:
         mask = np.ones(len(ids), bool)
         mask[len(ids) - self.length + valid_in_last :] = False
-        cols = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
+        bits = np.packbits(mask.reshape(-1, self.length), axis=1, bitorder="little")
+        cols = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), n) for x, n in ((ids, self.length), (bits, bits.shape[1]))]
         self._tokens.write_batch(pa.record_batch(cols, schema=self.schema))
 
     def _flush_docs(self) -> None:
@@ -106,11 +109,15 @@ def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (a view into the file, no copy) and mask of sequence ``i`` of a shard."""
-    batch = reader.get_batch(i // BATCH_SEQUENCES)
-    ids, mask = batch.column("input_ids"), batch.column("mask")
-    n, j = ids.type.list_size, i % BATCH_SEQUENCES
-    return ids.values.to_numpy()[j * n : (j + 1) * n], mask[j].values.to_numpy(zero_copy_only=False)
+    """Ids and packed mask of sequence ``i`` of a shard, both views into the file."""
+    batch, j = reader.get_batch(i // BATCH_SEQUENCES), i % BATCH_SEQUENCES
+    columns = (batch.column(name) for name in ("input_ids", "mask"))
+    return tuple(c.values.to_numpy()[j * c.type.list_size : (j + 1) * c.type.list_size] for c in columns)
+
+
+def valid(mask: np.ndarray, length: int) -> np.ndarray:
+    """A packed mask as booleans."""
+    return np.unpackbits(mask, count=length, bitorder="little").astype(bool)
 
 
 def write_tokens(

@@ -51,9 +51,12 @@ def test_token_files_round_trip(spark, library):
     shard = manifest.orderBy("part").first()
     reader = tokens.open_file(shard["tokens_uri"])
     first, mask = tokens.sequence(reader, 0)
-    assert len(first) == len(mask) == 64 and not first.flags["OWNDATA"]
+    assert len(first) == 64 and len(mask) == 8 and not first.flags["OWNDATA"] and not mask.flags["OWNDATA"]
+    at = lambda x: x.__array_interface__["data"][0]
+    again = tokens.sequence(reader, 0)
+    assert at(again[0]) == at(first) and at(again[1]) == at(mask)  # the file's own bytes
     count = sum(reader.get_batch(k).num_rows for k in range(reader.num_record_batches))
-    assert sum(tokens.sequence(reader, i)[1].sum() for i in range(count)) == shard["n_tokens"]
+    assert sum(tokens.valid(tokens.sequence(reader, i)[1], 64).sum() for i in range(count)) == shard["n_tokens"]
     assert os.path.exists(shard["docs_uri"].replace("file://", ""))
 
 
@@ -76,7 +79,7 @@ def test_every_sequence_of_a_shard_is_found_by_its_number(tmpdir_path):
         for i in range(sum(rows)):
             ids, mask = tokens.sequence(reader, i)
             own = want[i * length : (i + 1) * length]
-            assert len(ids) == length and ids[: len(own)].tolist() == own.tolist() and mask.tolist() == [k < len(own) for k in range(length)]
+            assert len(ids) == length and ids[: len(own)].tolist() == own.tolist() and tokens.valid(mask, length).tolist() == [k < len(own) for k in range(length)]
 
 
 def test_token_files_of_nothing(spark):
