@@ -853,7 +853,33 @@ FROM organizations o JOIN funding_rounds r ON o.org_uuid = r.org_uuid
 GROUP BY o.category_groups, r.investment_type"""
 
 
+def q_adhoc_snapshots(spark, sf_dir):
+    """SQL over all snapshots of a stored table: one per year of the rounds, joined
+    with the dates that have many, which prunes the others' files at run time."""
+    from .plans.config import shared_folder
+    from .sources.ingest import register_collections, write_snapshot
+
+    rounds, warehouse = _t(spark, sf_dir)["funding_rounds"], shared_folder(spark, "snapshots")
+    for year in (1996, 1997, 1998):
+        write_snapshot(rounds.where(F.year("announced_on") == year), f"{warehouse}/funding_rounds", dt.date(year, 12, 31))
+    register_collections(spark, warehouse, None)
+    return spark.sql("""
+        WITH busy AS (SELECT snapshot_date AS day, count(*) AS n FROM funding_rounds WHERE investment_type = '1-URGENT' GROUP BY snapshot_date)
+        SELECT r.snapshot_date, r.stage, count(*) AS n_rounds, CAST(sum(r.amount_usd) AS DOUBLE) AS total, max(b.n) AS n_urgent
+        FROM funding_rounds r JOIN busy b ON r.snapshot_date = b.day WHERE year(b.day) > 1996
+        GROUP BY r.snapshot_date, r.stage""")
+
+
+O_ADHOC_SNAPSHOTS = """
+WITH s AS (SELECT make_date(CAST(year(announced_on) AS BIGINT), 12, 31) AS snapshot_date, * FROM funding_rounds WHERE year(announced_on) IN (1996, 1997, 1998)),
+busy AS (SELECT snapshot_date AS day, count(*) AS n FROM s WHERE investment_type = '1-URGENT' GROUP BY snapshot_date)
+SELECT s.snapshot_date, s.stage, count(*) AS n_rounds, CAST(sum(s.amount_usd) AS DOUBLE) AS total, max(b.n) AS n_urgent
+FROM s JOIN busy b ON s.snapshot_date = b.day WHERE year(b.day) > 1996
+GROUP BY s.snapshot_date, s.stage"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "adhoc_snapshots": q_adhoc_snapshots,
     "import_organizations": _import_query("organizations"),
     "import_funding_rounds": _import_query("funding_rounds"),
     "import_investments": _import_query("investments"),
@@ -950,6 +976,7 @@ _VIEWS_FOR = {
     "import_report": ["organizations", "investments"],
     "missing_collections": [],
     "adhoc_sql": ["organizations", "funding_rounds"],
+    "adhoc_snapshots": ["funding_rounds"],
 }
 
 _RAW_ORACLE = {
@@ -959,6 +986,7 @@ _RAW_ORACLE = {
     "import_report": O_IMPORT_REPORT,
     "missing_collections": "SELECT unnest([" + ", ".join(f"'{c}'" for c in COLLECTIONS if c not in ("organizations", "funding_rounds")) + "]) AS collection",
     "adhoc_sql": O_ADHOC_SQL,
+    "adhoc_snapshots": O_ADHOC_SNAPSHOTS,
     "company_report_companies": O_COMPANY_REPORT_COMPANIES,
     "company_report_by_type": O_COMPANY_REPORT_BY_TYPE,
     "enrich_since": _o_enrich(AXIS_SINCE, 'l.website AS "Website", l.company AS "Founded", l.row_id AS "Host", upper(l.company) AS "Total_Funding"'),

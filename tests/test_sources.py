@@ -243,3 +243,29 @@ def test_registered_collections(spark, tmpdir_path):
     IN.register_collections(spark, wh, None)
     assert spark.sql("SELECT count(*) FROM people").first()[0] == 8
     assert {r["table_name"]: r["n_rows"] for r in IN.warehouse_counts(spark, wh).collect()} == {"organizations": 5, "people": 5}
+
+
+def test_joins_on_the_snapshot_date_prune_files_at_run_time(spark, tmpdir_path):
+    """Ad-hoc SQL over all snapshots: the dates that a join leaves become a partition filter."""
+    from roundbook.plans.checks import plan_text
+
+    wh = os.path.join(tmpdir_path, "wh")
+    for day in range(1, 6):
+        IN.write_snapshot(spark.range(200 * day).withColumnRenamed("id", "n"), f"{wh}/funding_rounds", dt.date(2024, 1, day))
+    IN.register_collections(spark, wh, None)
+    dates = spark.createDataFrame([(dt.date(2024, 1, d), "odd" if d % 2 else "even") for d in range(1, 6)], "day date, kind string")
+    dates.write.parquet(os.path.join(tmpdir_path, "dates"))
+    spark.read.parquet(os.path.join(tmpdir_path, "dates")).createOrReplaceTempView("dates")
+    df = spark.sql("SELECT r.snapshot_date, count(*) AS n FROM funding_rounds r JOIN dates d ON r.snapshot_date = d.day WHERE d.kind = 'even' GROUP BY r.snapshot_date")
+    assert any("PartitionFilters" in line and "dynamicpruning" in line for line in plan_text(df).splitlines())
+    assert sorted(tuple(r) for r in df.collect()) == [(dt.date(2024, 1, 2), 400), (dt.date(2024, 1, 4), 800)]
+
+
+def test_table_counts_read_no_column(spark, tmpdir_path):
+    from roundbook.plans.checks import read_schemas
+
+    spark.range(70).selectExpr("id", "id * 2 AS twice").write.parquet(f"{tmpdir_path}/a")
+    spark.range(0).write.parquet(f"{tmpdir_path}/b")
+    counts = IN.table_counts({"a": spark.read.parquet(f"{tmpdir_path}/a"), "b": spark.read.parquet(f"{tmpdir_path}/b")})
+    assert {r["table_name"]: r["n_rows"] for r in counts.collect()} == {"a": 70, "b": 0}
+    assert read_schemas(counts) and all(line.endswith("struct<>") for line in read_schemas(counts))
