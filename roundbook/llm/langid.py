@@ -237,7 +237,7 @@ def fit(docs: DataFrame) -> tuple[str, list[str], int]:
     # Every row of a language at the same pace: the fifth part of each goes to the temperature.
     every = sum(quota) // quota[1]
     sample = sample.select("lang", "text", F.xxhash64("draw").alias("place"), (F.col("nth") % every != 0).alias("fit"))
-    features = written(sample.mapInPandas(partial(_features, uri(f"{here}/rows"), n_rows), "lang string, place long, fit boolean, grams binary, x binary"), "features")
+    features = written(sample.repartition("place").mapInPandas(partial(_features, uri(f"{here}/rows"), n_rows), "lang string, place long, fit boolean, grams binary, x binary"), "features")
     ordered = features.repartition(1).sortWithinPartitions(F.desc("fit"), "place", "lang")
     ordered.mapInPandas(partial(_train, langs), "gram long, class int, weight double").write.parquet(f"{here}/weights")
     return here, langs, n_rows
