@@ -349,7 +349,9 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, budget: int = BUD
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         return _subtree(pdf, Plan(folder, seed, bits, ("hot2",)).hot2, min_count)
 
-    nodes = _dealt(docs, folder, seed, bits).groupBy("part").applyInPandas(build, "lang string, h1 long, h2 long, h3 long, a long")
+    # A task per group, whatever the session's shuffle partitions.
+    groups = max(1, spark.read.parquet(f"{here}/cuts").count())
+    nodes = _dealt(docs, folder, seed, bits).repartition(groups, "part").groupBy("part").applyInPandas(build, "lang string, h1 long, h2 long, h3 long, a long")
     return words, nodes.groupBy("lang", "h1", "h2", "h3").agg(F.sum("a").alias("a")).filter(F.col("a") >= min_count)
 
 
