@@ -191,9 +191,19 @@ def on_axis(amounts: "F.Column", newest: int, oldest: int) -> "F.Column":
 
 
 def quarter_series(orgs: DataFrame, as_of: dt.date) -> DataFrame:
-    """``(org_uuid, quarter)``: each company's quarters from founding to ``as_of``."""
-    start = Q.founded_or_default("founded_on")
-    return orgs.select("org_uuid", F.explode(Q.quarter_series(start, F.lit(as_of))).alias("quarter"))
+    """``(org_uuid, quarter)``: each company's quarters from founding to ``as_of``.
+
+    Hundreds of rows may come of one company, so the companies are dealt to many
+    tasks first, as ends of their series: a table in one file would else be read and
+    written out by one task. The number of tasks is the session's, since by their own
+    few bytes the ends would be merged into one again. The labels are made past the
+    explode, from the index.
+    """
+    first, last = Q.series_span(Q.founded_or_default("founded_on"), F.lit(as_of))
+    ends = orgs.select("org_uuid", first.alias("__rb_first"), last.alias("__rb_last")).where("__rb_first <= __rb_last")
+    ends = ends.repartition(int(orgs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    steps = ends.select("org_uuid", F.explode(F.sequence("__rb_first", "__rb_last")).alias("__rb_i"))
+    return steps.select("org_uuid", Q.label_of_index("__rb_i").alias("quarter"))
 
 
 def axis_span(orgs: DataFrame, as_of: dt.date) -> DataFrame:
