@@ -138,22 +138,41 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.tolist(), np.float64)
 
 
-def nearest(keys: np.ndarray, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> pd.DataFrame:
+def _near(q: np.ndarray, x: np.ndarray, most: int, bound: np.ndarray) -> np.ndarray:
+    """Which rows may be among each query's ``most`` nearest and within its bound: by a
+    product of matrices, with room for all of its rounding, so that none is missed."""
+    largest = np.abs(np.concatenate([q, x])).max()
+    if not 1e-100 < largest < 1e100:  # squares of these may over- or underflow
+        return np.ones((len(q), len(x)), bool)
+    rough = _squares(q, x)
+    room = 8 * (q.shape[1] + 4) * np.finfo(np.float64).eps * ((q**2).sum(axis=1) + (x**2).sum(axis=1).max())
+    limit = bound**2 * (1 + 1e-12)
+    if len(x) > most:
+        limit = np.minimum(limit, np.partition(rough, most - 1, axis=1)[:, most - 1] + room)
+    return rough <= (limit + room)[:, None]
+
+
+def nearest(keys: np.ndarray, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, bound: np.ndarray | None = None) -> pd.DataFrame:
     """Each query's ``k`` nearest rows but its own (its id and its vector), by exact
-    distance, then id; ``keys`` tell queries apart."""
+    distance, then id; ``keys`` tell queries apart. Rows beyond a query's ``bound`` may
+    be left out. Distances are computed exactly where a row may be among them."""
     out = []
-    step = max(1, 4_000_000 // max(1, x.size))
-    for at in range(0, len(q), step):
-        d = np.sqrt(((q[at : at + step, None] - x[None]) ** 2).sum(axis=2))
-        d[(q_ids[at : at + step, None] == ids[None]) & (d == 0)] = np.inf
-        for one, row in zip(keys[at : at + step], d):
-            if len(row) > k:  # all rows as near as the k-th, so that ties are settled by id
-                near = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-            else:
-                near = np.arange(len(row))
-            near = near[np.lexsort((ids[near], row[near]))][:k]
-            near = near[np.isfinite(row[near])]
-            out.append(pd.DataFrame({"key": one, "vec_id": ids[near], "score": row[near], "at": near}))
+    bound = np.full(len(q), np.inf) if bound is None else bound
+    # A query's own rows are as near as can be; they are found beside the k.
+    most = k + (int(np.unique(ids, return_counts=True)[1].max()) if len(ids) else 0)
+    step = max(1, 4_000_000 // max(1, len(x)))
+    for at in range(0, len(q) if len(x) else 0, step):
+        one, row = np.nonzero(_near(q[at : at + step], x, most, bound[at : at + step]))
+        one, d = one + at, np.empty(len(one))
+        some = max(1, 2_000_000 // max(1, x.shape[1]))
+        for i in range(0, len(one), some):
+            d[i : i + some] = np.sqrt(((q[one[i : i + some]] - x[row[i : i + some]]) ** 2).sum(axis=1))
+        left = np.flatnonzero(np.isfinite(d) & ~((ids[row] == q_ids[one]) & (d == 0)))
+        left = left[np.lexsort((ids[row[left]], d[left], one[left]))]
+        count = np.bincount(one[left], minlength=len(q))
+        rank = np.arange(len(left)) - (np.cumsum(count) - count)[one[left]]
+        left = left[rank < k]
+        out.append(pd.DataFrame({"key": keys[one[left]], "vec_id": ids[row[left]], "score": d[left], "at": row[left]}))
     return pd.concat(out) if out else pd.DataFrame({"key": [], "vec_id": [], "score": [], "at": []})
 
 
@@ -246,7 +265,8 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
     def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
             return pd.DataFrame({"key": [], "vec_id": [], "score": []})
-        got = nearest(q["key"].to_numpy(), q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k)
+        bound = q["bound"].to_numpy(np.float64)
+        got = nearest(q["key"].to_numpy(), q["query_id"].to_numpy(np.int64), _matrix(q["q"]), x["vec_id"].to_numpy(np.int64), _matrix(x["v"]), k, bound)
         return got[got["score"].to_numpy() <= got["key"].map(dict(zip(q["key"], q["bound"]))).to_numpy()].drop(columns="at")
 
     def met(asked: DataFrame, bounds: DataFrame | None) -> DataFrame:

@@ -118,3 +118,30 @@ def test_run_is_registered(spark):
 
     assert "pipeline" in entry.queries() and {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in entry.queries()}
     assert corpus_pipeline.run(spark, SF_SMALL).columns[:5] == ["doc_id", "piece", "start", "length", "ids"]
+
+
+def test_nearest_is_exact_and_computes_few_distances(monkeypatch):
+    """Ties, repeated ids, rows far from the origin and very small ones as by plain distances,
+    which are computed for few pairs; a bound leaves out no row within it."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(600, 8))
+    x[50:90] = x[50]
+    cases = (x, np.round(x), x + 1e6, x * 1e-120, x * 1e120)
+    for rows in cases:
+        ids = np.concatenate([np.arange(500), np.arange(100)])
+        queries, q_ids = rows[::7], ids[::7]
+        got = ann.nearest(np.arange(len(queries)), q_ids, queries, ids, rows, 10)
+        full = np.sqrt(((queries[:, None] - rows[None]) ** 2).sum(axis=2))
+        bounds = np.sort(full, axis=1)[:, 5]
+        within = ann.nearest(np.arange(len(queries)), q_ids, queries, ids, rows, 10, bounds)
+        for one in range(len(queries)):
+            want = sorted((d, i) for d, i in zip(full[one], ids) if not (i == q_ids[one] and d == 0) and np.isfinite(d))[:10]
+            own = got[got["key"] == one]
+            assert list(zip(own["score"], own["vec_id"])) == want
+            own = within[within["key"] == one]
+            assert [p for p in zip(own["score"], own["vec_id"]) if p[0] <= bounds[one]] == [p for p in want if p[0] <= bounds[one]]
+    computed = []
+    sqrt = np.sqrt
+    monkeypatch.setattr(np, "sqrt", lambda v: (computed.append(np.size(v)), sqrt(v))[1])
+    ann.nearest(np.arange(100), np.arange(100), x[100:200], np.arange(600) + 1000, x, 10)
+    assert 0 < sum(computed) < 100 * 30
