@@ -43,9 +43,20 @@ def company_rows(orgs: DataFrame) -> DataFrame:
 
 
 def matched(lookup: DataFrame, orgs: DataFrame, url_col: str, k: int = GRAM, checkpoint: bool = True,
-            index: UrlIndex | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(keyed lookup with HOST_KEY, host→org matches)``; matches checkpointed."""
-    keyed = lookup.withColumn(HOST_KEY, lookup_host(FD.quote(url_col)))
+            index: UrlIndex | None = None, only: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(keyed lookup with HOST_KEY, host→org matches)``; matches checkpointed.
+
+    With ``only``, the lookup keeps that column alone: its rows are dealt to many tasks
+    and written once, so that an inner join's filter on the host doesn't normalise
+    each URL again at the scan.
+    """
+    if only is None:
+        keyed = lookup.withColumn(HOST_KEY, lookup_host(FD.quote(url_col)))
+    else:
+        spark = lookup.sparkSession
+        ensure_checkpoint_dir(spark)
+        dealt = lookup.select(F.col(FD.quote(only)).alias("__rb_only"), F.col(FD.quote(url_col)).alias("__rb_url")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        keyed = dealt.select(F.col("__rb_only").alias(only), lookup_host("__rb_url").alias(HOST_KEY)).checkpoint(eager=True)
     found = match_hosts(keyed.select(F.col(HOST_KEY).alias("host")), orgs, k=k, index=index)
     if checkpoint:
         ensure_checkpoint_dir(lookup.sparkSession)
@@ -125,7 +136,7 @@ def enrich_long(
     """Long form of the quarter block: ``(id, org_uuid, quarter, amount)`` for
     each lookup row with a matched company and a funded quarter on the axis.
     The matches feed two branches, so they are checkpointed like in enrich."""
-    keyed, found = matched(lookup, orgs, url_col, k, checkpoint=True)
+    keyed, found = matched(lookup, orgs, url_col, k, checkpoint=True, only=id_col)
     ids = found.select("org_uuid").distinct()
     m_orgs = orgs.join(ids, "org_uuid", "left_semi")
     m_rounds = rounds.join(ids, "org_uuid", "left_semi")
