@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,14 @@ def read_parquet(folder: str, columns: list[str]) -> pa.Table:
     return pa.concat_tables(tables) if tables else pa.table({c: [] for c in columns})
 
 
+def parquet_batches(folder: str, columns: list[str], rows: int) -> Iterator[pa.RecordBatch]:
+    """The Parquet files of a folder, read by a task itself, ``rows`` rows at once at most."""
+    fs, path = file_system(folder)
+    for f in sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path)) if f.path.endswith(".parquet")):
+        with fs.open_input_file(f) as file:
+            yield from pq.ParquetFile(file).iter_batches(rows, columns=columns)
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
