@@ -38,7 +38,7 @@ FIRST_VISITS = 8
 #: long (``VALUES`` components of them) or where fewer than ``TILES`` tiles would come out.
 TILE_ROWS, TILE_QUERIES, TILES, VALUES = 16_384, 2048, 64, 1 << 20
 #: Pairs whose rough distance is held at once, and whose exact one is.
-ROUGH, EXACT = 1 << 18, 1 << 18
+ROUGH, EXACT = 1 << 17, 1 << 18
 FOUND = "key long, vec_id long, score double"
 #: A query with the leaves it visits first and later, a bit each.
 VISITS = "key long, query_id long, n int, q binary, near binary, far binary, more boolean"
@@ -216,12 +216,30 @@ def _near(q: np.ndarray, x: np.ndarray, most: int, bound: np.ndarray) -> tuple[n
     room = 8 * (q.shape[1] + 2) * np.finfo(np.float64).eps * (squares + x[:, -2].max())
     limit = bound**2 * (1 + 1e-12) + room
     may = rough <= limit[:, None]
-    if len(x) > most:
+    found = np.flatnonzero(may)
+    if len(x) > most and len(found) > 2 * most:
         many = np.flatnonzero(np.count_nonzero(may, axis=1) > 2 * most)
         if len(many):
             part = rough[many]
             may[many] &= part <= (np.partition(part, most - 1, axis=1)[:, most - 1] + 2 * room[many])[:, None]
-    return np.divmod(np.flatnonzero(may), len(x))
+            found = np.flatnonzero(may)
+    return np.divmod(found, len(x))
+
+
+def _beyond(q: np.ndarray, balls: list[tuple[np.ndarray, float]], bound: np.ndarray) -> np.ndarray:
+    """Whether all that is in a ball (centre, radius) lies beyond a query's bound; with room
+    for rounding, and never where squares overflow."""
+    x, radius = _sides(np.array([c for c, _ in balls]))[1], np.array([r for _, r in balls])
+    with np.errstate(over="ignore", invalid="ignore"):
+        room = 8 * (q.shape[1] + 2) * np.finfo(np.float64).eps * (q[:, -1, None] + x[:, -2])
+        return np.sqrt(np.maximum(q @ x.T - room, 0)) > (bound[:, None] + radius) * (1 + 1e-9)
+
+
+def _ball(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """The mean of some vectors and their largest distance from it."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        centre = x.mean(axis=0)
+        return centre, float(np.sqrt(((x - centre) ** 2).sum(axis=1).max()))
 
 
 def _nearest(one: np.ndarray, row: np.ndarray, q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -386,6 +404,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
             ids, leaf, x = ids[order], leaf[order], x[order]
             right, most = _sides(x)[1], _most(ids, k)
             cuts = [*np.flatnonzero(np.diff(leaf, prepend=-1)).tolist(), len(leaf)]
+            balls = [_ball(x[i:j]) for i, j in zip(cuts, cuts[1:])]
             places = [sent.value.trees[m].place[int(leaf[c]) - sent.value.first[m]] for c in cuts[:-1]]
             for part in parquet_batches(asked, columns, at_once):
                 part = part.filter(pa.compute.equal(part.column("n"), m))
@@ -395,8 +414,9 @@ def search(vectors: DataFrame, queries: DataFrame, *, vec_id: str = "vec_id", ve
                 bits, q = (np.frombuffer(b"".join(part.column(c).to_pylist()), kind).reshape(len(keys), -1) for c, kind in ((leaves, np.uint8), ("q", np.float64)))
                 bound = part.column("bound").to_numpy() if leaves == "far" else np.full(len(keys), np.inf)
                 left, pairs, many = _sides(q)[0], [], 0
+                beyond = _beyond(left, balls, bound)
                 for i, place in enumerate(places):
-                    asks = np.flatnonzero(bits[:, place >> 3] & (128 >> (place & 7)))
+                    asks = np.flatnonzero((bits[:, place >> 3] & (128 >> (place & 7)) != 0) & ~beyond[:, i])
                     here = right[cuts[i] : cuts[i + 1]]
                     step = max(1, ROUGH // len(here))
                     for j in range(0, len(asks), step):

@@ -68,3 +68,21 @@ def test_a_query_is_written_once_however_many_leaves_it_visits(spark, monkeypatc
         if hasattr(ann, name):
             monkeypatch.setattr(ann, name, value)
     assert ask() == got
+
+
+def test_a_leaf_is_passed_over_only_where_all_its_rows_are_beyond_the_bound():
+    """Rows at one point, far from the origin, very small and very large ones."""
+    rng = np.random.default_rng(2)
+    plain = np.concatenate([rng.normal(size=(40, 5)) + 6 * rng.normal(size=5) for _ in range(12)])
+    plain[80:120] = plain[80]
+    for x in (plain, plain + 1e6, plain * 1e-120, plain * 1e120, plain * 1e200, np.zeros((480, 5))):
+        q = x[::7]
+        with np.errstate(over="ignore", invalid="ignore"):
+            far = np.sqrt(((q[:, None] - x[None]) ** 2).sum(axis=2))
+        balls = [ann._ball(x[i : i + 40]) for i in range(0, len(x), 40)]
+        least = far.reshape(len(q), 12, 40).min(axis=2)
+        for bound in (least[:, 3], np.sort(far, axis=1)[:, 10], np.zeros(len(q)), np.full(len(q), np.inf)):
+            beyond = ann._beyond(ann._sides(q)[0], balls, bound)
+            assert not (beyond & (least <= bound[:, None])).any()
+            if x is plain and bound.max() < least.max():
+                assert beyond.any()
